@@ -341,7 +341,7 @@ _over_feed(
 def _day_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two streams with day totals, one over sale lines and one over sale headers."""
     root = f"{workspace.star_root(spark, sf_dir)}/sales_lines"
-    lines = runs.stream_table(spark, root, spark.read.parquet(root))
+    lines = runs.stream_table(spark, root, spark.read.schema(star.SALES_LINES).parquet(root))
     orders = bench.table(spark, sf_dir, "orders")
     order_stream = runs.stream_table(spark, sf_dir, orders, "orders.parquet")
     headers = order_stream.select(F.col("o_orderdate").alias("transaction_time"))

@@ -6,20 +6,39 @@ two halves, so both are produced by one pass and a reloaded day replaces both at
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse import schemas as S
 from tallyhouse.functions import labels, money
 from tallyhouse.operators import members
 from tallyhouse.schemas import Tables
-from tallyhouse.storage import stage
+from tallyhouse.storage import path_exists, stage
 
 PRODUCT = ["source_id", "name", "category", "subcategory", "unit_cost"]
 CUSTOMER = ["source_id", "name", "is_loyalty", "join_date"]
 EMPLOYEE = ["source_id", "name", "role"]
 MEMBER_COLUMNS = {"dim_product": PRODUCT, "dim_customer": CUSTOMER, "dim_employee": EMPLOYEE}
 
+# The stored sale lines: the fact, then what is needed to tell why a line was rejected.
+SALES_LINES = T.StructType(
+    [
+        *S.STAR["fact_sales"],
+        T.StructField("hour_of_day", T.IntegerType()),
+        T.StructField("product_id", T.LongType()),
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("payment_method", T.StringType()),
+        T.StructField("reasons", T.StringType()),
+        T.StructField("accepted", T.BooleanType()),
+    ]
+)
+_LINE_FIELDS = T.StructType([f for f in SALES_LINES if f.name != "simulated_day"])
+LINES_PER_FILE = 4_000_000
+
 REJECTED_COLUMNS = [
     "id",
     "source_transaction_id",
@@ -186,14 +205,14 @@ def keyed_lines(lines: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame
         .join(F.broadcast(method), "payment_method", "left")
         .withColumn("dim_time_id", labels.time_key(day, hour))
     )
-    reasons = F.array_compact(
-        F.array(
-            F.when(F.col("dim_time_id").isNull(), "time"),
-            F.when(F.col("dim_product_id").isNull(), "product"),
-            F.when(F.col("dim_customer_id").isNull(), "customer"),
-            F.when(F.col("dim_payment_method_id").isNull(), "payment method"),
-        )
-    )
+    missing = {
+        "time": F.col("dim_time_id").isNull(),
+        "product": F.col("dim_product_id").isNull(),
+        "customer": F.col("dim_customer_id").isNull(),
+        "payment method": F.col("dim_payment_method_id").isNull(),
+    }
+    reasons = F.concat_ws(", ", *[F.when(gone, reason) for reason, gone in missing.items()])
+    accepted = ~reduce(or_, missing.values())
     revenue = money.subtotal(F.col("unit_price_at_sale"), F.col("quantity"))
     cost = money.subtotal(F.col("unit_cost"), F.col("quantity"))
     return looked_up.select(
@@ -215,8 +234,8 @@ def keyed_lines(lines: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame
         "product_id",
         "customer_id",
         "payment_method",
-        F.concat_ws(", ", reasons).alias("reasons"),
-        (F.size(reasons) == 0).alias("accepted"),
+        reasons.alias("reasons"),
+        accepted.alias("accepted"),
     )
 
 
@@ -250,38 +269,61 @@ def load_days(
     spark: SparkSession, oltp: Tables, root: str, first_day: str, by_day: bool = True
 ) -> None:
     """Load every day found in ``oltp`` into the star stored under ``root``; repeating it changes
-    nothing.
+    nothing, and a batch without lines does nothing.
 
-    With ``by_day`` the sale lines and the time dimension are partitioned by day and exactly the
-    days in this batch are replaced. Without it the batch is the whole history, written as one
-    unpartitioned snapshot: the right layout while days are too small for a file each.
+    With ``by_day`` the sale lines are partitioned by day and exactly the days in this batch are
+    replaced. Without it the batch is the whole history, written as one unpartitioned snapshot: the
+    right layout while days are too small for a file each.
 
     Dimensions are written before the lines, and members are only ever added, so a load that dies
     half way is repaired by running it again.
     """
     lines = stage(sale_lines(oltp, first_day), "lines")
+    if lines.isEmpty():
+        return
     keys: Tables = {}
-    for name, batch in batch_members(lines, oltp).items():
-        columns, path = MEMBER_COLUMNS[name], f"{root}/{name}"
-        spark.createDataFrame([], S.STAR[name]).write.mode("ignore").parquet(path)
-        stored = spark.read.schema(S.STAR[name]).parquet(path)
-        new_members(batch, stored, columns).write.mode("append").parquet(path)
-        stored = spark.read.schema(S.STAR[name]).parquet(path)
-        keys[name] = key_map(batch, stored, columns)
+    for name, members_seen in batch_members(lines, oltp).items():
+        columns = MEMBER_COLUMNS[name]
+        batch = stage(members_seen, name)
+        stored = _stored(spark, root, name)
+        new_members(batch, stored, columns).write.mode("append").parquet(f"{root}/{name}")
+        keys[name] = key_map(batch, _stored(spark, root, name), columns)
     payment_path = f"{root}/dim_payment_method"
     S.payment_methods(spark).write.mode("ignore").parquet(payment_path)
-    payment = spark.read.schema(S.STAR["dim_payment_method"]).parquet(payment_path)
-    _store(time_dimension(lines), f"{root}/dim_time", by_day)
-    _store(keyed_lines(lines, keys, payment), f"{root}/sales_lines", by_day)
+    payment = _stored(spark, root, "dim_payment_method")
+    hours = time_dimension(lines).join(_stored(spark, root, "dim_time"), "id", "left_anti")
+    hours.write.mode("append").parquet(f"{root}/dim_time")
+    keyed = keyed_lines(lines, keys, payment)
+    if by_day:
+        _replace_days(keyed, lines, f"{root}/sales_lines")
+    else:
+        keyed.write.mode("overwrite").parquet(f"{root}/sales_lines")
+
+
+def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A star table as stored so far, empty at first."""
+    path = f"{root}/{name}"
+    if not path_exists(spark, path):
+        spark.createDataFrame([], S.STAR[name]).write.mode("ignore").parquet(path)
+    return spark.read.schema(S.STAR[name]).parquet(path)
 
 
-def _store(df: DataFrame, path: str, by_day: bool) -> None:
-    if not by_day:
-        df.write.mode("overwrite").parquet(path)
-        return
-    # Rebalancing gives a normal day one task and splits a huge day over several.
+def _replace_days(keyed: DataFrame, lines: DataFrame, path: str) -> None:
+    """Overwrite exactly the day partitions present in ``keyed``.
+
+    A day gets as many files as its size calls for and each file one task, so a day holding a third
+    of all lines is written by many tasks while a small day stays in one file. The table of day
+    sizes is bounded by the calendar.
+    """
+    sizes = lines.groupBy(F.col("simulated_day").alias("_day")).agg(
+        F.ceil(F.count(F.lit(1)) / LINES_PER_FILE).alias("_files")
+    )
+    tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.hint("rebalance", "simulated_day")
+        keyed.join(sizes, F.col("simulated_day").eqNullSafe(F.col("_day")))
+        .withColumn("_file", F.pmod(F.xxhash64("id"), F.col("_files")))
+        .repartition(tasks, "simulated_day", "_file")
+        .drop("_day", "_files", "_file")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("simulated_day")
@@ -290,14 +332,15 @@ def _store(df: DataFrame, path: str, by_day: bool) -> None:
 
 
 def remove_days(spark: SparkSession, root: str, days: list[int]) -> None:
-    """Empty the partitions of days for which no new rows will arrive."""
-    for name in ("sales_lines", "dim_time"):
-        path = f"{root}/{name}"
-        schema = spark.read.parquet(path).drop("simulated_day").schema
-        for day in days:
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(
-                f"{path}/simulated_day={day}"
-            )
+    """Empty the partitions of days for which no new rows will arrive, then rebuild the time
+    dimension from the days left, so that repeating an interrupted removal completes it."""
+    path = f"{root}/sales_lines"
+    for day in days:
+        spark.createDataFrame([], _LINE_FIELDS).write.mode("overwrite").parquet(
+            f"{path}/simulated_day={day}"
+        )
+    left = time_dimension(spark.read.schema(SALES_LINES).parquet(path))
+    left.write.mode("overwrite").parquet(f"{root}/dim_time")
 
 
 def read_star(spark: SparkSession, root: str) -> Tables:
@@ -305,7 +348,7 @@ def read_star(spark: SparkSession, root: str) -> Tables:
         name: spark.read.schema(S.STAR[name]).parquet(f"{root}/{name}")
         for name in ("dim_time", "dim_product", "dim_customer", "dim_employee", "dim_payment_method")
     }
-    lines = spark.read.parquet(f"{root}/sales_lines")
+    lines = spark.read.schema(SALES_LINES).parquet(f"{root}/sales_lines")
     tables["sales_lines"] = lines
     tables["fact_sales"] = accepted_lines(lines)
     tables["rejected_lines"] = rejected_lines(lines)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyhouse.functions import labels, money
 from tallyhouse.schemas import (
@@ -24,8 +25,16 @@ FIRST_DAY = "1995-01-01"
 FEED_FIRST_DAY = "2024-01-01"
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is taken from the files once, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _supplier_count(spark: SparkSession, sf_dir: str) -> Column:
