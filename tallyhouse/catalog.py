@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import oracle, workspace
 from tallyhouse import schemas as S
-from tallyhouse.functions import labels
+from tallyhouse.functions import labels, money
 from tallyhouse.operators import members
 from tallyhouse.plans import analytics, inventory, quality, reports, star
 from tallyhouse.schemas import Tables
@@ -198,13 +198,14 @@ def _insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("k10_replace_days", "K10 F9", oracle.SQL.get("k10_replace_days"))
 def _replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load all days into a day-partitioned star, load everything a second time and remove the
-    first three days: each remaining day must still count once."""
-    root = fresh_path(spark, "by-day")
+    """Load all days, load everything a second time and remove the first three days: each remaining
+    day must still count once."""
+    root = fresh_path(spark, "replaced")
     oltp = bench.operational(spark, sf_dir)
+    days_per_partition = workspace.DAYS_PER_PARTITION
     for _ in range(2):
-        star.load_days(spark, oltp, root, bench.FIRST_DAY, by_day=True)
-    star.remove_days(spark, root, [1, 2, 3])
+        star.load_days(spark, oltp, root, bench.FIRST_DAY, days_per_partition)
+    star.remove_days(spark, root, [1, 2, 3], days_per_partition)
     tables = star.read_star(spark, root)
     hours = tables["dim_time"].groupBy("simulated_day").agg(
         F.count(F.lit(1)).alias("open_hours")
@@ -212,7 +213,7 @@ def _replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     sold = tables["sales_lines"].groupBy("simulated_day").agg(
         F.count_if("accepted").alias("accepted_lines"),
         F.count_if(~F.col("accepted")).alias("rejected_lines"),
-        F.sum(F.when(F.col("accepted"), F.col("revenue"))).cast(S.MONEY_SUM).alias("revenue"),
+        money.from_cents(F.sum(F.when(F.col("accepted"), F.col("revenue_cents")))).alias("revenue"),
     )
     return hours.join(sold, "simulated_day")
 

@@ -21,6 +21,7 @@ from tallyhouse.plans.reports import (
     sums_by_customer_sale,
     sums_by_product,
 )
+from tallyhouse.plans.star import sale_facts
 from tallyhouse.schemas import MILESTONES, Tables
 
 STAR_TABLES = (
@@ -40,9 +41,9 @@ DAILY_MEASURES = (
 )
 
 
-def _mean_line(amount: str = "revenue", lines: Column | None = None) -> Column:
-    counted = F.count(amount) if lines is None else lines
-    return money.per_unit(F.sum(amount), counted, 4)
+def _mean_line(lines: Column | None = None) -> Column:
+    counted = F.count("revenue_cents") if lines is None else lines
+    return money.per_unit(money.total("revenue_cents"), counted, 4)
 
 
 def _share_of_revenue() -> Column:
@@ -76,23 +77,27 @@ def table_shapes(tables: Tables) -> DataFrame:
 def overall_totals(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     """One row of headline numbers. The per-day means come from the day rollup, and the distinct
     sales from their own pass, so that no aggregate mixes distincts over different keys."""
-    fact = tables["fact_sales"]
+    fact = sale_facts(tables)
     daily = fact.groupBy("simulated_day").agg(
-        F.sum("revenue").alias("revenue"),
-        F.sum("cost").alias("cost"),
-        F.sum("profit").alias("profit"),
+        F.sum("revenue_cents").alias("revenue_cents"),
+        F.sum("cost_cents").alias("cost_cents"),
+        F.sum("profit_cents").alias("profit_cents"),
         F.count(F.lit(1)).alias("lines"),
     )
     sales = fact.agg(distinct_sales(sale_key).alias("n")).scalar()
     return daily.agg(
-        money.total(F.col("revenue")).alias("total_revenue"),
-        money.total(F.col("cost")).alias("total_cost"),
-        money.total(F.col("profit")).alias("total_profit"),
-        money.percent_of(F.sum("profit"), F.sum("revenue")).alias("profit_margin_pct"),
+        money.total("revenue_cents").alias("total_revenue"),
+        money.total("cost_cents").alias("total_cost"),
+        money.total("profit_cents").alias("total_profit"),
+        money.percent_of(F.sum("profit_cents"), F.sum("revenue_cents")).alias("profit_margin_pct"),
         money.units(F.col("lines")).alias("line_items"),
         F.count("simulated_day").alias("simulated_days"),
-        money.per_unit(F.sum("revenue"), F.count("simulated_day")).alias("avg_revenue_per_day"),
-        money.per_unit(F.sum("profit"), F.count("simulated_day")).alias("avg_profit_per_day"),
+        money.per_unit(
+            money.total("revenue_cents"), F.count("simulated_day")
+        ).alias("avg_revenue_per_day"),
+        money.per_unit(
+            money.total("profit_cents"), F.count("simulated_day")
+        ).alias("avg_profit_per_day"),
     ).withColumn("unique_transactions", sales)
 
 
@@ -121,8 +126,8 @@ def _sums_by(tables: Tables, keys: list[str]) -> DataFrame:
         .dropna(subset=keys)
         .groupBy(*keys)
         .agg(
-            money.total(F.col("revenue")).alias("total_revenue"),
-            money.total(F.col("profit")).alias("total_profit"),
+            money.total("revenue_cents").alias("total_revenue"),
+            money.total("profit_cents").alias("total_profit"),
             money.units(F.col("units")).alias("units_sold"),
             money.units(F.col("lines")).alias("num_sales"),
         )
@@ -161,13 +166,13 @@ def category_summary(tables: Tables) -> DataFrame:
 def daily_rollup(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     """One row per trading day; ``num_items`` counts lines, not units."""
     return (
-        tables["fact_sales"]
+        sale_facts(tables)
         .where(F.col("simulated_day").isNotNull())
         .groupBy("simulated_day")
         .agg(
-            money.total(F.col("revenue")).alias("daily_revenue"),
-            money.total(F.col("profit")).alias("daily_profit"),
-            money.total(F.col("cost")).alias("daily_cost"),
+            money.total("revenue_cents").alias("daily_revenue"),
+            money.total("profit_cents").alias("daily_profit"),
+            money.total("cost_cents").alias("daily_cost"),
             F.count("id").alias("num_items"),
             distinct_sales(sale_key).alias("num_transactions"),
         )
@@ -177,12 +182,12 @@ def daily_rollup(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFr
 def daily_revenue_only(tables: Tables) -> DataFrame:
     """The part of the rollup that needs no distinct count."""
     return (
-        tables["fact_sales"]
+        sale_facts(tables)
         .where(F.col("simulated_day").isNotNull())
         .groupBy("simulated_day")
         .agg(
-            money.total(F.col("revenue")).alias("daily_revenue"),
-            money.total(F.col("profit")).alias("daily_profit"),
+            money.total("revenue_cents").alias("daily_revenue"),
+            money.total("profit_cents").alias("daily_profit"),
         )
     )
 
@@ -216,12 +221,12 @@ def daily_revenue_range(tables: Tables) -> DataFrame:
 
 def hourly_revenue(tables: Tables) -> DataFrame:
     return (
-        join_dimension(tables["fact_sales"], tables, "dim_time", ["hour_of_day"], "left")
+        join_dimension(sale_facts(tables), tables, "dim_time", ["hour_of_day"], "left")
         .dropna(subset=["hour_of_day"])
         .groupBy("hour_of_day")
         .agg(
             _mean_line().alias("avg_revenue"),
-            money.total(F.col("revenue")).alias("total_revenue"),
+            money.total("revenue_cents").alias("total_revenue"),
         )
         .orderBy("hour_of_day")
     )
@@ -230,11 +235,11 @@ def hourly_revenue(tables: Tables) -> DataFrame:
 def rush_comparison(tables: Tables) -> DataFrame:
     flags = {True: "Rush Hour", False: "Non-Rush Hour"}
     return (
-        join_dimension(tables["fact_sales"], tables, "dim_time", ["is_rush_hour"], "left")
+        join_dimension(sale_facts(tables), tables, "dim_time", ["is_rush_hour"], "left")
         .dropna(subset=["is_rush_hour"])
         .groupBy("is_rush_hour")
         .agg(
-            money.total(F.col("revenue")).alias("total_revenue"),
+            money.total("revenue_cents").alias("total_revenue"),
             _mean_line().alias("avg_revenue"),
             money.units(F.col("quantity_sold")).alias("total_items"),
         )
@@ -244,12 +249,12 @@ def rush_comparison(tables: Tables) -> DataFrame:
 
 def part_of_day_breakdown(tables: Tables) -> DataFrame:
     return (
-        join_dimension(tables["fact_sales"], tables, "dim_time", ["part_of_day"], "left")
+        join_dimension(sale_facts(tables), tables, "dim_time", ["part_of_day"], "left")
         .dropna(subset=["part_of_day"])
         .groupBy("part_of_day")
         .agg(
-            money.total(F.col("revenue")).alias("total_revenue"),
-            money.total(F.col("profit")).alias("total_profit"),
+            money.total("revenue_cents").alias("total_revenue"),
+            money.total("profit_cents").alias("total_profit"),
             F.count("id").alias("num_items"),
         )
         .orderBy(F.desc_nulls_last("total_revenue"), "part_of_day")
@@ -265,9 +270,9 @@ def loyalty_summary(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> Dat
         .dropna(subset=["is_loyalty"])
         .groupBy("is_loyalty")
         .agg(
-            money.total(F.col("revenue")).alias("total_revenue"),
+            money.total("revenue_cents").alias("total_revenue"),
             _mean_line(lines=F.sum("lines")).alias("avg_transaction"),
-            money.total(F.col("profit")).alias("total_profit"),
+            money.total("profit_cents").alias("total_profit"),
             distinct_sales(sale_key).alias("num_transactions"),
         )
     )
@@ -292,7 +297,7 @@ def top_customers(
         .dropna(subset=who)
         .groupBy(*who)
         .agg(
-            money.total(F.col("revenue")).alias("total_spend"),
+            money.total("revenue_cents").alias("total_spend"),
             distinct_sales(sale_key).alias("total_visits"),
             _mean_line(lines=F.sum("lines")).alias("avg_per_visit"),
         )
@@ -304,7 +309,7 @@ def top_customers(
 def employee_performance(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     grouped = (
         join_dimension(
-            tables["fact_sales"].where(F.col("dim_employee_id").isNotNull()),
+            sale_facts(tables).where(F.col("dim_employee_id").isNotNull()),
             tables,
             "dim_employee",
             ["name", "role"],
@@ -313,8 +318,8 @@ def employee_performance(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -
         .dropna(subset=["name", "role"])
         .groupBy(F.col("name").alias("employee_name"), "role")
         .agg(
-            money.total(F.col("revenue")).alias("total_revenue"),
-            money.total(F.col("profit")).alias("total_profit"),
+            money.total("revenue_cents").alias("total_revenue"),
+            money.total("profit_cents").alias("total_profit"),
             distinct_sales(sale_key).alias("num_transactions"),
             money.units(F.col("quantity_sold")).alias("items_sold"),
         )
@@ -327,11 +332,11 @@ def employee_performance(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -
 
 def payment_summary(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     grouped = (
-        join_dimension(tables["fact_sales"], tables, "dim_payment_method", ["method"], "left")
+        join_dimension(sale_facts(tables), tables, "dim_payment_method", ["method"], "left")
         .dropna(subset=["method"])
         .groupBy("method")
         .agg(
-            money.total(F.col("revenue")).alias("total_revenue"),
+            money.total("revenue_cents").alias("total_revenue"),
             _mean_line().alias("avg_per_item"),
             distinct_sales(sale_key).alias("num_transactions"),
         )

@@ -12,7 +12,7 @@ size, so there is no sequential pass.
 
 A product on a third of all sales must not end in one task. Sales are cut into blocks of sale
 numbers; each (product, block) is a window of its own and starts from totals of the blocks before
-it. A block holds at most ``BLOCK_SALES`` rows of a product, whatever the product's share.
+it. A block holds at most 2 ** ``BLOCK_BITS`` rows of a product, whatever the product's share.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tallyhouse import schemas as S
 from tallyhouse.schemas import Tables
 
-BLOCK_SALES = 1 << 20
+BLOCK_BITS = 20
 
 
 def product_sales(items: DataFrame, *keys: str) -> DataFrame:
@@ -40,7 +40,7 @@ def ledger(
     threshold: int = S.REORDER_THRESHOLD,
     order_quantity: int = S.REORDER_QUANTITY,
     state: DataFrame | None = None,
-    block_sales: int = BLOCK_SALES,
+    block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """One row per product and sale, in order of sale number.
 
@@ -58,8 +58,10 @@ def ledger(
         steps = (over - F.pmod(over, F.lit(order_quantity))) / order_quantity
         return F.when(sold < first_gap, F.lit(0)).otherwise(steps + 1).cast("bigint")
 
-    blocked = product_sales(sales, *keys[1:]).withColumn(
-        "_block", F.floor(F.col("transaction_id") / block_sales)
+    # NULL keys are dropped here, so that the uses of this frame below need no filters of their own
+    # and share one shuffle.
+    blocked = product_sales(sales.dropna(subset=[*keys, "transaction_id"]), *keys[1:]).withColumn(
+        "_block", F.shiftright("transaction_id", block_bits)
     )
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)

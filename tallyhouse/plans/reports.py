@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import labels, money
+from tallyhouse.plans.star import sale_facts
 from tallyhouse.schemas import Tables
 
 # A sale number identifies a sale only within one life of the operational database; add the day
@@ -37,15 +38,15 @@ def join_dimension(df: DataFrame, tables: Tables, name: str, columns: list[str],
 
 def daily_revenue(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     return (
-        tables["fact_sales"]
+        sale_facts(tables)
         .groupBy("simulated_day")
         .agg(
             distinct_sales(sale_key).alias("total_transactions"),
             money.units(F.col("quantity_sold")).alias("total_items_sold"),
-            money.total(F.col("revenue")).alias("total_revenue"),
-            money.total(F.col("cost")).alias("total_cost"),
-            money.total(F.col("profit")).alias("total_profit"),
-            money.per_unit(F.sum("revenue"), F.count("revenue")).alias("avg_revenue_per_item"),
+            money.total("revenue_cents").alias("total_revenue"),
+            money.total("cost_cents").alias("total_cost"),
+            money.total("profit_cents").alias("total_profit"),
+            money.per_unit(money.total("revenue_cents"), F.count("revenue_cents")).alias("avg_revenue_per_item"),
         )
         .orderBy("simulated_day")
     )
@@ -54,12 +55,12 @@ def daily_revenue(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataF
 def revenue_by_hour(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     hour = ["hour_of_day", "time_label", "part_of_day", "is_rush_hour"]
     return (
-        join_dimension(tables["fact_sales"], tables, "dim_time", hour)
+        join_dimension(sale_facts(tables), tables, "dim_time", hour)
         .groupBy(*hour)
         .agg(
             distinct_sales(sale_key).alias("total_transactions"),
-            money.total(F.col("revenue")).alias("total_revenue"),
-            money.per_unit(F.sum("revenue"), F.count("revenue")).alias("avg_revenue_per_item"),
+            money.total("revenue_cents").alias("total_revenue"),
+            money.per_unit(money.total("revenue_cents"), F.count("revenue_cents")).alias("avg_revenue_per_item"),
         )
         .orderBy(F.asc_nulls_last("hour_of_day"))
     )
@@ -67,12 +68,12 @@ def revenue_by_hour(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> Dat
 
 def sums_by_product(tables: Tables, *more_keys: str) -> DataFrame:
     return (
-        tables["fact_sales"]
+        sale_facts(tables)
         .groupBy("dim_product_id", *more_keys)
         .agg(
             F.sum("quantity_sold").alias("units"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("profit").alias("profit"),
+            F.sum("revenue_cents").alias("revenue_cents"),
+            F.sum("profit_cents").alias("profit_cents"),
             F.count(F.lit(1)).alias("lines"),
         )
     )
@@ -84,8 +85,8 @@ def _product_totals(tables: Tables, keys: list[Column]) -> DataFrame:
         .groupBy(*keys)
         .agg(
             money.units(F.col("units")).alias("total_units_sold"),
-            money.total(F.col("revenue")).alias("total_revenue"),
-            money.total(F.col("profit")).alias("total_profit"),
+            money.total("revenue_cents").alias("total_revenue"),
+            money.total("profit_cents").alias("total_profit"),
         )
     )
 
@@ -115,12 +116,12 @@ def bottom_products(tables: Tables, rows: int = 10) -> DataFrame:
 def sums_by_customer_sale(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     """One row per customer and sale: the anonymous customer's share is spread by sale."""
     return (
-        tables["fact_sales"]
+        sale_facts(tables)
         .groupBy("dim_customer_id", *sale_key)
         .agg(
-            F.sum("revenue").alias("revenue"),
-            F.sum("profit").alias("profit"),
-            F.count("revenue").alias("lines"),
+            F.sum("revenue_cents").alias("revenue_cents"),
+            F.sum("profit_cents").alias("profit_cents"),
+            F.count("revenue_cents").alias("lines"),
         )
     )
 
@@ -134,7 +135,7 @@ def loyalty_split(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataF
         .groupBy("is_loyalty")
         .agg(
             distinct_sales(sale_key).alias("total_transactions"),
-            money.total(F.col("revenue")).alias("total_revenue"),
+            money.total("revenue_cents").alias("total_revenue"),
         )
     )
     return grouped.orderBy(F.desc_nulls_first("is_loyalty")).select(
@@ -155,11 +156,11 @@ def _share_of_sales() -> Column:
 
 def payment_breakdown(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     grouped = (
-        join_dimension(tables["fact_sales"], tables, "dim_payment_method", ["method"])
+        join_dimension(sale_facts(tables), tables, "dim_payment_method", ["method"])
         .groupBy(F.col("method").alias("payment_method"))
         .agg(
             distinct_sales(sale_key).alias("total_transactions"),
-            money.total(F.col("revenue")).alias("total_revenue"),
+            money.total("revenue_cents").alias("total_revenue"),
         )
     )
     return grouped.select("*", _share_of_sales()).orderBy(
@@ -170,11 +171,11 @@ def payment_breakdown(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> D
 def cashier_performance(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     """Sales without an employee are left out by the inner join."""
     grouped = (
-        join_dimension(tables["fact_sales"], tables, "dim_employee", ["name", "role"])
+        join_dimension(sale_facts(tables), tables, "dim_employee", ["name", "role"])
         .groupBy(F.col("name").alias("employee"), "role")
         .agg(
             distinct_sales(sale_key).alias("total_transactions"),
-            money.total(F.col("revenue")).alias("total_revenue_processed"),
+            money.total("revenue_cents").alias("total_revenue_processed"),
         )
     )
     average = money.per_unit(F.col("total_revenue_processed"), F.col("total_transactions"))
@@ -185,12 +186,12 @@ def cashier_performance(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) ->
 
 def rush_hour_split(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     grouped = (
-        join_dimension(tables["fact_sales"], tables, "dim_time", ["is_rush_hour"])
+        join_dimension(sale_facts(tables), tables, "dim_time", ["is_rush_hour"])
         .groupBy("is_rush_hour")
         .agg(
             distinct_sales(sale_key).alias("total_transactions"),
-            money.total(F.col("revenue")).alias("total_revenue"),
-            money.per_unit(F.sum("revenue"), F.count("revenue")).alias("avg_revenue_per_item"),
+            money.total("revenue_cents").alias("total_revenue"),
+            money.per_unit(money.total("revenue_cents"), F.count("revenue_cents")).alias("avg_revenue_per_item"),
         )
     )
     return grouped.orderBy(F.desc_nulls_first("is_rush_hour")).select(
@@ -208,7 +209,7 @@ def category_by_day(tables: Tables) -> DataFrame:
             sums_by_product(tables, "simulated_day"), tables, "dim_product", ["category"]
         )
         .groupBy("simulated_day", "category")
-        .agg(money.total(F.col("revenue")).alias("revenue"))
+        .agg(money.total("revenue_cents").alias("revenue"))
         .orderBy("simulated_day", F.desc_nulls_first("revenue"), "category")
     )
 

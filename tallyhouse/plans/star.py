@@ -6,10 +6,11 @@ two halves, so both are produced by one pass and a reloaded day replaces both at
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,10 +25,14 @@ CUSTOMER = ["source_id", "name", "is_loyalty", "join_date"]
 EMPLOYEE = ["source_id", "name", "role"]
 MEMBER_COLUMNS = {"dim_product": PRODUCT, "dim_customer": CUSTOMER, "dim_employee": EMPLOYEE}
 
-# The stored sale lines: the fact, then what is needed to tell why a line was rejected.
+# The stored sale lines: the fact with its amounts in whole cents, then what is needed to tell why
+# a line was rejected.
+AMOUNTS = ("revenue", "cost", "profit")
+CENTS = [f"{amount}_cents" for amount in AMOUNTS]
 SALES_LINES = T.StructType(
     [
-        *S.STAR["fact_sales"],
+        *[f for f in S.STAR["fact_sales"] if f.name not in AMOUNTS],
+        *[T.StructField(cents, T.LongType()) for cents in CENTS],
         T.StructField("hour_of_day", T.IntegerType()),
         T.StructField("product_id", T.LongType()),
         T.StructField("customer_id", T.LongType()),
@@ -36,7 +41,7 @@ SALES_LINES = T.StructType(
         T.StructField("accepted", T.BooleanType()),
     ]
 )
-_LINE_FIELDS = T.StructType([f for f in SALES_LINES if f.name != "simulated_day"])
+BLOCK = "day_block"
 LINES_PER_FILE = 4_000_000
 
 REJECTED_COLUMNS = [
@@ -213,8 +218,8 @@ def keyed_lines(lines: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame
     }
     reasons = F.concat_ws(", ", *[F.when(gone, reason) for reason, gone in missing.items()])
     accepted = ~reduce(or_, missing.values())
-    revenue = money.subtotal(F.col("unit_price_at_sale"), F.col("quantity"))
-    cost = money.subtotal(F.col("unit_cost"), F.col("quantity"))
+    revenue = money.in_cents(F.col("unit_price_at_sale")) * F.col("quantity")
+    cost = money.in_cents(F.col("unit_cost")) * F.col("quantity")
     return looked_up.select(
         "id",
         "dim_time_id",
@@ -227,9 +232,9 @@ def keyed_lines(lines: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame
         F.col("quantity").alias("quantity_sold"),
         F.col("unit_price_at_sale").alias("unit_price"),
         "unit_cost",
-        revenue.alias("revenue"),
-        cost.alias("cost"),
-        (revenue - cost).cast(S.MONEY).alias("profit"),
+        revenue.alias("revenue_cents"),
+        cost.alias("cost_cents"),
+        (revenue - cost).alias("profit_cents"),
         "hour_of_day",
         "product_id",
         "customer_id",
@@ -240,7 +245,22 @@ def keyed_lines(lines: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame
 
 
 def accepted_lines(sales_lines: DataFrame) -> DataFrame:
-    return sales_lines.where(F.col("accepted")).select(*S.STAR["fact_sales"].names)
+    """The fact table, amounts as money."""
+    amounts = {
+        amount: money.from_cents(F.col(cents), S.MONEY) for amount, cents in zip(AMOUNTS, CENTS)
+    }
+    return (
+        sales_lines.where(F.col("accepted")).withColumns(amounts).select(*S.STAR["fact_sales"].names)
+    )
+
+
+def sale_facts(tables: Tables) -> DataFrame:
+    """The accepted lines with their amounts in cents, for summing."""
+    if "sales_lines" in tables:
+        fact_columns = [c for c in S.STAR["fact_sales"].names if c not in AMOUNTS]
+        return tables["sales_lines"].where(F.col("accepted")).select(*fact_columns, *CENTS)
+    in_cents = {c: money.in_cents(F.col(amount)) for amount, c in zip(AMOUNTS, CENTS)}
+    return tables["fact_sales"].withColumns(in_cents)
 
 
 def rejected_lines(sales_lines: DataFrame) -> DataFrame:
@@ -260,20 +280,20 @@ def star(oltp: Tables, first_day: str) -> Tables:
         keys[name] = tables[name].withColumnRenamed("id", "dim_id")
     tables["dim_payment_method"] = S.payment_methods(spark)
     keyed = keyed_lines(lines, keys, tables["dim_payment_method"])
+    tables["sales_lines"] = keyed
     tables["fact_sales"] = accepted_lines(keyed)
     tables["rejected_lines"] = rejected_lines(keyed)
     return tables
 
 
 def load_days(
-    spark: SparkSession, oltp: Tables, root: str, first_day: str, by_day: bool = True
+    spark: SparkSession, oltp: Tables, root: str, first_day: str, days_per_partition: int = 1
 ) -> None:
-    """Load every day found in ``oltp`` into the star stored under ``root``; repeating it changes
-    nothing, and a batch without lines does nothing.
+    """Load every day found in ``oltp`` into the star stored under ``root``, replacing exactly those
+    days; repeating it changes nothing, and a batch without lines does nothing.
 
-    With ``by_day`` the sale lines are partitioned by day and exactly the days in this batch are
-    replaced. Without it the batch is the whole history, written as one unpartitioned snapshot: the
-    right layout while days are too small for a file each.
+    The sale lines are partitioned by day, or by runs of ``days_per_partition`` days where single
+    days are too small for a file each.
 
     Dimensions are written before the lines, and members are only ever added, so a load that dies
     half way is repaired by running it again.
@@ -281,23 +301,30 @@ def load_days(
     lines = stage(sale_lines(oltp, first_day), "lines")
     if lines.isEmpty():
         return
-    keys: Tables = {}
-    for name, members_seen in batch_members(lines, oltp).items():
+
+    def merge(name: str, members_seen: DataFrame) -> DataFrame:
         columns = MEMBER_COLUMNS[name]
         batch = stage(members_seen, name)
         stored = _stored(spark, root, name)
         new_members(batch, stored, columns).write.mode("append").parquet(f"{root}/{name}")
-        keys[name] = key_map(batch, _stored(spark, root, name), columns)
+        return key_map(batch, _stored(spark, root, name), columns)
+
+    # The dimensions do not depend on each other: let their jobs share the cluster.
+    seen = batch_members(lines, oltp)
+    with ThreadPoolExecutor(len(seen)) as pool:
+        keys = dict(zip(seen, pool.map(merge, seen.keys(), seen.values())))
     payment_path = f"{root}/dim_payment_method"
     S.payment_methods(spark).write.mode("ignore").parquet(payment_path)
     payment = _stored(spark, root, "dim_payment_method")
     hours = time_dimension(lines).join(_stored(spark, root, "dim_time"), "id", "left_anti")
     hours.write.mode("append").parquet(f"{root}/dim_time")
-    keyed = keyed_lines(lines, keys, payment)
-    if by_day:
-        _replace_days(keyed, lines, f"{root}/sales_lines")
-    else:
-        keyed.write.mode("overwrite").parquet(f"{root}/sales_lines")
+    _replace_days(
+        keyed_lines(lines, keys, payment), lines, f"{root}/sales_lines", days_per_partition
+    )
+
+
+def _day_block(days_per_partition: int) -> Column:
+    return F.floor((F.col("simulated_day") - 1) / days_per_partition).cast("int")
 
 
 def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -308,47 +335,70 @@ def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(S.STAR[name]).parquet(path)
 
 
-def _replace_days(keyed: DataFrame, lines: DataFrame, path: str) -> None:
-    """Overwrite exactly the day partitions present in ``keyed``.
+def _replace_days(
+    keyed: DataFrame, lines: DataFrame, path: str, days_per_partition: int
+) -> None:
+    """Overwrite the day partitions present in ``keyed``, keeping other days that share one.
 
-    A day gets as many files as its size calls for and each file one task, so a day holding a third
-    of all lines is written by many tasks while a small day stays in one file. The table of day
-    sizes is bounded by the calendar.
+    A partition gets as many files as its size calls for and each file one task, so a day holding a
+    third of all lines is written by many tasks while a small one stays in one file. The tables of
+    days and partition sizes are bounded by the calendar.
     """
-    sizes = lines.groupBy(F.col("simulated_day").alias("_day")).agg(
+    spark = keyed.sparkSession
+    block = _day_block(days_per_partition)
+    rows = keyed.withColumn(BLOCK, block)
+    if days_per_partition > 1 and path_exists(spark, path):
+        days = lines.select("simulated_day").distinct()
+        stored = _stored_lines(spark, path)
+        sharing = stored.join(days.select(block.alias(BLOCK)).distinct(), BLOCK, "left_semi")
+        kept = stage(sharing.join(days, "simulated_day", "left_anti"), "kept")
+        rows = rows.unionByName(kept)
+    sizes = lines.groupBy(block.alias("_sized")).agg(
         F.ceil(F.count(F.lit(1)) / LINES_PER_FILE).alias("_files")
     )
-    tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        keyed.join(sizes, F.col("simulated_day").eqNullSafe(F.col("_day")))
-        .withColumn("_file", F.pmod(F.xxhash64("id"), F.col("_files")))
-        .repartition(tasks, "simulated_day", "_file")
-        .drop("_day", "_files", "_file")
+        rows.join(sizes, F.col(BLOCK).eqNullSafe(F.col("_sized")))
+        .withColumn("_file", F.pmod(F.xxhash64("id", "source_transaction_id"), F.col("_files")))
+        .repartition(tasks, BLOCK, "_file")
+        .drop("_sized", "_files", "_file")
+        .sortWithinPartitions(BLOCK, "simulated_day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("simulated_day")
+        .partitionBy(BLOCK)
         .parquet(path)
     )
 
 
-def remove_days(spark: SparkSession, root: str, days: list[int]) -> None:
-    """Empty the partitions of days for which no new rows will arrive, then rebuild the time
-    dimension from the days left, so that repeating an interrupted removal completes it."""
+def remove_days(
+    spark: SparkSession, root: str, days: list[int], days_per_partition: int = 1
+) -> None:
+    """Take out days for which no new rows will arrive, then rebuild the time dimension from the
+    days left, so that repeating an interrupted removal completes it."""
     path = f"{root}/sales_lines"
-    for day in days:
-        spark.createDataFrame([], _LINE_FIELDS).write.mode("overwrite").parquet(
-            f"{path}/simulated_day={day}"
+    for number in sorted({(day - 1) // days_per_partition for day in days}):
+        kept = stage(
+            _stored_lines(spark, path)
+            .where((F.col(BLOCK) == number) & ~F.col("simulated_day").isin(days))
+            .drop(BLOCK),
+            "kept",
         )
-    left = time_dimension(spark.read.schema(SALES_LINES).parquet(path))
+        kept.write.mode("overwrite").parquet(f"{path}/{BLOCK}={number}")
+    left = time_dimension(_stored_lines(spark, path))
     left.write.mode("overwrite").parquet(f"{root}/dim_time")
 
 
+def _stored_lines(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([*SALES_LINES, T.StructField(BLOCK, T.IntegerType())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_star(spark: SparkSession, root: str) -> Tables:
     tables = {
         name: spark.read.schema(S.STAR[name]).parquet(f"{root}/{name}")
         for name in ("dim_time", "dim_product", "dim_customer", "dim_employee", "dim_payment_method")
     }
-    lines = spark.read.schema(SALES_LINES).parquet(f"{root}/sales_lines")
+    lines = _stored_lines(spark, f"{root}/sales_lines").drop(BLOCK)
     tables["sales_lines"] = lines
     tables["fact_sales"] = accepted_lines(lines)
     tables["rejected_lines"] = rejected_lines(lines)

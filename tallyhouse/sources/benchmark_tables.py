@@ -153,17 +153,34 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class _Operational(dict):
+    """The operational tables by name, each put together when first asked for: a query pays for
+    building the plans of only the tables it uses."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__()
+        self._source = (spark, sf_dir)
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name == "transactions":
+            self[name] = transactions(*self._source, self["transaction_items"])
+        else:
+            self[name] = _BUILDERS[name](*self._source)
+        return self[name]
+
+
+_BUILDERS = {
+    "customers": customers,
+    "suppliers": suppliers,
+    "products": products,
+    "inventory": inventory,
+    "employees": employees,
+    "transaction_items": transaction_items,
+}
+
+
 def operational(spark: SparkSession, sf_dir: str) -> Tables:
-    items = transaction_items(spark, sf_dir)
-    return {
-        "customers": customers(spark, sf_dir),
-        "suppliers": suppliers(spark, sf_dir),
-        "products": products(spark, sf_dir),
-        "inventory": inventory(spark, sf_dir),
-        "employees": employees(spark, sf_dir),
-        "transactions": transactions(spark, sf_dir, items),
-        "transaction_items": items,
-    }
+    return _Operational(spark, sf_dir)
 
 
 def feed_events(events: DataFrame) -> DataFrame:

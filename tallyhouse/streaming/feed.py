@@ -81,9 +81,9 @@ def day_amounts(lines: DataFrame) -> DataFrame:
     """Units, revenue, cost and profit of each day's sale lines so far."""
     return lines.groupBy("simulated_day").agg(
         money.units(F.col("quantity_sold")).alias("items_sold"),
-        money.total(F.col("revenue")).alias("revenue"),
-        money.total(F.col("cost")).alias("cost"),
-        money.total(F.col("revenue") - F.col("cost")).alias("profit"),
+        money.total("revenue_cents").alias("revenue"),
+        money.total("cost_cents").alias("cost"),
+        money.total("profit_cents").alias("profit"),
     )
 
 
