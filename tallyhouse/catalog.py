@@ -125,7 +125,7 @@ def _check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Load --------------------------------------------------------------------------------------------
 
-_over_source("j01_extract", "J1 S2 S3", star.extract)
+_over_source("j01_extract", "J1 S2 S3 P7", star.extract)
 _over_source(
     "j01_extract_size",
     "A17 U2",
