@@ -143,9 +143,9 @@ _over_star("k05_fact_sales", "K5 J5 F1 P5 P11 S4 S6 W10", star.member_attributes
 _over_star("k11_rejected_lines", "K11 F1", lambda t: t["rejected_lines"])
 
 
-@_register("k06_star_in_one_plan", "K6", oracle.SQL.get("k06_star_in_one_plan"))
-def _star_in_one_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts and amounts of the star as one lazy plan, without the stored one."""
+@_register("k06_star_totals", "K6", oracle.SQL.get("k06_star_totals"))
+def _star_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts and amounts of a star made without a place to store it."""
     tables = star.star(bench.operational(spark, sf_dir), bench.FIRST_DAY)
     return tables["fact_sales"].agg(
         F.count(F.lit(1)).alias("accepted_lines"),
@@ -222,15 +222,15 @@ def _replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ledger(oltp: Tables) -> DataFrame:
-    return inventory.ledger(oltp["transaction_items"])
+    return inventory.ledger(oltp["sold_quantities"])
 
 
 def _daily_ledger(oltp: Tables) -> DataFrame:
     day = labels.day_number(F.col("transaction_time"), bench.FIRST_DAY)
     header = oltp["transactions"].select(F.col("id").alias("transaction_id"),
                                          day.alias("simulated_day"))
-    lines = oltp["transaction_items"].select("transaction_id", "product_id", "quantity")
-    return inventory.ledger(lines.join(header, "transaction_id"), reset_daily=True)
+    lines = oltp["sold_quantities"].join(header, "transaction_id")
+    return inventory.ledger(lines, reset_daily=True)
 
 
 _over_source("k07_stock_ledger", "K7 W11 F8", _ledger)
@@ -239,7 +239,7 @@ _over_source("k07_daily_stock_ledger", "K7 W11", _daily_ledger)
 _over_source(
     "k07_small_orders_ledger",
     "K7",
-    lambda oltp: inventory.ledger(oltp["transaction_items"], order_quantity=20),
+    lambda oltp: inventory.ledger(oltp["sold_quantities"], order_quantity=20),
 )
 
 

@@ -63,11 +63,27 @@ def iqr_bounds(daily: DataFrame, amount: str) -> DataFrame:
     )
 
 
-def correlation(left: str, right: str) -> Column:
-    """Pearson correlation, NULL (not an error) when either side is constant."""
-    a, b = F.col(left).cast("double"), F.col(right).cast("double")
-    spread = F.stddev_pop(a) * F.stddev_pop(b)
-    return F.try_divide(F.covar_pop(a, b), spread)
+def correlations(daily: DataFrame, measures: tuple[str, ...]) -> DataFrame:
+    """Pearson correlation of every pair of measures in long form, from one aggregate over each
+    unordered pair. NULL (not an error) when either side is constant."""
+    value = {m: F.col(m).cast("double") for m in measures}
+    spread = {m: f"_spread_{m}" for m in measures}
+    pairs = {(a, b): f"_{a}_{b}" for i, a in enumerate(measures) for b in measures[i:]}
+    moments = daily.agg(
+        *[F.stddev_pop(value[m]).alias(spread[m]) for m in measures],
+        *[F.covar_pop(value[a], value[b]).alias(name) for (a, b), name in pairs.items()],
+    )
+
+    def cell(a: str, b: str) -> Column:
+        shared = F.col(pairs.get((a, b)) or pairs[b, a])
+        ratio = F.try_divide(shared, F.col(spread[a]) * F.col(spread[b]))
+        return F.struct(
+            F.lit(a).alias("measure_a"),
+            F.lit(b).alias("measure_b"),
+            F.round(ratio, 4).alias("correlation"),
+        )
+
+    return moments.select(F.inline(F.array(*[cell(a, b) for a in measures for b in measures])))
 
 
 def histogram(daily: DataFrame, amount: str, bins: int) -> DataFrame:

@@ -603,7 +603,7 @@ FROM fact JOIN hr ON fact.hour_of_day = hr.hour_of_day
   JOIN (SELECT product_id, name AS sold_name FROM prod) p ON fact.product_id = p.product_id
   JOIN cust ON fact.customer_id = cust.customer_id""")
 
-SQL["k06_star_in_one_plan"] = q(FACT, f"""
+SQL["k06_star_totals"] = q(FACT, f"""
 SELECT count(*) AS accepted_lines, count(employee_id) AS lines_with_employee, {UNITS} AS units,
   {REV} AS revenue, {PRF} AS profit FROM fact""")
 

@@ -455,17 +455,8 @@ def outlier_days(tables: Tables) -> DataFrame:
 
 
 def daily_correlation(tables: Tables) -> DataFrame:
-    """Correlation matrix of the daily measures in long form, all pairs in one aggregate."""
-    cells = [
-        F.struct(
-            F.lit(a).alias("measure_a"),
-            F.lit(b).alias("measure_b"),
-            F.round(days.correlation(a, b), 4).alias("correlation"),
-        )
-        for a in DAILY_MEASURES
-        for b in DAILY_MEASURES
-    ]
-    return daily_rollup(tables).agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    """Correlation matrix of the daily measures."""
+    return days.correlations(daily_rollup(tables), DAILY_MEASURES)
 
 
 def revenue_histogram(tables: Tables, bins: int = 50) -> DataFrame:

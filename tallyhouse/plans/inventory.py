@@ -17,7 +17,10 @@ it. A block holds at most 2 ** ``BLOCK_BITS`` rows of a product, whatever the pr
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas as S
@@ -52,17 +55,16 @@ def ledger(
     group = [*keys, "_block"]
     first_gap = opening_stock - threshold
 
-    def wanted(sold):
+    def wanted(sold: Column) -> Column:
         """Orders called for once ``sold`` units are gone."""
-        over = (sold - first_gap).cast("bigint")
-        steps = (over - F.pmod(over, F.lit(order_quantity))) / order_quantity
+        steps = F.call_function("div", sold - first_gap, F.lit(order_quantity))
         return F.when(sold < first_gap, F.lit(0)).otherwise(steps + 1).cast("bigint")
 
-    # NULL keys are dropped here, so that the uses of this frame below need no filters of their own
-    # and share one shuffle.
-    blocked = product_sales(sales.dropna(subset=[*keys, "transaction_id"]), *keys[1:]).withColumn(
-        "_block", F.shiftright("transaction_id", block_bits)
-    )
+    # Rows without keys are dropped here, so that the uses of this frame below need no filters of
+    # their own and share one shuffle.
+    present = reduce(and_, [F.col(c).isNotNull() for c in (*group, "transaction_id")])
+    numbered = sales.withColumn("_block", F.shiftright("transaction_id", block_bits))
+    blocked = product_sales(numbered.where(present), *group[1:])
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     totals = blocked.groupBy(*group).agg(
@@ -76,26 +78,22 @@ def ledger(
         F.coalesce(F.sum("_sales").over(before), F.lit(0)).alias("_sales_before"),
         F.max("_largest").over(whole).alias("_largest"),
     )
-    if state is not None:
+    if state is None:
+        units_0, orders_0 = F.lit(0), F.lit(0)
+    else:
         carried = state.select(
-            "product_id",
-            F.col("units_sold").alias("_units_0"),
-            F.col("reorders").alias("_reorders_0"),
+            "product_id", F.col("units_sold").alias("_u0"), F.col("reorders").alias("_r0")
         )
         starts = starts.join(carried, "product_id", "left")
-    else:
-        starts = starts.withColumns({"_units_0": F.lit(0), "_reorders_0": F.lit(0)})
-    starts = starts.withColumns(
-        {
-            "_units_0": F.coalesce("_units_0", F.lit(0)).cast("bigint"),
-            "_reorders_0": F.coalesce("_reorders_0", F.lit(0)).cast("bigint"),
-        }
-    )
-    # While no sale exceeds one order, and none did before, R_n = D_n and no minimum is needed.
-    caught_up = F.col("_reorders_0") == wanted(F.col("_units_0"))
-    starts = starts.withColumn(
-        "_in_step", (F.col("_largest") <= order_quantity) & caught_up
-    ).drop("_largest")
+        units_0, orders_0 = F.coalesce("_u0", F.lit(0)), F.coalesce("_r0", F.lit(0))
+    starts = starts.select(
+        *group,
+        (units_0 + F.col("_units_before")).alias("_units_before"),
+        "_sales_before",
+        orders_0.cast("bigint").alias("_orders_0"),
+        # While no sale exceeds one order, and none did before, R_n = D_n: no minimum is needed.
+        ((F.col("_largest") <= order_quantity) & (orders_0 == wanted(units_0))).alias("_in_step"),
+    )
 
     inside = Window.partitionBy(*group).orderBy("transaction_id")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -106,44 +104,42 @@ def ledger(
             blocked.withColumn("_units", F.sum("quantity").over(upto))
             .withColumn("_n", F.row_number().over(inside))
             .join(block_starts, group)
-            .withColumn("units_sold", F.col("_units_0") + F.col("_units_before") + F.col("_units"))
+            .withColumn("units_sold", F.col("_units_before") + F.col("_units"))
             .withColumn("_n", F.col("_sales_before") + F.col("_n"))
-            .withColumn("_wanted", wanted(F.col("units_sold")))
-            .withColumn("_gap", F.col("_wanted") - F.col("_n"))
+            .withColumn("_gap", wanted(F.col("units_sold")) - F.col("_n"))
         )
 
-    # Only products with an oversized sale reach this branch; usually it is empty.
-    block_gaps = (
-        positioned(starts.where(~F.col("_in_step"))).groupBy(*group).agg(F.min("_gap").alias("_g"))
-    )
-    gaps_before = block_gaps.select(*group, F.min("_g").over(before).alias("_gap_before"))
-
-    rows = positioned(starts.join(gaps_before, group, "left"))
-    orders_after = F.col("_n") + F.least("_reorders_0", "_gap_before", F.min("_gap").over(upto))
-    orders_before = (
-        F.col("_n") - 1 + F.least("_reorders_0", "_gap_before", F.min("_gap").over(earlier))
-    )
-    in_step = F.col("_in_step")
-    return (
-        rows.withColumn("reorders", F.when(in_step, F.col("_wanted")).otherwise(orders_after))
-        .withColumn(
-            "_reorders_before",
-            F.when(in_step, wanted(F.col("units_sold") - F.col("quantity"))).otherwise(
-                orders_before
-            ),
-        )
-        .select(
+    def finished(rows: DataFrame, orders: Column, orders_before: Column) -> DataFrame:
+        return rows.withColumn("reorders", orders).select(
             *keys,
             "transaction_id",
             "quantity",
             "units_sold",
             "reorders",
-            (F.col("reorders") > F.col("_reorders_before")).alias("reordered"),
+            (F.col("reorders") > orders_before).alias("reordered"),
             (opening_stock - F.col("units_sold") + order_quantity * F.col("reorders")).alias(
                 "stock_on_hand"
             ),
         )
+
+    in_step = finished(
+        positioned(starts.where(F.col("_in_step"))),
+        wanted(F.col("units_sold")),
+        wanted(F.col("units_sold") - F.col("quantity")),
+    )
+    # Products with an oversized sale. Usually there are none and this half is dropped at run time.
+    behind = positioned(starts.where(~F.col("_in_step")))
+    gaps_before = (
+        behind.groupBy(*group)
+        .agg(F.min("_gap").alias("_lowest"))
+        .select(*group, F.min("_lowest").over(before).alias("_gap_before"))
+    )
+    behind = finished(
+        behind.join(gaps_before, group),
+        F.col("_n") + F.least("_orders_0", "_gap_before", F.min("_gap").over(upto)),
+        F.col("_n") - 1 + F.least("_orders_0", "_gap_before", F.min("_gap").over(earlier)),
     )
+    return in_step.unionByName(behind)
 
 
 def purchase_orders(

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import money
 from tallyhouse.operators import members
 from tallyhouse.plans.analytics import STAR_TABLES
-from tallyhouse.schemas import PAYMENT_METHODS, Tables
+from tallyhouse.plans.star import AMOUNTS, CENTS, sale_facts
+from tallyhouse.schemas import PAYMENT_METHODS, STAR, Tables
 
 FOREIGN_KEYS = {
     "dim_product_id": "dim_product",
@@ -20,6 +21,7 @@ FOREIGN_KEYS = {
     "dim_payment_method_id": "dim_payment_method",
     "dim_time_id": "dim_time",
 }
+CENTS_TOLERATED = 1
 NON_NEGATIVE = ("quantity_sold", "unit_price", "revenue", "cost")
 MANDATORY = (
     "dim_time_id",
@@ -47,19 +49,25 @@ def _long(counts: list[tuple[str, Column]], key: str) -> Column:
     )
 
 
+def _stored_as(column: str) -> str:
+    """Amounts are looked at in the form they are stored in, whole cents."""
+    return f"{column}_cents" if column in AMOUNTS else column
+
+
 def null_profile(tables: Tables, only_with_nulls: bool = False) -> DataFrame:
     """Share of NULLs per column, one aggregate per table."""
 
     def profile(name: str) -> DataFrame:
-        df = tables[name]
+        df = sale_facts(tables) if name == "fact_sales" else tables[name]
+        columns = STAR[name].names
         counts = df.agg(
             F.count(F.lit(1)).alias("_rows"),
-            *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns],
+            *[F.count_if(F.col(_stored_as(c)).isNull()).alias(c) for c in columns],
         )
         cells = F.array(
             *[
                 F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_rows"))
-                for c in df.columns
+                for c in columns
             ]
         )
         return counts.select("_rows", F.inline(cells)).select(
@@ -129,21 +137,25 @@ def join_row_counts(tables: Tables) -> DataFrame:
 
 
 def _measure_counts() -> list[tuple[str, Column]]:
-    price, quantity = F.col("unit_price"), F.col("quantity_sold")
-    revenue, cost, profit = F.col("revenue"), F.col("cost"), F.col("profit")
+    price = money.in_cents(F.col("unit_price"))
+    revenue, cost, profit = (F.col(c) for c in CENTS)
+
+    def off(left: Column, right: Column) -> Column:
+        return F.abs(left - right) > CENTS_TOLERATED
+
     checks = [
-        ("revenue = quantity x price", money.differs(F.round(quantity * price, 2), revenue)),
-        ("profit = revenue - cost", money.differs(F.round(revenue - cost, 2), profit)),
+        ("revenue = quantity x price", off(F.col("quantity_sold") * price, revenue)),
+        ("profit = revenue - cost", off(revenue - cost, profit)),
     ]
-    checks += [(f"{c} not negative", F.col(c) < 0) for c in NON_NEGATIVE]
-    checks += [(f"{c} present", F.col(c).isNull()) for c in MANDATORY]
+    checks += [(f"{c} not negative", F.col(_stored_as(c)) < 0) for c in NON_NEGATIVE]
+    checks += [(f"{c} present", F.col(_stored_as(c)).isNull()) for c in MANDATORY]
     return [(name, F.count_if(broken)) for name, broken in checks]
 
 
 def measure_checks(tables: Tables) -> DataFrame:
     """Arithmetic, sign and presence checks on the fact, all in one pass."""
     checks = _measure_counts()
-    counts = tables["fact_sales"].agg(
+    counts = sale_facts(tables).agg(
         *[broken.alias(f"c{i}") for i, (_, broken) in enumerate(checks)]
     )
     named = [(name, F.col(f"c{i}")) for i, (name, _) in enumerate(checks)]

@@ -268,15 +268,16 @@ def rejected_lines(sales_lines: DataFrame) -> DataFrame:
 
 
 def star(oltp: Tables, first_day: str) -> Tables:
-    """The whole pipeline as one lazy plan, all days at once, for a first load into nothing."""
+    """The whole pipeline as frames, all days at once, for a first load into nothing. Sale lines and
+    members are staged, so that the big join runs once and not once per table derived from it."""
     spark = oltp["transactions"].sparkSession
-    lines = sale_lines(oltp, first_day)
+    lines = stage(sale_lines(oltp, first_day), "lines")
     tables: Tables = {"dim_time": time_dimension(lines)}
     keys: Tables = {}
     for name, batch in batch_members(lines, oltp).items():
         columns = MEMBER_COLUMNS[name]
         none_yet = spark.createDataFrame([], S.STAR[name])
-        tables[name] = new_members(batch, none_yet, columns)
+        tables[name] = stage(new_members(stage(batch, name), none_yet, columns), name)
         keys[name] = tables[name].withColumnRenamed("id", "dim_id")
     tables["dim_payment_method"] = S.payment_methods(spark)
     keyed = keyed_lines(lines, keys, tables["dim_payment_method"])

@@ -69,6 +69,15 @@ def transaction_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sold_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items without prices, for what needs no join with the products."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("transaction_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+    )
+
+
 def transactions(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     hour = (7 + key % 16).cast("int")
@@ -176,6 +185,7 @@ _BUILDERS = {
     "inventory": inventory,
     "employees": employees,
     "transaction_items": transaction_items,
+    "sold_quantities": sold_quantities,
 }
 
 
