@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from pyspark.sql import functions as F
 from tallyhouse import oracle, workspace
 from tallyhouse import schemas as S
 from tallyhouse.functions import labels, money
-from tallyhouse.operators import members
 from tallyhouse.plans import analytics, inventory, quality, reports, star
 from tallyhouse.schemas import Tables
 from tallyhouse.sources import benchmark_tables as bench
@@ -77,6 +77,7 @@ _over_star("n03_top_products_by_name", "N3 J3 J10 P19 P21", analytics.top_produc
 _over_star("n04_category_summary", "N4 J3", analytics.category_summary)
 _over_star("n05_daily_rollup", "N5", analytics.daily_rollup)
 _over_star("n06_moving_averages", "N6 W3", analytics.moving_averages)
+_over_star("n06_first_days", "N6 O4", analytics.first_days)
 _over_star("n06_daily_revenue_range", "N6 A7 P19", analytics.daily_revenue_range)
 _over_star("n07_hourly_revenue", "N7 J3", analytics.hourly_revenue)
 _over_star("n08_rush_comparison", "N8 J3 P10", analytics.rush_comparison)
@@ -93,7 +94,7 @@ _over_star("n15_milestones", "N15 A8 F6", analytics.milestone_days)
 _over_star("n16_rank_in_category", "N16 W8", analytics.rank_in_category)
 _over_star("n16_top_per_category", "N16 F7", analytics.top_per_category)
 _over_star("n17_outlier_bounds", "N17 A9", analytics.outlier_bounds)
-_over_star("n17_outlier_days", "N17 F5 O4", analytics.outlier_days)
+_over_star("n17_outlier_days", "N17 F5", analytics.outlier_days)
 _over_star("n18_daily_correlation", "N18 A10", analytics.daily_correlation)
 _over_star("n19_revenue_histogram", "N19 A11", analytics.revenue_histogram)
 _over_star("n20_revenue_box", "N20 A12", analytics.revenue_box)
@@ -294,11 +295,15 @@ def _insert_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_insert_dump(spark, path, products.schema)
 
 
-_over_source(
-    "o05_seeded_sample",
-    "O5",
-    lambda oltp: files.seeded_sample(oltp["customers"].select("id", "name"), "id", 5, 42),
-)
+def _sampled_ids(tables: Tables) -> DataFrame:
+    samples = [
+        sample.select(F.lit(name).alias("table_name"), "id")
+        for name, sample in analytics.table_samples(tables).items()
+    ]
+    return reduce(DataFrame.unionByName, samples)
+
+
+_over_star("o05_table_samples", "O5", _sampled_ids)
 
 # Streams -----------------------------------------------------------------------------------------
 

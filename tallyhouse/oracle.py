@@ -308,6 +308,7 @@ def _rolling(rows: int) -> str:
 
 
 SQL["n06_moving_averages"] = q(DAILY, f"SELECT {_DAILY}, {_rolling(30)}, {_rolling(90)} FROM daily")
+SQL["n06_first_days"] = q(DAILY, f"SELECT {_DAILY} FROM daily ORDER BY simulated_day LIMIT 5")
 SQL["n06_daily_revenue_range"] = q(DAILY, f"""
 SELECT {money('min(rev)')} AS lowest, {money('max(rev)')} AS highest,
   {per_unit('sum(rev)', 'count(*)')} AS mean,
@@ -700,8 +701,20 @@ FROM d_customer
 UNION ALL
 SELECT 'dim_product', count(*), CAST(sum(unit_cost) AS DECIMAL(20,2)) FROM d_product""")
 SQL["s07_insert_dump"] = SQL["k02_dim_product"]
-SQL["o05_seeded_sample"] = """
-SELECT c_custkey AS id, c_name AS name FROM customer ORDER BY md5('42:' || c_custkey), 1 LIMIT 5"""
+SQL["o05_table_samples"] = q(DIMS, "\nUNION ALL ".join(
+    f"(SELECT '{name}' AS table_name, CAST(id AS BIGINT) AS id FROM {ids} "
+    "ORDER BY md5('42:' || id), id LIMIT 5)"
+    for name, ids in {
+        "dim_time": "d_time",
+        "fact_sales": "fact",
+        "dim_payment_method": "(SELECT unnest(range(1, 5)) AS id)",
+        **{
+            d: f"(SELECT unnest(range(1, (SELECT count(*) + 1 FROM {t}))) AS id)"
+            for d, t in (("dim_product", "d_product"), ("dim_customer", "d_customer"),
+                         ("dim_employee", "d_employee"))
+        },
+    }.items()
+))
 
 # Streams -----------------------------------------------------------------------------------------
 

@@ -23,6 +23,7 @@ from tallyhouse.plans.reports import (
 )
 from tallyhouse.plans.star import sale_facts
 from tallyhouse.schemas import MILESTONES, Tables
+from tallyhouse.sources.files import seeded_sample
 
 STAR_TABLES = (
     "dim_customer",
@@ -74,6 +75,11 @@ def table_shapes(tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, [shape(name) for name in STAR_TABLES])
 
 
+def table_samples(tables: Tables, rows: int = 5, seed: int = 42) -> Tables:
+    """A repeatable random sample of every table."""
+    return {name: seeded_sample(tables[name], "id", rows, seed) for name in STAR_TABLES}
+
+
 def overall_totals(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     """One row of headline numbers. The per-day means come from the day rollup, and the distinct
     sales from their own pass, so that no aggregate mixes distincts over different keys."""
@@ -201,6 +207,11 @@ def moving_averages(tables: Tables, short: int = 30, long: int = 90) -> DataFram
     )
 
 
+def first_days(tables: Tables, rows: int = 5) -> DataFrame:
+    """The head of the day rollup."""
+    return daily_rollup(tables).orderBy("simulated_day").limit(rows)
+
+
 def daily_revenue_range(tables: Tables) -> DataFrame:
     daily = daily_revenue_only(tables)
     return daily.agg(

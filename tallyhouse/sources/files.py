@@ -50,32 +50,38 @@ def read_operational_parquet(spark: SparkSession, folder: str) -> Tables:
 
 
 def read_operational_jdbc(
-    spark: SparkSession, url: str, properties: dict[str, str], lines_per_task: int = 1_000_000
+    spark: SparkSession, url: str, properties: dict[str, str], rows_per_task: int = 1_000_000
 ) -> Tables:
-    """The operational tables over JDBC. The two tables that grow with sales are read in id
-    ranges by many tasks; their bounds are one-row queries the database answers."""
-    tables: Tables = {}
-    for name in OPERATIONAL:
+    """The operational tables over JDBC. The two tables that grow with sales are read in id ranges
+    by many tasks; their bounds are one-row queries the database answers."""
+    shift_hours = """(SELECT id, name, role,
+        CAST(extract(hour FROM shift_start) AS INT) AS shift_start_hour,
+        CAST(extract(hour FROM shift_end) AS INT) AS shift_end_hour FROM employees) AS e"""
+
+    def read(name: str) -> DataFrame:
         if name not in ("transactions", "transaction_items"):
-            tables[name] = spark.read.jdbc(url, name, properties=properties)
-            continue
+            source = shift_hours if name == "employees" else name
+            return spark.read.jdbc(url, source, properties=properties)
         bounds = spark.read.jdbc(
             url, f"(SELECT min(id) AS lo, max(id) AS hi FROM {name}) AS b", properties=properties
         ).first()
         if bounds is None or bounds["lo"] is None:
-            tables[name] = spark.read.jdbc(url, name, properties=properties)
-            continue
+            return spark.read.jdbc(url, name, properties=properties)
         low, high = bounds["lo"], bounds["hi"] + 1
-        tables[name] = spark.read.jdbc(
+        return spark.read.jdbc(
             url,
             name,
             column="id",
             lowerBound=low,
             upperBound=high,
-            numPartitions=max(1, (high - low) // lines_per_task),
+            numPartitions=max(1, (high - low) // rows_per_task),
             properties=properties,
         )
-    return tables
+
+    return {
+        name: read(name).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+        for name, schema in OPERATIONAL.items()
+    }
 
 
 def read_insert_dump(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
