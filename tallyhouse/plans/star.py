@@ -297,7 +297,9 @@ def load_days(
     days are too small for a file each.
 
     Dimensions are written before the lines, and members are only ever added, so a load that dies
-    half way is repaired by running it again.
+    half way is repaired by running it again. Partitions of several days are rewritten whole: should
+    the driver die while they are being swapped, the other days of such a partition have to be
+    loaded again as well.
     """
     lines = stage(sale_lines(oltp, first_day), "lines")
     if lines.isEmpty():

@@ -1,7 +1,9 @@
 """Driving the feed as Structured Streaming queries.
 
-Checkpoints, state and results live in the shared folder. Every sink is idempotent per micro-batch,
-so a batch repeated after a failure leaves the same result.
+Checkpoints, state and results live below one path. Given the same path again, a stream goes on
+where it stopped and takes in only what has arrived since; without one it starts anew in the shared
+folder. Every sink is idempotent per micro-batch, so a batch repeated after a failure leaves the
+same result.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tallyhouse.plans import inventory
-from tallyhouse.storage import fresh_path, path_exists
+from tallyhouse.storage import fresh_path
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -22,10 +24,10 @@ def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def append_to_table(stream: DataFrame, label: str) -> DataFrame:
+def append_to_table(stream: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Run a row-by-row stream over everything available into a table and read it back."""
     spark = stream.sparkSession
-    path = fresh_path(spark, label)
+    path = path or fresh_path(spark, label)
     finish(
         stream.writeStream.format("parquet")
         .option("path", path)
@@ -49,14 +51,14 @@ def append_to_text(stream: DataFrame, label: str) -> str:
     return path
 
 
-def totals_to_table(stream: DataFrame, label: str) -> DataFrame:
+def totals_to_table(stream: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Run a grouped stream over everything available and read back its final totals.
 
     Complete mode: each micro-batch carries the whole result, which overwrites the previous one.
     Only for groupings with few keys, such as days or hours.
     """
     spark = stream.sparkSession
-    path = fresh_path(spark, label)
+    path = path or fresh_path(spark, label)
 
     def replace(totals: DataFrame, batch: int) -> None:
         totals.write.mode("overwrite").parquet(path)
@@ -71,11 +73,13 @@ def totals_to_table(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def push(stream: DataFrame, sink: Sink | None, label: str = "push") -> None:
+def push(
+    stream: DataFrame, sink: Sink | None, label: str = "push", path: str | None = None
+) -> None:
     """Hand every micro-batch to ``sink``; without one nothing is run at all."""
     if sink is None:
         return
-    path = fresh_path(stream.sparkSession, label)
+    path = path or fresh_path(stream.sparkSession, label)
     finish(
         stream.writeStream.foreachBatch(sink)
         .option("checkpointLocation", f"{path}-checkpoint")
@@ -84,7 +88,9 @@ def push(stream: DataFrame, sink: Sink | None, label: str = "push") -> None:
     )
 
 
-def stock_ledger(items: DataFrame, label: str = "stock", **ledger_options: int) -> DataFrame:
+def stock_ledger(
+    items: DataFrame, label: str = "stock", path: str | None = None, **ledger_options: int
+) -> DataFrame:
     """Continue the stock ledger with every micro-batch of sale lines.
 
     The state is a table of units sold and orders placed per product, one version per micro-batch.
@@ -94,16 +100,15 @@ def stock_ledger(items: DataFrame, label: str = "stock", **ledger_options: int)
     keyed by product could not do.
     """
     spark = items.sparkSession
-    root = fresh_path(spark, label)
+    root = path or fresh_path(spark, label)
     state_schema = "product_id BIGINT, units_sold BIGINT, reorders BIGINT"
 
     def advance(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        earlier = f"{root}/state/batch={number - 1}"
-        if number > 0 and path_exists(session, earlier):
-            state = session.read.schema(state_schema).parquet(earlier)
-        else:
+        if number == 0:
             state = session.createDataFrame([], state_schema)
+        else:  # reading fails rather than starts over if the version before is gone
+            state = session.read.schema(state_schema).parquet(f"{root}/state/batch={number - 1}")
         rows_path = f"{root}/ledger/batch={number}"
         inventory.ledger(batch, state=state, **ledger_options).write.mode("overwrite").parquet(
             rows_path

@@ -109,6 +109,17 @@ def test_streamed_ledger_continues_over_micro_batches(spark):
     assert collected(ledger.drop("batch")) == one_by_one(sales)
 
 
+def test_streamed_ledger_resumes_after_a_stop(spark):
+    sales = random_sales(7, 160, products=2, sales=60)
+    folder, root = fresh_path(spark, "arrivals"), fresh_path(spark, "resumed")
+    for low in (0, 90):
+        part = [s for s in sales if low <= s[1] < low + 90]
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(f"{folder}/{low:03d}")
+        stream = runs.stream_table(spark, f"{folder}/*", spark.createDataFrame([], SCHEMA))
+        ledger = runs.stock_ledger(stream, path=root)
+    assert collected(ledger.drop("batch")) == one_by_one(sales)
+
+
 def test_roster_covers_every_hour_with_fallback(spark):
     staff = spark.createDataFrame(
         [(5, "A", "Cashier", 10, 12), (4, "B", "Cashier", 11, 23), (1, "C", "Supervisor", 8, 22),
