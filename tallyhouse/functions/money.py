@@ -47,7 +47,9 @@ def units(quantity: Column) -> Column:
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:
-    return numerator / F.nullif(denominator, F.lit(0).cast("int"))
+    """NULL for a denominator of zero. CASE rather than NULLIF, which plans as an extra projection
+    and so keeps a sort below it from becoming a top-N."""
+    return numerator / F.when(denominator != 0, denominator)
 
 
 def per_unit(amount: Column, count: Column, scale: int = 2) -> Column:
