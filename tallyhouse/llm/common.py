@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +40,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+@cache
+def word_hashes() -> WordHashes:
+    """One for each Python worker, which keeps what it remembers from task to task."""
+    return WordHashes()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every input bit over the output."""
     x = x ^ (x >> np.uint64(32))

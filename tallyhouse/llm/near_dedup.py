@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import WordHashes, mix, with_ids, words_of
+from tallyhouse.llm.common import WordHashes, mix, with_ids, word_hashes, words_of
 from tallyhouse.llm.components import components
 from tallyhouse.storage import stage
 
@@ -96,7 +96,7 @@ def class_of(shingles: np.ndarray) -> int:
 
 
 def _sign(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = word_hashes()
     for batch in batches:
         sizes, classes, bands = [], [], []
         for text in batch.column(1):
@@ -121,7 +121,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = word_hashes()
     for batch in batches:
         sets = [shingle_set(t.as_py(), n, hashes) for t in batch.column(0)]
         yield pa.record_batch(

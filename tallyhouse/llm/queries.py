@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import exact_dedup, near_dedup, quality
+from tallyhouse.llm import exact_dedup, near_dedup, packing, quality, toxicity
 from tallyhouse.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
     return groups.select(
@@ -24,13 +28,26 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read(spark, sf_dir, "documents"), n=2, percent=80)
 
 
+def tokenizer_path() -> str:
+    """The word tokenizer of the installed vocabulary files, at the same place on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op5_packing": op5_packing,
     "op6_quality": op6_quality,
 }
 
