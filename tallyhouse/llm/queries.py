@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import exact_dedup, near_dedup, packing, quality, toxicity
+from tallyhouse.llm import exact_dedup, near_dedup, packing, quality, toxicity, warc
 from tallyhouse.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read(spark, sf_dir, "documents"), n=2, percent=80)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.pages_through_archives(read(spark, sf_dir, "pages"), least_bytes=0)
+
+
 def tokenizer_path() -> str:
     """The word tokenizer of the installed vocabulary files, at the same place on every executor."""
     import public_tokenizers
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_warc": op4_warc,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
 }
