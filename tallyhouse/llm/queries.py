@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import exact_dedup, near_dedup, packing, quality, toxicity, warc
+from tallyhouse.llm import (
+    decontamination,
+    exact_dedup,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    secret_scan,
+    toxicity,
+    warc,
+)
 from tallyhouse.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +57,33 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(read(spark, sf_dir, "pages"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leak_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(read(spark, sf_dir, "documents"))
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    def joined(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        of_kind("assign").alias("n_assign"),
+        of_kind("access").alias("n_access"),
+        of_kind("hex").alias("n_hex"),
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("found").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -54,6 +91,9 @@ QUERIES: dict[str, Query] = {
     "op4_warc": op4_warc,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_decontamination": op8_decontamination,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 SQL: dict[str, str] = {
@@ -66,4 +106,6 @@ SQL: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op7_line_dedup": line_dedup.sql(),
+    "op8_decontamination": decontamination.sql(),
 }
