@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm import (
     decontamination,
     exact_dedup,
+    language_model,
     line_dedup,
     near_dedup,
     packing,
@@ -65,6 +66,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leak_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(read(spark, sf_dir, "documents"))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_lm_score": op9_lm_score,
     "op10_secret_scan": op10_secret_scan,
 }
 
