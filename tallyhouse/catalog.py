@@ -206,8 +206,11 @@ def _replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     days_per_partition = workspace.DAYS_PER_PARTITION
     for _ in range(2):
         star.load_days(spark, oltp, root, bench.FIRST_DAY, days_per_partition)
-    star.remove_days(spark, root, [1, 2, 3], days_per_partition)
-    tables = star.read_star(spark, root)
+    star.remove_days(spark, root, [1, 2, 3])
+    return _per_day(star.read_star(spark, root))
+
+
+def _per_day(tables: Tables) -> DataFrame:
     hours = tables["dim_time"].groupBy("simulated_day").agg(
         F.count(F.lit(1)).alias("open_hours")
     )
@@ -219,19 +222,53 @@ def _replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hours.join(sold, "simulated_day")
 
 
+@_register("k10_mixed_widths", "K10 K5", oracle.SQL.get("k10_mixed_widths"))
+def _mixed_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all days many to a partition, then a hundred days again without naming a width: every day
+    counts once, also those that share a partition with a reloaded one."""
+    root = fresh_path(spark, "widths")
+    oltp = bench.operational(spark, sf_dir)
+    star.load_days(spark, oltp, root, bench.FIRST_DAY, workspace.DAYS_PER_PARTITION)
+    day = labels.day_number(F.col("transaction_time"), bench.FIRST_DAY)
+    some = oltp["transactions"].where(day.between(200, 300))
+    items = oltp["transaction_items"].join(
+        some.select(F.col("id").alias("transaction_id")), "transaction_id", "left_semi"
+    )
+    star.load_days(spark, oltp | {"transactions": some, "transaction_items": items}, root, bench.FIRST_DAY)
+    return _per_day(star.read_star(spark, root))
+
+
+@_register("k11_lines_without_sale", "K11 F1", oracle.SQL.get("k11_lines_without_sale"))
+def _lines_without_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, each with lines whose sales are missing: both stay rejected, next to each other."""
+    root = fresh_path(spark, "orphans")
+    oltp = bench.operational(spark, sf_dir)
+    for half, lost in ((0, 8), (1, 7)):
+        part = {
+            "transactions": oltp["transactions"].where((F.col("id") % 2 == half) & (F.col("id") % 100 != lost)),
+            "transaction_items": oltp["transaction_items"].where(F.col("transaction_id") % 2 == half),
+        }
+        star.load_days(spark, oltp | part, root, bench.FIRST_DAY, workspace.DAYS_PER_PARTITION)
+    rejected = star.read_star(spark, root)["rejected_lines"]
+    return rejected.where("simulated_day IS NULL").select("id", "source_transaction_id", "reasons")
+
+
 # Inventory ---------------------------------------------------------------------------------------
 
 
 def _ledger(oltp: Tables) -> DataFrame:
-    return inventory.ledger(oltp["sold_quantities"])
+    return inventory.ledger(oltp["sold_quantities"], levels=oltp["inventory"])
 
 
-def _daily_ledger(oltp: Tables) -> DataFrame:
+def _daily_lines(oltp: Tables) -> DataFrame:
     day = labels.day_number(F.col("transaction_time"), bench.FIRST_DAY)
     header = oltp["transactions"].select(F.col("id").alias("transaction_id"),
                                          day.alias("simulated_day"))
-    lines = oltp["sold_quantities"].join(header, "transaction_id")
-    return inventory.ledger(lines, reset_daily=True)
+    return oltp["sold_quantities"].join(header, "transaction_id")
+
+
+def _daily_ledger(oltp: Tables) -> DataFrame:
+    return inventory.ledger(_daily_lines(oltp), reset_daily=True, levels=oltp["inventory"])
 
 
 _over_source("k07_stock_ledger", "K7 W11 F8", _ledger)
@@ -244,6 +281,32 @@ _over_source(
 )
 
 
+def _levels_by_product(oltp: Tables) -> DataFrame:
+    """Opening stock and reorder threshold that differ from product to product."""
+    number = F.col("product_id")
+    return oltp["inventory"].select(
+        number,
+        (60 + number % 7 * 30).cast("int").alias("quantity_on_hand"),
+        (10 + number % 4 * 15).cast("int").alias("reorder_threshold"),
+    )
+
+
+_over_source(
+    "k07_ledger_by_levels",
+    "K7 F8",
+    lambda oltp: inventory.ledger(
+        oltp["sold_quantities"], levels=_levels_by_product(oltp), order_quantity=30
+    ),
+)
+_over_source(
+    "k07_daily_ledger_by_levels",
+    "K7 F8",
+    lambda oltp: inventory.ledger(
+        _daily_lines(oltp), reset_daily=True, levels=_levels_by_product(oltp), order_quantity=30
+    ),
+)
+
+
 def _with_stored_ledger(plan: Callable[[DataFrame, Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     """Purchase orders and closing stock join the ledger to other tables: end its lineage first."""
     return lambda oltp: plan(stage(_ledger(oltp), "ledger"), oltp)

@@ -143,6 +143,13 @@ sale AS (
     sum(sum(quantity)) OVER w AS sold, row_number() OVER w AS n
   FROM item GROUP BY product_id, txn WINDOW w AS (PARTITION BY product_id ORDER BY txn))"""
 
+DAY_SALES = SOURCE + """,
+sale AS (
+  SELECT product_id, simulated_day, item.txn AS txn, sum(quantity) AS quantity,
+    sum(sum(quantity)) OVER w AS sold, row_number() OVER w AS n
+  FROM item JOIN tx ON item.txn = tx.txn GROUP BY product_id, simulated_day, item.txn
+  WINDOW w AS (PARTITION BY product_id, simulated_day ORDER BY item.txn))"""
+
 LEDGER = SALES + """,
 led AS (
   SELECT *, CASE WHEN sold < 130 THEN 0 ELSE (sold - 130) // 100 + 1 END AS reorders,
@@ -626,6 +633,14 @@ SELECT simulated_day, CAST(14 AS BIGINT) AS open_hours,
   {money('sum(rev) FILTER (WHERE time_ok AND product_ok AND customer_ok AND payment_ok)')} AS revenue
 FROM line WHERE simulated_day NOT IN (1, 2, 3) GROUP BY simulated_day""")
 
+SQL["k10_mixed_widths"] = SQL["k10_replace_days"].replace("WHERE simulated_day NOT IN (1, 2, 3) ", "")
+
+SQL["k11_lines_without_sale"] = q(LINES, """
+SELECT id, txn AS source_transaction_id,
+  concat_ws(', ', 'time', CASE WHEN product_ok THEN NULL ELSE 'product' END, 'customer',
+    'payment method') AS reasons
+FROM line WHERE txn % 100 IN (7, 8)""")
+
 SQL["s09_surrogate_keys"] = q(DIMS, "\nUNION ALL ".join(
     f"SELECT '{d}' AS table_name, count(*) AS members, count(*) AS distinct_ids, "
     f"CAST(1 AS BIGINT) AS lowest_id, count(*) AS highest_id FROM {t}"
@@ -649,21 +664,33 @@ SQL["k07_daily_stock_ledger"] = q(
     DAY_LEDGER, f"SELECT product_id, simulated_day, {LEDGER_COLUMNS} FROM led"
 )
 # Sale by sale, as the shop does it: independent of the running-minimum form used in Spark.
-SQL["k07_small_orders_ledger"] = q(SALES, f"""
-SELECT product_id, txn AS transaction_id, {big('quantity')} AS quantity,
+def _sale_by_sale(sales: str, keys: str, opening: str, threshold: str, order: int) -> str:
+    """Sale by sale, as the shop does it: independent of the running-minimum form used in Spark."""
+    columns = keys.split(", ")
+    same = " AND ".join(f"s.{k} = p.{k}" for k in columns)
+    return q(sales, f"""
+SELECT {keys}, txn AS transaction_id, {big('quantity')} AS quantity,
   {big('sold')} AS units_sold, {big('reorders')} AS reorders, reordered,
-  {big('150 - sold + 20 * reorders')} AS stock_on_hand
-FROM steps""").replace("WITH ", "WITH RECURSIVE ", 1).replace("""
-SELECT product_id, txn AS""", """,
+  {big(f'{opening} - sold + {order} * reorders')} AS stock_on_hand
+FROM steps""").replace("WITH ", "WITH RECURSIVE ", 1).replace(f"""
+SELECT {keys}, txn AS""", f""",
 steps AS (
-  SELECT product_id, txn, quantity, sold, n, CAST(150 - sold <= 20 AS BIGINT) AS reorders,
-    150 - sold <= 20 AS reordered FROM sale WHERE n = 1
+  SELECT {keys}, txn, quantity, sold, n, CAST({opening} - sold <= {threshold} AS BIGINT) AS reorders,
+    {opening} - sold <= {threshold} AS reordered FROM sale WHERE n = 1
   UNION ALL
-  SELECT s.product_id, s.txn, s.quantity, s.sold, s.n,
-    p.reorders + CAST(150 - s.sold + 20 * p.reorders <= 20 AS BIGINT),
-    150 - s.sold + 20 * p.reorders <= 20
-  FROM steps p JOIN sale s ON s.product_id = p.product_id AND s.n = p.n + 1)
-SELECT product_id, txn AS""", 1)
+  SELECT {', '.join(f's.{k}' for k in columns)}, s.txn, s.quantity, s.sold, s.n,
+    p.reorders + CAST({opening.replace('product_id', 's.product_id')} - s.sold + {order} * p.reorders
+      <= {threshold.replace('product_id', 's.product_id')} AS BIGINT),
+    {opening.replace('product_id', 's.product_id')} - s.sold + {order} * p.reorders
+      <= {threshold.replace('product_id', 's.product_id')}
+  FROM steps p JOIN sale s ON {same} AND s.n = p.n + 1)
+SELECT {keys}, txn AS""", 1)
+
+
+SQL["k07_small_orders_ledger"] = _sale_by_sale(SALES, "product_id", "150", "20", 20)
+_LEVELS = ("(60 + product_id % 7 * 30)", "(10 + product_id % 4 * 15)", 30)
+SQL["k07_ledger_by_levels"] = _sale_by_sale(SALES, "product_id", *_LEVELS)
+SQL["k07_daily_ledger_by_levels"] = _sale_by_sale(DAY_SALES, "product_id, simulated_day", *_LEVELS)
 
 SQL["k08_purchase_orders"] = q(LEDGER, """
 SELECT supplier_id, led.product_id, CAST(100 AS INTEGER) AS quantity_ordered,

@@ -10,30 +10,38 @@ A sale triggers at most one, so R_n = min(R_{n-1} + 1, D_n), which unrolls to
 and stock is S0 - C_n + Q * R_n. Running sums and running minima are all it takes, for sales of any
 size, so there is no sequential pass.
 
-A product on a third of all sales must not end in one task. Sales are cut into blocks of sale
-numbers; each (product, block) is a window of its own and starts from totals of the blocks before
-it. A block holds at most 2 ** ``BLOCK_BITS`` rows of a product, whatever the product's share.
+A product on a third of all sales must not end in one task. Sales are cut into ranges of sale numbers
+that hold about ``BLOCK_ROWS`` lines each, however the numbers are spread; each (product, block) is a
+window of its own and starts from totals of the blocks before it.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas as S
 from tallyhouse.schemas import Tables
+from tallyhouse.storage import stage
 
-BLOCK_BITS = 20
+BLOCK_ROWS = 1 << 20
 
 
-def product_sales(items: DataFrame, *keys: str) -> DataFrame:
-    """Units per product and sale, combined before the shuffle."""
-    return items.groupBy("product_id", *keys, "transaction_id").agg(
-        F.sum("quantity").cast("bigint").alias("quantity")
-    )
+def _present(column: str) -> Column:
+    """A column that a sale line must have; a line without it ends the job rather than vanish."""
+    return F.coalesce(F.col(column), F.raise_error(F.lit(f"a sale line without {column}"))).alias(column)
+
+
+def blocked_lines(sales: DataFrame, keys: list[str], block_rows: int) -> DataFrame:
+    """The lines with the number of their block. Ranges are cut by the rows they hold; the block of a
+    line is stored, so that it is the same wherever it is used."""
+    columns = [*keys, "transaction_id", "quantity"]
+    lines = sales.select(*map(_present, columns))
+    blocks = -(-sales.count() // block_rows)
+    if blocks <= 1:
+        return lines.withColumn("_block", F.lit(0))
+    ranged = lines.repartitionByRange(blocks, "transaction_id")
+    return stage(ranged.withColumn("_block", F.spark_partition_id()), "sale-blocks")
 
 
 def ledger(
@@ -43,28 +51,35 @@ def ledger(
     threshold: int = S.REORDER_THRESHOLD,
     order_quantity: int = S.REORDER_QUANTITY,
     state: DataFrame | None = None,
-    block_bits: int = BLOCK_BITS,
+    block_rows: int = BLOCK_ROWS,
+    levels: DataFrame | None = None,
 ) -> DataFrame:
     """One row per product and sale, in order of sale number.
 
-    ``sales``: product_id, transaction_id, quantity (>= 0) and, with ``reset_daily``,
-    simulated_day: stock then starts afresh every day. ``state``: product_id, units_sold, reorders
-    reached by earlier sales, for continuing a ledger.
+    ``sales``: product_id, transaction_id, quantity and, with ``reset_daily``, simulated_day: stock
+    then starts afresh every day. A line without one of them ends the job with an error, and so
+    does a product's sale of less than nothing: returns would need orders to be taken back.
+    ``levels``: product_id, quantity_on_hand, reorder_threshold as the shop has them stored; products
+    without them start from ``opening_stock`` and ``threshold``. ``state``: product_id, units_sold,
+    reorders reached by earlier sales, for continuing a ledger.
     """
     keys = ["product_id", "simulated_day"] if reset_daily else ["product_id"]
     group = [*keys, "_block"]
-    first_gap = opening_stock - threshold
+    gap = F.col("_stock_0") - F.col("_threshold")
 
     def wanted(sold: Column) -> Column:
         """Orders called for once ``sold`` units are gone."""
-        steps = F.call_function("div", sold - first_gap, F.lit(order_quantity))
-        return F.when(sold < first_gap, F.lit(0)).otherwise(steps + 1).cast("bigint")
-
-    # Rows without keys are dropped here, so that the uses of this frame below need no filters of
-    # their own and share one shuffle.
-    present = reduce(and_, [F.col(c).isNotNull() for c in (*group, "transaction_id")])
-    numbered = sales.withColumn("_block", F.shiftright("transaction_id", block_bits))
-    blocked = product_sales(numbered.where(present), *group[1:])
+        steps = F.call_function("div", sold - gap, F.lit(order_quantity))
+        return F.when(sold < gap, F.lit(0)).otherwise(steps + 1).cast("bigint")
+
+    # The lines are clustered once; the sums per sale and all windows below reuse that shuffle.
+    units = F.sum("quantity").cast("bigint")
+    blocked = (
+        blocked_lines(sales, keys, block_rows)
+        .repartition(*group)
+        .groupBy(*group, "transaction_id")
+        .agg(F.when(units < 0, F.raise_error(F.lit("a sale of less than nothing"))).otherwise(units).alias("quantity"))
+    )
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     totals = blocked.groupBy(*group).agg(
@@ -86,8 +101,24 @@ def ledger(
         )
         starts = starts.join(carried, "product_id", "left")
         units_0, orders_0 = F.coalesce("_u0", F.lit(0)), F.coalesce("_r0", F.lit(0))
+    if levels is None:
+        starts = starts.withColumns({"_stock_0": F.lit(opening_stock), "_threshold": F.lit(threshold)})
+    else:
+        stored = levels.select(
+            "product_id",
+            F.col("quantity_on_hand").alias("_stock_0"),
+            F.col("reorder_threshold").alias("_threshold"),
+        )
+        starts = starts.join(stored, "product_id", "left").withColumns(
+            {
+                "_stock_0": F.coalesce("_stock_0", F.lit(opening_stock)),
+                "_threshold": F.coalesce("_threshold", F.lit(threshold)),
+            }
+        )
     starts = starts.select(
         *group,
+        "_stock_0",
+        "_threshold",
         (units_0 + F.col("_units_before")).alias("_units_before"),
         "_sales_before",
         orders_0.cast("bigint").alias("_orders_0"),
@@ -117,9 +148,9 @@ def ledger(
             "units_sold",
             "reorders",
             (F.col("reorders") > orders_before).alias("reordered"),
-            (opening_stock - F.col("units_sold") + order_quantity * F.col("reorders")).alias(
-                "stock_on_hand"
-            ),
+            (F.col("_stock_0") - F.col("units_sold") + order_quantity * F.col("reorders"))
+            .cast("bigint")
+            .alias("stock_on_hand"),
         )
 
     in_step = finished(
@@ -171,7 +202,8 @@ def purchase_orders(
 
 def closing_stock(stock: DataFrame, oltp: Tables, reset_daily: bool = False) -> DataFrame:
     """Stock after the last sale and the time of the last order. Without daily reset, products
-    never sold appear with the stock they started with."""
+    never sold appear with the stock they started with: ``oltp["inventory"]``, which the ledger has
+    to be made with as well."""
     keys = ["product_id", "simulated_day"] if reset_daily else ["product_id"]
     last = stock.groupBy(*keys).agg(
         F.max_by("stock_on_hand", "transaction_id").alias("quantity_on_hand"),

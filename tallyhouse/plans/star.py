@@ -18,7 +18,7 @@ from tallyhouse import schemas as S
 from tallyhouse.functions import labels, money
 from tallyhouse.operators import members
 from tallyhouse.schemas import Tables
-from tallyhouse.storage import path_exists, stage
+from tallyhouse.storage import Scratch, delete, is_complete, path_exists, stage
 
 PRODUCT = ["source_id", "name", "category", "subcategory", "unit_cost"]
 CUSTOMER = ["source_id", "name", "is_loyalty", "join_date"]
@@ -42,7 +42,10 @@ SALES_LINES = T.StructType(
     ]
 )
 BLOCK = "day_block"
-LINES_PER_FILE = 4_000_000
+LINES_WITH_BLOCK = T.StructType([*SALES_LINES, T.StructField(BLOCK, T.IntegerType())])
+# Where lines without a day are, and what is kept under the root while partitions are swapped.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+KEPT, KEPT_HOURS = "kept", "kept-hours"
 
 REJECTED_COLUMNS = [
     "id",
@@ -288,42 +291,63 @@ def star(oltp: Tables, first_day: str) -> Tables:
 
 
 def load_days(
-    spark: SparkSession, oltp: Tables, root: str, first_day: str, days_per_partition: int = 1
+    spark: SparkSession,
+    oltp: Tables,
+    root: str,
+    first_day: str,
+    days_per_partition: int | None = None,
 ) -> None:
     """Load every day found in ``oltp`` into the star stored under ``root``, replacing exactly those
     days; repeating it changes nothing, and a batch without lines does nothing.
 
     The sale lines are partitioned by day, or by runs of ``days_per_partition`` days where single
-    days are too small for a file each.
+    days are too small for a file each. The first load decides on the width and stores it with the
+    tables; a later load may leave it out and may not ask for another.
 
     Dimensions are written before the lines, and members are only ever added, so a load that dies
-    half way is repaired by running it again. Partitions of several days are rewritten whole: should
-    the driver die while they are being swapped, the other days of such a partition have to be
-    loaded again as well.
+    half way is repaired by running it again. Rows of other days and loads that share a partition
+    with the batch are first stored under ``root`` and put back by the next load or removal, should
+    the driver die while partitions are being swapped. Lines without a sale have no day; they stay
+    rejected until a load brings the same line again.
     """
-    lines = stage(sale_lines(oltp, first_day), "lines")
-    if lines.isEmpty():
-        return
-
-    def merge(name: str, members_seen: DataFrame) -> DataFrame:
-        columns = MEMBER_COLUMNS[name]
-        batch = stage(members_seen, name)
-        stored = _stored(spark, root, name)
-        new_members(batch, stored, columns).write.mode("append").parquet(f"{root}/{name}")
-        return key_map(batch, _stored(spark, root, name), columns)
-
-    # The dimensions do not depend on each other: let their jobs share the cluster.
-    seen = batch_members(lines, oltp)
-    with ThreadPoolExecutor(len(seen)) as pool:
-        keys = dict(zip(seen, pool.map(merge, seen.keys(), seen.values())))
-    payment_path = f"{root}/dim_payment_method"
-    S.payment_methods(spark).write.mode("ignore").parquet(payment_path)
-    payment = _stored(spark, root, "dim_payment_method")
-    hours = time_dimension(lines).join(_stored(spark, root, "dim_time"), "id", "left_anti")
-    hours.write.mode("append").parquet(f"{root}/dim_time")
-    _replace_days(
-        keyed_lines(lines, keys, payment), lines, f"{root}/sales_lines", days_per_partition
-    )
+    with Scratch(spark) as scratch:
+        lines = scratch.stage(sale_lines(oltp, first_day), "lines")
+        per_day = scratch.stage(lines.groupBy("simulated_day").agg(F.count("*").alias("n")), "days")
+        if per_day.isEmpty():
+            return
+        width = _width(spark, root, days_per_partition)
+        recover(spark, root)
+
+        def merge(name: str, members_seen: DataFrame) -> DataFrame:
+            columns = MEMBER_COLUMNS[name]
+            batch = scratch.stage(members_seen, name)
+            stored = _stored(spark, root, name)
+            new_members(batch, stored, columns).write.mode("append").parquet(f"{root}/{name}")
+            return key_map(batch, _stored(spark, root, name), columns)
+
+        # The dimensions do not depend on each other: let their jobs share the cluster.
+        seen = batch_members(lines, oltp)
+        with ThreadPoolExecutor(len(seen)) as pool:
+            keys = dict(zip(seen, pool.map(merge, seen.keys(), seen.values())))
+        payment_path = f"{root}/dim_payment_method"
+        S.payment_methods(spark).write.mode("ignore").parquet(payment_path)
+        payment = _stored(spark, root, "dim_payment_method")
+        hours = time_dimension(per_day).join(_stored(spark, root, "dim_time"), "id", "left_anti")
+        hours.write.mode("append").parquet(f"{root}/dim_time")
+        days = per_day.select("simulated_day").where("simulated_day IS NOT NULL")
+        _replace_days(keyed_lines(lines, keys, payment), lines, days, root, width)
+
+
+def _width(spark: SparkSession, root: str, asked: int | None) -> int:
+    """Days per partition of the star under ``root``, stored by its first load."""
+    path, schema = f"{root}/layout", "days_per_partition INT"
+    if not path_exists(spark, path):
+        spark.createDataFrame([(asked or 1,)], schema).write.parquet(path)
+        return asked or 1
+    width = spark.read.schema(schema).parquet(path).first()["days_per_partition"]
+    if asked not in (None, width):
+        raise ValueError(f"{root} has {width} days per partition, not {asked}")
+    return width
 
 
 def _day_block(days_per_partition: int) -> Column:
@@ -339,32 +363,38 @@ def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _replace_days(
-    keyed: DataFrame, lines: DataFrame, path: str, days_per_partition: int
+    keyed: DataFrame, lines: DataFrame, days: DataFrame, root: str, days_per_partition: int
 ) -> None:
-    """Overwrite the day partitions present in ``keyed``, keeping other days that share one.
-
-    A partition gets as many files as its size calls for and each file one task, so a day holding a
-    third of all lines is written by many tasks while a small one stays in one file. The tables of
-    days and partition sizes are bounded by the calendar.
-    """
+    """Overwrite the partitions of the batch. What else they hold is kept: other days that share a
+    partition, and lines without a day that the batch does not bring again."""
     spark = keyed.sparkSession
+    path = f"{root}/sales_lines"
     block = _day_block(days_per_partition)
     rows = keyed.withColumn(BLOCK, block)
-    if days_per_partition > 1 and path_exists(spark, path):
-        days = lines.select("simulated_day").distinct()
-        stored = _stored_lines(spark, path)
-        sharing = stored.join(days.select(block.alias(BLOCK)).distinct(), BLOCK, "left_semi")
-        kept = stage(sharing.join(days, "simulated_day", "left_anti"), "kept")
-        rows = rows.unionByName(kept)
-    sizes = lines.groupBy(block.alias("_sized")).agg(
-        F.ceil(F.count(F.lit(1)) / LINES_PER_FILE).alias("_files")
-    )
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not path_exists(spark, path):
+        _write_blocks(rows, path)
+        return
+    stored = _stored_lines(spark, path)
+    homeless = stored.where(F.col(BLOCK).isNull())
+    had_homeless = not homeless.isEmpty()
+    kept = homeless.join(lines.select("id"), "id", "left_anti")
+    if days_per_partition > 1:
+        blocks = days.select(block.alias(BLOCK)).distinct()
+        sharing = stored.join(F.broadcast(blocks), BLOCK, "left_semi")
+        kept = kept.unionByName(sharing.join(F.broadcast(days), "simulated_day", "left_anti"))
+    kept = _journal(kept, root)
+    rows = rows.unionByName(kept)
+    _write_blocks(rows, path)
+    if had_homeless and rows.where(F.col(BLOCK).isNull()).isEmpty():
+        delete(spark, f"{path}/{BLOCK}={NO_DAY}")
+    delete(spark, f"{root}/{KEPT}")
+
+
+def _write_blocks(rows: DataFrame, path: str) -> None:
+    """Write whole partitions. Rebalancing gives a partition as many tasks as its size calls for, so
+    a day holding a third of all lines is split and small ones share a task."""
     (
-        rows.join(sizes, F.col(BLOCK).eqNullSafe(F.col("_sized")))
-        .withColumn("_file", F.pmod(F.xxhash64("id", "source_transaction_id"), F.col("_files")))
-        .repartition(tasks, BLOCK, "_file")
-        .drop("_sized", "_files", "_file")
+        rows.hint("rebalance", BLOCK)
         .sortWithinPartitions(BLOCK, "simulated_day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -373,35 +403,75 @@ def _replace_days(
     )
 
 
-def remove_days(
-    spark: SparkSession, root: str, days: list[int], days_per_partition: int = 1
-) -> None:
-    """Take out days for which no new rows will arrive, then rebuild the time dimension from the
-    days left, so that repeating an interrupted removal completes it."""
+def _journal(kept: DataFrame, root: str) -> DataFrame:
+    """Rows that must outlive the swap of their partitions, stored until it is done."""
+    kept = kept.select(*SALES_LINES.names, BLOCK)
+    kept.write.mode("overwrite").parquet(f"{root}/{KEPT}")
+    return kept.sparkSession.read.schema(LINES_WITH_BLOCK).parquet(f"{root}/{KEPT}")
+
+
+def recover(spark: SparkSession, root: str) -> None:
+    """Finish what a load or removal that died left behind: put back the rows it had kept. Its own
+    days are put right by running it again. Without a dead run nothing happens."""
     path = f"{root}/sales_lines"
-    for number in sorted({(day - 1) // days_per_partition for day in days}):
-        kept = stage(
-            _stored_lines(spark, path)
-            .where((F.col(BLOCK) == number) & ~F.col("simulated_day").isin(days))
-            .drop(BLOCK),
-            "kept",
-        )
-        kept.write.mode("overwrite").parquet(f"{path}/{BLOCK}={number}")
-    left = time_dimension(_stored_lines(spark, path))
-    left.write.mode("overwrite").parquet(f"{root}/dim_time")
+    if is_complete(spark, f"{root}/{KEPT_HOURS}"):
+        hours = spark.read.schema(S.STAR["dim_time"]).parquet(f"{root}/{KEPT_HOURS}")
+        hours.write.mode("overwrite").parquet(f"{root}/dim_time")
+    delete(spark, f"{root}/{KEPT_HOURS}")
+    if is_complete(spark, f"{root}/{KEPT}"):
+        kept = spark.read.schema(LINES_WITH_BLOCK).parquet(f"{root}/{KEPT}")
+        blocks = kept.select(BLOCK).distinct().withColumnRenamed(BLOCK, "_kept")
+        stored = _stored_lines(spark, path)
+        there = stored.join(F.broadcast(blocks), F.col(BLOCK).eqNullSafe(F.col("_kept")), "left_semi")
+        kept_days = kept.select(F.col("simulated_day").alias("_day")).distinct()
+        there = there.join(kept_days, F.col("simulated_day") == F.col("_day"), "left_anti")
+        ids = kept.where(F.col(BLOCK).isNull()).select(F.col("id").alias("_id"))
+        there = there.join(ids, F.col(BLOCK).isNull() & (F.col("id") == F.col("_id")), "left_anti")
+        with Scratch(spark) as scratch:
+            _write_blocks(scratch.stage(there, "there").unionByName(kept), path)
+    delete(spark, f"{root}/{KEPT}")
+
+
+def remove_days(spark: SparkSession, root: str, days: list[int]) -> None:
+    """Take out days for which no new rows will arrive. Repeating an interrupted removal completes
+    it; only the partitions of the days are read."""
+    width = _width(spark, root, None)
+    recover(spark, root)
+    path = f"{root}/sales_lines"
+    blocks = sorted({(day - 1) // width for day in days})
+    stored = _stored_lines(spark, path).where(F.col(BLOCK).isin(blocks))
+    kept = _journal(stored.where(~F.col("simulated_day").isin(days)), root)
+    left = {r[BLOCK] for r in kept.select(BLOCK).distinct().collect()}
+    _write_blocks(kept, path)
+    for block in set(blocks) - left:
+        delete(spark, f"{path}/{BLOCK}={block}")
+    delete(spark, f"{root}/{KEPT}")
+    hours = _stored(spark, root, "dim_time").where(~F.col("simulated_day").isin(days))
+    hours.write.mode("overwrite").parquet(f"{root}/{KEPT_HOURS}")
+    recover(spark, root)
 
 
 def _stored_lines(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([*SALES_LINES, T.StructField(BLOCK, T.IntegerType())])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(LINES_WITH_BLOCK).parquet(path)
 
 
-def read_star(spark: SparkSession, root: str) -> Tables:
+def read_star(
+    spark: SparkSession, root: str, first_day: int | None = None, last_day: int | None = None
+) -> Tables:
+    """The stored star; with bounds, only the sale lines of those days, and only their partitions
+    are read."""
     tables = {
         name: spark.read.schema(S.STAR[name]).parquet(f"{root}/{name}")
         for name in ("dim_time", "dim_product", "dim_customer", "dim_employee", "dim_payment_method")
     }
-    lines = _stored_lines(spark, f"{root}/sales_lines").drop(BLOCK)
+    lines = _stored_lines(spark, f"{root}/sales_lines")
+    if first_day is not None or last_day is not None:
+        width = _width(spark, root, None)
+        if first_day is not None:
+            lines = lines.where((F.col(BLOCK) >= (first_day - 1) // width) & (F.col("simulated_day") >= first_day))
+        if last_day is not None:
+            lines = lines.where((F.col(BLOCK) <= (last_day - 1) // width) & (F.col("simulated_day") <= last_day))
+    lines = lines.drop(BLOCK)
     tables["sales_lines"] = lines
     tables["fact_sales"] = accepted_lines(lines)
     tables["rejected_lines"] = rejected_lines(lines)

@@ -178,6 +178,12 @@ class _Operational(dict):
         return self[name]
 
 
+    def __or__(self, other: Tables) -> Tables:
+        changed = _Operational(*self._source)
+        changed.update(other)
+        return changed
+
+
 _BUILDERS = {
     "customers": customers,
     "suppliers": suppliers,

@@ -47,3 +47,37 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     except AnalysisException:
         return False
     return True
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a stored table; nothing happens if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+class Scratch:
+    """Staged tables that are needed only until something else is written: ``stage`` keeps them and
+    the end of the ``with`` block deletes them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path in self.paths:
+            delete(self.spark, path)

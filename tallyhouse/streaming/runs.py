@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tallyhouse.plans import inventory
-from tallyhouse.storage import fresh_path
+from tallyhouse.storage import delete, fresh_path, path_exists
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -24,6 +24,14 @@ def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def _or_empty(stream: DataFrame, path: str) -> DataFrame:
+    """A stored result; an empty table where the stream had nothing to store."""
+    spark = stream.sparkSession
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(path)
+
+
 def append_to_table(stream: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Run a row-by-row stream over everything available into a table and read it back."""
     spark = stream.sparkSession
@@ -35,7 +43,7 @@ def append_to_table(stream: DataFrame, label: str, path: str | None = None) -> D
         .trigger(availableNow=True)
         .start()
     )
-    return spark.read.schema(stream.schema).parquet(path)
+    return _or_empty(stream, path)
 
 
 def append_to_text(stream: DataFrame, label: str) -> str:
@@ -70,7 +78,7 @@ def totals_to_table(stream: DataFrame, label: str, path: str | None = None) -> D
         .trigger(availableNow=True)
         .start()
     )
-    return spark.read.schema(stream.schema).parquet(path)
+    return _or_empty(stream, path)
 
 
 def push(
@@ -89,19 +97,28 @@ def push(
 
 
 def stock_ledger(
-    items: DataFrame, label: str = "stock", path: str | None = None, **ledger_options: int
+    items: DataFrame, label: str = "stock", path: str | None = None, **ledger_options: object
 ) -> DataFrame:
     """Continue the stock ledger with every micro-batch of sale lines.
 
-    The state is a table of units sold and orders placed per product, one version per micro-batch.
-    A batch reads the version before it and writes its own ledger rows and version, so a repeated
-    batch overwrites exactly what it wrote. Inside a batch the ledger is the same set-based plan as
-    over a whole table: a product on a third of the lines is split over many tasks, which state
-    keyed by product could not do.
+    The state is a table of what each product had reached before its last sale, and that sale, which
+    is still open: lines of it that come later are added to it, and its row is written again. The
+    result takes the last row of a sale. A line of a sale before the open one ends the stream with an
+    error, as rows after it would have to change. A batch reads the version before it and writes
+    its own ledger rows and version, so a repeated batch overwrites exactly what it wrote; the version
+    before that is deleted. Inside a batch the ledger is the same set-based plan as over a whole
+    table: a product on a third of the lines is split over many tasks, which state keyed by product
+    could not do.
     """
     spark = items.sparkSession
     root = path or fresh_path(spark, label)
-    state_schema = "product_id BIGINT, units_sold BIGINT, reorders BIGINT"
+    state_schema = (
+        "product_id BIGINT, units_sold BIGINT, reorders BIGINT, open_sale BIGINT, open_quantity BIGINT"
+    )
+    rows_schema = (
+        "product_id BIGINT, transaction_id BIGINT, quantity BIGINT, units_sold BIGINT, reorders BIGINT, "
+        "reordered BOOLEAN, stock_on_hand BIGINT"
+    )
 
     def advance(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
@@ -109,18 +126,35 @@ def stock_ledger(
             state = session.createDataFrame([], state_schema)
         else:  # reading fails rather than starts over if the version before is gone
             state = session.read.schema(state_schema).parquet(f"{root}/state/batch={number - 1}")
-        rows_path = f"{root}/ledger/batch={number}"
-        inventory.ledger(batch, state=state, **ledger_options).write.mode("overwrite").parquet(
-            rows_path
+        open_sales = state.select(F.col("product_id").alias("_of"), "open_sale")
+        arrived = batch.join(open_sales, F.col("product_id") == F.col("_of"), "left")
+        late = F.when(
+            F.col("transaction_id") < F.col("open_sale"),
+            F.raise_error(F.lit("a sale line out of order")),
+        ).otherwise(F.col("transaction_id"))
+        arrived = arrived.select("product_id", late.alias("transaction_id"), "quantity")
+        reopened = state.join(batch.select("product_id"), "product_id", "left_semi").select(
+            "product_id",
+            F.col("open_sale").alias("transaction_id"),
+            F.col("open_quantity").alias("quantity"),
         )
-        reached = session.read.parquet(rows_path).select("product_id", "units_sold", "reorders")
-        (
-            state.unionByName(reached)
-            .groupBy("product_id")
-            .agg(F.max("units_sold").alias("units_sold"), F.max("reorders").alias("reorders"))
-            .write.mode("overwrite")
-            .parquet(f"{root}/state/batch={number}")
+        rows_path = f"{root}/ledger/batch={number}"
+        inventory.ledger(arrived.unionByName(reopened), state=state, **ledger_options).write.mode(
+            "overwrite"
+        ).parquet(rows_path)
+        reached = session.read.schema(rows_schema).parquet(rows_path)
+        last = reached.groupBy("product_id").agg(F.max_by(F.struct("*"), "transaction_id").alias("r"))
+        last = last.select(
+            "product_id",
+            (F.col("r.units_sold") - F.col("r.quantity")).alias("units_sold"),
+            (F.col("r.reorders") - F.col("r.reordered").cast("int")).alias("reorders"),
+            F.col("r.transaction_id").alias("open_sale"),
+            F.col("r.quantity").alias("open_quantity"),
         )
+        untouched = state.join(last.select("product_id"), "product_id", "left_anti")
+        last.unionByName(untouched).write.mode("overwrite").parquet(f"{root}/state/batch={number}")
+        if number > 1:
+            delete(session, f"{root}/state/batch={number - 2}")
 
     finish(
         items.writeStream.foreachBatch(advance)
@@ -128,7 +162,12 @@ def stock_ledger(
         .trigger(availableNow=True)
         .start()
     )
-    return spark.read.parquet(f"{root}/ledger")
+    if not path_exists(spark, f"{root}/ledger"):
+        return spark.createDataFrame([], f"{rows_schema}, batch INT")
+    rows = spark.read.schema(f"{rows_schema}, batch INT").parquet(f"{root}/ledger")
+    return rows.groupBy("product_id", "transaction_id").agg(
+        *[F.max_by(c, "batch").alias(c) for c in rows.columns[2:]]
+    )
 
 
 def low_stock_alerts(stock: DataFrame) -> DataFrame:

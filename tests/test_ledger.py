@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from tallyhouse import schemas as S
 from tallyhouse.plans import inventory
 from tallyhouse.streaming import runs
-from tallyhouse.storage import fresh_path
+from tallyhouse.storage import fresh_path, path_exists
 
 from tests.shop import at, shop
 
@@ -47,15 +49,43 @@ def test_ledger_equals_the_sequential_procedure(spark):
         sales = random_sales(seed, largest)
         df = spark.createDataFrame(sales, SCHEMA)
         expected = one_by_one(sales)
-        # Blocks of 8 sale numbers make every product cross many block borders.
-        assert collected(inventory.ledger(df, block_bits=3)) == expected
+        # Blocks of about 100 lines make every product cross many block borders.
+        assert collected(inventory.ledger(df, block_rows=100)) == expected
         assert collected(inventory.ledger(df)) == expected
 
 
 def test_one_oversized_sale_among_small_ones(spark):
     sales = random_sales(5, 30, products=2) + [(9, s, 450 if s == 7 else 10) for s in range(60)]
     df = spark.createDataFrame(sales, SCHEMA)
-    assert collected(inventory.ledger(df, block_bits=2)) == one_by_one(sales)
+    assert collected(inventory.ledger(df, block_rows=9)) == one_by_one(sales)
+
+
+def test_levels_by_product_and_sparse_sale_numbers(spark):
+    pick = random.Random(8)
+    levels = [(0, 40, 30), (1, 10, 60), (2, 500, 0), (3, 90, 45)]  # product 4 has none stored
+    sales = [(p, pick.randint(0, 2**62), pick.randint(0, 70)) for p in range(5) for _ in range(150)]
+    expected = []
+    for product in range(5):
+        stock, low = next(((s, t) for p, s, t in levels if p == product), (150, 20))
+        expected += one_by_one([s for s in sales if s[0] == product], stock, low, 100)
+    df = spark.createDataFrame(sales, SCHEMA)
+    stored = spark.createDataFrame(levels, "product_id BIGINT, quantity_on_hand INT, reorder_threshold INT")
+    assert collected(inventory.ledger(df, levels=stored, block_rows=50)) == expected
+    one = spark.createDataFrame([(0, 1, 15)], SCHEMA)
+    assert collected(inventory.ledger(one, levels=stored)) == [(0, 1, 15, 15, 1, True, 125)]
+
+
+def test_a_hot_product_is_cut_by_rows_not_by_numbers(spark):
+    sales = spark.range(4000).selectExpr("1L AS product_id", "id * 1000000007 AS transaction_id", "1 AS quantity")
+    blocks = inventory.blocked_lines(sales, ["product_id"], 500).groupBy("_block").count().collect()
+    assert len(blocks) == 8 and max(r["count"] for r in blocks) < 1000
+
+
+@pytest.mark.parametrize("line", [(None, 1, 5), (1, None, 5), (1, 1, None), (1, 1, -5)])
+def test_lines_without_keys_and_returns_are_refused(spark, line):
+    df = spark.createDataFrame([(1, 2, 5), line], SCHEMA)
+    with pytest.raises(Exception, match="a sale"):
+        inventory.ledger(df).collect()
 
 
 def test_stock_exactly_at_the_threshold_reorders(spark):
@@ -104,11 +134,47 @@ def test_streamed_ledger_continues_over_micro_batches(spark):
         spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(f"{folder}/{low:03d}")
     like = spark.createDataFrame([], SCHEMA)
     stream = runs.stream_table(spark, f"{folder}/*", like, files_per_batch=1)
-    ledger = runs.stock_ledger(stream, block_bits=4)
+    ledger = runs.stock_ledger(stream, block_rows=40)
     assert ledger.select("batch").distinct().count() == 6
     assert collected(ledger.drop("batch")) == one_by_one(sales)
 
 
+def arrivals(spark, *parts):
+    """A stream over the parts, one micro-batch each, in their order."""
+    folder = fresh_path(spark, "arrivals")
+    for number, part in enumerate(parts):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(f"{folder}/{number:03d}")
+    like = spark.createDataFrame([], SCHEMA)
+    return runs.stream_table(spark, f"{folder}/*", like, files_per_batch=1)
+
+
+def test_a_sale_that_spans_micro_batches_is_one_sale(spark):
+    parts = [[(1, 1, 10), (1, 5, 135), (2, 5, 1)], [(1, 5, 20), (2, 6, 3)], [(1, 5, 90)], [(1, 7, 1)]]
+    stock = runs.stock_ledger(arrivals(spark, *parts))
+    whole = inventory.ledger(spark.createDataFrame(sum(parts, []), SCHEMA))
+    assert collected(stock.drop("batch")) == collected(whole)
+    assert (1, 5, 245, 255, 1, True, -5) in collected(whole)
+
+
+def test_an_earlier_sale_in_a_later_batch_is_refused(spark):
+    with pytest.raises(Exception, match="out of order"):
+        runs.stock_ledger(arrivals(spark, [(1, 5, 10)], [(1, 4, 10)])).collect()
+
+
+def test_only_the_last_states_are_kept(spark):
+    root = fresh_path(spark, "states")
+    runs.stock_ledger(arrivals(spark, *[[(1, n, 5)] for n in range(5)]), path=root)
+    kept = [path_exists(spark, f"{root}/state/batch={n}") for n in range(5)]
+    assert kept == [False, False, False, True, True]
+
+
+def test_streams_over_nothing_give_empty_tables(spark):
+    nothing = arrivals(spark, [])
+    assert runs.stock_ledger(nothing).count() == 0
+    assert runs.append_to_table(nothing, "none").count() == 0
+    assert runs.totals_to_table(nothing.groupBy("product_id").count(), "none").count() == 0
+
+
 def test_streamed_ledger_resumes_after_a_stop(spark):
     sales = random_sales(7, 160, products=2, sales=60)
     folder, root = fresh_path(spark, "arrivals"), fresh_path(spark, "resumed")

@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import contextlib
+import io
 from decimal import Decimal
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.plans import star
 from tallyhouse.operators import members
 from tallyhouse.plans import reports
-from tallyhouse.storage import fresh_path, path_exists
+from tallyhouse.storage import delete, fresh_path, path_exists, shared_root
 
 from tests.shop import FIRST_DAY, PRODUCTS, at, shop
 
@@ -128,7 +132,7 @@ def test_rejects_of_a_reloaded_day_are_replaced(spark):
 def test_removing_days(spark):
     for days_per_partition in (1, 10):
         root = load(spark, shop(spark, SALES, ITEMS), days_per_partition=days_per_partition)
-        star.remove_days(spark, root, [1, 77], days_per_partition)
+        star.remove_days(spark, root, [1, 77])
         tables = star.read_star(spark, root)
         assert summary(spark, root) == [(3, 1, Decimal("4.00"), Decimal("1.00"))]
         assert rows(tables["dim_time"].select("simulated_day").distinct(), "simulated_day") == [
@@ -136,6 +140,92 @@ def test_removing_days(spark):
         ]
 
 
+def test_width_is_stored_and_another_one_refused(spark):
+    many = [(n, 1, 1, at(n, 9), "cash") for n in range(1, 5)]
+    lines = [(n, 1, 1, "2.00") for n in range(1, 5)]
+    root = load(spark, shop(spark, many, lines), days_per_partition=2)
+    again = shop(spark, many[1:2], [(2, 1, 7, "2.00")])
+    star.load_days(spark, again, root, FIRST_DAY)
+    assert [(r[0], r[1]) for r in summary(spark, root)] == [(1, 1), (2, 1), (3, 1), (4, 1)]
+    assert summary(spark, root)[1][2] == Decimal("14.00")
+    with pytest.raises(ValueError, match="2 days per partition"):
+        star.load_days(spark, again, root, FIRST_DAY, 1)
+
+
+def test_lines_without_sale_outlive_other_loads(spark):
+    for width in (1, 10):
+        first = shop(spark, [(10, 1, 1, at(1, 9), "cash")], [(10, 1, 1, "2.00"), (77, 1, 1, "2.00")])
+        second = shop(spark, [(11, 1, 1, at(2, 9), "cash")], [(11, 1, 1, "2.00"), (78, 1, 1, "2.00")])
+        second["transaction_items"] = second["transaction_items"].withColumn("id", F.col("id") + 10)
+        root = load(spark, first, second, days_per_partition=width)
+        rejected = star.read_star(spark, root)["rejected_lines"].where("simulated_day IS NULL")
+        assert rows(rejected.select("source_transaction_id"), "source_transaction_id") == [(77,), (78,)]
+        found = shop(spark, [(77, 1, 1, at(3, 9), "cash")], [(77, 1, 1, "2.00")])
+        found["transaction_items"] = found["transaction_items"].withColumn("id", F.col("id") + 1)
+        star.load_days(spark, found, root, FIRST_DAY)
+        rejected = star.read_star(spark, root)["rejected_lines"]
+        assert rows(rejected.select("source_transaction_id"), "source_transaction_id") == [(78,)]
+        lost = second | {"transactions": second["transactions"].where("id = 0")}
+        star.load_days(spark, lost, root, FIRST_DAY)  # both lines of the second load, sales gone
+
+
+def test_last_line_without_sale_goes_when_its_sale_comes(spark):
+    root = load(spark, shop(spark, [(10, 1, 1, at(1, 9), "cash")], [(77, 1, 1, "2.00"), (10, 1, 1, "2.00")]))
+    star.load_days(spark, shop(spark, [(77, 1, 1, at(3, 9), "cash")], [(77, 1, 1, "2.00")]), root, FIRST_DAY)
+    assert star.read_star(spark, root)["rejected_lines"].count() == 0
+
+
+def test_a_dead_run_loses_no_other_day(spark, monkeypatch):
+    many = [(n, 1, 1, at(n, 9), "cash") for n in range(1, 7)]
+    lines = [*[(n, 1, 1, "2.00") for n in range(1, 7)], (99, 1, 1, "2.00")]
+    for act in ("load", "remove"):
+        root = load(spark, shop(spark, many, lines), days_per_partition=3)
+        before = summary(spark, root)
+        write = star._write_blocks
+
+        def dies(kept, path):
+            for block in (0, 1):
+                delete(spark, f"{path}/{star.BLOCK}={block}")
+            delete(spark, f"{path}/{star.BLOCK}={star.NO_DAY}")
+            raise RuntimeError("driver lost")
+
+        again = shop(spark, many[:1], lines[:1])
+
+        def run():
+            if act == "load":
+                star.load_days(spark, again, root, FIRST_DAY)
+            else:
+                star.remove_days(spark, root, [1, 5])
+
+        monkeypatch.setattr(star, "_write_blocks", dies)
+        with pytest.raises(RuntimeError):
+            run()
+        monkeypatch.setattr(star, "_write_blocks", write)
+        run()
+        left = [r for r in before if act == "load" or r[0] not in (1, 5)]
+        touched = (1, 2, 3) if act == "load" else (1, 2, 3, 4, 5, 6)
+        assert [r for r in summary(spark, root) if r[0] in touched] == [r for r in left if r[0] in touched]
+
+
+def test_nothing_is_left_in_the_shared_folder(spark):
+    root = load(spark, shop(spark, SALES, ITEMS), days_per_partition=10)
+    folder = Path(shared_root(spark)) / f"tallyhouse-{spark.sparkContext.applicationId}"
+    before = {p.name for p in folder.iterdir()}
+    star.load_days(spark, shop(spark, SALES[:1], ITEMS[:2]), root, FIRST_DAY)
+    star.remove_days(spark, root, [1])
+    assert {p.name for p in folder.iterdir()} == before
+    assert not {p.name for p in Path(root).iterdir()} & {star.KEPT, star.KEPT_HOURS}
+
+
+def test_a_day_filter_reads_only_its_partitions(spark):
+    root = load(spark, shop(spark, SALES, ITEMS))
+    some = star.read_star(spark, root, first_day=3, last_day=3)["fact_sales"]
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        some.explain("formatted")
+    assert "PartitionFilters: [isnotnull(day_block" in plan.getvalue()
+    assert rows(some.select("simulated_day").distinct(), "simulated_day") == [(3,)]
+
+
 def test_empty_batch_is_a_no_op(spark):
     root = load(spark, shop(spark, [], []))
     assert not path_exists(spark, f"{root}/sales_lines")
