@@ -70,7 +70,7 @@ _over_star("r11_row_counts", "R11 U1 A3 P23", reports.row_counts)
 
 # Analytics ---------------------------------------------------------------------------------------
 
-_over_star("n01_table_shapes", "N1 S10", analytics.table_shapes)
+_over_star("n01_table_shapes", "N1", analytics.table_shapes)
 _over_star("n02_overall_totals", "N2 A4 A5 S11", analytics.overall_totals)
 _over_star("n02_overall_text", "N2 P19 P20", analytics.overall_text)
 _over_star("n03_top_products_by_name", "N3 J3 J10 P19 P21", analytics.top_products_by_name)
@@ -117,6 +117,9 @@ _over_source("q11_source_not_empty", "Q11", quality.source_not_empty)
 _over_star("q12_duplicate_members", "Q12", quality.duplicate_dimension_members)
 
 
+_over_source("q14_operational_constraints", "Q7 S3", quality.operational_checks)
+
+
 @_register("q13_check_summary", "Q13", oracle.SQL.get("q13_check_summary"))
 def _check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_summary(
@@ -126,7 +129,7 @@ def _check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Load --------------------------------------------------------------------------------------------
 
-_over_source("j01_extract", "J1 S2 S3 P7", star.extract)
+_over_source("j01_extract", "J1 P7", star.extract)
 _over_source(
     "j01_extract_size",
     "A17 U2",
@@ -139,7 +142,19 @@ _over_star("k01_dim_time", "K1 P1 P2 P3 P26 J9", lambda t: t["dim_time"])
 _over_star("k02_dim_product", "K2 W9 S8", lambda t: t["dim_product"].drop("id"))
 _over_star("k03_dim_customer", "K3 P8", lambda t: t["dim_customer"].drop("id"))
 _over_star("k04_dim_employee", "K4 F2", lambda t: t["dim_employee"].drop("id"))
-_over_star("k04_dim_payment_method", "K4 S5", lambda t: t["dim_payment_method"])
+
+
+@_register("k04_dim_payment_method", "K4 S5", oracle.SQL.get("k04_dim_payment_method"))
+def _payment_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accepted payment methods and how many sales used each."""
+    methods = workspace.star_tables(spark, sf_dir)["dim_payment_method"]
+    used = bench.operational(spark, sf_dir)["transactions"].groupBy("payment_method").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    sales = labels.or_default(F.col("n"), 0).cast("bigint").alias("sales")
+    return methods.join(used, F.col("method") == F.col("payment_method"), "left").select("id", "method", sales)
+
+
 _over_star("k05_fact_sales", "K5 J5 F1 P5 P11 S4 S6 W10", star.member_attributes)
 _over_star("k11_rejected_lines", "K11 F1", lambda t: t["rejected_lines"])
 
@@ -326,27 +341,55 @@ _over_source("k12_roster", "K12 J7 F3", lambda oltp: inventory.roster(oltp["empl
 # Files -------------------------------------------------------------------------------------------
 
 
-@_register("s01_headerless_csv", "S1 S6", oracle.SQL.get("s01_headerless_csv"))
+@_register("s01_headerless_csv", "S1", oracle.SQL.get("s01_headerless_csv"))
 def _headerless_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every star table written as headerless CSV, read back with its schema, and totalled."""
+    """Every star table written as headerless CSV and read back with its schema: its rows, and how
+    many differ from those written."""
     tables = workspace.star_tables(spark, sf_dir)
     folder = fresh_path(spark, "csv")
     for name in S.STAR:
         files.write_headerless_csv(tables[name], f"{folder}/{name}")
     back = files.read_star_csv(spark, folder)
-    fact = back["fact_sales"].agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum("revenue").cast(S.MONEY_SUM).alias("amount"),
-    ).select(F.lit("fact_sales").alias("table_name"), "*")
-    flags = back["dim_customer"].agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if("is_loyalty").cast(S.MONEY_SUM).alias("amount"),
-    ).select(F.lit("dim_customer").alias("table_name"), "*")
-    costs = back["dim_product"].agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum("unit_cost").cast(S.MONEY_SUM).alias("amount"),
-    ).select(F.lit("dim_product").alias("table_name"), "*")
-    return fact.unionByName(flags).unionByName(costs)
+
+    def compared(name: str) -> DataFrame:
+        both = tables[name].select(*S.STAR[name].names, F.lit(1).alias("n")).unionByName(
+            back[name].withColumn("n", F.lit(-1))
+        )
+        differing = both.groupBy(*S.STAR[name].names).agg(F.sum("n").alias("n")).where("n <> 0")
+        rows = back[name].agg(F.count(F.lit(1)).alias("row_count"))
+        lost = differing.agg(F.count(F.lit(1)).alias("differing_rows"))
+        return rows.select(
+            F.lit(name).alias("table_name"), "row_count", lost.scalar().alias("differing_rows")
+        )
+
+    return reduce(DataFrame.unionByName, map(compared, S.STAR))
+
+
+@_register("s03_operational_files", "S2 S3 S6 J1", oracle.SQL.get("j01_extract"))
+def _operational_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operational tables appended to files in two halves, read back by their definitions, and
+    extracted."""
+    oltp = bench.operational(spark, sf_dir)
+    folder = fresh_path(spark, "operational")
+    names = [n for n in S.OPERATIONAL if n != "purchase_orders"]
+    for half in (0, 1):
+        key = {"inventory": "product_id"}
+        part = {n: oltp[n].where(F.col(key.get(n, "id")) % 2 == half) for n in names}
+        files.write_tables(part, folder)
+    files.write_tables({"purchase_orders": S.empty_tables(spark, S.OPERATIONAL)["purchase_orders"]}, folder)
+    return star.extract(files.read_operational_parquet(spark, folder))
+
+
+@_register("s10_views", "S10", oracle.SQL.get("s10_views"))
+def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star registered by name and asked in SQL text."""
+    files.register_views(workspace.star_tables(spark, sf_dir), prefix="shop_")
+    return spark.sql("""
+        SELECT p.category, c.is_loyalty, count(*) AS lines, cast(sum(f.quantity_sold) AS BIGINT) AS units
+        FROM shop_fact_sales f JOIN shop_dim_product p ON f.dim_product_id = p.id
+          JOIN shop_dim_customer c ON f.dim_customer_id = c.id
+        GROUP BY p.category, c.is_loyalty
+    """)
 
 
 @_register("s07_insert_dump", "S7", oracle.SQL.get("s07_insert_dump"))
@@ -371,9 +414,14 @@ _over_star("o05_table_samples", "O5", _sampled_ids)
 # Streams -----------------------------------------------------------------------------------------
 
 
-def _over_feed(name: str, covers: str, plan: Callable[[DataFrame], DataFrame]) -> None:
+def _over_feed(
+    name: str,
+    covers: str,
+    plan: Callable[[DataFrame], DataFrame],
+    files_per_batch: int | None = None,
+) -> None:
     _register(name, covers, oracle.SQL.get(name))(
-        lambda spark, sf_dir: plan(workspace.feed_stream(spark, sf_dir))
+        lambda spark, sf_dir: plan(workspace.feed_stream(spark, sf_dir, files_per_batch))
     )
 
 
@@ -399,24 +447,43 @@ _over_feed(
     "l02_sales_so_far",
     "L2",
     lambda events: runs.totals_to_table(feed.sales_so_far(events), "sales-so-far"),
+    files_per_batch=1,
 )
 _over_feed(
     "l03_hour_summary",
     "L3 P4",
     lambda events: runs.totals_to_table(feed.hour_summary(events), "hours"),
+    files_per_batch=1,
 )
 
 
 def _day_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two streams with day totals, one over sale lines and one over sale headers."""
-    root = f"{workspace.star_root(spark, sf_dir)}/sales_lines"
-    lines = runs.stream_table(spark, root, spark.read.schema(star.SALES_LINES).parquet(root))
+    """Two streams with day totals, one over sale lines and one over sale headers. Both sources are
+    only ever added to; a reloaded star would count days again."""
+    oltp = bench.operational(spark, sf_dir)
+    day = labels.day_number(F.col("transaction_time"), bench.FIRST_DAY)
+    header = oltp["transactions"].select(F.col("id").alias("transaction_id"), day.alias("simulated_day"))
+    costs = oltp["products"].select(F.col("id").alias("product_id"), "unit_cost")
+    lines = (
+        bench.transaction_items(spark, sf_dir, workspace.line_stream(spark, sf_dir))
+        .join(header, "transaction_id", "left")
+        .join(costs, "product_id", "left")
+    )
+    revenue = money.in_cents(F.col("unit_price_at_sale")) * F.col("quantity")
+    cost = money.in_cents(F.col("unit_cost")) * F.col("quantity")
+    lines = lines.select(
+        "simulated_day",
+        F.col("quantity").alias("quantity_sold"),
+        revenue.alias("revenue_cents"),
+        cost.alias("cost_cents"),
+        (revenue - cost).alias("profit_cents"),
+    )
     orders = bench.table(spark, sf_dir, "orders")
     order_stream = runs.stream_table(spark, sf_dir, orders, "orders.parquet")
     headers = order_stream.select(F.col("o_orderdate").alias("transaction_time"))
     amounts = runs.totals_to_table(feed.day_amounts(lines), "day-amounts")
     sales = runs.totals_to_table(feed.day_sales(headers, bench.FIRST_DAY), "day-sales")
-    return sales.join(amounts, "simulated_day")
+    return sales.join(amounts, "simulated_day", "left")
 
 
 _register("l04_day_summary", "L4 A16", oracle.SQL.get("l04_day_summary"))(_day_summary)
@@ -424,8 +491,8 @@ _register("l04_day_summary", "L4 A16", oracle.SQL.get("l04_day_summary"))(_day_s
 
 @_register("l05_stock_alerts", "L5 F8", oracle.SQL.get("l05_stock_alerts"))
 def _stock_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = bench.table(spark, sf_dir, "lineitem")
-    stream = runs.stream_table(spark, sf_dir, lines, "lineitem.parquet").select(
+    """Over several micro-batches, with sales that begin in one and end in the next."""
+    stream = workspace.line_stream(spark, sf_dir).select(
         F.col("l_orderkey").alias("transaction_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
@@ -472,6 +539,39 @@ def _pushed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("type", "day").agg(F.sum("events").alias("events"))
 
 
+@_register("l09_lines_from_sales", "L1 S12 S13 P12 P24 P25", oracle.SQL.get("l09_lines_from_sales"))
+def _lines_from_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales and reorders of the shop as events, written as JSON, read back and rendered."""
+    oltp = bench.operational(spark, sf_dir)
+    sales = feed.sale_events(oltp, bench.FIRST_DAY)
+    reorders = feed.reorder_events(stage(_ledger(oltp), "ledger"), oltp, bench.FIRST_DAY)
+    events = feed.conform(sales).unionByName(feed.conform(reorders))
+    return feed.feed_lines(feed.decode(stage(feed.encode(events), "event-texts")))
+
+
+_over_star(
+    "l09_load_lines",
+    "L6 P25",
+    lambda t: feed.conform(feed.load_events(t)).select("type", "day", feed.feed_line().alias("line")),
+)
+
+
+@_register("l09_malformed_events", "L1 S13", oracle.SQL.get("l09_malformed_events"))
+def _malformed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with every fiftieth text cut off: how many texts are events, and the others."""
+    texts = feed.encode(bench.feed_events(bench.table(spark, sf_dir, "events"))).select(
+        F.when(F.get_json_object("value", "$.seq").cast("bigint") % 50 == 0, F.substring("value", 1, 10))
+        .otherwise(F.col("value"))
+        .alias("value")
+    )
+    texts = stage(texts, "some-broken")
+    sound = feed.well_formed(texts).agg(F.count("seq").alias("n")).select(
+        F.lit("events").alias("value"), "n"
+    )
+    broken = feed.malformed(texts).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return sound.unionByName(broken)
+
+
 def queries() -> dict[str, Query]:
     return {name: entry.run for name, entry in CATALOG.items()}
 

@@ -466,15 +466,26 @@ _PROFILE = "\nUNION ALL ".join(
 SQL["q01_null_profile"] = q(DIMS, _PROFILE)
 SQL["q01_columns_with_nulls"] = q(DIMS, f"SELECT * FROM ({_PROFILE}) WHERE null_pct > 0")
 
-_UNIQUE = ("dim_customer", "dim_employee", "dim_payment_method", "dim_product", "dim_time")
-SQL["q02_duplicate_ids"] = q(FACT, "SELECT 'fact_sales' AS table_name, "
+# The dimensions as (name, key on the fact, rows of the key); ids of the star stand for these keys.
+_KEYED = {
+    "dim_product_id": ("dim_product", "product_id", "SELECT product_id AS k FROM d_product"),
+    "dim_customer_id": ("dim_customer", "customer_id", "SELECT customer_id AS k FROM d_customer"),
+    "dim_employee_id": ("dim_employee", "employee_id", "SELECT employee_id AS k FROM d_employee"),
+    "dim_payment_method_id": ("dim_payment_method", "payment_method",
+                              "SELECT unnest(['cash', 'credit', 'debit', 'mobile']) AS k"),
+    "dim_time_id": ("dim_time", "(CAST(simulated_day AS BIGINT) - 1) * 14 + hour_of_day - 7",
+                    "SELECT id AS k FROM d_time"),
+}  # fixed values: the accepted methods, and 14 open hours from 8
+SQL["q02_duplicate_ids"] = q(DIMS, "SELECT 'fact_sales' AS table_name, "
     "count(*) - count(DISTINCT id) AS duplicates FROM fact"
-    + "".join(f"\nUNION ALL SELECT '{t}', 0" for t in _UNIQUE))
+    + "".join(f"\nUNION ALL SELECT '{d}', count(*) - count(DISTINCT k) FROM ({rows})"
+              for d, _, rows in _KEYED.values()))
 
-_KEYS = ("dim_product_id", "dim_customer_id", "dim_payment_method_id", "dim_time_id")
-SQL["q03_orphan_keys"] = q(FACT, "SELECT 'dim_employee_id' AS foreign_key, "
-    "count(*) - count(employee_id) AS orphaned_rows FROM fact"
-    + "".join(f"\nUNION ALL SELECT '{k}', 0" for k in _KEYS))
+SQL["q03_orphan_keys"] = q(DIMS, "\nUNION ALL ".join(
+    f"SELECT '{key}' AS foreign_key, count(*) AS orphaned_rows FROM fact "
+    f"WHERE NOT EXISTS (SELECT 1 FROM ({rows}) WHERE k = {column})"
+    for key, (_, column, rows) in _KEYED.items()
+))
 
 _FACT_COLUMN = {
     "dim_time_id": "hour_of_day", "dim_product_id": "product_id",
@@ -508,19 +519,22 @@ SELECT CAST(d AS INTEGER) AS simulated_day
 FROM (SELECT unnest(range(min(simulated_day), max(simulated_day) + 1)) AS d FROM fact)
 WHERE d NOT IN (SELECT simulated_day FROM fact)""")
 
-SQL["q09_join_row_counts"] = q(FACT, "\nUNION ALL ".join(
-    f"SELECT '{d}' AS dimension, count(*) AS rows_before, count(*) AS rows_after, "
-    "true AS preserved FROM fact"
-    for d in ("dim_product", "dim_customer", "dim_employee", "dim_payment_method", "dim_time")
+SQL["q09_join_row_counts"] = q(DIMS, "\nUNION ALL ".join(
+    f"SELECT '{d}' AS dimension, (SELECT count(*) FROM fact) AS rows_before, count(*) AS rows_after, "
+    f"count(*) = (SELECT count(*) FROM fact) AS preserved "
+    f"FROM fact LEFT JOIN ({rows}) ON k = {column}"
+    for d, column, rows in _KEYED.values()
 ))
 
+# The total on the header as the shop has it: off by five cents on every hundredth sale.
 _TOTALS_OFF = f"""
-SELECT txn AS transaction_id, CAST({money('lines + 5')} AS DECIMAL(10,2)) AS total_amount,
+SELECT txn AS transaction_id, CAST({money('header')} AS DECIMAL(10,2)) AS total_amount,
   {money('lines')} AS items_total
 FROM (
-  SELECT o_orderkey AS txn, coalesce(sum(CAST(unit_price * 100 AS BIGINT) * quantity), 0) AS lines
+  SELECT o_orderkey AS txn, coalesce(sum(CAST(unit_price * 100 AS BIGINT) * quantity), 0) AS lines,
+    lines + CASE WHEN o_orderkey % 100 = 0 THEN 5 ELSE 0 END AS header
   FROM orders LEFT JOIN item ON o_orderkey = txn GROUP BY o_orderkey)
-WHERE txn % 100 = 0"""
+WHERE abs(header - lines) > 1"""
 SQL["q10_unbalanced_sales"] = q(SOURCE, _TOTALS_OFF)
 
 _FILLED = {
@@ -596,9 +610,11 @@ SELECT customer_id AS source_id, name, is_loyalty, CAST(NULL AS DATE) AS join_da
 FROM d_customer""")
 SQL["k04_dim_employee"] = q(DIMS, """
 SELECT employee_id AS source_id, name, role FROM d_employee""")
-SQL["k04_dim_payment_method"] = """
-SELECT CAST(id AS BIGINT) AS id, method
-FROM (VALUES (1, 'cash'), (2, 'credit'), (3, 'debit'), (4, 'mobile')) AS t(id, method)"""
+SQL["k04_dim_payment_method"] = q(SOURCE, """
+SELECT CAST(id AS BIGINT) AS id, method, count(txn) AS sales
+FROM (VALUES (1, 'cash'), (2, 'credit'), (3, 'debit'), (4, 'mobile')) m(id, method)
+  LEFT JOIN tx ON payment_method = method
+GROUP BY id, method""")
 
 _EXACT = "CAST({} AS DECIMAL(10,2))"
 SQL["k05_fact_sales"] = q(FACT, f"""
@@ -720,13 +736,11 @@ FROM hr LEFT JOIN (SELECT * FROM emp WHERE role = 'Cashier') c
 
 # Files -------------------------------------------------------------------------------------------
 
-SQL["s01_headerless_csv"] = q(DIMS, f"""
-SELECT 'fact_sales' AS table_name, count(*) AS row_count, {REV} AS amount FROM fact
-UNION ALL
-SELECT 'dim_customer', count(*), CAST(count(*) FILTER (WHERE is_loyalty) AS DECIMAL(20,2))
-FROM d_customer
-UNION ALL
-SELECT 'dim_product', count(*), CAST(sum(unit_cost) AS DECIMAL(20,2)) FROM d_product""")
+SQL["s01_headerless_csv"] = f"""
+SELECT table_name, row_count, CAST(0 AS BIGINT) AS differing_rows FROM ({SQL["r11_row_counts"]})"""
+SQL["s10_views"] = q(FACT, f"""
+SELECT category, is_loyalty, count(*) AS lines, {UNITS} AS units
+FROM sold JOIN cust ON sold.customer_id = cust.customer_id GROUP BY category, is_loyalty""")
 SQL["s07_insert_dump"] = SQL["k02_dim_product"]
 SQL["o05_table_samples"] = q(DIMS, "\nUNION ALL ".join(
     f"(SELECT '{name}' AS table_name, CAST(id AS BIGINT) AS id FROM {ids} "
@@ -761,11 +775,11 @@ SELECT date_trunc('hour', ts) AS hour_start, hour,
 FROM ev GROUP BY 1, 2"""
 SQL["l03_hour_summary"] = q(FEED, _HOURS)
 _DAYS = f"""
-SELECT l.simulated_day, s.transactions, {big('sum(quantity)')} AS items_sold, {REV} AS revenue,
+SELECT s.simulated_day, s.transactions, {big('sum(quantity)')} AS items_sold, {REV} AS revenue,
   {CST} AS cost, {money('sum(rev) - sum(cst)')} AS profit
-FROM line l JOIN (SELECT simulated_day, count(*) AS transactions FROM tx GROUP BY 1) s
-  ON l.simulated_day = s.simulated_day
-GROUP BY l.simulated_day, s.transactions"""
+FROM (SELECT simulated_day, count(*) AS transactions FROM tx GROUP BY 1) s
+  LEFT JOIN line l ON l.simulated_day = s.simulated_day
+GROUP BY s.simulated_day, s.transactions"""
 SQL["l04_day_summary"] = q(LINES, _DAYS)
 SQL["l05_stock_alerts"] = q(LEDGER, f"""
 SELECT product_id, txn AS transaction_id, {big('sold')} AS units_sold,
@@ -784,3 +798,69 @@ SQL["l07_latest_lines"] = q(FEED_LINES, """
 SELECT seq, ts, type, line FROM feed ORDER BY seq DESC LIMIT 300""")
 SQL["l08_pushed_events"] = q(FEED, """
 SELECT type, day, count(*) AS events FROM ev GROUP BY type, day""")
+SQL["l09_lines_from_sales"] = q(LEDGER, """
+SELECT txn AS seq, transaction_time AS ts, 'transaction' AS type,
+  strftime(transaction_time, '%H:%M') || ' SALE ' || cust.name || ' — ' || items || ' — $'
+    || CAST(CAST(cents AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(20,2))
+    || ' [' || payment_method || ']' AS line
+FROM tx JOIN cust USING (customer_id) JOIN (
+  SELECT item.txn, string_agg(quantity || 'x ' || name, ', ' ORDER BY item.id, quantity, name) AS items,
+    sum(CAST(item.unit_price * 100 AS BIGINT) * quantity) AS cents
+  FROM item JOIN prod USING (product_id) GROUP BY item.txn) USING (txn)
+UNION ALL
+SELECT led.txn, transaction_time, 'reorder', strftime(transaction_time, '%H:%M') || ' REORDER '
+  || name || ' stock low — purchase order placed (+100 units)'
+FROM led JOIN prod USING (product_id) JOIN tx ON led.txn = tx.txn WHERE reorders > earlier""")
+SQL["l09_load_lines"] = q(LINES, """
+SELECT 'etl' AS type, simulated_day AS day, 'ETL day ' || simulated_day || ': '
+  || count(*) FILTER (WHERE time_ok AND product_ok AND customer_ok AND payment_ok) || ' lines loaded, '
+  || count(*) FILTER (WHERE NOT (time_ok AND product_ok AND customer_ok AND payment_ok)) || ' rejected'
+  AS line
+FROM line WHERE simulated_day IS NOT NULL GROUP BY simulated_day""")
+SQL["l09_malformed_events"] = """
+SELECT 'events' AS value, count(*) AS n FROM events WHERE event_id % 50 <> 0
+UNION ALL
+SELECT substr('{"seq":' || event_id || ',"ts":"', 1, 10), count(*) FROM events
+WHERE event_id % 50 = 0 GROUP BY 1"""
+
+_CONSTRAINTS = {
+    "customers": ("customer", "id join_date", {"id": "c_custkey",
+        "email": "CASE WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN c_name || '@email.com' END",
+        "join_date": "DATE '1995-01-01'"}),
+    "suppliers": ("supplier", "id name lead_time_days",
+        {"id": "s_suppkey", "name": "s_name", "lead_time_days": "1"}),
+    "products": ("prod", "id name category unit_price unit_cost", {"id": "product_id"}),
+    "inventory": ("part", "product_id quantity_on_hand reorder_threshold",
+        {"product_id": "p_partkey", "quantity_on_hand": "150", "reorder_threshold": "20"}),
+    "employees": ("emp", "id name role", {"id": "employee_id"}),
+    "transactions": ("tx", "id customer_id transaction_time payment_method total_amount",
+        {"id": "txn", "total_amount": "0"}),
+    "transaction_items": ("item",
+        "id transaction_id product_id quantity unit_price_at_sale subtotal",
+        {"transaction_id": "txn", "unit_price_at_sale": "unit_price", "subtotal": "unit_price"}),
+}
+
+
+def _constraint(table: str, what: str, source: str, failing: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{what}' AS constraint_name, "
+            f"CAST(coalesce({failing}, 0) AS BIGINT) AS failing_rows FROM {source}")
+
+
+SQL["q14_operational_constraints"] = q(SOURCE, "\nUNION ALL ".join([
+    *(_constraint(t, f"{c} required", source, f"count(*) FILTER (WHERE {names.get(c, c)} IS NULL)")
+      for t, (source, required, names) in _CONSTRAINTS.items() for c in required.split()),
+    *(_constraint(t, f"{c} unique", source,
+                  f"count({names.get(c, c)}) - count(DISTINCT {names.get(c, c)})")
+      for t, (source, _, names) in _CONSTRAINTS.items()
+      for c in {"customers": ("id", "email"), "inventory": ("product_id",)}.get(t, ("id",))),
+    *(_constraint(t, f"{c} in {other}", f"{source} a LEFT JOIN {known} b ON a.{column} = b.{key}",
+                  f"count(*) FILTER (WHERE a.{column} IS NOT NULL AND b.{key} IS NULL)")
+      for t, c, other, source, column, known, key in (
+          ("products", "supplier_id", "suppliers", "prod", "supplier_id", "supplier", "s_suppkey"),
+          ("inventory", "product_id", "products", "part", "p_partkey", "prod", "product_id"),
+          ("transactions", "customer_id", "customers", "tx", "customer_id", "customer", "c_custkey"),
+          ("transactions", "employee_id", "employees", "tx", "employee_id", "emp", "employee_id"),
+          ("transaction_items", "transaction_id", "transactions", "item", "txn", "tx", "txn"),
+          ("transaction_items", "product_id", "products", "item", "product_id", "prod", "product_id"),
+      )),
+]))

@@ -19,6 +19,7 @@ from tallyhouse.plans.reports import (
     distinct_sales,
     join_dimension,
     sums_by_customer_sale,
+    sums_by_employee_sale,
     sums_by_product,
 )
 from tallyhouse.plans.star import sale_facts
@@ -320,7 +321,7 @@ def top_customers(
 def employee_performance(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     grouped = (
         join_dimension(
-            sale_facts(tables).where(F.col("dim_employee_id").isNotNull()),
+            sums_by_employee_sale(tables, sale_key),
             tables,
             "dim_employee",
             ["name", "role"],

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas as S
+from tallyhouse.functions import labels
 from tallyhouse.schemas import Tables
 from tallyhouse.storage import stage
 
@@ -220,7 +221,7 @@ def closing_stock(stock: DataFrame, oltp: Tables, reset_daily: bool = False) ->
     return opening.join(sold, "product_id", "left").select(
         "product_id",
         F.coalesce("quantity_on_hand", F.col("_opening").cast("bigint")).alias("quantity_on_hand"),
-        F.coalesce("reorders", F.lit(0)).cast("bigint").alias("reorders"),
+        labels.or_default(F.col("reorders"), 0).cast("bigint").alias("reorders"),
         "last_restocked",
     )
 

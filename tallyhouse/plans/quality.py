@@ -12,7 +12,8 @@ from tallyhouse.functions import money
 from tallyhouse.operators import members
 from tallyhouse.plans.analytics import STAR_TABLES
 from tallyhouse.plans.star import AMOUNTS, CENTS, sale_facts
-from tallyhouse.schemas import PAYMENT_METHODS, STAR, Tables
+from tallyhouse.schemas import OPERATIONAL, PAYMENT_METHODS, STAR, Tables
+from tallyhouse.storage import stage
 
 FOREIGN_KEYS = {
     "dim_product_id": "dim_product",
@@ -54,16 +55,31 @@ def _stored_as(column: str) -> str:
     return f"{column}_cents" if column in AMOUNTS else column
 
 
-def null_profile(tables: Tables, only_with_nulls: bool = False) -> DataFrame:
-    """Share of NULLs per column, one aggregate per table."""
+def _null_counts(df: DataFrame, columns: list[str]) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(_stored_as(c) if _stored_as(c) in df.columns else c).isNull()).alias(c) for c in columns],
+    ]
+
+
+def fact_counts(tables: Tables) -> DataFrame:
+    """Everything that is counted over single lines of the fact, in one row from one pass."""
+    facts = sale_facts(tables)
+    tests = [broken.alias(f"_test{i}") for i, (_, broken) in enumerate(_measure_counts())]
+    return facts.agg(*_null_counts(facts, STAR["fact_sales"].names), *tests)
+
+
+def null_profile(
+    tables: Tables, only_with_nulls: bool = False, counted: DataFrame | None = None
+) -> DataFrame:
+    """Share of NULLs per column, one aggregate per table. ``counted``: stored ``fact_counts``."""
 
     def profile(name: str) -> DataFrame:
-        df = sale_facts(tables) if name == "fact_sales" else tables[name]
         columns = STAR[name].names
-        counts = df.agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[F.count_if(F.col(_stored_as(c)).isNull()).alias(c) for c in columns],
-        )
+        if name == "fact_sales":
+            counts = fact_counts(tables) if counted is None else counted
+        else:
+            counts = tables[name].agg(*_null_counts(tables[name], columns))
         cells = F.array(
             *[
                 F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_rows"))
@@ -93,47 +109,63 @@ def duplicate_ids(tables: Tables) -> DataFrame:
     return _union([surplus(name) for name in STAR_TABLES])
 
 
-def _lines_per_key(fact: DataFrame, key: str) -> DataFrame:
-    """Lines per foreign key value: a hot key is one row before anything is joined."""
-    return fact.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("lines"))
-
-
-def orphan_keys(tables: Tables) -> DataFrame:
-    """Lines whose key is in no dimension row. A NULL key counts as orphaned."""
+DAY = "simulated_day"
 
-    def orphans(key: str, dimension: str) -> DataFrame:
-        known = tables[dimension].select(F.col("id").alias("key"))
-        missing = _lines_per_key(tables["fact_sales"], key).join(known, "key", "left_anti")
-        return missing.agg(
-            F.coalesce(F.sum("lines"), F.lit(0)).cast("bigint").alias("orphaned_rows")
-        ).select(F.lit(key).alias("foreign_key"), "orphaned_rows")
 
-    return _union([orphans(k, d) for k, d in FOREIGN_KEYS.items()])
+def lines_per_key(tables: Tables) -> DataFrame:
+    """(name, key, lines): lines of the fact per value of every foreign key and per day, in one pass.
+    A hot key is one row of each task before anything is shuffled."""
+    pairs = F.array(
+        *[F.struct(F.lit(k).alias("name"), F.col(k).cast("bigint").alias("key")) for k in (*FOREIGN_KEYS, DAY)]
+    )
+    return (
+        tables["fact_sales"]
+        .select(F.inline(pairs))
+        .groupBy("name", "key")
+        .agg(F.count(F.lit(1)).alias("lines"))
+    )
 
 
-def join_row_counts(tables: Tables) -> DataFrame:
-    """Rows of the fact before and after a left join with each dimension, worked out from counts
-    per key on both sides instead of the joined rows."""
+def _key_checks(tables: Tables, per_key: DataFrame | None) -> DataFrame:
+    """(foreign_key, dimension, rows_before, rows_after, orphaned_rows): one join of counts per key
+    with the copies of each dimension row answers both questions."""
+    per_key = lines_per_key(tables) if per_key is None else per_key
 
-    def preserved(key: str, dimension: str) -> DataFrame:
+    def checked(key: str, dimension: str) -> DataFrame:
         copies = (
             tables[dimension]
-            .groupBy(F.col("id").alias("key"))
+            .groupBy(F.col("id").cast("bigint").alias("id"))
             .agg(F.count(F.lit(1)).alias("copies"))
         )
-        joined = _lines_per_key(tables["fact_sales"], key).join(copies, "key", "left")
+        lines = per_key.where(F.col("name") == key)
+        joined = lines.join(copies, F.col("key") == F.col("id"), "left")
         after = F.col("lines") * F.coalesce("copies", F.lit(1))
         return joined.agg(
-            F.coalesce(F.sum("lines"), F.lit(0)).alias("rows_before"),
-            F.coalesce(F.sum(after), F.lit(0)).alias("rows_after"),
-        ).select(
-            F.lit(dimension).alias("dimension"),
-            "rows_before",
-            "rows_after",
-            (F.col("rows_before") == F.col("rows_after")).alias("preserved"),
-        )
+            F.coalesce(F.sum("lines"), F.lit(0)).cast("bigint").alias("rows_before"),
+            F.coalesce(F.sum(after), F.lit(0)).cast("bigint").alias("rows_after"),
+            F.coalesce(F.sum(F.when(F.col("copies").isNull(), F.col("lines"))), F.lit(0))
+            .cast("bigint")
+            .alias("orphaned_rows"),
+        ).select(F.lit(key).alias("foreign_key"), F.lit(dimension).alias("dimension"), "*")
+
+    return _union([checked(k, d) for k, d in FOREIGN_KEYS.items()])
 
-    return _union([preserved(k, d) for k, d in FOREIGN_KEYS.items()])
+
+def orphan_keys(tables: Tables, per_key: DataFrame | None = None) -> DataFrame:
+    """Lines whose key is in no dimension row. A NULL key counts as orphaned. ``per_key``: stored
+    ``lines_per_key``."""
+    return _key_checks(tables, per_key).select("foreign_key", "orphaned_rows")
+
+
+def join_row_counts(tables: Tables, per_key: DataFrame | None = None) -> DataFrame:
+    """Rows of the fact before and after a left join with each dimension, worked out from counts
+    per key on both sides instead of the joined rows."""
+    return _key_checks(tables, per_key).select(
+        "dimension",
+        "rows_before",
+        "rows_after",
+        (F.col("rows_before") == F.col("rows_after")).alias("preserved"),
+    )
 
 
 def _measure_counts() -> list[tuple[str, Column]]:
@@ -152,13 +184,11 @@ def _measure_counts() -> list[tuple[str, Column]]:
     return [(name, F.count_if(broken)) for name, broken in checks]
 
 
-def measure_checks(tables: Tables) -> DataFrame:
-    """Arithmetic, sign and presence checks on the fact, all in one pass."""
-    checks = _measure_counts()
-    counts = sale_facts(tables).agg(
-        *[broken.alias(f"c{i}") for i, (_, broken) in enumerate(checks)]
-    )
-    named = [(name, F.col(f"c{i}")) for i, (name, _) in enumerate(checks)]
+def measure_checks(tables: Tables, counted: DataFrame | None = None) -> DataFrame:
+    """Arithmetic, sign and presence checks on the fact, all in one pass. ``counted``: stored
+    ``fact_counts``."""
+    counts = fact_counts(tables) if counted is None else counted
+    named = [(name, F.col(f"_test{i}")) for i, (name, _) in enumerate(_measure_counts())]
     return counts.select(_long(named, "check_name"))
 
 
@@ -173,11 +203,17 @@ def payment_method_violations(oltp: Tables) -> DataFrame:
 
 
 def day_range(
-    tables: Tables, expected_first: int | None = None, expected_last: int | None = None
+    tables: Tables,
+    expected_first: int | None = None,
+    expected_last: int | None = None,
+    per_key: DataFrame | None = None,
 ) -> DataFrame:
     """First and last day, how many days between them have no lines, and whether the range is the
-    expected one (NULL when nothing is expected)."""
-    seen = tables["fact_sales"].select("simulated_day").distinct()
+    expected one (NULL when nothing is expected). ``per_key``: stored ``lines_per_key``."""
+    if per_key is None:
+        seen = tables["fact_sales"].select(DAY).distinct()
+    else:
+        seen = per_key.where(F.col("name") == DAY).select(F.col("key").cast("int").alias(DAY))
     span = F.max("simulated_day") - F.min("simulated_day") + 1
 
     def expected(actual: Column, day: int | None) -> Column:
@@ -253,7 +289,10 @@ def duplicate_dimension_members(tables: Tables) -> DataFrame:
 
 
 def check_summary(tables: Tables, oltp: Tables) -> DataFrame:
-    """Every check as (check, table, failing rows, status)."""
+    """Every check as (check, table, failing rows, status). The fact is read three times: for the
+    counts over its lines, for the lines per key and day, and for repeated ids."""
+    per_key = stage(lines_per_key(tables), "lines-per-key")
+    counted = stage(fact_counts(tables), "fact-counts")
 
     def as_check(df: DataFrame, check: Column, table: Column, failing: Column) -> DataFrame:
         return df.select(
@@ -272,22 +311,22 @@ def check_summary(tables: Tables, oltp: Tables) -> DataFrame:
     fact = F.lit("fact_sales")
     checks = _union(
         [
-            as_check(null_profile(tables), nulls, name, F.col("null_rows")),
+            as_check(null_profile(tables, counted=counted), nulls, name, F.col("null_rows")),
             as_check(duplicate_ids(tables), F.lit("unique id"), name, F.col("duplicates")),
             as_check(
-                orphan_keys(tables),
+                orphan_keys(tables, per_key),
                 F.concat(F.lit("known "), F.col("foreign_key")),
                 fact,
                 F.col("orphaned_rows"),
             ),
-            as_check(measure_checks(tables), F.col("check_name"), fact, F.col("failing_rows")),
+            as_check(measure_checks(tables, counted), F.col("check_name"), fact, F.col("failing_rows")),
             as_check(
-                join_row_counts(tables),
+                join_row_counts(tables, per_key),
                 preserved,
                 fact,
                 F.abs(F.col("rows_after") - F.col("rows_before")),
             ),
-            as_check(day_range(tables), F.lit("no missing days"), fact, F.col("missing_days")),
+            as_check(day_range(tables, per_key=per_key), F.lit("no missing days"), fact, F.col("missing_days")),
             total(
                 payment_method_violations(oltp), "allowed payment method", "transactions",
                 "failing_rows",
@@ -303,3 +342,45 @@ def check_summary(tables: Tables, oltp: Tables) -> DataFrame:
         F.concat(F.format_number("failing_rows", 0), F.lit(" failing rows"))
     )
     return checks.withColumn("status", status)
+
+
+# What the operational tables refer to and which columns must be unique.
+REFERENCES = {
+    "products": {"supplier_id": "suppliers"},
+    "inventory": {"product_id": "products"},
+    "transactions": {"customer_id": "customers", "employee_id": "employees"},
+    "transaction_items": {"transaction_id": "transactions", "product_id": "products"},
+}
+UNIQUE = {"customers": ("id", "email"), "inventory": ("product_id",)}
+
+
+def operational_checks(oltp: Tables) -> DataFrame:
+    """(table_name, constraint_name, failing_rows) of the constraints that the operational tables are
+    declared with: required columns, one pass per table; unique columns, rows beyond the first of a
+    value; references, rows whose value is not an id of the other table. NULL is never a repeated
+    value nor a broken reference."""
+
+    def required(name: str) -> DataFrame:
+        columns = [f.name for f in OPERATIONAL[name] if not f.nullable]
+        counts = oltp[name].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+        named = [(f"{c} required", F.col(c)) for c in columns]
+        return counts.select(F.lit(name).alias("table_name"), _long(named, "constraint_name"))
+
+    def unique(name: str, column: str) -> DataFrame:
+        per_value = oltp[name].where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+        return per_value.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failing_rows")).select(
+            F.lit(name).alias("table_name"), F.lit(f"{column} unique").alias("constraint_name"), "failing_rows"
+        )
+
+    def refers(name: str, column: str, other: str) -> DataFrame:
+        per_value = oltp[name].where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+        known = oltp[other].select(F.col("id").alias("_id"))
+        lost = per_value.join(known, F.col(column) == F.col("_id"), "left_anti")
+        return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failing_rows")).select(
+            F.lit(name).alias("table_name"), F.lit(f"{column} in {other}").alias("constraint_name"), "failing_rows"
+        )
+
+    checks = [required(name) for name in SOURCES]
+    checks += [unique(name, c) for name in SOURCES for c in UNIQUE.get(name, ("id",))]
+    checks += [refers(n, c, other) for n, refs in REFERENCES.items() for c, other in refs.items()]
+    return _union(checks)

@@ -168,10 +168,25 @@ def payment_breakdown(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> D
     )
 
 
+def sums_by_employee_sale(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
+    """Amounts per employee and sale, of sales with an employee: what is joined with the employees is
+    one row per sale and not one per line."""
+    return (
+        sale_facts(tables)
+        .where(F.col("dim_employee_id").isNotNull())
+        .groupBy("dim_employee_id", *sale_key)
+        .agg(
+            F.sum("revenue_cents").alias("revenue_cents"),
+            F.sum("profit_cents").alias("profit_cents"),
+            F.sum("quantity_sold").alias("quantity_sold"),
+        )
+    )
+
+
 def cashier_performance(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     """Sales without an employee are left out by the inner join."""
     grouped = (
-        join_dimension(sale_facts(tables), tables, "dim_employee", ["name", "role"])
+        join_dimension(sums_by_employee_sale(tables, sale_key), tables, "dim_employee", ["name", "role"])
         .groupBy(F.col("name").alias("employee"), "role")
         .agg(
             distinct_sales(sale_key).alias("total_transactions"),

@@ -49,8 +49,11 @@ def _price_at_sale() -> Column:
     return F.round(F.col("p_retailprice").cast(PRICE) * (one - discount), 2).cast(PRICE)
 
 
-def transaction_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
+def transaction_items(
+    spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
+) -> DataFrame:
+    """The line items; ``lines`` may be a stream over the same rows."""
+    lines = (table(spark, sf_dir, "lineitem") if lines is None else lines).select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount"
     )
     prices = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,12 +18,14 @@ def read_headerless_csv(spark: SparkSession, path: str, schema: T.StructType) ->
         [T.StructField(f.name, T.StringType() if f.name in flags else f.dataType) for f in schema]
     )
     df = spark.read.schema(raw).option("header", False).option("mode", "FAILFAST").csv(path)
-    return df.select(
-        *[
-            labels.flag_from_text(F.col(f.name)).alias(f.name) if f.name in flags else F.col(f.name)
-            for f in schema
-        ]
-    )
+
+    def flag(name: str) -> Column:
+        """The flag; unknown text ends the job like any other malformed value."""
+        text, known = F.col(name), labels.flag_from_text(F.col(name))
+        unknown = F.raise_error(F.concat(F.lit(f"not a flag in {name}: "), text))
+        return F.when(text.isNotNull() & known.isNull(), unknown).otherwise(known).alias(name)
+
+    return df.select(*[flag(f.name) if f.name in flags else F.col(f.name) for f in schema])
 
 
 def write_headerless_csv(df: DataFrame, path: str) -> None:
@@ -42,6 +44,12 @@ def read_star_csv(spark: SparkSession, folder: str) -> Tables:
     return {name: read_headerless_csv(spark, f"{folder}/{name}", s) for name, s in STAR.items()}
 
 
+def write_tables(tables: Tables, folder: str) -> None:
+    """Tables as ``<folder>/<table>`` in Parquet, each appended to what is there."""
+    for name, df in tables.items():
+        df.write.mode("append").parquet(f"{folder}/{name}")
+
+
 def read_operational_parquet(spark: SparkSession, folder: str) -> Tables:
     return {
         name: spark.read.schema(schema).parquet(f"{folder}/{name}")
@@ -84,21 +92,55 @@ def read_operational_jdbc(
     }
 
 
+# The pieces of an INSERT dump. A text in apostrophes doubles those it contains; one
+# written as E'...' has its line breaks and backslashes escaped.
+_TEXT = r"[Ee]?'(?:[^']|'')*'"
+_TUPLE = rf"\((?:{_TEXT}|[^'()])*\)"
+_HEAD = r"(?i)^\s*INSERT\s+INTO\s+[^\s(]+\s*(?:\([^()']*\))?\s*VALUES"
+_VALUE = rf"{_TEXT}|[^,\s'](?:[^,']*[^,\s'])?"
+
+
 def read_insert_dump(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of a dump of multi-row INSERT ... VALUES statements for one table.
 
-    Every tuple stands on its own line, so lines are parsed independently by all tasks. The text
-    between the outer parentheses is a CSV record quoted with apostrophes.
+    Lines are parsed independently by all tasks: a line may hold the head of a statement, any number
+    of whole tuples, or both; blank lines and ``--`` comments are skipped. Anything else, such as a
+    clause after the tuples or a tuple broken over lines, ends the job with an error, and so does a
+    tuple of another length or a value that its column does not take. A quoted text is a text, also
+    if it reads NULL.
     """
-    options = {"quote": "'", "escape": "'", "nullValue": "NULL", "mode": "FAILFAST"}
-    record = F.regexp_extract("value", r"^\s*\((.*)\)[,;]?\s*$", 1)
+    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(--.*)?$"))
+    line = F.col("value")
+    body = F.regexp_replace(line, _HEAD, "")
+    rest = F.regexp_replace(body, _TUPLE, "")
+    refused = F.raise_error(F.concat(F.lit("not a statement of rows: "), line))
+    tuples = F.when(
+        rest.rlike(r"^[\s,;]*$"), F.regexp_extract_all(body, F.lit(f"({_TUPLE})"), F.lit(1))
+    ).otherwise(refused)
+    rows = lines.select(F.explode(tuples).alias("tuple"))
+    inner = F.expr("substring(tuple, 2, length(tuple) - 2)")
+    values = F.regexp_extract_all(inner, F.lit(f"({_VALUE})"), F.lit(1))
+    short = F.raise_error(F.concat(F.lit("a tuple of another length: "), F.col("tuple")))
+    rows = rows.select(F.when(F.size(values) == len(schema), values).otherwise(short).alias("v"))
+    return rows.select(
+        *[_from_literal(F.col("v")[i]).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)]
+    )
+
+
+def _from_literal(value: Column) -> Column:
+    """The text of an SQL literal; null for the keyword."""
+    plain = F.regexp_replace(value, r"^[Ee]?'|'$", "")
+    plain = F.replace(plain, F.lit("''"), F.lit("'"))
+    mark = F.lit("\x00")
+    unescaped = F.replace(plain, F.lit("\\\\"), mark)
+    for escape, character in (("\\n", "\n"), ("\\r", "\r")):
+        unescaped = F.replace(unescaped, F.lit(escape), F.lit(character))
+    unescaped = F.replace(unescaped, mark, F.lit("\\"))
     return (
-        spark.read.text(path)
-        .select(record.alias("record"))
-        .where(F.col("record") != "")
-        .select(F.from_csv("record", schema.simpleString()[len("struct<"):-1].replace(":", " "),
-                           options).alias("row"))
-        .select("row.*")
+        F.when(F.upper(value) == "NULL", F.lit(None).cast("string"))
+        .when(value.rlike("^[Ee]'"), unescaped)
+        .when(value.startswith("'"), plain)
+        .otherwise(value)
     )
 
 
@@ -106,10 +148,18 @@ def write_insert_dump(df: DataFrame, path: str, table: str) -> None:
     """The dump the reader above takes back, one statement of one tuple per row, so that every
     task writes valid statements on its own."""
 
-    def literal(field: T.StructField):
+    def literal(field: T.StructField) -> Column:
         text = F.col(field.name).cast("string")
         if isinstance(field.dataType, T.StringType):
-            text = F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
+            quoted = F.replace(text, F.lit("'"), F.lit("''"))
+            escaped = F.replace(quoted, F.lit("\\"), F.lit("\\\\"))
+            for character, escape in (("\n", "\\n"), ("\r", "\\r")):
+                escaped = F.replace(escaped, F.lit(character), F.lit(escape))
+            text = F.when(text.rlike(r"[\n\r]"), F.concat(F.lit("E'"), escaped, F.lit("'"))).otherwise(
+                F.concat(F.lit("'"), quoted, F.lit("'"))
+            )
+        elif not isinstance(field.dataType, T.NumericType):
+            text = F.concat(F.lit("'"), text, F.lit("'"))
         return F.coalesce(text, F.lit("NULL"))
 
     head = F.lit(f"INSERT INTO {table} ({','.join(df.columns)}) VALUES\n\t (")
@@ -117,11 +167,6 @@ def write_insert_dump(df: DataFrame, path: str, table: str) -> None:
     df.select(F.concat(head, row, F.lit(");")).alias("value")).write.text(path)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Batched append: one job, one file set per task."""
-    df.write.mode("append").parquet(path)
-
-
 def register_views(tables: Tables, prefix: str = "") -> None:
     """Make every frame of a name-to-frame registry queryable by SQL text."""
     for name, df in tables.items():

@@ -25,9 +25,38 @@ def encode(events: DataFrame) -> DataFrame:
     return events.select(F.to_json(F.struct("*"), JSON_OPTIONS).alias("value"))
 
 
+_BROKEN = "_broken"
+
+
+def _checked(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Texts with their event; ``_broken`` holds a text that is not an event of the schema."""
+    marked = T.StructType([*schema, T.StructField(_BROKEN, T.StringType())])
+    options = {**JSON_OPTIONS, "columnNameOfCorruptRecord": _BROKEN}
+    read = lines.select("value", F.from_json("value", marked, options).alias("event"))
+    unread = F.when(F.col("event").isNull(), F.col("value")).otherwise(F.col(f"event.{_BROKEN}"))
+    return read.withColumn(_BROKEN, unread)
+
+
 def decode(lines: DataFrame, schema: T.StructType = ENVELOPE) -> DataFrame:
-    """JSON texts as typed events."""
-    return lines.select(F.from_json("value", schema, JSON_OPTIONS).alias("event")).select("event.*")
+    """JSON texts as typed events. A text that is not one ends the job; to set such texts aside
+    first, see ``well_formed`` and ``malformed``."""
+    refuse = F.raise_error(F.concat(F.lit("not an event: "), F.col(_BROKEN))).cast("boolean")
+    checked = _checked(lines, schema).where(
+        F.when(F.col(_BROKEN).isNotNull(), refuse).otherwise(F.lit(True))
+    )
+    return checked.select(*[F.col(f"event.{name}") for name in schema.names])
+
+
+def well_formed(lines: DataFrame, schema: T.StructType = ENVELOPE) -> DataFrame:
+    """The texts that are events, typed; ``malformed`` has the others."""
+    checked = _checked(lines, schema).where(F.col(_BROKEN).isNull())
+    return checked.select(*[F.col(f"event.{name}") for name in schema.names])
+
+
+def malformed(lines: DataFrame, schema: T.StructType = ENVELOPE) -> DataFrame:
+    """The texts that are not events."""
+    checked = _checked(lines, schema)
+    return checked.where(F.col(_BROKEN).isNotNull()).select("value")
 
 
 def read_json_feed(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -95,6 +124,78 @@ def day_sales(headers: DataFrame, first_day: str) -> DataFrame:
     )
 
 
+def sale_events(oltp: S.Tables, first_day: str) -> DataFrame:
+    """One ``transaction`` event per sale, with its lines in order of their number as items. A sale
+    has a handful of lines, so collecting them is bounded."""
+    line = F.struct(
+        "line", F.coalesce("quantity", F.lit(0)).alias("quantity"), "product", F.col("price").alias("unit_price")
+    )
+    names = oltp["products"].select(F.col("id").alias("product_id"), F.col("name").alias("product"))
+    carts = (
+        oltp["transaction_items"]
+        .select("transaction_id", "product_id", "quantity", F.col("id").alias("line"), F.col("unit_price_at_sale").alias("price"))
+        .join(names, "product_id")
+        .groupBy("transaction_id")
+        .agg(F.array_sort(F.collect_list(line)).alias("cart"))
+    )
+    customers = oltp["customers"].select(F.col("id").alias("customer_id"), F.col("name").alias("customer"))
+    ts = F.col("transaction_time")
+    return (
+        oltp["transactions"]
+        .join(carts, F.col("id") == F.col("transaction_id"))
+        .join(customers, "customer_id")
+        .select(
+            F.col("id").alias("seq"),
+            ts.alias("ts"),
+            F.lit("transaction").alias("type"),
+            labels.day_number(ts, first_day).alias("day"),
+            F.hour(ts).alias("hour"),
+            labels.clock(ts).alias("sim_time"),
+            "customer",
+            F.transform("cart", lambda i: F.struct(i["quantity"].alias("quantity"), i["product"].alias("product"))).alias("items"),
+            money.cart_total(F.col("cart")).cast("decimal(12,2)").alias("total"),
+            F.col("payment_method").alias("payment"),
+        )
+    )
+
+
+def reorder_events(stock: DataFrame, oltp: S.Tables, first_day: str) -> DataFrame:
+    """One ``reorder`` event per ledger row that placed an order, at the time of its sale."""
+    names = oltp["products"].select(F.col("id").alias("product_id"), F.col("name").alias("product"))
+    times = oltp["transactions"].select(F.col("id").alias("transaction_id"), "transaction_time")
+    ts = F.col("transaction_time")
+    return (
+        stock.where("reordered")
+        .select("product_id", "transaction_id")
+        .join(names, "product_id")
+        .join(times, "transaction_id")
+        .select(
+            F.col("transaction_id").alias("seq"),
+            ts.alias("ts"),
+            F.lit("reorder").alias("type"),
+            labels.day_number(ts, first_day).alias("day"),
+            F.hour(ts).alias("hour"),
+            labels.clock(ts).alias("sim_time"),
+            "product",
+        )
+    )
+
+
+def load_events(tables: S.Tables) -> DataFrame:
+    """One ``etl`` event per loaded day with the numbers of accepted and rejected lines."""
+    counts = tables["sales_lines"].where("simulated_day IS NOT NULL").groupBy("simulated_day").agg(
+        F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected")
+    )
+    message = F.concat(
+        F.lit("day "), F.col("simulated_day").cast("string"), F.lit(": "),
+        F.col("accepted").cast("string"), F.lit(" lines loaded, "),
+        F.col("rejected").cast("string"), F.lit(" rejected"),
+    )
+    return counts.select(
+        F.lit("etl").alias("type"), F.col("simulated_day").alias("day"), message.alias("message")
+    )
+
+
 def hour_events(hours: DataFrame) -> DataFrame:
     return hours.select(
         F.lit("hour").alias("type"), "hour", "label", "customers", "reorders"

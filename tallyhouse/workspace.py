@@ -6,6 +6,7 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.plans import star
 from tallyhouse.schemas import Tables
@@ -17,7 +18,7 @@ from tallyhouse.streaming import feed, runs
 DAYS_PER_PARTITION = 256
 
 _BUILT: dict[tuple[str, str, str], str] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
 def _built_once(
@@ -46,16 +47,60 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return star.read_star(spark, star_root(spark, sf_dir))
 
 
+# Files that a source is split into where a stream is to take it in several micro-batches.
+PARTS = 6
+
+
+def split_events(spark: SparkSession, sf_dir: str) -> str:
+    def build(path: str) -> str:
+        bench.table(spark, sf_dir, "events").repartitionByRange(PARTS, "event_id").write.parquet(path)
+        return path
+
+    return _built_once(spark, "events", sf_dir, "", build)
+
+
+def split_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The sale lines as consecutive parts, written one after the other. The parts are cut by line,
+    so a sale may begin in one and end in the next."""
+
+    def build(path: str) -> str:
+        lines = bench.table(spark, sf_dir, "lineitem")
+        number = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+        shares = [n / PARTS for n in range(1, PARTS)]
+        cuts = lines.agg(F.percentile_approx(number, shares).alias("cuts")).first()["cuts"] or []
+        for n, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
+            above = F.lit(True) if low is None else number > low
+            below = F.lit(True) if high is None else number <= high
+            lines.where(above & below).coalesce(1).write.parquet(f"{path}/part={n}")
+        return path
+
+    return _built_once(spark, "lines", sf_dir, "/part=0", build)
+
+
+def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sale lines as a stream of several micro-batches."""
+    like = bench.table(spark, sf_dir, "lineitem")
+    return runs.stream_table(spark, f"{split_lines(spark, sf_dir)}/*", like, files_per_batch=1)
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = bench.table(spark, sf_dir, "events")
-    return bench.feed_events(runs.stream_table(spark, sf_dir, events, "events.parquet"))
+    like = bench.table(spark, sf_dir, "events")
+    return bench.feed_events(
+        runs.stream_table(spark, split_events(spark, sf_dir), like, files_per_batch=1)
+    )
 
 
-def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of typed events read from JSON files, which an earlier stream wrote."""
+def feed_files(spark: SparkSession, sf_dir: str) -> str:
+    """The events as JSON files, which a stream wrote in several micro-batches."""
 
     def build(_: str) -> str:
         return runs.append_to_text(feed.encode(event_stream(spark, sf_dir)), "feed")
 
-    path = _built_once(spark, "feed", sf_dir, "", build)
-    return feed.read_json_feed(spark, path)
+    return _built_once(spark, "feed", sf_dir, "", build)
+
+
+def feed_stream(
+    spark: SparkSession, sf_dir: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """The events as a stream of typed events read from JSON files."""
+    return feed.read_json_feed(spark, feed_files(spark, sf_dir), files_per_batch)

@@ -3,14 +3,18 @@ from __future__ import annotations
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas as S
 from tallyhouse.functions import labels, money
+from tallyhouse.plans import inventory
 from tallyhouse.sources import files
 from tallyhouse.storage import fresh_path
 from tallyhouse.streaming import feed, runs
 
+from tests.shop import FIRST_DAY, at, shop
+
 EVENTS = [
     '{"seq":1,"ts":"2025-01-01T08:00:00.000000","type":"day_start","day":1}',
     '{"seq":2,"ts":"2025-01-01T09:30:05.123456","type":"transaction","day":1,"hour":9,'
@@ -109,32 +113,85 @@ def test_headerless_csv_takes_both_spellings_of_flags(spark):
     ]
 
 
-def test_insert_dump_with_multi_row_statements(spark):
+BOATS = "hull BIGINT, title STRING, harbour STRING, length DECIMAL(6,2), sold BOOLEAN"
+
+
+def dumped(spark, *lines):
     path = fresh_path(spark, "dump")
-    text = [
-        'INSERT INTO public.dim_employee (source_id,"name","role") VALUES',
-        "\t (2,'James O''Hara, Jr.','Cashier'),",
-        "\t (1,'Maria',NULL);",
-        'INSERT INTO public.dim_employee (source_id,"name","role") VALUES',
-        "\t (4,'Derek','Cashier');",
-    ]
-    spark.createDataFrame([("\n".join(text),)], "value STRING").write.text(path)
-    schema = S.STAR["dim_employee"]
-    schema = type(schema)([f for f in schema if f.name != "id"])
-    out = files.read_insert_dump(spark, path, schema).orderBy("source_id").collect()
-    assert [tuple(r) for r in out] == [
-        (1, "Maria", None), (2, "James O'Hara, Jr.", "Cashier"), (4, "Derek", "Cashier")
+    spark.createDataFrame([("\n".join(lines),)], "value STRING").coalesce(1).write.text(path)
+    schema = spark.createDataFrame([], BOATS).schema
+    return sorted((tuple(r) for r in files.read_insert_dump(spark, path, schema).collect()), key=str)
+
+
+def test_insert_dump_in_all_its_shapes(spark):
+    got = dumped(
+        spark,
+        "-- boats of two harbours",
+        'insert into quay.boats (hull, "title", harbour, length, sold) VALUES',
+        "  (70,'Wave''s End, II','Oban',12.50,true),",
+        "  (71,'NULL',NULL,3,false);",
+        "",
+        "INSERT INTO boats VALUES (72,'a (b) c',  'x',NULL ,NULL), (73,E'two\\nlines \\\\','y',1.1,'t');",
+    )
+    assert got == [
+        (70, "Wave's End, II", "Oban", Decimal("12.50"), True),
+        (71, "NULL", None, Decimal("3.00"), False),
+        (72, "a (b) c", "x", None, None),
+        (73, "two\nlines \\", "y", Decimal("1.10"), True),
     ]
 
 
+@pytest.mark.parametrize(
+    "line",
+    [
+        "(1,'a','b',1,true) ON CONFLICT DO NOTHING;",
+        "(1,'broken",
+        "(1,'a','b',1);",
+        "(x,'a','b',1,true);",
+        "DELETE FROM boats;",
+    ],
+)
+def test_what_is_not_a_row_is_refused(spark, line):
+    with pytest.raises(Exception):
+        dumped(spark, "INSERT INTO boats VALUES", line)
+
+
 def test_dump_round_trip(spark):
-    df = spark.createDataFrame([(1, "it's, 'so'", None), (2, "b", "r")], "source_id BIGINT, name STRING, role STRING")
+    df = spark.createDataFrame(
+        [(1, "it's, 'so'", None), (2, "b", "r"), (3, "NULL", "line\nbreak \\n"), (4, "", "(x);")],
+        "source_id BIGINT, name STRING, role STRING",
+    )
     path = fresh_path(spark, "dump")
     files.write_insert_dump(df, path, "dim_employee")
     back = files.read_insert_dump(spark, path, df.schema)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
+def test_unknown_flag_text_is_refused(spark):
+    path = fresh_path(spark, "csv")
+    spark.createDataFrame([("1,1,Ann,maybe,2024-01-05",)], "value STRING").write.text(path)
+    with pytest.raises(Exception, match="not a flag"):
+        files.read_headerless_csv(spark, path, S.STAR["dim_customer"]).collect()
+
+
+def test_malformed_events_are_refused_or_set_aside(spark):
+    texts = spark.createDataFrame([('{"seq":1,"type":"system"}',), ('{"seq":2,"ty',), ("",)], "value STRING")
+    with pytest.raises(Exception, match="not an event"):
+        feed.decode(texts).select("type").collect()
+    assert [r["seq"] for r in feed.well_formed(texts).collect()] == [1]
+    assert sorted(r["value"] for r in feed.malformed(texts).collect()) == ["", '{"seq":2,"ty']
+
+
+def test_events_made_from_sales(spark):
+    oltp = shop(spark, [(1, 2, 1, at(2, 9, 5), "cash")], [(1, 2, 140, "3.50"), (1, 1, 2, "2.00")])
+    sale = feed.sale_events(oltp, FIRST_DAY)
+    line = feed.feed_lines(feed.decode(feed.encode(feed.conform(sale)))).first()["line"]
+    assert line == "09:05 SALE Ann — 140x Oats, 2x Pears — $494.00 [cash]"
+    stock = inventory.ledger(oltp["transaction_items"], levels=oltp["inventory"])
+    event = feed.reorder_events(stock, oltp, FIRST_DAY).first()
+    assert (event["product"], event["sim_time"], event["day"]) == ("Oats", "09:05", 2)
+
+
 def test_sample_is_repeatable_and_exact_in_size(spark):
     df = spark.range(1000)
     first = sorted(r[0] for r in files.seeded_sample(df, "id", 5, 1).collect())

@@ -121,3 +121,20 @@ def test_summary_names_every_failure(spark):
         "known dim_employee_id": "1 failing rows",
         "allowed payment method": "1 failing rows",
     }
+
+
+def test_operational_constraints_find_each_planted_defect(spark):
+    oltp = shop(spark, [(1, 2, 1, at(1, 9), "cash")], [(1, 1, 2, "2.00")])
+    sound = quality.operational_checks(oltp).collect()
+    assert sum(r["failing_rows"] for r in sound) == 0 and len(sound) > 35
+
+    def failing(name, change):
+        found = quality.operational_checks(oltp | {name: change(oltp[name])}).where("failing_rows > 0")
+        return {(r["table_name"], r["constraint_name"]): r["failing_rows"] for r in found.collect()}
+
+    twice = failing("customers", lambda d: d.unionByName(d.where("email IS NOT NULL")))
+    assert twice == {("customers", "id unique"): 1, ("customers", "email unique"): 1}
+    lost = failing("transactions", lambda d: d.withColumn("payment_method", F.lit(None).cast("string")))
+    assert lost == {("transactions", "payment_method required"): 1}
+    astray = failing("transaction_items", lambda d: d.withColumn("product_id", F.lit(99).cast("bigint")))
+    assert astray == {("transaction_items", "product_id in products"): 1}
