@@ -11,28 +11,28 @@ from tallyhouse.storage import stage
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of the edges (a, b): the label is the least node reachable.
 
-    Each round gives a node the least label of itself and its neighbours, then the label of that
-    label, so the rounds grow with the logarithm of a component's length. Minima are combined before
-    the shuffle, and every round is stored, so a lost executor repeats one round at most. Null ends
-    are left out; empty edges give no node.
+    Each round gives a node the least of itself and its neighbours, then the label of that label, and
+    contracts the edges to labels; a round at least halves the nodes that still have edges, so the
+    later rounds are small. Minima are combined before the shuffle, and every round is stored, so a
+    lost executor repeats one round at most. Null ends are left out; empty edges give no node.
     """
-    edges = edges.where("a IS NOT NULL AND b IS NOT NULL")
-    both = edges.select("a", "b").union(edges.select("b", "a"))
-    both = stage(both, "edges")
-    labels = stage(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")),
-        "labels",
-    )
-    while True:
-        near = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "label")
-        least = near.union(labels).groupBy("node").agg(F.min("label").alias("label"))
-        least = stage(least, "labels")
-        jump = least.select(F.col("node").alias("at"), F.col("label").alias("further"))
-        after = least.join(jump, least["label"] == jump["at"]).select(
-            "node", F.least("label", "further").alias("label")
-        )
-        after = stage(after, "labels")
-        old = labels.select("node", F.col("label").alias("old"))
-        if after.join(old, "node").where("label <> old").isEmpty():
-            return after
-        labels = after
+    edges = edges.where("a IS NOT NULL AND b IS NOT NULL").select("a", "b")
+    edges = stage(edges, "edges")
+    labels = None
+    while labels is None or not edges.isEmpty():
+        both = edges.union(edges.select("b", "a"))
+        near = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("near"))
+        near = stage(near, "near")
+        jump = near.select(F.col("node").alias("at"), F.col("near").alias("further"))
+        moved = near.join(jump, near["near"] == jump["at"]).select(F.col("node").alias("from_"), F.col("further").alias("to_"))
+        moved = stage(moved, "moved")
+        if labels is None:
+            labels = moved.toDF("node", "label")
+        else:
+            old = labels.join(moved, labels["label"] == moved["from_"], "left")
+            labels = stage(old.select("node", F.coalesce("to_", "label").alias("label")), "labels")
+        ends = edges.join(moved, edges["a"] == moved["from_"]).select(F.col("to_").alias("x"), "b")
+        ends = ends.join(moved, ends["b"] == moved["from_"]).select("x", F.col("to_").alias("y"))
+        ends = ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        edges = stage(ends.distinct(), "edges")
+    return labels
