@@ -54,36 +54,15 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _recall(self, words: set[str]) -> tuple[dict[str, bytes], list[str]]:
-        """Remembered ids of words, and the words that are not remembered. What was not used since
-        the memory filled up last is forgotten when it fills up again."""
-        young, old, known, new = self.young, self.old, {}, []
-        for word in words:
-            ids = young.get(word)
-            if ids is None:
-                ids = old.get(word)
-                if ids is None:
-                    new.append(word)
-                    continue
-                young[word] = ids
-            known[word] = ids
-        return known, new
-
-    def _remember(self, found: dict[str, bytes]) -> None:
-        self.young.update(found)
-        if len(self.young) > REMEMBERED_WORDS:
-            self.young, self.old = {}, self.young
-
-    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of distinct words. Closing marks are split off and ASCII letters lowered first, as the
-        tokenizer does itself, so that forms of one word are encoded once."""
+    def _add(self, words: set[str]) -> None:
+        """Remember the ids of new words. Closing marks are split off and ASCII letters lowered first,
+        as the tokenizer does itself, so that forms of one word are encoded once."""
         forms = {}
         for word in words:
             core = word.rstrip(_CLOSING)
@@ -91,21 +70,20 @@ class Ids:
                 forms[word] = (core.lower() if core.isascii() else core, word[len(core) :])
             else:
                 forms[word] = (word, "")
-        known, new = self._recall({x for pair in forms.values() for x in pair if x})
-        found = dict(zip(new, self._encode(new)))
-        known.update(found)
-        known[""] = b""
-        self._remember(found)
-        return {word: known[core] + known[tail] for word, (core, tail) in forms.items()}
+        known = self.words
+        new = list({x for pair in forms.values() for x in pair}.difference(known))
+        known.update(zip(new, self._encode(new)))
+        for word, (core, tail) in forms.items():
+            known[word] = known[core] + known[tail]
 
     def of(self, texts: list[str]) -> list[bytes]:
+        if len(self.words) > REMEMBERED_WORDS:
+            self.words.clear()
         split = [None if _OTHER_SPACE.search(t) else t.split() for t in texts]
-        known, new = self._recall(set().union(*(w for w in split if w)))
-        found = self._encode_words(new)
-        known.update(found)
-        self._remember(found)
+        self._add(set().union(*(w for w in split if w)).difference(self.words))
+        ids = self.words.__getitem__
         return [
-            self._encode([text])[0] if words is None else b"".join(map(known.__getitem__, words))
+            self._encode([text])[0] if words is None else b"".join(map(ids, words))
             for text, words in zip(texts, split)
         ]
 
@@ -119,8 +97,8 @@ def ids_of(path: str) -> Ids:
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, sequence: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     encoder, end = ids_of(path), np.array([end_id], dtype="<u4").tobytes()
     for whole in batches:
-        for at in range(0, whole.num_rows, 1024):
-            batch = whole.slice(at, 1024)
+        for at in range(0, whole.num_rows, 768):
+            batch = whole.slice(at, 768)
             columns: list[list] = [[], [], [], [], [], []]
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.of(texts)):
@@ -208,8 +186,11 @@ def place(stored: DataFrame, sequence: int = SEQUENCE, pieces_per_group: int = P
     as the pieces ask for, and are dealt by a hash of all of a piece, so no key gathers in one."""
     groups = max(1, -(-stored.count() // pieces_per_group))
     group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
-    dealt = stored.withColumn("group_", group)
-    return dealt.groupBy("group_").applyInArrow(partial(_pack_group, sequence=sequence), PLACED_SCHEMA)
+
+    def packed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return _pack_group(key, table, sequence)
+
+    return stored.withColumn("group_", group).groupBy("group_").applyInArrow(packed, PLACED_SCHEMA)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:

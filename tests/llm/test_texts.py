@@ -60,7 +60,7 @@ def test_memory_is_bounded(monkeypatch):
     for start in range(0, 100, 7):
         text = " ".join(f"word{chr(97 + i % 26)}{i}" for i in range(start, start + 7))
         assert encoder.of([text])[0] == plain_ids(text)
-        assert len(encoder.young) <= 40
+        assert len(encoder.words) <= 40
 
 
 def test_fullest_combination_against_all_subsets():
