@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import held_out, mix, remainder, word_hashes, words_of
 from tallyhouse.storage import stage
 
-CHUNK_TOKENS = 1_000_000
-TOKENS_PER_RANGE = 2_000_000
+CHUNK_TOKENS = 250_000
+TOKENS_PER_RANGE = 1_000_000
 BUCKETS = 32
 STEPS = 4
 SIDE = 48 * STEPS + 2
