@@ -1,6 +1,6 @@
 """Near-duplicate groups by circulant MinHash, banding and exact Jaccard verification.
 
-Two permutations make all signature coordinates. The first spreads a shingle over ``2**22`` places;
+Two permutations make all signature coordinates. The first spreads a shingle over ``2**20`` places;
 coordinate ``k`` is the least value of the second over a document's places, shifted round by ``k``.
 The second permutation is a table that is continued by its own start, so the coordinates of a
 shingle are a run of neighbouring entries.
@@ -9,11 +9,14 @@ Steps: (1) documents with the same shingle set form a class; only classes are co
 class has one key per band of the signature. In every bucket with several classes, the least and
 the greatest are paired with all others. (3) Pairs are verified on full sets; verified pairs give
 components. (4) Buckets that still hold several components are searched completely: every pair of
-their classes from different components whose sizes allow the similarity is verified too. Classes
-of one component need no more pairs, as the result cannot change. So a bucket of thousands of near
-copies costs two pairs per class, and no link is lost that a shared bucket shows.
+their classes from different components that can reach the similarity is verified too. A pair cannot
+if the lesser number of shingles that each shares with any class of an open bucket is too small for
+an intersection; this bound is exact, and drops the outliers of a hot bucket, whose changes are their
+own. Classes of one component need no more pairs, as the result cannot change. So a bucket of
+thousands of near copies costs two pairs per class, and no link is lost that a shared bucket shows.
 
-A pair at the threshold of 0.8 shares no bucket with probability ``(1 - 0.8**5)**32 = 3e-6``.
+A pair at the threshold of 0.8 shares no bucket with probability ``(1 - 0.8**8)**64 = 8e-6``;
+one at 0.3, such as two short texts around one common passage, shares one with 0.4 per cent.
 
 Shingles are held as 64-bit hashes, classes as 64-bit hashes of sets.
 
@@ -38,11 +41,11 @@ from tallyhouse.llm.common import WordHashes, mix, with_ids, word_hashes, words_
 from tallyhouse.llm.components import components
 from tallyhouse.storage import stage
 
-BANDS, ROWS_PER_BAND = 32, 5
+BANDS, ROWS_PER_BAND = 64, 8
 COORDINATES = BANDS * ROWS_PER_BAND
-PLACES = 1 << 22
-# Shingles whose coordinates are looked up at once: 2.6 MB of work space.
-AT_ONCE = 4096
+PLACES = 1 << 20
+# Shingles whose coordinates are looked up at once: 2 MB of work space.
+AT_ONCE = 1024
 
 SIGNATURE_SCHEMA = "doc_id BIGINT, n_shingles BIGINT, class_id BIGINT, bands ARRAY<BIGINT>"
 SET_SCHEMA = "class_id BIGINT, shingles ARRAY<BIGINT>"
@@ -73,7 +76,7 @@ def shingle_set(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     first, runs = permutations()
-    places = first[(shingles >> np.uint64(42)).astype(np.int64)]
+    places = first[(shingles >> np.uint64(44)).astype(np.int64)]
     least = np.full(COORDINATES, PLACES, dtype=np.uint32)
     for start in range(0, len(places), AT_ONCE):
         np.minimum(least, runs[places[start : start + AT_ONCE]].min(axis=0), out=least)
@@ -133,17 +136,21 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
         )
 
 
-def verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets reach the similarity. The sets are made anew from
-    one document of each class, so that only those of candidates are ever stored."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
+def class_sets(wanted: DataFrame, docs: DataFrame, signed: DataFrame, n: int) -> DataFrame:
+    """(class_id, shingles) of the wanted classes, stored. The sets are made anew from one document
+    of each class, so that only those of candidates are ever stored."""
+    wanted = stage(wanted.select("class_id").distinct(), "wanted-classes")
     rows = signed.groupBy("class_id").agg(F.min("doc_id").alias("doc_id"))
     rows = rows.join(wanted, "class_id", "left_semi")
     texts = with_ids(docs.select("doc_id", "text"), rows.where("doc_id IS NOT NULL"), "doc_id")
     texts = texts.unionByName(docs.select("doc_id", "text").where("doc_id IS NULL"))
     sets = texts.select("text").mapInArrow(partial(_sets, n=n), SET_SCHEMA)
-    sets = sets.join(wanted, "class_id", "left_semi").groupBy("class_id").agg(F.first("shingles").alias("shingles"))
-    sets = stage(sets, "shingle-sets")
+    sets = sets.join(wanted, "class_id", "left_semi")
+    return stage(sets.groupBy("class_id").agg(F.first("shingles").alias("shingles")), "shingle-sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets reach the similarity."""
     both = (
         pairs.join(sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("of_a")), "a")
         .join(sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("of_b")), "b")
@@ -153,6 +160,21 @@ def verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, n: int, perce
     return both.where(100 * F.col("common") >= percent * union).select("a", "b")
 
 
+def with_common(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of open buckets with the number of their shingles that another one of them has: an
+    upper bound of any intersection among them."""
+    lone = (
+        sets.select("class_id", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.first("class_id").alias("only"))
+        .where("n = 1")
+        .groupBy("only")
+        .agg(F.count("*").alias("lone"))
+    )
+    joined = members.join(lone, F.col("class_id") == F.col("only"), "left")
+    return joined.withColumn("common", F.col("size") - F.coalesce("lone", F.lit(0))).drop("only", "lone")
+
+
 def class_links(docs: DataFrame, signed: DataFrame, n: int, percent: int) -> DataFrame:
     """(class_id, label) of every class that is linked with another; equal labels are connected."""
     classes = signed.where("class_id IS NOT NULL").groupBy("class_id").agg(
@@ -164,15 +186,13 @@ def class_links(docs: DataFrame, signed: DataFrame, n: int, percent: int) -> Dat
     buckets = stage(buckets.where("least < greatest"), "buckets")
     members = stage(keys.join(buckets, "key"), "bucket-members")
 
-    def may_link(x: str, y: str):
-        return (100 * F.least(x, y)) >= (percent * F.greatest(x, y))
-
     first = members.select("class_id", F.explode(F.array("least", "greatest")).alias("other"))
     first = first.where("class_id <> other").select(
         F.least("class_id", "other").alias("a"), F.greatest("class_id", "other").alias("b")
     )
     checked = stage(first.distinct(), "first-pairs")
-    links = stage(verified(checked, docs, signed, n, percent), "first-links")
+    ends = checked.select(F.explode(F.array("a", "b")).alias("class_id"))
+    links = stage(verified(checked, class_sets(ends, docs, signed, n), percent), "first-links")
     labels = components(links)
 
     labelled = members.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
@@ -180,18 +200,23 @@ def class_links(docs: DataFrame, signed: DataFrame, n: int, percent: int) -> Dat
     labelled = stage(labelled, "labelled-members")
     open_ = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
     open_ = stage(labelled.join(open_.where("x < y").select("key"), "key", "left_semi"), "open-members")
+    if open_.isEmpty():
+        return labels
+    sets = class_sets(open_, docs, signed, n)
+    open_ = stage(with_common(open_, sets), "open-members")
     a, b = open_.alias("a"), open_.alias("b")
+    # An intersection is at most the lesser number of common shingles: pairs that cannot reach the
+    # similarity are never made.
+    most = F.least("a.common", "b.common")
     rest = a.join(
         b,
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.class_id") < F.col("b.class_id"))
         & (F.col("a.label") != F.col("b.label"))
-        & may_link("a.size", "b.size"),
+        & ((100 + percent) * most >= percent * (F.col("a.size") + F.col("b.size"))),
     ).select(F.col("a.class_id").alias("a"), F.col("b.class_id").alias("b"))
     rest = stage(rest.distinct().join(checked, ["a", "b"], "left_anti"), "rest-pairs")
-    if rest.isEmpty():
-        return labels
-    more = stage(verified(rest, docs, signed, n, percent), "rest-links")
+    more = stage(verified(rest, sets, percent), "rest-links")
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
