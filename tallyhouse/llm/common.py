@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyhouse.storage import stage
 
 # Words remembered by a Python worker; beyond this a hash is computed anew each time.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 # Most ids that are sent to every executor (8 bytes each); a larger set is joined by shuffling.
 BROADCAST_IDS = 2_000_000
 

@@ -35,7 +35,7 @@ MAX_SAMPLE = 5_000
 LEAST_DOCUMENTS = 5
 ROUNDS, RATE, PENALTY = 200, 0.1, 1e-4
 STRENGTH = 3.0
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 CUTOFF = 0.3
 # A sentence is offending from this chance on.
 OFFENDING = 0.5
