@@ -15,24 +15,30 @@ the first layer are the base; deeper layers add spans, base spans always stay.
 
 Defined results: null and empty texts have no find; documents without id are scanned; equal spans
 found on several ways are given once; every character of compressed content maps to the whole base64
-word. Bytes that are not readable UTF-8 are not a layer. Compressed content is read as a stream up
-to ``MOST_UNPACKED`` characters per layer, a bound that keeps a decompression bomb from ending the
-task; such a layer is scanned as far as that and counted in ``n_cut``. Other columns of the input
-are neither read nor required.
+word. Bytes that are not readable UTF-8 are not a layer. Compressed content is all members of its
+bytes, one after the other, and what follows them; if that is not readable as a whole, each readable
+member is a layer. It is read as a stream: beyond ``MOST_UNPACKED`` characters it is scanned in pieces,
+one at a time, cut only where no match and no encoded part can go on, and counted in ``n_cut``. So
+memory grows with a stretch that has no such place, and with nothing else. Other columns of the
+input are neither read nor required.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import codecs
+import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+# Bytes unpacked at once, and characters of a piece.
 MOST_UNPACKED = 64 << 20
 
 # The three kinds and their least sizes.
@@ -50,6 +56,11 @@ ESCAPE = re.compile(
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
 LONG_HEX = re.compile(r"[0-9a-f]{24}")
+# Up to the last place where a text may be cut: after a character that is in no pattern above, or
+# between two plain words, which no separator can join once escapes are undone.
+CUT = re.compile(
+    r"""(?s).*(?:[^A-Za-z0-9+/_.=\-"':%\\&#;{}\x20\r\n\t]|[\x20\n][A-Za-z0-9]+(?=\x20[A-Za-z0-9]))"""
+)
 
 Span = tuple[int, int]
 Find = tuple[int, int, int]
@@ -75,40 +86,117 @@ def scan(text: str) -> list[Find]:
 class Layer:
     """A decoded text, the original span of each character, and the texts on the way to it."""
 
-    def __init__(self, text: str, spans: list[Span] | None, depth: int) -> None:
+    def __init__(self, text: str, spans: list[Span] | Span | None, depth: int) -> None:
         self.text, self.spans, self.depth = text, spans, depth
 
     def original(self, start: int, end: int) -> Span:
         if self.spans is None:
             return start, end
+        if isinstance(self.spans, tuple):
+            return self.spans
         part = self.spans[start:end]
         return min(a for a, _ in part), max(b for _, b in part)
 
 
+def _plain(text: str) -> int:
+    """How many characters are printable or end lines and columns."""
+    if text.isprintable():
+        return len(text)
+    return sum(c.isprintable() or c in "\t\r\n" for c in text)
+
+
 def readable(raw: bytes) -> str | None:
     """The text of bytes that are UTF-8 and almost wholly printable."""
     try:
         text = raw.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    plain = sum(c.isprintable() or c in "\t\r\n" for c in text)
-    return text if text and plain >= 0.95 * len(text) else None
+    return text if text and _plain(text) >= 0.95 * len(text) else None
+
 
+class Reading:
+    """Whether bytes that come in parts are readable."""
+
+    def __init__(self) -> None:
+        self.decoder = codecs.getincrementaldecoder("utf-8")()
+        self.size = self.plain = 0
+        self.valid = True
+
+    def add(self, part: bytes, final: bool = False) -> None:
+        try:
+            text = self.decoder.decode(part, final) if self.valid else ""
+        except UnicodeDecodeError:
+            self.valid, text = False, ""
+        self.size += len(text)
+        self.plain += _plain(text)
 
-def unpacked(raw: bytes) -> tuple[bytes, bool] | None:
-    """The content of gzip or zlib bytes, and whether it goes on beyond the bound."""
+    def readable(self) -> bool:
+        self.add(b"", True)
+        return self.valid and self.size > 0 and self.plain >= 0.95 * self.size
+
+
+def _packing(raw: bytes) -> int | None:
+    """The window bits that zlib takes for gzip or zlib bytes."""
     if raw[:2] == b"\x1f\x8b":
-        mode = 31
-    elif len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0:
-        mode = 15
-    else:
+        return 31
+    return 15 if len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0 else None
+
+
+def unpacked(raw: bytes) -> Iterator[tuple[int, bytes]]:
+    """(member, bytes) of compressed bytes in parts of bounded size, member after member to the end;
+    what follows the last whole one and cannot be unpacked comes as it is. Raises zlib.error if the
+    first member cannot be unpacked."""
+    member, rest = 0, raw
+    while rest:
+        mode, start = _packing(rest), rest
+        if mode is None:
+            yield member, rest
+            return
+        stream = zlib.decompressobj(mode)
+        try:
+            more = True
+            while more:
+                out = stream.decompress(rest, MOST_UNPACKED)
+                rest = stream.unconsumed_tail
+                more = not stream.eof and bool(out or rest)
+                if out:
+                    yield member, out
+        except zlib.error:
+            if not member:
+                raise
+            yield member + 1, start
+            return
+        rest = stream.unused_data.lstrip(b"\0")
+        member += 1
+
+
+def _pieces(parts: Iterable[tuple[int, bytes]]) -> Iterator[str]:
+    decoder, text = codecs.getincrementaldecoder("utf-8")(), ""
+    for _, part in parts:
+        text += decoder.decode(part)
+        if len(text) >= MOST_UNPACKED and (whole := CUT.match(text)):
+            yield text[: whole.end()]
+            text = text[whole.end() :]
+    if text:
+        yield text
+
+
+def contents(raw: bytes) -> list[Iterator[str]] | Iterator[Iterator[str]] | None:
+    """The readable texts that bytes unpack to, each in pieces that are read one by one; None if the
+    bytes are not compressed."""
+    if _packing(raw) is None:
         return None
-    stream = zlib.decompressobj(mode)
+    whole, members = Reading(), {}
     try:
-        out = stream.decompress(raw, MOST_UNPACKED)
+        for member, part in unpacked(raw):
+            whole.add(part)
+            members.setdefault(member, Reading()).add(part)
     except zlib.error:
         return None
-    return out, not stream.eof and bool(stream.unconsumed_tail)
+    if whole.readable():
+        return [_pieces(unpacked(raw))]
+    good = {m for m, r in members.items() if r.readable()}
+    return (_pieces(parts) for m, parts in groupby(unpacked(raw), lambda x: x[0]) if m in good)
 
 
 def _spans_of_bytes(text: str, at: list[Span]) -> list[Span]:
@@ -121,23 +209,28 @@ def _spans_of_bytes(text: str, at: list[Span]) -> list[Span]:
     return spans
 
 
-def _replaced(layer: Layer, parts: Iterator[tuple[int, int, str, list[Span]]]) -> tuple[str, list[Span]] | None:
+def _replaced(
+    layer: Layer, parts: Iterator[tuple[int, int, str, list[Span]]]
+) -> tuple[str, list[Span] | Span] | None:
     """The whole layer with the given parts (start, end, text, spans) put in, as names and values may
     be encoded in part; None without parts."""
-    text, spans, k = [], [], 0
+    text, spans, k, one = [], [], 0, isinstance(layer.spans, tuple)
     for start, end, part, of_part in parts:
         text += (layer.text[k:start], part)
-        spans += (layer.original(i, i + 1) for i in range(k, start))
-        spans += of_part
+        if not one:
+            spans += (layer.original(i, i + 1) for i in range(k, start))
+            spans += of_part
         k = end
     if not k:
         return None
     text.append(layer.text[k:])
+    if one:
+        return "".join(text), layer.spans
     spans += (layer.original(i, i + 1) for i in range(k, len(layer.text)))
     return "".join(text), spans
 
 
-def percent_layers(layer: Layer) -> Iterator[tuple[str, list[Span]]]:
+def percent_layers(layer: Layer) -> Iterator[tuple[str, list[Span] | Span]]:
     def parts() -> Iterator[tuple[int, int, str, list[Span]]]:
         for m in PERCENT_RUN.finditer(layer.text):
             raw = unquote_to_bytes(m.group())
@@ -152,7 +245,7 @@ def percent_layers(layer: Layer) -> Iterator[tuple[str, list[Span]]]:
         yield found
 
 
-def escape_layers(layer: Layer) -> Iterator[tuple[str, list[Span]]]:
+def escape_layers(layer: Layer) -> Iterator[tuple[str, list[Span] | Span]]:
     def parts() -> Iterator[tuple[int, int, str, list[Span]]]:
         for m in ESCAPE.finditer(layer.text):
             code = int(m.group(6)) if m.group(6) else int(next(g for g in m.groups() if g), 16)
@@ -163,7 +256,8 @@ def escape_layers(layer: Layer) -> Iterator[tuple[str, list[Span]]]:
         yield found
 
 
-def base64_layers(layer: Layer) -> Iterator[tuple[str, list[Span], bool]]:
+def base64_layers(layer: Layer) -> Iterator[tuple[str, list[Span] | Span, bool]]:
+    """Text, spans, and whether it is the second piece of a content."""
     for m in BASE64.finditer(layer.text):
         word = m.group().rstrip("=")
         if len(word) % 4 == 1 or word.isalpha() and (word.islower() or word.istitle()):
@@ -172,13 +266,11 @@ def base64_layers(layer: Layer) -> Iterator[tuple[str, list[Span], bool]]:
             raw = base64.b64decode(word.replace("-", "+").replace("_", "/") + "=" * (-len(word) % 4), validate=True)
         except binascii.Error:
             continue
-        whole = unpacked(raw)
-        if whole is not None:
-            text = readable(whole[0])
-            if text is None and whole[1]:
-                text = readable(whole[0][: len(whole[0]) - 3].decode("utf-8", "ignore").encode())
-            if text:
-                yield text, [layer.original(m.start(), m.end())] * len(text), whole[1]
+        packed = contents(raw)
+        if packed is not None:
+            for pieces in packed:
+                for k, text in enumerate(pieces):
+                    yield text, layer.original(m.start(), m.end()), k == 1
             continue
         text = readable(raw)
         if text:
@@ -190,27 +282,43 @@ def base64_layers(layer: Layer) -> Iterator[tuple[str, list[Span], bool]]:
             yield text, _spans_of_bytes(text, at), False
 
 
+def _short(text: str) -> str | bytes:
+    """What stands for a text among those met: a digest instead of a long one."""
+    return text if len(text) < 4096 else hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
+
+
 def scan_layers(text: str | None) -> tuple[list[Find], dict[Find, int], int, int]:
     """The base finds; every find with the depth of the first layer that shows it; how many layers
-    were entered; how many of them are cut."""
+    were entered; how many contents are scanned in pieces."""
     first = Layer(text or "", None, 0)
     base = scan(first.text)
     found = {f: 0 for f in base}
-    work, met, layers, cut = [first], {(first.text, None)}, 0, 0
+    met, layers, cut = {(_short(first.text), None)}, 0, 0
+
+    def inner(layer: Layer) -> Iterator[Layer]:
+        nonlocal cut
+        for make in (percent_layers, escape_layers, base64_layers):
+            for text_, spans, *more in make(layer):
+                cut += bool(more and more[0])
+                if not text_ or text_ == layer.text:
+                    continue
+                key = (_short(text_), spans if isinstance(spans, tuple) else (spans[0][0], spans[-1][1]))
+                if key not in met:
+                    met.add(key)
+                    yield Layer(text_, spans, layer.depth + 1)
+
+    work = [iter([first])]
     while work:
-        layer = work.pop()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         layers += 1
         if layer.depth:
             for start, kind, end in scan(layer.text):
                 a, b = layer.original(start, end)
-                found.setdefault((a, kind, b), layer.depth)
-        for text_, spans, *more in (*percent_layers(layer), *escape_layers(layer), *base64_layers(layer)):
-            key = (text_, (spans[0][0], spans[-1][1]) if spans else None)
-            if not text_ or text_ == layer.text or key in met:
-                continue
-            met.add(key)
-            cut += bool(more and more[0])
-            work.append(Layer(text_, spans, layer.depth + 1))
+                found[a, kind, b] = min(layer.depth, found.get((a, kind, b), layer.depth))
+        work.append(inner(layer))
     return base, found, layers, cut
 
 

@@ -300,6 +300,31 @@ def test_unpacking_is_bounded(monkeypatch):
     assert cut == 1 and len(found) == len(base) + 1
 
 
+@pytest.mark.parametrize(
+    "filler", [b" x" * 5_000, b"\n" * 5_000, b"x" * 5_000, "é, ".encode() * 5_000, b"token : %3D " * 700, b"lines of text\n" * 500]
+)
+@pytest.mark.parametrize("size", [7, 1000])
+def test_compressed_content_is_scanned_to_its_end(monkeypatch, filler, size):
+    monkeypatch.setattr(secret_scan, "MOST_UNPACKED", size)
+    inner = base64.b64encode(b"some words around AKIA" + b"Q" * 16)
+    text = filler + b" " + SECRET.encode() + b" " + filler + b" " + inner + b" " + filler
+    word = base64.b64encode(zlib.compress(text)).decode()
+    assert {("assign", word), ("access", word)} <= set(added(f"a {word} b"))
+
+
+def test_all_members_are_scanned(monkeypatch):
+    def of(*parts: bytes) -> list[tuple[str, str]]:
+        return [k for k, _ in added(base64.b64encode(b"".join(parts)).decode())]
+
+    plain, secret = gzip.compress(b"first member, nothing in it "), gzip.compress(SECRET.encode())
+    for _ in range(2):
+        assert of(plain, secret) == of(plain, plain, b"\0" * 8, secret) == of(plain, zlib.compress(SECRET.encode())) == ["assign"]
+        assert of(gzip.compress(b"pass"), gzip.compress(b"word=hunter2secret")) == ["assign"]
+        assert of(secret, gzip.compress(bytes(range(256)) * 9)) == of(gzip.compress(b"\xff" * 99), secret) == ["assign"]
+        assert of(secret, plain[:9] + b"\xff" * 20) == of(plain, b" " + SECRET.encode()) == ["assign"]
+        monkeypatch.setattr(secret_scan, "MOST_UNPACKED", 5)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aeksrtoken=:'\"%20\\u0041&#;A9+/ \n"), max_size=60))
 def test_any_text_ends_with_spans_inside(text):
