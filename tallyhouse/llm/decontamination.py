@@ -10,8 +10,13 @@ one alignment of item and document, every value of the item stands for one value
 and the other way round. So a question asked again with other values is found, and a text that
 merely has the same shape is not.
 
+A second set of windows is free of case: there a word is itself in lower case, capital or not, so that
+a copy in other letter case is found too. A document leaks an item if either set reaches the bound;
+the counts are those of the first set if it does.
+
 Everything is a DataFrame expression. Documents make windows within a row; the hash join is a
-broadcast of the benchmark's windows if they are few, which is checked, and a shuffle otherwise.
+broadcast of the benchmark's windows if they are few, which is checked, and a shuffle otherwise. A
+window without ``<name>`` is the same in both sets and made once.
 Slots are looked at only for documents and items that have enough windows. No text is shuffled but
 that of those documents, if they are too many to be sent as ids.
 
@@ -47,6 +52,8 @@ UNITS = (
 ).split()
 
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
+# The sets of windows, as bits: with names as slots, and free of case.
+NAMED, FREE = 1, 2
 
 
 def tokens_of(text: Column) -> Column:
@@ -61,50 +68,95 @@ def _is_end(token: Column) -> Column:
     return token.isin(".", "!", "?", "\n")
 
 
-def template_of(tokens: Column, token: Column, at: Column) -> Column:
-    """The template token of one token, given all tokens and its place; null for an end mark."""
-    before = F.get(tokens, at - 1)
+def mark_of(tokens: Column, token: Column, at: Column, values: bool) -> Column:
+    """The template token of one token, given all tokens and its place; null for an end mark. A name
+    carries its word and ``|``; with ``values`` numbers and units carry theirs."""
+    before, word = F.get(tokens, at - 1), F.lower(token)
     return (
         F.when(_is_end(token), F.lit(None).cast("string"))
-        .when(_is_number(token), NUMBER)
-        .when((at > 0) & _is_number(before) & F.lower(token).isin(UNITS), UNIT)
-        .when((at > 0) & ~_is_end(before) & (F.lower(token) != token), NAME)
-        .otherwise(F.lower(token))
+        .when(_is_number(token), F.concat(F.lit(NUMBER), token) if values else F.lit(NUMBER))
+        .when(
+            (at > 0) & _is_number(before) & word.isin(UNITS),
+            F.concat(F.lit(UNIT), word) if values else F.lit(UNIT),
+        )
+        .when((at > 0) & ~_is_end(before) & (word != token), F.concat(F.lit(NAME), word, F.lit("|")))
+        .otherwise(word)
     )
 
 
-def templates(tokens: Column) -> Column:
-    """The template tokens of a token column, without end marks."""
+def marks(tokens: Column, values: bool = False) -> Column:
+    """The marks of a token column, without end marks."""
     return F.filter(
-        F.transform(tokens, lambda x, i: template_of(tokens, x, i)), lambda x: x.isNotNull()
+        F.transform(tokens, lambda x, i: mark_of(tokens, x, i, values)), lambda x: x.isNotNull()
     )
 
 
-def _windows(rows: DataFrame, keep: list[str], tokens: str) -> DataFrame:
-    """(*keep, at, key): place and hash of every window with enough plain words. The shifted arrays
-    are zipped, so a row of the result holds five tokens and never the whole text."""
-    n = F.size(tokens)
-    shifted = [
-        F.slice(tokens, k + 1, F.greatest(n - F.lit(WINDOW - 1), F.lit(0))).alias(f"t{k}")
-        for k in range(WINDOW)
-    ]
+def _free(of: Column, prefix: str = "") -> Column:
+    """Marks with the words of names after a prefix."""
+    return F.transform(
+        of,
+        lambda x: F.when(
+            x.startswith(NAME), F.concat(F.lit(prefix), F.regexp_extract(x, r"^<name>(.*)\|$", 1))
+        ).otherwise(x),
+    )
+
+
+def _zipped(of: Column) -> Column:
+    """Every window of an array, as a struct of its parts: the shifted arrays are zipped, so a row
+    holds five tokens and never the whole text."""
+    n = F.greatest(F.size(of) - F.lit(WINDOW - 1), F.lit(0))
+    names = [f"t{k}" for k in range(WINDOW)]
+    slices = [F.slice(of, k + 1, n) for k in range(WINDOW)]
+    return F.arrays_zip(*slices).cast("array<struct<" + ",".join(f"{x}:string" for x in names) + ">>")
+
+
+def _enough(parts: list[Column]) -> Column:
+    return sum((~p.startswith("<")).cast("int") for p in parts) >= LEAST_PLAIN
+
+
+def _windows(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """(*keep, key, sets): hash of every window with enough plain words of the rows' texts, and the
+    sets that it is in."""
+    rows = rows.select(*keep, tokens_of(F.col("text")).alias("tokens"))
+    rows = rows.select(*keep, marks(F.col("tokens")).alias("marks"))
     parts = [F.col(f"w.t{k}") for k in range(WINDOW)]
-    plain = sum((~p.isin(NUMBER, UNIT, NAME)).cast("int") for p in parts)
+    named = F.exists("marks", lambda x: x.startswith(NAME))
+    free = F.filter(
+        _zipped(_free(F.col("marks"), "=")),
+        lambda w: F.concat(*(F.substring(w[f"t{k}"], 1, 1) for k in range(WINDOW))).contains("="),
+    )
+    both = F.when(named, F.concat(_zipped(F.col("marks")), free)).otherwise(_zipped(F.col("marks")))
+    bare = [
+        F.when(p.startswith(NAME), NAME).when(p.startswith("="), F.substr(p, F.lit(2))).otherwise(p)
+        for p in parts
+    ]
+    is_free = F.concat(*(F.substring(p, 1, 1) for p in parts)).contains("=")
+    is_named = F.concat(*parts).contains("|")
     return (
-        rows.select(*keep, F.posexplode(F.arrays_zip(*shifted)).alias("at", "w"))
-        .where(plain >= LEAST_PLAIN)
-        .select(*keep, "at", F.xxhash64(*parts).alias("key"))
+        rows.select(*keep, F.explode(both).alias("w"))
+        .where(_enough(parts))
+        .select(
+            *keep,
+            F.xxhash64(*bare).alias("key"),
+            F.when(is_free, FREE).when(is_named, NAMED).otherwise(NAMED | FREE).alias("sets"),
+        )
     )
 
 
+def _per_set(found: DataFrame) -> DataFrame:
+    """A row for each set of a window."""
+    sets = F.array(F.lit(NAMED), F.lit(FREE))
+    return found.withColumn("of_set", F.explode(F.filter(sets, lambda x: x.bitwiseAND(F.col("sets")) > 0))).drop("sets")
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, item_at, key, n_windows), stored: the windows of every item and their number."""
-    rows = benchmark.select("item_id", tokens_of(F.col("text")).alias("tokens"))
-    rows = rows.select("item_id", templates(F.col("tokens")).alias("template"))
-    found = stage(_windows(rows, ["item_id"], "template"), "item-windows")
-    counts = found.groupBy(F.col("item_id").alias("i_")).agg(F.countDistinct("key").alias("n_windows"))
-    found = found.join(counts, F.col("item_id").eqNullSafe(F.col("i_")))
-    return stage(found.select("item_id", F.col("at").alias("item_at"), "key", "n_windows"), "benchmark-windows")
+    """(item_id, of_set, key, n_windows), stored: the distinct windows of every item and their number."""
+    found = stage(_per_set(_windows(benchmark, ["item_id"])).distinct(), "item-windows")
+    counts = found.groupBy(F.col("item_id").alias("i_"), F.col("of_set").alias("s_")).agg(
+        F.count("*").alias("n_windows")
+    )
+    found = found.join(counts, F.col("item_id").eqNullSafe(F.col("i_")) & (F.col("of_set") == F.col("s_")))
+    return stage(found.select("item_id", "of_set", "key", "n_windows"), "benchmark-windows")
 
 
 def _small(windows: DataFrame) -> DataFrame:
@@ -112,69 +164,60 @@ def _small(windows: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, item_id) that share enough windows, whatever the slots hold; stored."""
-    rows = docs.select("doc_id", tokens_of(F.col("text")).alias("tokens"))
-    rows = rows.select("doc_id", templates(F.col("tokens")).alias("template"))
-    keys = windows.select("item_id", "key", "n_windows").distinct()
+    """(doc_id, item_id, of_set) that share enough windows, whatever the slots hold; stored."""
     found = (
-        _windows(rows, ["doc_id"], "template")
-        .join(_small(stage(keys, "item-keys")), "key")
-        .groupBy("doc_id", "item_id", "n_windows")
+        _windows(docs, ["doc_id"])
+        .join(_small(windows), "key")
+        .where(F.col("of_set").bitwiseAND(F.col("sets")) > 0)
+        .groupBy("doc_id", "item_id", "of_set", "n_windows")
         .agg(F.countDistinct("key").alias("n"))
         .where(100 * F.col("n") >= PERCENT * F.col("n_windows"))
     )
-    return stage(found.select("doc_id", "item_id"), "leak-candidates")
+    return stage(found.select("doc_id", "item_id", "of_set"), "leak-candidates")
+
+
+def _slots(rows: DataFrame, name: str) -> DataFrame:
+    """(name, of_set, at, key, slots) of the windows of both sets: the slots are the marks that stand
+    for a number, unit or name, with its value."""
+    rows = rows.select(name, tokens_of(F.col("text")).alias("tokens"))
+    rows = rows.select(name, marks(F.col("tokens"), values=True).alias("marks"))
+    named = rows.select(name, F.lit(NAMED).alias("of_set"), F.posexplode(_zipped(F.col("marks"))).alias("at", "w"))
+    free = rows.select(
+        name, F.lit(FREE).alias("of_set"), F.posexplode(_zipped(_free(F.col("marks")))).alias("at", "w")
+    )
+    parts = [F.col(f"w.t{k}") for k in range(WINDOW)]
+    bare = [F.when(p.startswith("<"), F.regexp_extract(p, "^<[a-z]+>", 0)).otherwise(p) for p in parts]
+    slots = F.array(*(F.when(p.startswith("<"), p) for p in parts))
+    return (
+        named.unionByName(free)
+        .where(_enough(parts))
+        .select(name, "of_set", "at", F.xxhash64(*bare).alias("key"), slots.alias("slots"))
+    )
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_matched, n_windows) of every item that a document leaks."""
     windows = benchmark_windows(benchmark)
     pairs = candidates(docs, windows)
-
-    def slots(rows: DataFrame, name: str) -> DataFrame:
-        """Windows with what stands at their places: the token, and whether it fills a slot."""
-        rows = rows.select(name, tokens_of(F.col("text")).alias("tokens"))
-        tokens = F.col("tokens")
-        both = F.filter(
-            F.transform(
-                tokens,
-                lambda x, i: F.struct(x.alias("raw"), template_of(tokens, x, i).alias("template")),
-            ),
-            lambda x: x["template"].isNotNull(),
-        )
-        rows = rows.select(name, both.alias("both")).withColumn("template", F.col("both.template"))
-        rows = rows.withColumn("raw", F.col("both.raw"))
-        n = F.greatest(F.size("template") - F.lit(WINDOW - 1), F.lit(0))
-        shifted = [F.slice("raw", k + 1, n).alias(f"r{k}") for k in range(WINDOW)]
-        shifted += [F.slice("template", k + 1, n).alias(f"t{k}") for k in range(WINDOW)]
-        kinds = [F.col(f"w.t{k}") for k in range(WINDOW)]
-        plain = sum((~p.isin(NUMBER, UNIT, NAME)).cast("int") for p in kinds)
-        values = F.array(
-            *(
-                F.when(F.col(f"w.t{k}").isin(NUMBER, UNIT, NAME), F.concat(f"w.t{k}", F.lower(f"w.r{k}")))
-                for k in range(WINDOW)
-            )
-        )
-        return (
-            rows.select(name, F.posexplode(F.arrays_zip(*shifted)).alias("at", "w"))
-            .where(plain >= LEAST_PLAIN)
-            .select(name, "at", F.xxhash64(*kinds).alias("key"), values.alias("slots"))
-        )
-
     known = with_ids(docs.select("doc_id", "text"), pairs.where("doc_id IS NOT NULL"), "doc_id")
     unknown = docs.select("doc_id", "text").where("doc_id IS NULL")
-    d = slots(known.unionByName(unknown), "doc_id").withColumnsRenamed({"at": "doc_at", "slots": "doc_slots"})
-    i = slots(benchmark.select("item_id", "text"), "item_id")
+    d = _slots(known.unionByName(unknown), "doc_id").withColumnsRenamed({"at": "doc_at", "slots": "doc_slots"})
+    i = _slots(benchmark.select("item_id", "text"), "item_id")
     i = i.withColumnsRenamed({"at": "item_at", "slots": "item_slots"})
-    sizes = windows.select(F.col("item_id").alias("of_"), "n_windows").distinct()
-    wanted = pairs.toDF("d_", "i_").join(sizes, F.col("i_").eqNullSafe(F.col("of_"))).drop("of_")
-    matches = d.join(i, "key").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("d_")) & F.col("item_id").eqNullSafe(F.col("i_"))
+    sizes = windows.select(F.col("item_id").alias("of_"), F.col("of_set").alias("s_"), "n_windows").distinct()
+    wanted = pairs.toDF("d_", "i_", "set_").join(
+        sizes, F.col("i_").eqNullSafe(F.col("of_")) & (F.col("set_") == F.col("s_"))
+    ).drop("of_", "s_")
+    matches = d.join(i, ["of_set", "key"]).join(
+        wanted,
+        F.col("doc_id").eqNullSafe(F.col("d_"))
+        & F.col("item_id").eqNullSafe(F.col("i_"))
+        & (F.col("of_set") == F.col("set_")),
     )
     matches = matches.withColumn("shift", F.col("doc_at") - F.col("item_at"))
-    matches = stage(matches.drop("d_", "i_", "doc_at"), "window-matches")
+    matches = stage(matches.drop("d_", "i_", "set_", "doc_at"), "window-matches")
 
-    line = ["doc_id", "item_id", "shift"]
+    line = ["doc_id", "item_id", "of_set", "shift"]
     values = matches.select(*line, F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("v"))
     values = values.where("v.item_slots IS NOT NULL").select(
         *line, F.col("v.item_slots").alias("asked"), F.col("v.doc_slots").alias("found")
@@ -184,20 +227,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         values.groupBy(*line, "asked").count().where("count > 1").select(*line)
         .union(values.groupBy(*line, "found").count().where("count > 1").select(*line))
         .distinct()
-        .toDF("d_", "i_", "s_")
+        .toDF("d_", "i_", "set_", "s_")
     )
     consistent = matches.join(
         twice,
         F.col("doc_id").eqNullSafe(F.col("d_"))
         & F.col("item_id").eqNullSafe(F.col("i_"))
+        & (F.col("of_set") == F.col("set_"))
         & (F.col("shift") == F.col("s_")),
         "left_anti",
     )
-    return (
-        consistent.groupBy("doc_id", "item_id", "n_windows")
+    found = (
+        consistent.groupBy("doc_id", "item_id", "of_set", "n_windows")
         .agg(F.countDistinct("key").alias("n_matched"))
         .where(100 * F.col("n_matched") >= PERCENT * F.col("n_windows"))
-        .select("doc_id", "item_id", "n_matched", "n_windows")
+    )
+    best = F.min(F.struct("of_set", "n_matched", "n_windows")).alias("best")
+    return found.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", "best.n_matched", "best.n_windows"
     )
 
 

@@ -232,6 +232,23 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert decontamination.leaks(docs, benchmark).count() == 0
 
 
+def leaked(spark, item: str, *texts: str) -> list[bool]:
+    """Whether each text leaks the item."""
+    docs = awkward(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    benchmark = spark.createDataFrame([(1, item), (2, None)], "item_id BIGINT, text STRING")
+    found = decontamination.leak_report(docs, benchmark).where("item_id = 1").collect()
+    return [i in {r.doc_id for r in found} for i in range(len(texts))]
+
+
+def test_leaks_in_other_letter_case(spark):
+    docs, benchmark = leak_tables(spark)
+    got = {r.doc_id: (r.n_leaked, r.item_id) for r in decontamination.leak_report(docs, benchmark).collect()}
+    assert got[5] == (1, 1)
+    values = ITEM.replace("12", "47").replace("300", "8")
+    cases = [ITEM.upper(), ITEM.title(), values.lower(), ITEM.swapcase(), BROKEN.lower(), "A FARMER HAS COWS."]
+    assert leaked(spark, ITEM, *cases) == [True] * 4 + [False] * 2
+
+
 def test_leaks_by_shuffle_and_of_empty_tables(spark, monkeypatch):
     docs, benchmark = leak_tables(spark)
     want = rows_of(decontamination.leak_report(docs, benchmark))
