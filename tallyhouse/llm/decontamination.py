@@ -1,8 +1,8 @@
 """Benchmark questions found in documents, also with other numbers, names and units.
 
 A text is cut into tokens: numbers, words, and marks that end a sentence. Each token becomes one of a
-template: a number is ``<number>``, a unit right after a number ``<unit>``, a word with a capital that
-does not begin a sentence ``<name>``, any other word itself in lower case. Windows of ``WINDOW``
+template: a number is ``<number>``, a unit right after a number ``<unit>``, a run of words with a
+capital that do not begin a sentence one ``<name>``, any other word itself in lower case. Windows of ``WINDOW``
 template tokens, of which at least ``LEAST_PLAIN`` are plain words, are joined by hash with those of
 the benchmark. A document leaks an item if the distinct windows of the item that it contains are at
 least ``PERCENT`` per cent of the item's windows, counting only windows with consistent slots: along
@@ -12,7 +12,9 @@ merely has the same shape is not.
 
 A second set of windows is free of case: there a word is itself in lower case, capital or not, so that
 a copy in other letter case is found too. A document leaks an item if either set reaches the bound;
-the counts are those of the first set if it does.
+the counts are those of the first set if it does. It also leaks an item, whatever share that is, if
+``RUN`` windows that follow each other in the item match along one alignment with consistent slots;
+the counts are then those of the windows in such runs.
 
 Everything is a DataFrame expression. Documents make windows within a row; the hash join is a
 broadcast of the benchmark's windows if they are few, which is checked, and a shuffle otherwise. A
@@ -28,7 +30,7 @@ item go to the smallest id; empty tables give empty results. Other columns are n
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import with_ids
@@ -37,6 +39,8 @@ from tallyhouse.storage import stage
 WINDOW = 5
 LEAST_PLAIN = 3
 PERCENT = 80
+# Windows of a run that is a leak by itself: 30 tokens.
+RUN = 26
 # Most benchmark windows that are sent to every executor (about 24 bytes each).
 BROADCAST_WINDOWS = 2_000_000
 
@@ -91,6 +95,12 @@ def marks(tokens: Column, values: bool = False) -> Column:
     )
 
 
+def _collapsed(of: Column) -> Column:
+    """Marks with neighbouring names as one."""
+    joined = F.replace(F.array_join(of, " "), F.lit(f"| {NAME}"), F.lit("_"))
+    return F.filter(F.split(joined, " "), lambda x: x != "")
+
+
 def _free(of: Column, prefix: str = "") -> Column:
     """Marks with the words of names after a prefix."""
     return F.transform(
@@ -125,7 +135,7 @@ def _windows(rows: DataFrame, keep: list[str]) -> DataFrame:
         _zipped(_free(F.col("marks"), "=")),
         lambda w: F.concat(*(F.substring(w[f"t{k}"], 1, 1) for k in range(WINDOW))).contains("="),
     )
-    both = F.when(named, F.concat(_zipped(F.col("marks")), free)).otherwise(_zipped(F.col("marks")))
+    both = F.when(named, F.concat(_zipped(_collapsed(F.col("marks"))), free)).otherwise(_zipped(F.col("marks")))
     bare = [
         F.when(p.startswith(NAME), NAME).when(p.startswith("="), F.substr(p, F.lit(2))).otherwise(p)
         for p in parts
@@ -150,13 +160,15 @@ def _per_set(found: DataFrame) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, of_set, key, n_windows), stored: the distinct windows of every item and their number."""
-    found = stage(_per_set(_windows(benchmark, ["item_id"])).distinct(), "item-windows")
+    """(item_id, of_set, key, n_at, n_windows), stored: the distinct windows of every item, at how many
+    places they are, and their number."""
+    found = _per_set(_windows(benchmark, ["item_id"])).groupBy("item_id", "of_set", "key")
+    found = stage(found.agg(F.count("*").alias("n_at")), "item-windows")
     counts = found.groupBy(F.col("item_id").alias("i_"), F.col("of_set").alias("s_")).agg(
         F.count("*").alias("n_windows")
     )
     found = found.join(counts, F.col("item_id").eqNullSafe(F.col("i_")) & (F.col("of_set") == F.col("s_")))
-    return stage(found.select("item_id", "of_set", "key", "n_windows"), "benchmark-windows")
+    return stage(found.select("item_id", "of_set", "key", "n_at", "n_windows"), "benchmark-windows")
 
 
 def _small(windows: DataFrame) -> DataFrame:
@@ -169,9 +181,11 @@ def candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
         _windows(docs, ["doc_id"])
         .join(_small(windows), "key")
         .where(F.col("of_set").bitwiseAND(F.col("sets")) > 0)
+        .groupBy("doc_id", "item_id", "of_set", "n_windows", "key")
+        .agg(F.first("n_at").alias("n_at"))
         .groupBy("doc_id", "item_id", "of_set", "n_windows")
-        .agg(F.countDistinct("key").alias("n"))
-        .where(100 * F.col("n") >= PERCENT * F.col("n_windows"))
+        .agg(F.count("*").alias("n"), F.sum("n_at").alias("n_places"))
+        .where((100 * F.col("n") >= PERCENT * F.col("n_windows")) | (F.col("n_places") >= RUN))
     )
     return stage(found.select("doc_id", "item_id", "of_set"), "leak-candidates")
 
@@ -181,7 +195,7 @@ def _slots(rows: DataFrame, name: str) -> DataFrame:
     for a number, unit or name, with its value."""
     rows = rows.select(name, tokens_of(F.col("text")).alias("tokens"))
     rows = rows.select(name, marks(F.col("tokens"), values=True).alias("marks"))
-    named = rows.select(name, F.lit(NAMED).alias("of_set"), F.posexplode(_zipped(F.col("marks"))).alias("at", "w"))
+    named = rows.select(name, F.lit(NAMED).alias("of_set"), F.posexplode(_zipped(_collapsed(F.col("marks")))).alias("at", "w"))
     free = rows.select(
         name, F.lit(FREE).alias("of_set"), F.posexplode(_zipped(_free(F.col("marks")))).alias("at", "w")
     )
@@ -195,6 +209,28 @@ def _slots(rows: DataFrame, name: str) -> DataFrame:
     )
 
 
+def _runs(matches: DataFrame) -> DataFrame:
+    """(doc_id, item_id, of_set, n_windows, n_matched) of pairs with a run of consistent windows."""
+    line = Window.partitionBy("doc_id", "item_id", "of_set", "shift").orderBy("place").rangeBetween(0, RUN - 1)
+    filled = F.filter(F.arrays_zip("item_slots", "doc_slots"), lambda v: v["item_slots"].isNotNull())
+    rows = matches.withColumn("filled", filled).select(
+        "doc_id", "item_id", "of_set", "n_windows",
+        F.size(F.collect_set("place").over(line)).alias("n"),
+        F.collect_set("key").over(line).alias("keys"),
+        F.array_distinct(F.flatten(F.collect_list("filled").over(line))).alias("values"),
+    )
+    n = F.size("values")
+    rows = rows.where(
+        (F.col("n") == RUN)
+        & (n == F.size(F.array_distinct("values.item_slots")))
+        & (n == F.size(F.array_distinct("values.doc_slots")))
+    )
+    pair = ["doc_id", "item_id", "of_set", "n_windows"]
+    return rows.select(*pair, F.explode("keys").alias("key")).groupBy(*pair).agg(
+        F.countDistinct("key").alias("n_matched")
+    )
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_matched, n_windows) of every item that a document leaks."""
     windows = benchmark_windows(benchmark)
@@ -204,6 +240,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     d = _slots(known.unionByName(unknown), "doc_id").withColumnsRenamed({"at": "doc_at", "slots": "doc_slots"})
     i = _slots(benchmark.select("item_id", "text"), "item_id")
     i = i.withColumnsRenamed({"at": "item_at", "slots": "item_slots"})
+    places = Window.partitionBy("item_id", "of_set").orderBy("item_at")
+    i = i.withColumn("place", F.dense_rank().over(places))
     sizes = windows.select(F.col("item_id").alias("of_"), F.col("of_set").alias("s_"), "n_windows").distinct()
     wanted = pairs.toDF("d_", "i_", "set_").join(
         sizes, F.col("i_").eqNullSafe(F.col("of_")) & (F.col("set_") == F.col("s_"))
@@ -242,7 +280,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .agg(F.countDistinct("key").alias("n_matched"))
         .where(100 * F.col("n_matched") >= PERCENT * F.col("n_windows"))
     )
-    best = F.min(F.struct("of_set", "n_matched", "n_windows")).alias("best")
+    found = found.withColumn("way", F.lit(0)).unionByName(_runs(matches).withColumn("way", F.lit(1)))
+    best = F.min(F.struct("way", "of_set", "n_matched", "n_windows")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "best.n_matched", "best.n_windows"
     )

@@ -249,6 +249,20 @@ def test_leaks_in_other_letter_case(spark):
     assert leaked(spark, ITEM, *cases) == [True] * 4 + [False] * 2
 
 
+def test_long_quotes_and_longer_names_are_leaks(spark):
+    words = [f"{'abcdefghij'[k // 10]}{'klmnopqrst'[k % 10]}word" for k in range(100)]
+    words[10:12], words[40] = ["Anna", "12"], "Anna"
+    item = " ".join(words)
+    other = item.replace("Anna", "Mary Ann", 1).replace("Anna", "Mary Ann").replace("12", "9")
+    broken = item.replace("Anna", "Peter", 1)
+    cases = [
+        " ".join(words[:70]), " ".join(words[30:60]), " ".join(words[30:59]), " ".join(words[31:50] + words[:20]),
+        " ".join(other.split()[5:60]), " ".join(broken.split()[5:45]), " ".join(broken.split()[5:75]),
+    ]
+    assert leaked(spark, item, *cases) == [True, True, False, False, True, True, True]
+    assert leaked(spark, ITEM, ITEM.replace("John", "Mary Ann"), BROKEN) == [True, False]
+
+
 def test_leaks_by_shuffle_and_of_empty_tables(spark, monkeypatch):
     docs, benchmark = leak_tables(spark)
     want = rows_of(decontamination.leak_report(docs, benchmark))
