@@ -14,7 +14,8 @@ A second set of windows is free of case: there a word is itself in lower case, c
 a copy in other letter case is found too. A document leaks an item if either set reaches the bound;
 the counts are those of the first set if it does. It also leaks an item, whatever share that is, if
 ``RUN`` windows that follow each other in the item match along one alignment with consistent slots;
-the counts are then those of the windows in such runs.
+the counts are then those of the windows in such runs. An item in which no window has enough plain
+words is one window as a whole: its raw tokens in lower case, without end marks.
 
 Everything is a DataFrame expression. Documents make windows within a row; the hash join is a
 broadcast of the benchmark's windows if they are few, which is checked, and a shuffle otherwise. A
@@ -22,8 +23,8 @@ window without ``<name>`` is the same in both sets and made once.
 Slots are looked at only for documents and items that have enough windows. No text is shuffled but
 that of those documents, if they are too many to be sent as ids.
 
-Defined results: null and empty texts leak nothing; an item with fewer than ``WINDOW`` tokens or
-without a window of enough plain words cannot be found; rows with the same ``doc_id``, or without
+Defined results: null and empty texts leak nothing; an item with fewer than ``LEAST_WHOLE`` tokens
+cannot be found; rows with the same ``doc_id``, or without
 one, are judged together as one document; items with the same or no id likewise; ties for the best
 item go to the smallest id; empty tables give empty results. Other columns are not read.
 """
@@ -41,6 +42,8 @@ LEAST_PLAIN = 3
 PERCENT = 80
 # Windows of a run that is a leak by itself: 30 tokens.
 RUN = 26
+# Tokens of an item that is compared as a whole.
+LEAST_WHOLE = 3
 # Most benchmark windows that are sent to every executor (about 24 bytes each).
 BROADCAST_WINDOWS = 2_000_000
 
@@ -231,6 +234,28 @@ def _runs(matches: DataFrame) -> DataFrame:
     )
 
 
+def _whole_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """(doc_id, item_id) of items without a usable window whose tokens stand in a document one after
+    the other; None without such items."""
+    raw = F.transform(F.filter("tokens", lambda x: ~_is_end(x)), F.lower)
+    items = benchmark.select("item_id", tokens_of(F.col("text")).alias("tokens"))
+    usable = F.exists(
+        _zipped(_free(marks(F.col("tokens")))), lambda w: _enough([w[f"t{k}"] for k in range(WINDOW)])
+    )
+    items = items.where(~usable).select("item_id", raw.alias("raw")).where(F.size("raw") >= LEAST_WHOLE)
+    items = items.select("item_id", F.size("raw").alias("n"), F.xxhash64("raw").alias("key"))
+    items = stage(items.distinct(), "whole-items")
+    lengths = sorted(r.n for r in items.select("n").distinct().collect())
+    if not lengths:
+        return None
+    rows = docs.select("doc_id", tokens_of(F.col("text")).alias("tokens")).select("doc_id", raw.alias("raw"))
+    rows = rows.withColumn("n", F.explode(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.size("raw"))))
+    starts = F.sequence(F.lit(1), F.size("raw") - F.col("n") + 1)
+    keys = F.transform(starts, lambda k: F.xxhash64(F.slice("raw", k, F.col("n"))))
+    rows = rows.select("doc_id", "n", F.explode(F.array_distinct(keys)).alias("key"))
+    return rows.join(_small(items), ["n", "key"]).select("doc_id", "item_id").distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_matched, n_windows) of every item that a document leaks."""
     windows = benchmark_windows(benchmark)
@@ -281,6 +306,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .where(100 * F.col("n_matched") >= PERCENT * F.col("n_windows"))
     )
     found = found.withColumn("way", F.lit(0)).unionByName(_runs(matches).withColumn("way", F.lit(1)))
+    whole = _whole_items(docs, benchmark)
+    if whole is not None:
+        one = F.lit(1).cast("bigint")
+        whole = whole.withColumns({"of_set": F.lit(0), "n_windows": one, "n_matched": one, "way": F.lit(2)})
+        found = found.unionByName(whole)
     best = F.min(F.struct("way", "of_set", "n_matched", "n_windows")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "best.n_matched", "best.n_windows"

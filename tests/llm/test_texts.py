@@ -263,6 +263,15 @@ def test_long_quotes_and_longer_names_are_leaks(spark):
     assert leaked(spark, ITEM, ITEM.replace("John", "Mary Ann"), BROKEN) == [True, False]
 
 
+def test_items_without_plain_windows_are_found_as_a_whole(spark):
+    items = ["12 + 7 = 19", "three short words", "5 km, 6 km, 7 km; 8 km and 9 km", None, "", "too short"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id BIGINT, text STRING")
+    texts = ["Say 12 + 7 = 19.", "12 7 20", "THREE short. Words!", "a 5 km, 6 km, 7 km; 8 km and 9 km b", "5 km, 6 km", "", None, "too short"]
+    docs = awkward(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    want = {(0, 0, 1, 1), (2, 1, 1, 1), (3, 2, 1, 1)}
+    assert {tuple(r) for r in decontamination.leaks(docs, benchmark).collect()} == want
+
+
 def test_leaks_by_shuffle_and_of_empty_tables(spark, monkeypatch):
     docs, benchmark = leak_tables(spark)
     want = rows_of(decontamination.leak_report(docs, benchmark))
