@@ -3,7 +3,9 @@
 Every text is a first layer. A worklist takes a layer, scans it, and makes new layers of it: the
 layer with its percent escapes undone, the layer with its Unicode and byte escapes and character
 references undone, and one for each base64 word whose bytes, unpacked if they are compressed, are
-readable text; a layer
+readable text. A base64 word may be glued to a path or prefix and may be wrapped over lines, so the
+word, joined with the lines that go on, is also decoded from its first four characters on, and each
+readable stretch, and compressed content wherever it begins, is a layer too; a layer
 that was met before, here or on the way to here, is not entered again, so the list ends. A layer
 keeps, for every character, the span of the original text that it comes from, so a find in any layer
 is given as a span of the original text.
@@ -55,6 +57,14 @@ ESCAPE = re.compile(
     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
+# The same, wrapped over lines.
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{12,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)*={0,2}")
+BASE64_PART = re.compile(r"[A-Za-z0-9+/_-]+")
+# Readable bytes of a length that the shortest match has.
+STRETCH = re.compile(
+    rb"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}"
+)
+GZIP = re.compile(rb"\x1f\x8b\x08")
 LONG_HEX = re.compile(r"[0-9a-f]{24}")
 # Up to the last place where a text may be cut: after a character that is in no pattern above, or
 # between two plain words, which no separator can join once escapes are undone.
@@ -282,6 +292,45 @@ def base64_layers(layer: Layer) -> Iterator[tuple[str, list[Span] | Span, bool]]
             yield text, _spans_of_bytes(text, at), False
 
 
+def glued_layers(layer: Layer) -> Iterator[tuple[str, list[Span] | Span, bool]]:
+    """As base64_layers, of words that begin before their base64 does or are wrapped over lines."""
+    for m in WRAPPED.finditer(layer.text):
+        parts = [p.span() for p in BASE64_PART.finditer(layer.text, m.start(), m.end())]
+        word = "".join(layer.text[a:b] for a, b in parts)
+        if word.isalpha() and (word.islower() or word.istitle()):
+            continue
+        at = [i for a, b in parts for i in range(a, b)]
+        after = [i + 1 for i, c in enumerate(word) if c in "/-_"]
+        plain = word.replace("-", "+").replace("_", "/")
+        for shift in range(4):
+            n = len(word) - shift
+            n -= n % 4 == 1
+            raw = base64.b64decode(plain[shift : shift + n] + "=" * (-n % 4))
+            # Where compressed content may begin: at the start, after a separator, at any gzip mark.
+            starts = {0, *(3 * (i - shift) // 4 for i in after if i >= shift and (i - shift) % 4 == 0)}
+            starts |= {g.start() for g in GZIP.finditer(raw)}
+            if not shift and len(parts) == 1 and len(word) % 4 != 1:
+                starts.discard(0)  # base64_layers has it
+            for start in sorted(x for x in starts if _packing(raw[x : x + 3]) is not None):
+                span = layer.original(m.start(), m.end())
+                for pieces in contents(raw[start:]) or ():
+                    for k, text in enumerate(pieces):
+                        yield text, span, k == 1
+            for found in STRETCH.finditer(raw):
+                text = found.group().decode("utf-8", "ignore")
+                if len(text.encode()) != len(found.group()):
+                    text = found.group().decode("latin-1")
+                    sizes = [1] * len(text)
+                else:
+                    sizes = [len(c.encode()) for c in text]
+                spans, i = [], found.start()
+                for size in sizes:
+                    last = min(shift + n, shift + (4 * (i + size - 1) + 4) // 3 + 1) - 1
+                    spans.append((layer.original(at[shift + 4 * i // 3], at[shift + 4 * i // 3] + 1)[0], layer.original(at[last], at[last] + 1)[1]))
+                    i += size
+                yield text, spans, False
+
+
 def _short(text: str) -> str | bytes:
     """What stands for a text among those met: a digest instead of a long one."""
     return text if len(text) < 4096 else hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
@@ -297,7 +346,7 @@ def scan_layers(text: str | None) -> tuple[list[Find], dict[Find, int], int, int
 
     def inner(layer: Layer) -> Iterator[Layer]:
         nonlocal cut
-        for make in (percent_layers, escape_layers, base64_layers):
+        for make in (percent_layers, escape_layers, base64_layers, glued_layers):
             for text_, spans, *more in make(layer):
                 cut += bool(more and more[0])
                 if not text_ or text_ == layer.text:

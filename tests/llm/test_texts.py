@@ -361,10 +361,34 @@ def test_all_members_are_scanned(monkeypatch):
         assert of(plain, secret) == of(plain, plain, b"\0" * 8, secret) == of(plain, zlib.compress(SECRET.encode())) == ["assign"]
         assert of(gzip.compress(b"pass"), gzip.compress(b"word=hunter2secret")) == ["assign"]
         assert of(secret, gzip.compress(bytes(range(256)) * 9)) == of(gzip.compress(b"\xff" * 99), secret) == ["assign"]
-        assert of(secret, plain[:9] + b"\xff" * 20) == of(plain, b" " + SECRET.encode()) == ["assign"]
+        assert of(secret, plain[:9] + b"\xff" * 20) == ["assign"]
+        assert set(of(plain, b" " + SECRET.encode())) == {"assign"}
         monkeypatch.setattr(secret_scan, "MOST_UNPACKED", 5)
 
 
+@pytest.mark.parametrize("prefix", ["https://api.example.com/v1/", "a-", "x_y/", "id1", "b2", "c", "a/b/c/d/e/f/g/"])
+def test_glued_base64(prefix):
+    word = base64.b64encode(SECRET.encode()).decode()
+    packed = base64.urlsafe_b64encode(zlib.compress(SECRET.encode() * 3)).decode()
+    gzipped = base64.b64encode(gzip.compress(SECRET.encode() * 3)).decode()
+    assert "assign" in {k for k, _ in added(f"see {prefix}{word} end")}
+    assert "assign" in {k for k, _ in added(f"see {prefix}{gzipped} end")}
+    if prefix[-1] in "/-_":
+        assert "assign" in {k for k, _ in added(f"see {prefix}{packed} end")}
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n  "])
+def test_wrapped_base64(end):
+    def wrapped(raw: bytes) -> str:
+        word = base64.b64encode(raw).decode()
+        return end.join(word[i : i + 76] for i in range(0, len(word), 76))
+
+    text = "".join(f"line {i} é, " for i in range(5)) + SECRET + " and more text of the payload" * 3
+    assert "assign" in {k for k, _ in added(f"body:{end}{wrapped(text.encode())}{end}{end}end")}
+    noise = "".join(hashlib.sha256(bytes([i])).hexdigest()[:20] + " " for i in range(30))
+    assert "assign" in {k for k, _ in added(wrapped(gzip.compress((noise + SECRET).encode())))}
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aeksrtoken=:'\"%20\\u0041&#;A9+/ \n"), max_size=60))
 def test_any_text_ends_with_spans_inside(text):
