@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from tallyhouse.llm import (
     decontamination,
     exact_dedup,
+    html_extraction,
     language_model,
+    lexical_search,
     line_dedup,
     near_dedup,
     packing,
     quality,
     secret_scan,
+    token_alignment,
     toxicity,
     warc,
 )
@@ -89,6 +92,26 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(read(spark, sf_dir, "pages"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(read(spark, sf_dir, "documents"), *aligned_tokenizers())
+
+
+def aligned_tokenizers() -> tuple[str, str, str]:
+    """Ranks of byte_bpe_50k.json, its pattern, and the model of the other side."""
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.tiktoken", "piece_bpe_32k.model")]
+    return paths[0], public_tokenizers.PATTERN, paths[1]
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -100,6 +123,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_score": op9_lm_score,
     "op10_secret_scan": op10_secret_scan,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 SQL: dict[str, str] = {
@@ -114,4 +140,5 @@ SQL: dict[str, str] = {
     """,
     "op7_line_dedup": line_dedup.sql(),
     "op8_decontamination": decontamination.sql(),
+    "op13_lexical_search": lexical_search.sql(),
 }
