@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyhouse import oracle, workspace
 from tallyhouse import schemas as S
 from tallyhouse.functions import labels, money
-from tallyhouse.plans import analytics, inventory, quality, reports, star
+from tallyhouse.plans import analytics, inventory, lines, quality, repair, reports, rollups, star
 from tallyhouse.schemas import Tables
 from tallyhouse.sources import benchmark_tables as bench
 from tallyhouse.sources import files
@@ -68,6 +68,38 @@ _over_star("r09_category_by_day", "R9 J2", reports.category_by_day)
 _over_star("r10_bottom_products", "R10 J2 O2", reports.bottom_products)
 _over_star("r11_row_counts", "R11 U1 A3 P23", reports.row_counts)
 
+
+
+def _over_rollups(name: str, covers: str, tables: Callable[[SparkSession, str], Tables], plan: Callable[[Tables], DataFrame]) -> None:
+    """Register a report that reads sums kept per day."""
+    _register(name, covers, oracle.SQL.get(name))(
+        lambda spark, sf_dir: plan(tables(spark, workspace.star_root(spark, sf_dir)))
+    )
+
+
+_over_rollups("r01_from_rollups", "R1 A1 A2", rollups.by_sale, reports.daily_revenue)
+_over_rollups("r08_from_rollups", "R8 A2", rollups.by_sale, reports.rush_hour_split)
+_over_rollups("r09_from_rollups", "R9 A1", rollups.by_product, reports.category_by_day)
+
+
+@_register("r12_approximate_sales", "A2", oracle.SQL.get("r12_approximate_sales"))
+def _approximate_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of every ninety days and of all days, counted, and whether the estimate from the days'
+    sketches is within three per cent."""
+    root = workspace.star_root(spark, sf_dir)
+    tables = star.read_star(spark, root)
+    days = tables["fact_sales"].agg(F.min("simulated_day").alias("a"), F.max("simulated_day").alias("b"))
+    firsts = days.select(F.explode(F.sequence("a", "b", F.lit(90))).alias("first_day"))
+    ranges = firsts.select("first_day", (F.col("first_day") + 89).alias("last_day")).unionByName(
+        days.select(F.col("a").alias("first_day"), F.col("b").alias("last_day"))
+    )
+    ranges = stage(ranges, "ranges")
+    estimate = rollups.approximate_sales(spark, root, ranges).withColumnRenamed("sales", "estimate")
+    return rollups.exact_sales(tables, ranges).join(estimate, ["first_day", "last_day"]).select(
+        "first_day", "last_day", "sales", (F.abs(F.col("estimate") - F.col("sales")) <= 0.03 * F.col("sales")).alias("close")
+    )
+
+
 # Analytics ---------------------------------------------------------------------------------------
 
 _over_star("n01_table_shapes", "N1", analytics.table_shapes)
@@ -99,6 +131,9 @@ _over_star("n18_daily_correlation", "N18 A10", analytics.daily_correlation)
 _over_star("n19_revenue_histogram", "N19 A11", analytics.revenue_histogram)
 _over_star("n20_revenue_box", "N20 A12", analytics.revenue_box)
 
+_over_star("n21_running_revenue", "W3 W7", lines.running_revenue)
+_over_star("n22_line_revenue_box", "A9 A12 N17", lines.line_revenue_box)
+
 # Quality -----------------------------------------------------------------------------------------
 
 _over_star("q01_null_profile", "Q1 A13", quality.null_profile)
@@ -268,6 +303,53 @@ def _lines_without_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.where("simulated_day IS NULL").select("id", "source_transaction_id", "reasons")
 
 
+@_register("k13_repaired_members", "K2 K3 K4 Q12 S8", oracle.SQL.get("k13_repaired_members"))
+def _repaired_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star with a copy of every second member, to which half of the lines of every second partition
+    are linked, after its repair: member rows per natural key, and what is linked to them."""
+    clean, root = workspace.star_root(spark, sf_dir), fresh_path(spark, "copies")
+    spark.read.parquet(f"{clean}/layout").write.parquet(f"{root}/layout")
+    # Copies with smaller ids go, but of a payment method the one with the smallest id stays.
+    shift = dict.fromkeys(star.MEMBER_COLUMNS, -(10**9)) | {"dim_payment_method": 10**9, "dim_time": 0}
+    for name, by in shift.items():
+        stored = star.read_star(spark, clean)[name]
+        copies = stored.where(F.col("id") % 2 == 0).withColumn("id", F.col("id") + by)
+        stored.unionByName(copies).write.parquet(f"{root}/{name}")
+    stored = star.stored_lines(spark, f"{clean}/sales_lines")
+    linked = (F.col(star.BLOCK) % 2 == 1) & (F.col("id") % 2 == 0)
+    for name in repair.KEYED_DIMENSIONS:
+        key = F.col(f"{name}_id")
+        stored = stored.withColumn(
+            f"{name}_id", F.when(linked & (key % 2 == 0), key + shift[name]).otherwise(key)
+        )
+    stored.write.partitionBy(star.BLOCK).parquet(f"{root}/sales_lines")
+    repair.repair_members(spark, root)
+    return repair.member_links(star.read_star(spark, root))
+
+
+@_register("k14_costs_as_of_day", "W9 W10 K5", oracle.SQL.get("k14_costs_as_of_day"))
+def _costs_as_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the days before 1,200, then the later ones after the cost of a category was raised, then a
+    hundred early days again: these keep the cost of their day."""
+    root = fresh_path(spark, "versions")
+    oltp = bench.operational(spark, sf_dir)
+    dearer = F.when(F.col("category") == "ECONOMY", F.col("unit_cost") + 1).otherwise(F.col("unit_cost"))
+    raised = {"products": oltp["products"].withColumn("unit_cost", dearer.cast(S.PRICE))}
+    day = labels.day_number(F.col("transaction_time"), bench.FIRST_DAY)
+    for days, products in ((day < 1200, {}), (day >= 1200, raised), (day.between(100, 199), raised)):
+        sales = oltp["transactions"].where(days)
+        some = oltp["transaction_items"].join(
+            sales.select(F.col("id").alias("transaction_id")), "transaction_id", "left_semi"
+        )
+        batch = oltp | (products | {"transactions": sales, "transaction_items": some})
+        star.load_days(spark, batch, root, bench.FIRST_DAY, workspace.DAYS_PER_PARTITION, history=True)
+    return star.sale_facts(star.read_star(spark, root)).groupBy("simulated_day").agg(
+        F.count(F.lit(1)).alias("lines"),
+        money.total("cost_cents").alias("cost"),
+        money.total("profit_cents").alias("profit"),
+    )
+
+
 # Inventory ---------------------------------------------------------------------------------------
 
 

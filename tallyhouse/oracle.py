@@ -584,6 +584,38 @@ SELECT check_name, table_name, failing_rows, CASE WHEN failing_rows = 0 THEN 'Go
   ELSE format('{{:,}}', failing_rows) || ' failing rows' END AS status
 FROM ({_ALL_CHECKS})"""
 
+SQL["r01_from_rollups"] = SQL["r01_daily_revenue"]
+SQL["r08_from_rollups"] = SQL["r08_rush_hour_split"]
+SQL["r09_from_rollups"] = SQL["r09_category_by_day"]
+SQL["r12_approximate_sales"] = q(FACT, f"""
+, bounds AS (SELECT min(simulated_day) AS a, max(simulated_day) AS b FROM fact),
+ranges AS (
+  SELECT CAST(unnest(range(a, b + 1, 90)) AS INTEGER) AS first_day, first_day + 89 AS last_day FROM bounds
+  UNION ALL SELECT a, b FROM bounds)
+SELECT first_day, last_day, {TXNS} AS sales, true AS close
+FROM ranges JOIN fact ON simulated_day BETWEEN first_day AND last_day
+GROUP BY first_day, last_day""")
+_UPTO = "ORDER BY simulated_day, txn, id, rev, prf ROWS"
+SQL["n21_running_revenue"] = q(FACT, f"""
+SELECT simulated_day, txn AS source_transaction_id, id,
+  {money(f'sum(rev) OVER ({_UPTO} UNBOUNDED PRECEDING)')} AS running_revenue,
+  {money(f'sum(prf) OVER ({_UPTO} UNBOUNDED PRECEDING)')} AS running_profit,
+  CASE WHEN count(*) OVER ({_UPTO} 29 PRECEDING) = 30
+    THEN {per_unit(f'sum(rev) OVER ({_UPTO} 29 PRECEDING)', '30', 4)} END AS mean_revenue
+FROM fact""")
+SQL["n22_line_revenue_box"] = q(FACT, f"""
+, qs AS (
+  SELECT quantile_cont(rev::DOUBLE, 0.25) AS q1, quantile_cont(rev::DOUBLE, 0.5) AS q2,
+    quantile_cont(rev::DOUBLE, 0.75) AS q3 FROM fact),
+fence AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM qs)
+SELECT count(*) AS lines, {', '.join(
+    f"CAST(CAST(any_value({c}) * 100 AS BIGINT) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(20,4)) AS {n}"
+    for c, n in (('q1', 'q1'), ('q2', 'median'), ('q3', 'q3')))},
+  {money('min(rev) FILTER (WHERE rev >= lo)')} AS low_whisker,
+  {money('max(rev) FILTER (WHERE rev <= hi)')} AS high_whisker,
+  count(*) FILTER (WHERE rev < lo OR rev > hi) AS outliers
+FROM fact, fence""")
+
 # Load --------------------------------------------------------------------------------------------
 
 _EXTRACT = """
@@ -673,6 +705,35 @@ SELECT 'one category dearer', count(*) FILTER (WHERE category = 'ECONOMY'), coun
   CAST(sum(unit_cost + 1) FILTER (WHERE category = 'ECONOMY') AS DECIMAL(20,2))
 FROM d_product""")
 
+_MEMBERS = {
+    "dim_product": ("d_product", "product_id", "product_id"),
+    "dim_customer": ("d_customer", "customer_id", "customer_id"),
+    "dim_employee": ("d_employee", "employee_id", "employee_id"),
+    "dim_payment_method": (
+        "(VALUES (1, 'cash'), (2, 'credit'), (3, 'debit'), (4, 'mobile')) m(id, payment_method)",
+        "m.id", "payment_method"),
+}
+SQL["k13_repaired_members"] = q(DIMS, "\nUNION ALL ".join(
+    f"SELECT '{d}' AS table_name, {big(k)} AS source_id, CAST(1 AS BIGINT) AS members, "
+    f"count(fact.id) AS lines, {big('coalesce(sum(rev), 0)')} AS revenue_cents "
+    f"FROM {t} LEFT JOIN fact USING ({by}) GROUP BY {k}"
+    for d, (t, k, by) in _MEMBERS.items()
+))
+
+# The version at or before the line's day, looked up line by line.
+SQL["k14_costs_as_of_day"] = q(FACT, f"""
+, version AS (
+  SELECT product_id, 1 AS from_day, CAST(unit_cost * 100 AS BIGINT) AS cost FROM prod
+  UNION ALL
+  SELECT product_id, 1200, CAST(unit_cost * 100 AS BIGINT) + 100 FROM prod WHERE category = 'ECONOMY'),
+dated AS (
+  SELECT simulated_day, rev, quantity * (
+    SELECT v.cost FROM version v WHERE v.product_id = fact.product_id AND v.from_day <= fact.simulated_day
+    ORDER BY v.from_day DESC LIMIT 1) AS cst
+  FROM fact)
+SELECT simulated_day, count(*) AS lines, {CST} AS cost, {money('sum(rev - cst)')} AS profit
+FROM dated GROUP BY simulated_day""")
+
 # Inventory ---------------------------------------------------------------------------------------
 
 SQL["k07_stock_ledger"] = q(LEDGER, f"SELECT product_id, {LEDGER_COLUMNS} FROM led")

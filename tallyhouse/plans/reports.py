@@ -29,6 +29,11 @@ def distinct_sales(sale_key: tuple[str, ...] = SALE_KEY) -> Column:
     return F.count_distinct(*sale_key)
 
 
+def line_count(facts: DataFrame) -> Column:
+    """Lines with an amount; rows that are sums over lines bring their number."""
+    return F.sum("lines") if "lines" in facts.columns else F.count("revenue_cents")
+
+
 def join_dimension(df: DataFrame, tables: Tables, name: str, columns: list[str],
                    how: str = "inner") -> DataFrame:
     """Join a dimension on its surrogate key, reading only ``columns`` of it."""
@@ -37,16 +42,16 @@ def join_dimension(df: DataFrame, tables: Tables, name: str, columns: list[str],
 
 
 def daily_revenue(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
+    facts = sale_facts(tables)
     return (
-        sale_facts(tables)
-        .groupBy("simulated_day")
+        facts.groupBy("simulated_day")
         .agg(
             distinct_sales(sale_key).alias("total_transactions"),
             money.units(F.col("quantity_sold")).alias("total_items_sold"),
             money.total("revenue_cents").alias("total_revenue"),
             money.total("cost_cents").alias("total_cost"),
             money.total("profit_cents").alias("total_profit"),
-            money.per_unit(money.total("revenue_cents"), F.count("revenue_cents")).alias("avg_revenue_per_item"),
+            money.per_unit(money.total("revenue_cents"), line_count(facts)).alias("avg_revenue_per_item"),
         )
         .orderBy("simulated_day")
     )
@@ -54,27 +59,28 @@ def daily_revenue(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataF
 
 def revenue_by_hour(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     hour = ["hour_of_day", "time_label", "part_of_day", "is_rush_hour"]
+    facts = sale_facts(tables)
     return (
-        join_dimension(sale_facts(tables), tables, "dim_time", hour)
+        join_dimension(facts, tables, "dim_time", hour)
         .groupBy(*hour)
         .agg(
             distinct_sales(sale_key).alias("total_transactions"),
             money.total("revenue_cents").alias("total_revenue"),
-            money.per_unit(money.total("revenue_cents"), F.count("revenue_cents")).alias("avg_revenue_per_item"),
+            money.per_unit(money.total("revenue_cents"), line_count(facts)).alias("avg_revenue_per_item"),
         )
         .orderBy(F.asc_nulls_last("hour_of_day"))
     )
 
 
 def sums_by_product(tables: Tables, *more_keys: str) -> DataFrame:
+    facts = sale_facts(tables)
     return (
-        sale_facts(tables)
-        .groupBy("dim_product_id", *more_keys)
+        facts.groupBy("dim_product_id", *more_keys)
         .agg(
             F.sum("quantity_sold").alias("units"),
             F.sum("revenue_cents").alias("revenue_cents"),
             F.sum("profit_cents").alias("profit_cents"),
-            F.count(F.lit(1)).alias("lines"),
+            (F.sum("lines") if "lines" in facts.columns else F.count(F.lit(1))).alias("lines"),
         )
     )
 
@@ -115,13 +121,13 @@ def bottom_products(tables: Tables, rows: int = 10) -> DataFrame:
 
 def sums_by_customer_sale(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
     """One row per customer and sale: the anonymous customer's share is spread by sale."""
+    facts = sale_facts(tables)
     return (
-        sale_facts(tables)
-        .groupBy("dim_customer_id", *sale_key)
+        facts.groupBy("dim_customer_id", *sale_key)
         .agg(
             F.sum("revenue_cents").alias("revenue_cents"),
             F.sum("profit_cents").alias("profit_cents"),
-            F.count("revenue_cents").alias("lines"),
+            line_count(facts).alias("lines"),
         )
     )
 
@@ -200,13 +206,14 @@ def cashier_performance(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) ->
 
 
 def rush_hour_split(tables: Tables, sale_key: tuple[str, ...] = SALE_KEY) -> DataFrame:
+    facts = sale_facts(tables)
     grouped = (
-        join_dimension(sale_facts(tables), tables, "dim_time", ["is_rush_hour"])
+        join_dimension(facts, tables, "dim_time", ["is_rush_hour"])
         .groupBy("is_rush_hour")
         .agg(
             distinct_sales(sale_key).alias("total_transactions"),
             money.total("revenue_cents").alias("total_revenue"),
-            money.per_unit(money.total("revenue_cents"), F.count("revenue_cents")).alias("avg_revenue_per_item"),
+            money.per_unit(money.total("revenue_cents"), line_count(facts)).alias("avg_revenue_per_item"),
         )
     )
     return grouped.orderBy(F.desc_nulls_first("is_rush_hour")).select(

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tallyhouse import schemas as S
 from tallyhouse.functions import labels, money
 from tallyhouse.operators import members
+from tallyhouse.plans import versions
 from tallyhouse.schemas import Tables
 from tallyhouse.storage import Scratch, delete, is_complete, path_exists, stage
 
@@ -24,6 +25,7 @@ PRODUCT = ["source_id", "name", "category", "subcategory", "unit_cost"]
 CUSTOMER = ["source_id", "name", "is_loyalty", "join_date"]
 EMPLOYEE = ["source_id", "name", "role"]
 MEMBER_COLUMNS = {"dim_product": PRODUCT, "dim_customer": CUSTOMER, "dim_employee": EMPLOYEE}
+LINE_KEYS = {"dim_product": "product_id", "dim_customer": "customer_id", "dim_employee": "employee_id"}
 
 # The stored sale lines: the fact with its amounts in whole cents, then what is needed to tell why
 # a line was rejected.
@@ -46,6 +48,10 @@ LINES_WITH_BLOCK = T.StructType([*SALES_LINES, T.StructField(BLOCK, T.IntegerTyp
 # Where lines without a day are, and what is kept under the root while partitions are swapped.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 KEPT, KEPT_HOURS = "kept", "kept-hours"
+# Where the versions of members are recorded by day.
+HISTORY = "history"
+# Repaired dimensions that are to replace the stored ones.
+REPAIRED = "repaired"
 
 REJECTED_COLUMNS = [
     "id",
@@ -191,25 +197,29 @@ def keyed_lines(lines: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame
 
     Product, customer and employee maps may be large, so no broadcast is forced on them: the
     planner decides by size and splits skewed keys at run time. The payment table is small by
-    definition, and the time key needs no lookup at all.
+    definition, and the time key needs no lookup at all. A map with a day holds one row per key and
+    day.
     """
-    product = keys["dim_product"].select(
-        F.col("source_id").alias("product_id"), F.col("dim_id").alias("dim_product_id"), "unit_cost"
-    )
-    customer = keys["dim_customer"].select(
-        F.col("source_id").alias("customer_id"), F.col("dim_id").alias("dim_customer_id")
-    )
-    employee = keys["dim_employee"].select(
-        F.col("source_id").alias("employee_id"), F.col("dim_id").alias("dim_employee_id")
-    )
+
+    def link(lines: DataFrame, name: str, *more: str) -> DataFrame:
+        by_day = "simulated_day" in keys[name].columns
+        found = keys[name].select(
+            F.col("source_id").alias("_key"),
+            *[F.col("simulated_day").alias("_day")][:by_day],
+            F.col("dim_id").alias(f"{name}_id"),
+            *more,
+        )
+        same = F.col(LINE_KEYS[name]) == F.col("_key")
+        if by_day:
+            same &= F.col("simulated_day").eqNullSafe(F.col("_day"))
+        return lines.join(found, same, "left").drop("_key", "_day")
+
     method = payment.select(
         F.col("method").alias("payment_method"), F.col("id").alias("dim_payment_method_id")
     )
     day, hour = F.col("simulated_day"), F.col("hour_of_day")
     looked_up = (
-        lines.join(product, "product_id", "left")
-        .join(customer, "customer_id", "left")
-        .join(employee, "employee_id", "left")
+        link(link(link(lines, "dim_product", "unit_cost"), "dim_customer"), "dim_employee")
         .join(F.broadcast(method), "payment_method", "left")
         .withColumn("dim_time_id", labels.time_key(day, hour))
     )
@@ -258,7 +268,10 @@ def accepted_lines(sales_lines: DataFrame) -> DataFrame:
 
 
 def sale_facts(tables: Tables) -> DataFrame:
-    """The accepted lines with their amounts in cents, for summing."""
+    """The accepted lines with their amounts in cents, for summing; or what stands in for them, rows
+    that are sums over ``lines`` lines (``plans/rollups.py``)."""
+    if "sums" in tables:
+        return tables["sums"]
     if "sales_lines" in tables:
         fact_columns = [c for c in S.STAR["fact_sales"].names if c not in AMOUNTS]
         return tables["sales_lines"].where(F.col("accepted")).select(*fact_columns, *CENTS)
@@ -296,6 +309,7 @@ def load_days(
     root: str,
     first_day: str,
     days_per_partition: int | None = None,
+    history: bool = False,
 ) -> None:
     """Load every day found in ``oltp`` into the star stored under ``root``, replacing exactly those
     days; repeating it changes nothing, and a batch without lines does nothing.
@@ -309,6 +323,9 @@ def load_days(
     with the batch are first stored under ``root`` and put back by the next load or removal, should
     the driver die while partitions are being swapped. Lines without a sale have no day; they stay
     rejected until a load brings the same line again.
+
+    With ``history`` lines link to the version of a member that was valid on their day, as recorded
+    by earlier loads (``plans/versions.py``); without it to the version with the batch's attributes.
     """
     with Scratch(spark) as scratch:
         lines = scratch.stage(sale_lines(oltp, first_day), "lines")
@@ -318,12 +335,20 @@ def load_days(
         width = _width(spark, root, days_per_partition)
         recover(spark, root)
 
+        span = versions.batch_span(_stored(spark, root, "dim_time"), per_day) if history else None
+
         def merge(name: str, members_seen: DataFrame) -> DataFrame:
             columns = MEMBER_COLUMNS[name]
             batch = scratch.stage(members_seen, name)
             stored = _stored(spark, root, name)
             new_members(batch, stored, columns).write.mode("append").parquet(f"{root}/{name}")
-            return key_map(batch, _stored(spark, root, name), columns)
+            stored = _stored(spark, root, name)
+            keys = key_map(batch, stored, columns)
+            if span is None:
+                return keys
+            recorded = versions.record(keys, f"{root}/{HISTORY}/{name}", span)
+            pairs = scratch.stage(lines.select(F.col(LINE_KEYS[name]).alias("source_id"), "simulated_day").distinct(), "pairs")
+            return scratch.stage(versions.keys_as_of(pairs, recorded, stored, columns), "keys")
 
         # The dimensions do not depend on each other: let their jobs share the cluster.
         seen = batch_members(lines, oltp)
@@ -331,7 +356,8 @@ def load_days(
             keys = dict(zip(seen, pool.map(merge, seen.keys(), seen.values())))
         payment_path = f"{root}/dim_payment_method"
         S.payment_methods(spark).write.mode("ignore").parquet(payment_path)
-        payment = _stored(spark, root, "dim_payment_method")
+        # One row per method, also in a star to which copies were appended.
+        payment = _stored(spark, root, "dim_payment_method").groupBy("method").agg(F.min("id").alias("id"))
         hours = time_dimension(per_day).join(_stored(spark, root, "dim_time"), "id", "left_anti")
         hours.write.mode("append").parquet(f"{root}/dim_time")
         days = per_day.select("simulated_day").where("simulated_day IS NOT NULL")
@@ -374,7 +400,7 @@ def _replace_days(
     if not path_exists(spark, path):
         _write_blocks(rows, path)
         return
-    stored = _stored_lines(spark, path)
+    stored = stored_lines(spark, path)
     homeless = stored.where(F.col(BLOCK).isNull())
     had_homeless = not homeless.isEmpty()
     kept = homeless.join(lines.select("id"), "id", "left_anti")
@@ -410,10 +436,23 @@ def _journal(kept: DataFrame, root: str) -> DataFrame:
     return kept.sparkSession.read.schema(LINES_WITH_BLOCK).parquet(f"{root}/{KEPT}")
 
 
+def swap_lines(rows: DataFrame, root: str) -> None:
+    """Replace the partitions of ``rows``, which are all rows these are to hold."""
+    kept = _journal(rows, root)
+    _write_blocks(kept, f"{root}/sales_lines")
+    delete(rows.sparkSession, f"{root}/{KEPT}")
+
+
 def recover(spark: SparkSession, root: str) -> None:
-    """Finish what a load or removal that died left behind: put back the rows it had kept. Its own
-    days are put right by running it again. Without a dead run nothing happens."""
+    """Finish what a load, removal or repair that died left behind: put back the rows it had kept and
+    put repaired dimensions in place. Its own days are put right by running it again. Without a dead
+    run nothing happens."""
     path = f"{root}/sales_lines"
+    for name in S.STAR:
+        repaired = f"{root}/{REPAIRED}/{name}"
+        if is_complete(spark, repaired):
+            spark.read.schema(S.STAR[name]).parquet(repaired).write.mode("overwrite").parquet(f"{root}/{name}")
+    delete(spark, f"{root}/{REPAIRED}")
     if is_complete(spark, f"{root}/{KEPT_HOURS}"):
         hours = spark.read.schema(S.STAR["dim_time"]).parquet(f"{root}/{KEPT_HOURS}")
         hours.write.mode("overwrite").parquet(f"{root}/dim_time")
@@ -421,7 +460,7 @@ def recover(spark: SparkSession, root: str) -> None:
     if is_complete(spark, f"{root}/{KEPT}"):
         kept = spark.read.schema(LINES_WITH_BLOCK).parquet(f"{root}/{KEPT}")
         blocks = kept.select(BLOCK).distinct().withColumnRenamed(BLOCK, "_kept")
-        stored = _stored_lines(spark, path)
+        stored = stored_lines(spark, path)
         there = stored.join(F.broadcast(blocks), F.col(BLOCK).eqNullSafe(F.col("_kept")), "left_semi")
         kept_days = kept.select(F.col("simulated_day").alias("_day")).distinct()
         there = there.join(kept_days, F.col("simulated_day") == F.col("_day"), "left_anti")
@@ -439,7 +478,7 @@ def remove_days(spark: SparkSession, root: str, days: list[int]) -> None:
     recover(spark, root)
     path = f"{root}/sales_lines"
     blocks = sorted({(day - 1) // width for day in days})
-    stored = _stored_lines(spark, path).where(F.col(BLOCK).isin(blocks))
+    stored = stored_lines(spark, path).where(F.col(BLOCK).isin(blocks))
     kept = _journal(stored.where(~F.col("simulated_day").isin(days)), root)
     left = {r[BLOCK] for r in kept.select(BLOCK).distinct().collect()}
     _write_blocks(kept, path)
@@ -451,7 +490,7 @@ def remove_days(spark: SparkSession, root: str, days: list[int]) -> None:
     recover(spark, root)
 
 
-def _stored_lines(spark: SparkSession, path: str) -> DataFrame:
+def stored_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LINES_WITH_BLOCK).parquet(path)
 
 
@@ -464,7 +503,7 @@ def read_star(
         name: spark.read.schema(S.STAR[name]).parquet(f"{root}/{name}")
         for name in ("dim_time", "dim_product", "dim_customer", "dim_employee", "dim_payment_method")
     }
-    lines = _stored_lines(spark, f"{root}/sales_lines")
+    lines = stored_lines(spark, f"{root}/sales_lines")
     if first_day is not None or last_day is not None:
         width = _width(spark, root, None)
         if first_day is not None:
