@@ -54,10 +54,10 @@ def latest_copy(dimension: DataFrame, columns: list[str]) -> DataFrame:
     return dimension.groupBy(*columns).agg(F.max("id").alias("id"))
 
 
-def duplicate_members(dimension: DataFrame, natural_key: str) -> DataFrame:
+def duplicate_members(dimension: DataFrame, *natural_key: str) -> DataFrame:
     """Natural keys held by more than one member row."""
     return (
-        dimension.groupBy(natural_key)
+        dimension.groupBy(*natural_key)
         .agg(F.count(F.lit(1)).alias("members"))
         .where(F.col("members") > 1)
     )

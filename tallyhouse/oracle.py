@@ -540,19 +540,22 @@ SQL["q10_unbalanced_sales"] = q(SOURCE, _TOTALS_OFF)
 _FILLED = {
     "customers": "customer", "employees": "supplier", "inventory": "part", "products": "part",
     "suppliers": "supplier", "transaction_items": "lineitem", "transactions": "orders",
+    "purchase_orders": "led JOIN prod USING (product_id) JOIN tx USING (txn) WHERE reorders > earlier",
 }
-SQL["q11_source_not_empty"] = "\nUNION ALL ".join(
+SQL["q11_source_not_empty"] = q(LEDGER, "\nUNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count, count(*) > 0 AS ready FROM {source}"
     for name, source in _FILLED.items()
-)
+))
 
 SQL["q12_duplicate_members"] = q(DIMS, "\nUNION ALL ".join(
     f"SELECT '{d}' AS table_name, {k} AS source_id, count(*) AS members FROM {t} "
     f"GROUP BY {k} HAVING count(*) > 1"
     for d, t, k in (
+        ("dim_time", "d_time", "CAST((simulated_day - 1) * 14 + hour_of_day - 7 AS BIGINT)"),
         ("dim_product", "d_product", "product_id"),
         ("dim_customer", "d_customer", "customer_id"),
         ("dim_employee", "d_employee", "employee_id"),
+        ("dim_payment_method", "(SELECT CAST(unnest(range(1, 5)) AS BIGINT) AS id)", "id"),
     )
 ))
 
@@ -694,7 +697,9 @@ SQL["s09_surrogate_keys"] = q(DIMS, "\nUNION ALL ".join(
     f"CAST(1 AS BIGINT) AS lowest_id, count(*) AS highest_id FROM {t}"
     for d, t in (("dim_product", "d_product"), ("dim_customer", "d_customer"),
                  ("dim_employee", "d_employee"))
-))
+) + """
+UNION ALL SELECT 'dim_payment_method', 4, 4, 1, 4
+UNION ALL SELECT 'dim_time', count(*), count(DISTINCT id), min(id), max(id) FROM d_time""")
 
 SQL["s08_insert_if_absent"] = q(DIMS, f"""
 SELECT 'unchanged' AS batch, CAST(0 AS BIGINT) AS added, CAST(NULL AS BIGINT) AS lowest_id,
@@ -899,7 +904,15 @@ _CONSTRAINTS = {
     "transaction_items": ("item",
         "id transaction_id product_id quantity unit_price_at_sale subtotal",
         {"transaction_id": "txn", "unit_price_at_sale": "unit_price", "subtotal": "unit_price"}),
+    "purchase_orders": ("placed",
+        "id supplier_id product_id quantity_ordered cost_per_unit order_date",
+        {"quantity_ordered": "100", "cost_per_unit": "unit_cost", "order_date": "transaction_time"}),
 }
+_PLACED = LEDGER + """,
+placed AS (
+  SELECT txn * (SELECT max(product_id) + 1 FROM prod) + product_id AS id, supplier_id, product_id,
+    unit_cost, transaction_time
+  FROM led JOIN prod USING (product_id) JOIN tx USING (txn) WHERE reorders > earlier)"""
 
 
 def _constraint(table: str, what: str, source: str, failing: str) -> str:
@@ -907,7 +920,7 @@ def _constraint(table: str, what: str, source: str, failing: str) -> str:
             f"CAST(coalesce({failing}, 0) AS BIGINT) AS failing_rows FROM {source}")
 
 
-SQL["q14_operational_constraints"] = q(SOURCE, "\nUNION ALL ".join([
+SQL["q14_operational_constraints"] = q(_PLACED, "\nUNION ALL ".join([
     *(_constraint(t, f"{c} required", source, f"count(*) FILTER (WHERE {names.get(c, c)} IS NULL)")
       for t, (source, required, names) in _CONSTRAINTS.items() for c in required.split()),
     *(_constraint(t, f"{c} unique", source,
@@ -923,5 +936,7 @@ SQL["q14_operational_constraints"] = q(SOURCE, "\nUNION ALL ".join([
           ("transactions", "employee_id", "employees", "tx", "employee_id", "emp", "employee_id"),
           ("transaction_items", "transaction_id", "transactions", "item", "txn", "tx", "txn"),
           ("transaction_items", "product_id", "products", "item", "product_id", "prod", "product_id"),
+          ("purchase_orders", "supplier_id", "suppliers", "placed", "supplier_id", "supplier", "s_suppkey"),
+          ("purchase_orders", "product_id", "products", "placed", "product_id", "prod", "product_id"),
       )),
 ]))

@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.plans import star
-from tallyhouse.schemas import Tables
+from tallyhouse.plans import inventory, star
+from tallyhouse.schemas import OPERATIONAL, Tables
 from tallyhouse.sources import benchmark_tables as bench
-from tallyhouse.storage import fresh_path, path_exists
+from tallyhouse.storage import fresh_path, path_exists, stage
 from tallyhouse.streaming import feed, runs
 
 # The given tables spread few lines over 2,400 days, far too few for a file per day.
@@ -47,6 +47,24 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return star.read_star(spark, star_root(spark, sf_dir))
 
 
+def all_sources(spark: SparkSession, sf_dir: str) -> Tables:
+    """The operational tables with the purchase orders that the given sales make the stock ledger
+    place, numbered by sale and product."""
+    oltp = bench.operational(spark, sf_dir)
+
+    def build(path: str) -> str:
+        ledger = inventory.ledger(oltp["sold_quantities"], levels=oltp["inventory"])
+        orders = inventory.purchase_orders(stage(ledger, "ledger"), oltp)
+        products = oltp["products"].agg((F.max("id") + 1).alias("n")).scalar()
+        number = F.col("transaction_id") * products + F.col("product_id")
+        columns = OPERATIONAL["purchase_orders"].names
+        orders.withColumn("id", number).select(*columns).write.parquet(path)
+        return path
+
+    path = _built_once(spark, "orders", sf_dir, "", build)
+    return oltp | {"purchase_orders": spark.read.schema(OPERATIONAL["purchase_orders"]).parquet(path)}
+
+
 # Files that a source is split into where a stream is to take it in several micro-batches.
 PARTS = 6
 

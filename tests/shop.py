@@ -51,6 +51,7 @@ def shop(
         "employees": EMPLOYEES,
         "transactions": [(*s, totals.get(s[0], Decimal(0))) for s in sales],
         "transaction_items": lines,
+        "purchase_orders": [(1, 1, 1, 100, money("1.00"), at(1, 9), None)],
     }
     return {
         name: spark.createDataFrame(data, S.OPERATIONAL[name]) for name, data in rows.items()

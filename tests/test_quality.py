@@ -136,5 +136,23 @@ def test_operational_constraints_find_each_planted_defect(spark):
     assert twice == {("customers", "id unique"): 1, ("customers", "email unique"): 1}
     lost = failing("transactions", lambda d: d.withColumn("payment_method", F.lit(None).cast("string")))
     assert lost == {("transactions", "payment_method required"): 1}
+    unknown = failing("purchase_orders", lambda d: d.withColumn("supplier_id", F.lit(7).cast("bigint")))
+    assert unknown == {("purchase_orders", "supplier_id in suppliers"): 1}
     astray = failing("transaction_items", lambda d: d.withColumn("product_id", F.lit(99).cast("bigint")))
     assert astray == {("transaction_items", "product_id in products"): 1}
+
+
+def test_key_checks_scan_the_lines_once(spark):
+    tables = star(spark, [{"dim_product_id": 7}, {}])
+    for check in (quality.orphan_keys, quality.join_row_counts):
+        read = check(tables).inputFiles()
+        assert read and all("/lines-per-key-" in f for f in read)
+
+
+def test_duplicate_members_of_all_dimensions(spark):
+    hours = [(1, 1, 8, "08:00", "Morning", True), (9, 1, 8, "08:00", "Morning", True)]
+    tables = star(spark, [{}], dim_time=hours, dim_payment_method=[(1, "cash"), (5, "cash"), (2, "credit")])
+    assert sorted(tuple(r) for r in quality.duplicate_dimension_members(tables).collect()) == [
+        ("dim_payment_method", 1, 2),
+        ("dim_time", 1, 2),
+    ]
