@@ -16,6 +16,9 @@ REMEMBERED_WORDS = 150_000
 # Most ids that are sent to every executor (8 bytes each); a larger set is joined by shuffling.
 BROADCAST_IDS = 2_000_000
 
+# Most (id, text key) rows that are sent to every executor (about 80 bytes each).
+BROADCAST_ROWS = 500_000
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -85,6 +88,34 @@ def sampled_documents(docs: DataFrame, sample: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label")
 
 
+def text_key(text: str = "text") -> Column:
+    """A number for a whole text; null counts as empty. With the id it names a row: ids may be missing
+    or repeated, so no decision goes by the id alone."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _among(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose id and text key are (``left_semi``) or are not (``left_anti``) in ``rows``,
+    which go to every executor up to ``BROADCAST_ROWS``."""
+    named = rows.select(F.col("doc_id").alias("id_"), F.col("text_key_").alias("key_"))
+    side = F.broadcast(named) if rows.count() <= BROADCAST_ROWS else named
+    same = (F.col("text_key_") == F.col("key_")) & F.col("doc_id").eqNullSafe(F.col("id_"))
+    return docs.join(side, same, how)
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """``docs`` with its own columns without what is not ``kept`` in ``decided`` (doc_id, text_key_, kept),
+    and with one row of those that are alike in id and text."""
+    decided = decided.groupBy("doc_id", "text_key_").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    decided = stage(decided.where("NOT kept OR n > 1"), "decided-rows")
+    named = docs.withColumn("text_key_", text_key())
+    kept = _among(named, decided, "left_anti")
+    repeated = decided.where("kept")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(_among(named, repeated, "left_semi").dropDuplicates(["doc_id", "text_key_"]))
+    return kept.drop("text_key_")
+
+
 def with_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """Rows of ``df`` whose ``column`` is among the distinct values of ``ids``. The stored ids are
     counted: up to ``BROADCAST_IDS`` go to every executor, more are joined by shuffling."""

@@ -24,8 +24,8 @@ Slots are looked at only for documents and items that have enough windows. No te
 that of those documents, if they are too many to be sent as ids.
 
 Defined results: null and empty texts leak nothing; an item with fewer than ``LEAST_WHOLE`` tokens
-cannot be found; rows with the same ``doc_id``, or without
-one, are judged together as one document; items with the same or no id likewise; ties for the best
+cannot be found; every row is judged by its own text, whether or not others have its ``doc_id`` or it
+has none, and rows alike in both share one result; items with the same or no id are one; ties for the best
 item go to the smallest id; empty tables give empty results. Other columns are not read.
 """
 
@@ -256,13 +256,27 @@ def _whole_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
     return rows.join(_small(items), ["n", "key"]).select("doc_id", "item_id").distinct()
 
 
+def row_key() -> Column:
+    """What names a row: ids may be missing or repeated, and each text is judged on its own."""
+    return F.xxhash64("doc_id", "text")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_matched, n_windows) of every item that a document leaks."""
+    """(doc_id, item_id, n_matched, n_windows) of every item that a row leaks."""
+    found = stage(row_leaks(docs, benchmark), "row-leaks").withColumnRenamed("doc_id", "r_")
+    rows = docs.select("doc_id", row_key().alias("k_"))
+    return rows.join(found, F.col("k_") == F.col("r_")).select("doc_id", "item_id", "n_matched", "n_windows")
+
+
+def row_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The same with the ``row_key`` of the row as ``doc_id``."""
+    docs = docs.select(row_key().alias("doc_id"), "text")
     windows = benchmark_windows(benchmark)
     pairs = candidates(docs, windows)
-    known = with_ids(docs.select("doc_id", "text"), pairs.where("doc_id IS NOT NULL"), "doc_id")
-    unknown = docs.select("doc_id", "text").where("doc_id IS NULL")
-    d = _slots(known.unionByName(unknown), "doc_id").withColumnsRenamed({"at": "doc_at", "slots": "doc_slots"})
+    known = with_ids(docs, pairs, "doc_id")
+    # Rows alike in id and text are judged once.
+    known = known.dropDuplicates(["doc_id"])
+    d = _slots(known, "doc_id").withColumnsRenamed({"at": "doc_at", "slots": "doc_slots"})
     i = _slots(benchmark.select("item_id", "text"), "item_id")
     i = i.withColumnsRenamed({"at": "item_at", "slots": "item_slots"})
     places = Window.partitionBy("item_id", "of_set").orderBy("item_at")
@@ -320,12 +334,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, n_leaked, item_id, n_matched, n_windows) of every row of ``docs``: how many items it
     leaks, and of the one with the most windows its id and counts; null without any."""
-    best = leaks(docs, benchmark).groupBy("doc_id").agg(
+    best = row_leaks(docs, benchmark).groupBy("doc_id").agg(
         F.count("*").alias("n_leaked"),
         F.min(F.struct(-F.col("n_matched"), "item_id", "n_windows")).alias("best"),
     )
     best = stage(best, "leaking-documents").withColumnRenamed("doc_id", "d_")
-    return docs.select("doc_id").join(best, F.col("doc_id").eqNullSafe(F.col("d_")), "left").select(
+    return docs.select("doc_id", row_key().alias("r_")).join(best, F.col("r_") == F.col("d_"), "left").select(
         "doc_id",
         F.coalesce("n_leaked", F.lit(0).cast("bigint")).alias("n_leaked"),
         F.col("best.item_id").alias("item_id"),
@@ -335,11 +349,10 @@ def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with its own columns and without the documents that leak an item; rows without id
-    stay."""
-    found = leaks(docs, benchmark).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("leaking_id_"))
-    found = stage(found.distinct(), "leaking-ids")
-    return docs.join(found, F.col("doc_id") == F.col("leaking_id_"), "left_anti")
+    """``docs`` with its own columns and without the rows that leak an item."""
+    found = row_leaks(docs, benchmark).select(F.col("doc_id").alias("leaking_row_"))
+    found = stage(found.distinct(), "leaking-rows")
+    return docs.join(found, row_key() == F.col("leaking_row_"), "left_anti")
 
 
 def sql() -> str:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import mix
+from tallyhouse.llm.common import keep_rows, mix, text_key
 from tallyhouse.storage import stage
 
 # Digests per shard of an index: 72 bytes each in the task that builds or reads it.
@@ -91,9 +91,10 @@ def slots_of(words: np.ndarray, sizes: list[int], bits: np.ndarray) -> np.ndarra
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest) of every row: SHA-256 of the whole text in UTF-8."""
+    """(doc_id, digest, text_key_) of every row: SHA-256 of the whole text in UTF-8, and the key that
+    names the row with its id."""
     text = F.coalesce("text", F.lit("")).cast("binary")
-    return docs.select("doc_id", F.unhex(F.sha2(text, 256)).alias("digest"))
+    return docs.select("doc_id", F.unhex(F.sha2(text, 256)).alias("digest"), text_key().alias("text_key_"))
 
 
 def _per_digest(rows: DataFrame) -> DataFrame:
@@ -189,7 +190,7 @@ def newer_half(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def exact_groups(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """(doc_id, digest, keep_id, group_size, kept) of every row of ``docs``, and of ``history`` if it
+    """(doc_id, digest, keep_id, group_size, kept, text_key_) of every row of ``docs``, and of ``history`` if it
     is given; without one, the newer half of ``docs`` serves as the history."""
     rows = digests(docs) if history is None else digests(docs).unionByName(digests(history))
     rows = stage(rows, "document-digests")
@@ -203,12 +204,11 @@ def exact_groups(docs: DataFrame, history: DataFrame | None = None) -> DataFrame
         .withColumn("keep_id", keep_id)
         .withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("bigint")))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select("doc_id", "digest", "keep_id", "group_size", "kept")
+        .select("doc_id", "digest", "keep_id", "group_size", "kept", "text_key_")
     )
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with its own columns and one document of each text: the one with the largest id."""
-    dropped = exact_groups(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id")
-    dropped = stage(dropped, "dropped-copies").withColumnRenamed("doc_id", "dropped_id_")
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id_"), "left_anti")
+    """``docs`` with its own columns and one document of each text: the one with the largest id, or one
+    of those without id if no other has the text. Rows alike in id and text are one document."""
+    return keep_rows(docs, exact_groups(docs))

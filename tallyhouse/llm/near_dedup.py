@@ -23,7 +23,8 @@ Shingles are held as 64-bit hashes, classes as 64-bit hashes of sets.
 Defined results: null, empty and blank texts have no shingles, are linked with nothing, and their
 component is their own id; a text of fewer words than a shingle is one shingle; rows without
 ``doc_id`` are grouped like others, and a component of such rows only has a null id; a repeated
-``doc_id`` stands for each of its texts; empty tables give empty results. Other columns of the
+``doc_id`` stands for each of its texts, and is dropped only with those that are copies; empty tables
+give empty results. Other columns of the
 input are neither read nor required.
 """
 
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import WordHashes, mix, with_ids, word_hashes, words_of
+from tallyhouse.llm.common import WordHashes, keep_rows, mix, text_key, with_ids, word_hashes, words_of
 from tallyhouse.llm.components import components
 from tallyhouse.storage import stage
 
@@ -47,7 +48,7 @@ PLACES = 1 << 20
 # Shingles whose coordinates are looked up at once: 2 MB of work space.
 AT_ONCE = 1024
 
-SIGNATURE_SCHEMA = "doc_id BIGINT, n_shingles BIGINT, class_id BIGINT, bands ARRAY<BIGINT>"
+SIGNATURE_SCHEMA = "doc_id BIGINT, text_key_ BIGINT, n_shingles BIGINT, class_id BIGINT, bands ARRAY<BIGINT>"
 SET_SCHEMA = "class_id BIGINT, shingles ARRAY<BIGINT>"
 
 
@@ -110,17 +111,19 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
         yield pa.record_batch(
             [
                 batch.column(0).cast(pa.int64()),
+                batch.column(2),
                 pa.array(sizes, pa.int64()),
                 pa.array(classes, pa.int64()),
                 pa.array(bands, pa.list_(pa.int64())),
             ],
-            names=["doc_id", "n_shingles", "class_id", "bands"],
+            names=["doc_id", "text_key_", "n_shingles", "class_id", "bands"],
         )
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, class_id, bands) of every row; the last two are null without words."""
-    return docs.select("doc_id", "text").mapInArrow(partial(_sign, n=n), SIGNATURE_SCHEMA)
+    """(doc_id, text_key_, n_shingles, class_id, bands) of every row; the last two are null without
+    words."""
+    return docs.select("doc_id", "text", text_key().alias("text_key_")).mapInArrow(partial(_sign, n=n), SIGNATURE_SCHEMA)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -220,28 +223,35 @@ def class_links(docs: DataFrame, signed: DataFrame, n: int, percent: int) -> Dat
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
-def near_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row: the size of its set, the smallest
-    ``doc_id`` that links lead to, and whether that is its own. Two documents are linked when
-    ``100 * intersection >= percent * union`` of their sets of ``n``-word shingles."""
+def grouped(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, text_key_, n_shingles, class_id, first) of every row: ``first`` names the row of the
+    component with the smallest id, or with the smallest key if none has an id; null without words."""
     signed = stage(signatures(docs, n), "signatures")
     labels = class_links(docs, signed, n, percent)
-    per_class = signed.where("class_id IS NOT NULL").groupBy("class_id").agg(F.min("doc_id").alias("least"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key_")
+    per_class = signed.where("class_id IS NOT NULL").groupBy("class_id").agg(F.min(row).alias("least"))
     per_class = per_class.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
     per_class = stage(per_class.withColumn("label", F.coalesce("label", "class_id")), "class-labels")
-    least = per_class.groupBy("label").agg(F.min("least").alias("component"))
-    per_class = per_class.join(least, "label").select("class_id", "component")
-    component = F.when(F.col("class_id").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+    least = per_class.groupBy("label").agg(F.min("least").alias("first"))
+    per_class = per_class.join(least, "label").select("class_id", "first")
+    return signed.select("doc_id", "text_key_", "n_shingles", "class_id").join(per_class, "class_id", "left")
+
+
+def near_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row: the size of its set, the smallest
+    ``doc_id`` that links lead to, and whether that is its own. Two documents are linked when
+    ``100 * intersection >= percent * union`` of their sets of ``n``-word shingles."""
+    component = F.when(F.col("class_id").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
     return (
-        signed.select("doc_id", "n_shingles", "class_id")
-        .join(per_class, "class_id", "left")
+        grouped(docs, n, percent)
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
 def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with its own columns and one document of each group: the one with the smallest id."""
-    dropped = near_groups(docs, n, percent).where("NOT kept AND doc_id IS NOT NULL")
-    dropped = stage(dropped.select(F.col("doc_id").alias("dropped_id_")), "dropped-near-copies")
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id_"), "left_anti")
+    """``docs`` with its own columns and one row of each group: the one with the smallest id, of the
+    group's texts under that id the one with the smallest key. Rows without words are in no group."""
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key_")
+    kept = F.col("class_id").isNull() | own.eqNullSafe(F.col("first"))
+    return keep_rows(docs, grouped(docs, n, percent).select("doc_id", "text_key_", kept.alias("kept")))

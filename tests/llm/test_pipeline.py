@@ -19,7 +19,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_all_eleven_are_registered():
     names = set(entry_point.queries())
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} <= {x.split("_")[0] + "_" for x in names}
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} <= {x.split("_")[0] + "_" for x in names}
     assert set(entry_point.oracle_sql()) <= names
 
 
