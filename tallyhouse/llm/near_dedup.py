@@ -8,12 +8,11 @@ shingle are a run of neighbouring entries.
 Steps: (1) documents with the same shingle set form a class; only classes are compared. (2) Each
 class has one key per band of the signature. In every bucket with several classes, the least and
 the greatest are paired with all others. (3) Pairs are verified on full sets; verified pairs give
-components. (4) Buckets that still hold several components are searched completely: every pair of
-their classes from different components that can reach the similarity is verified too. A pair cannot
-if the lesser number of shingles that each shares with any class of an open bucket is too small for
-an intersection; this bound is exact, and drops the outliers of a hot bucket, whose changes are their
-own. Classes of one component need no more pairs, as the result cannot change. So a bucket of
-thousands of near copies costs two pairs per class, and no link is lost that a shared bucket shows.
+components. (4) The classes of buckets that still hold several components are searched completely,
+by an exact prefix index over their sets (``prefix_pairs``): every pair from different components that
+can reach the similarity is verified too. Classes of one component need no more pairs, as the result
+cannot change. So a bucket of thousands of near copies costs two pairs per class, and no link is lost
+that a shared bucket shows.
 
 A pair at the threshold of 0.8 shares no bucket with probability ``(1 - 0.8**8)**64 = 8e-6``;
 one at 0.3, such as two short texts around one common passage, shares one with 0.4 per cent.
@@ -35,7 +34,7 @@ from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import WordHashes, keep_rows, mix, text_key, with_ids, word_hashes, words_of
@@ -163,19 +162,40 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("common") >= percent * union).select("a", "b")
 
 
-def with_common(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Members of open buckets with the number of their shingles that another one of them has: an
-    upper bound of any intersection among them."""
-    lone = (
-        sets.select("class_id", F.explode("shingles").alias("shingle"))
-        .groupBy("shingle")
-        .agg(F.count("*").alias("n"), F.first("class_id").alias("only"))
-        .where("n = 1")
-        .groupBy("only")
-        .agg(F.count("*").alias("lone"))
+def prefix_pairs(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes with different labels that can reach the similarity.
+
+    Shingles are put in one order: first those that only classes of one label have, then by how many
+    classes have them, rare ones first. A set of ``s`` shingles shares at least ``percent * s / 100`` of
+    them with any set it is linked with, so both have one of their first ``s - percent * s / 100 + 1``
+    in common. Only these are indexed, and of them only those that more than one label has. So what
+    the classes of a label have among themselves, or a class alone, makes no pair, and neither does a
+    passage that many classes have, unless a set is little else."""
+    rows = sets.join(classes, "class_id").select(
+        "class_id", "label", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")
+    )
+    shared = rows.groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")
+    )
+    of_class = Window.partitionBy("class_id")
+    # Shingles of one label fill the first places; ``total`` others follow.
+    prefix = (
+        rows.join(shared.where("x < y").select("shingle", "n"), "shingle")
+        .withColumn("place", F.row_number().over(of_class.orderBy("n", "shingle")))
+        .withColumn("total", F.count("*").over(of_class))
+        .withColumn("least", F.ceil(F.col("size") * percent / 100))
+        .where("place <= total - least + 1")
+    )
+    prefix = stage(prefix.select("shingle", "class_id", "label", "size"), "prefixes")
+    a, b = prefix.alias("a"), prefix.alias("b")
+    found = a.join(
+        b,
+        (F.col("a.shingle") == F.col("b.shingle"))
+        & (F.col("a.class_id") < F.col("b.class_id"))
+        & (F.col("a.label") != F.col("b.label"))
+        & (100 * F.least("a.size", "b.size") >= percent * F.greatest("a.size", "b.size")),
     )
-    joined = members.join(lone, F.col("class_id") == F.col("only"), "left")
-    return joined.withColumn("common", F.col("size") - F.coalesce("lone", F.lit(0))).drop("only", "lone")
+    return found.select(F.col("a.class_id").alias("a"), F.col("b.class_id").alias("b")).distinct()
 
 
 def class_links(docs: DataFrame, signed: DataFrame, n: int, percent: int) -> DataFrame:
@@ -206,19 +226,9 @@ def class_links(docs: DataFrame, signed: DataFrame, n: int, percent: int) -> Dat
     if open_.isEmpty():
         return labels
     sets = class_sets(open_, docs, signed, n)
-    open_ = stage(with_common(open_, sets), "open-members")
-    a, b = open_.alias("a"), open_.alias("b")
-    # An intersection is at most the lesser number of common shingles: pairs that cannot reach the
-    # similarity are never made.
-    most = F.least("a.common", "b.common")
-    rest = a.join(
-        b,
-        (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.class_id") < F.col("b.class_id"))
-        & (F.col("a.label") != F.col("b.label"))
-        & ((100 + percent) * most >= percent * (F.col("a.size") + F.col("b.size"))),
-    ).select(F.col("a.class_id").alias("a"), F.col("b.class_id").alias("b"))
-    rest = stage(rest.distinct().join(checked, ["a", "b"], "left_anti"), "rest-pairs")
+    labelled_classes = stage(open_.select("class_id", "label").distinct(), "open-classes")
+    rest = prefix_pairs(labelled_classes, sets, percent)
+    rest = stage(rest.join(checked, ["a", "b"], "left_anti"), "rest-pairs")
     more = stage(verified(rest, sets, percent), "rest-links")
     return labels if more.isEmpty() else components(links.unionByName(more))
 
