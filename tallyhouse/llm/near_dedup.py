@@ -170,7 +170,8 @@ def prefix_pairs(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     them with any set it is linked with, so both have one of their first ``s - percent * s / 100 + 1``
     in common. Only these are indexed, and of them only those that more than one label has. So what
     the classes of a label have among themselves, or a class alone, makes no pair, and neither does a
-    passage that many classes have, unless a set is little else."""
+    passage that many classes have, unless a set is little else. A pair is made at its first common
+    shingle only if enough others follow it on both sides."""
     rows = sets.join(classes, "class_id").select(
         "class_id", "label", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")
     )
@@ -186,14 +187,18 @@ def prefix_pairs(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         .withColumn("least", F.ceil(F.col("size") * percent / 100))
         .where("place <= total - least + 1")
     )
-    prefix = stage(prefix.select("shingle", "class_id", "label", "size"), "prefixes")
+    # What a set can still have in common with another whose first common shingle is this one.
+    prefix = prefix.select("shingle", "class_id", "label", "size", (F.col("total") - F.col("place") + 1).alias("left"))
+    prefix = stage(prefix, "prefixes")
     a, b = prefix.alias("a"), prefix.alias("b")
+    reach = (100 + percent) * F.least("a.left", "b.left") >= percent * (F.col("a.size") + F.col("b.size"))
     found = a.join(
         b,
         (F.col("a.shingle") == F.col("b.shingle"))
         & (F.col("a.class_id") < F.col("b.class_id"))
         & (F.col("a.label") != F.col("b.label"))
-        & (100 * F.least("a.size", "b.size") >= percent * F.greatest("a.size", "b.size")),
+        & (100 * F.least("a.size", "b.size") >= percent * F.greatest("a.size", "b.size"))
+        & reach,
     )
     return found.select(F.col("a.class_id").alias("a"), F.col("b.class_id").alias("b")).distinct()
 
