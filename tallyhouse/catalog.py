@@ -615,6 +615,29 @@ _over_feed(
 )
 
 
+_over_feed(
+    "l07_running_latest",
+    "L7 O6",
+    lambda events: runs.latest_to_table(feed.feed_lines(events), "seq"),
+    files_per_batch=1,
+)
+
+
+def _hours_and_late(events: DataFrame) -> DataFrame:
+    """Hours that close a quarter of an hour after their end, with the events that came later added."""
+    hours, late = runs.hours_with_late(events.select("ts", "type"), "15 MINUTES")
+    late = late.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start")).agg(
+        F.count_if(F.col("type") == "transaction").alias("customers"),
+        F.count_if(F.col("type") == "reorder").alias("reorders"),
+        F.count(F.lit(1)).alias("events"),
+    )
+    both = hours.drop("closed").unionByName(late)
+    return both.groupBy("hour_start").agg(*[F.sum(c).alias(c) for c in ("customers", "reorders", "events")])
+
+
+_over_feed("l03_hours_and_late", "L3", _hours_and_late, files_per_batch=1)
+
+
 @_register("l08_pushed_events", "L8", oracle.SQL.get("l08_pushed_events"))
 def _pushed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events handed to a caller's function, here one that stores counts by type and day."""

@@ -862,6 +862,11 @@ SELECT 'day_end', 'DAY ' || simulated_day || ' CLOSED Transactions: ' || transac
   || ' — Revenue: $' || revenue || ' — Profit: $' || profit FROM ({_DAYS})""")
 SQL["l07_latest_lines"] = q(FEED_LINES, """
 SELECT seq, ts, type, line FROM feed ORDER BY seq DESC LIMIT 300""")
+SQL["l07_running_latest"] = SQL["l07_latest_lines"]
+SQL["l03_hours_and_late"] = q(FEED, """
+SELECT date_trunc('hour', ts) AS hour_start, count(*) FILTER (WHERE type = 'transaction') AS customers,
+  count(*) FILTER (WHERE type = 'reorder') AS reorders, count(*) AS events
+FROM ev GROUP BY 1""")
 SQL["l08_pushed_events"] = q(FEED, """
 SELECT type, day, count(*) AS events FROM ev GROUP BY type, day""")
 SQL["l09_lines_from_sales"] = q(LEDGER, """

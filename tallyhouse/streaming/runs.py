@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tallyhouse.plans import inventory
-from tallyhouse.storage import delete, fresh_path, path_exists
+from tallyhouse.storage import delete, fresh_path, is_complete, path_exists, stage
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -81,6 +81,105 @@ def totals_to_table(stream: DataFrame, label: str, path: str | None = None) -> D
     return _or_empty(stream, path)
 
 
+class _Versions:
+    """A small table that every micro-batch replaces: one version per batch, of which the last stays. A
+    batch that is repeated finds its own version, or starts from the one before."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def read(self) -> DataFrame:
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], f"{self.schema}, batch BIGINT")
+        return self.spark.read.schema(f"{self.schema}, batch BIGINT").parquet(self.path)
+
+    def has(self, batch: int) -> bool:
+        return is_complete(self.spark, f"{self.path}/batch={batch}")
+
+    def write(self, rows: DataFrame, batch: int) -> None:
+        rows.drop("batch").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+    def forget_before(self, batch: int) -> None:
+        for row in self.read().select("batch").distinct().collect():
+            if row["batch"] < batch:
+                delete(self.spark, f"{self.path}/batch={row['batch']}")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+
+
+def latest_to_table(stream: DataFrame, order: str, rows: int = 300, label: str = "latest", path: str | None = None) -> DataFrame:
+    """The ``rows`` rows of a stream with the largest ``order`` so far. A micro-batch merges its own
+    latest rows with those kept; nothing else is ever stored, and each task passes on its own latest
+    rows only."""
+    spark = stream.sparkSession
+    path = path or fresh_path(spark, label)
+    kept = _Versions(spark, path, _ddl(stream))
+
+    def merge(batch: DataFrame, number: int) -> None:
+        if not kept.has(number):
+            before = kept.read().where(F.col("batch") < number).drop("batch")
+            newest = batch.orderBy(F.desc(order)).limit(rows).unionByName(before)
+            kept.write(newest.orderBy(F.desc(order)).limit(rows), number)
+        kept.forget_before(number)
+
+    push(stream, merge, path=f"{path}-run")
+    return kept.read().drop("batch")
+
+
+def hours_with_late(events: DataFrame, late_by: str, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Customers and reorders per hour, each hour closed ``late_by`` after its end, and the events that
+    came after their hour was closed: (hours, late events). Nothing is dropped, so the events of the
+    hours and the late ones are all events.
+
+    An event is late if its hour was closed by the latest time seen in earlier micro-batches. Only open
+    hours are state; a closed hour is written once, by the batch that closes it. Hours that are still
+    open when the stream has taken in everything are among the hours with ``closed`` false.
+    """
+    spark = events.sparkSession
+    path = path or fresh_path(spark, "hours")
+    sums = "hour_start TIMESTAMP_NTZ, customers BIGINT, reorders BIGINT, events BIGINT, latest TIMESTAMP_NTZ"
+    open_ = _Versions(spark, f"{path}-open", sums)
+    counted = [F.sum(c).alias(c) for c in ("customers", "reorders", "events")]
+
+    def closed_by(latest: Column) -> Column:
+        return F.col("hour_start") + F.expr("INTERVAL 1 HOUR") <= latest - F.expr(f"INTERVAL {late_by}")
+
+    def advance(batch: DataFrame, number: int) -> None:
+        if open_.has(number):
+            return
+        batch = stage(batch.withColumn("hour_start", F.date_trunc("hour", "ts").cast("timestamp_ntz")), "events")
+        before = open_.read().where(F.col("batch") < number).drop("batch")
+        # One row of state carries the latest time seen; it is an hour of its own without events.
+        seen = before.agg(F.max("latest").alias("latest")).first()["latest"]
+        late = F.lit(False) if seen is None else F.coalesce(closed_by(F.lit(seen)), F.lit(False))
+        batch.where(late).drop("hour_start").write.mode("overwrite").parquet(f"{path}-late/batch={number}")
+        fresh = batch.where(~late).groupBy("hour_start").agg(
+            F.count_if(F.col("type") == "transaction").alias("customers"),
+            F.count_if(F.col("type") == "reorder").alias("reorders"),
+            F.count(F.lit(1)).alias("events"),
+            F.max("ts").cast("timestamp_ntz").alias("latest"),
+        )
+        merged = before.unionByName(fresh).groupBy("hour_start").agg(*counted, F.max("latest").alias("latest"))
+        merged = stage(merged, "merged-hours")
+        latest = merged.agg(F.max("latest").alias("latest")).first()["latest"]
+        done = F.lit(False) if latest is None else F.coalesce(closed_by(F.lit(latest)), F.lit(False))
+        # What has been closed stays closed: the row without an hour keeps the latest time.
+        merged.where(done & (F.col("events") > 0)).write.mode("overwrite").parquet(f"{path}-closed/batch={number}")
+        mark = spark.createDataFrame([(None, 0, 0, 0, latest)], sums)
+        open_.write(merged.where(~done & F.col("hour_start").isNotNull()).unionByName(mark), number)
+        open_.forget_before(number)
+
+    push(events, advance, path=f"{path}-run")
+    closed = _Versions(spark, f"{path}-closed", sums).read()
+    still_open = open_.read().where("hour_start IS NOT NULL")
+    hours = closed.withColumn("closed", F.lit(True)).unionByName(still_open.withColumn("closed", F.lit(False)))
+    columns = ["hour_start", "customers", "reorders", "events", "closed"]
+    late = _Versions(spark, f"{path}-late", _ddl(events)).read().drop("batch")
+    return hours.select(*columns), late
+
+
 def push(
     stream: DataFrame, sink: Sink | None, label: str = "push", path: str | None = None
 ) -> None:

@@ -233,3 +233,42 @@ def test_scalar_helpers(spark):
     assert row["text"] == "-$1,234.50"
     assert row["pct"] == "12.3%"
     assert row["unmapped"] is None and row["default"] == 10 and row["range"] == "08:00 - 09:00"
+
+
+# Bounded and late ----------------------------------------------------------------------------------
+
+
+def _batches(spark, tmp_path, *batches, columns="seq BIGINT, ts TIMESTAMP, type STRING"):
+    """A stream that takes one file, and so one of ``batches``, at a time."""
+    folder = str(tmp_path / "in")
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(f"{folder}/n={n}")
+    like = spark.createDataFrame([], columns)
+    return runs.stream_table(spark, f"{folder}/*", like, files_per_batch=1)
+
+
+def test_only_the_latest_rows_are_stored(spark, tmp_path):
+    noon = datetime(2025, 1, 1, 12)
+    batches = [[(10 * n + k, noon, "system") for k in (3, 1, 9, 0)] for n in (2, 5, 1, 3)]
+    path = str(tmp_path / "out" / "latest")
+    got = runs.latest_to_table(_batches(spark, tmp_path, *batches), "seq", rows=5, path=path)
+    assert sorted(r["seq"] for r in got.collect()) == [39, 50, 51, 53, 59]
+    assert spark.read.parquet(path).count() == 5  # nothing else is kept
+
+
+def test_late_events_are_kept_apart(spark, tmp_path):
+    def at(hour, minute=0):
+        return datetime(2025, 1, 1, hour, minute)
+
+    batches = [
+        [(1, at(8, 10), "transaction"), (2, at(9, 5), "reorder")],  # 8 stays open: 9:05 is not 9:15
+        [(3, at(8, 59), "transaction"), (4, at(9, 20), "transaction")],  # closes 8
+        [(5, at(8, 30), "transaction"), (6, at(9, 59), "system"), (7, at(11, 0), "system")],  # 8:30 late; closes 9
+        [(8, at(9, 0), "reorder"), (9, at(11, 1), "transaction")],  # 9:00 late
+    ]
+    stream = _batches(spark, tmp_path, *batches)
+    hours, late = runs.hours_with_late(stream.drop("seq"), "15 MINUTES", str(tmp_path / "out" / "hours"))
+    assert sorted((r["hour_start"].hour, r["customers"], r["reorders"], r["events"], r["closed"]) for r in hours.collect()) == [
+        (8, 2, 0, 2, True), (9, 1, 1, 3, True), (11, 1, 0, 2, False),
+    ]
+    assert sorted((r["ts"].hour, r["type"]) for r in late.collect()) == [(8, "transaction"), (9, "reorder")]
