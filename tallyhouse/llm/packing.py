@@ -8,10 +8,13 @@ number, finds the fullest feasible combination, which is removed. Exact fills st
 A group leaves about one sequence that is not full, so packing in groups costs about one sequence in
 ``PIECES_PER_GROUP`` pieces. A group's rows are its pieces' lengths and places, never texts or ids.
 
-The tokenizer splits at white space and looks at nothing beyond it, so the ids of a text are the ids
-of its words one after another; ids of frequent words are remembered. A text with the separators
-U+001C to U+001F, which Python takes for white space and the tokenizer does not, goes to the
-tokenizer whole.
+The tokenizer splits at white space and looks at nothing beyond it, and words of characters below
+U+0100, which its normal form leaves alone, it cuts into runs of letters, digits and runs of marks. So the
+ids of a text are the ids of these parts one after another; ids of parts are remembered. New runs of
+letters go many at once through the tokenizer's merges, new parts of other kinds and words with other
+characters through all of it. A text with the separators
+U+001C to U+001F, which Python takes for white space and the tokenizer does not, or with a special
+token goes to the tokenizer whole.
 
 Defined results: null and empty texts are one piece with the end id only; rows without ``doc_id``
 and repeated rows are packed like any other; an empty table gives no piece. Other columns of the
@@ -20,11 +23,14 @@ input are neither read nor required.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache, partial
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +45,13 @@ PIECES_PER_GROUP = 8192
 REMEMBERED_WORDS = 150_000
 
 _OTHER_SPACE = re.compile("[\x1c-\x1f]")
-# Marks that the tokenizer separates from a letter before them, whatever follows.
-_CLOSING = ".,;:!?*$%&#|)"
+# The parts into which the tokenizer cuts lower-case text of the characters below U+0100.
+_LETTER, _DIGIT = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+_PART = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\s{_LETTER}{_DIGIT}]+")
+_WORD = re.compile(f"[{_LETTER}]+")
+_BEYOND = re.compile("[^\x00-\xff]")
+# Words of letters are encoded together, so many a call, with a digit between two of them.
+_TOGETHER, _BETWEEN = 1000, "0"
 
 PIECE_SCHEMA = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
 PLACED_SCHEMA = PIECE_SCHEMA + ", sequence_id BIGINT, offset BIGINT"
@@ -52,39 +63,64 @@ class Ids:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        # Its merges alone, for words that its other steps leave as they are.
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer, self.merges.pre_tokenizer = None, CharDelimiterSplit(" ")
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        # The character that stands for each byte of letters below U+0100.
+        shown = list(map(chr, range(256)))
+        for letter in map(chr, range(0x80, 0x100)):
+            for byte, character in zip(letter.encode(), byte_level.pre_tokenize_str(letter)[0][0]):
+                shown[byte] = character
+        self.shown = "".join(shown)
+        added = {x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()}
+        self.added = re.compile("|".join(map(re.escape, sorted(added))) or "(?!)", re.IGNORECASE)
+        self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def _add(self, words: set[str]) -> None:
-        """Remember the ids of new words. Closing marks are split off and ASCII letters lowered first,
-        as the tokenizer does itself, so that forms of one word are encoded once."""
-        forms = {}
-        for word in words:
-            core = word.rstrip(_CLOSING)
-            if core and core[-1].isalpha():
-                forms[word] = (core.lower() if core.isascii() else core, word[len(core) :])
-            else:
-                forms[word] = (word, "")
-        known = self.words
-        new = list({x for pair in forms.values() for x in pair}.difference(known))
-        known.update(zip(new, self._encode(new)))
-        for word, (core, tail) in forms.items():
-            known[word] = known[core] + known[tail]
+        return list(map(self._ids, found))
+
+    @staticmethod
+    def _ids(found: Any) -> bytes:
+        return array("I", found.ids).tobytes()
+
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters below U+0100. No token of such a word is a digit."""
+        between = self.merges.encode(_BETWEEN, add_special_tokens=False).ids[0]
+        joined = [f" {_BETWEEN} ".join(words[k : k + _TOGETHER]) for k in range(0, len(words), _TOGETHER)]
+        joined = [codecs.charmap_decode(x.encode(), "strict", self.shown)[0] for x in joined]
+        out: list[bytes] = []
+        for raw in (self._ids(x) for x in self.merges.encode_batch_fast(joined, add_special_tokens=False)):
+            cuts = (4 * np.flatnonzero(np.frombuffer(raw, "<u4") == between)).tolist()
+            out += [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
+        return out
+
+    def _split(self, text: str) -> list[str] | None:
+        """Parts whose ids make up the text's; None if it must be encoded as a whole."""
+        if _OTHER_SPACE.search(text) or ("<" in text and self.added.search(text)):
+            return None
+        if text.isascii() or not _BEYOND.search(text):
+            return _PART.findall(text.lower())
+        return [p for w in text.split() for p in ((w,) if _BEYOND.search(w) else _PART.findall(w.lower()))]
 
     def of(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words.clear()
-        split = [None if _OTHER_SPACE.search(t) else t.split() for t in texts]
-        self._add(set().union(*(w for w in split if w)).difference(self.words))
-        ids = self.words.__getitem__
+        known = self.parts
+        if len(known) > REMEMBERED_WORDS:
+            known.clear()
+        split = [self._split(text) for text in texts]
+        new = set().union(*(parts for parts in split if parts)).difference(known)
+        letters = list(filter(_WORD.fullmatch, new))
+        known.update(zip(letters, self._encode_letters(letters)))
+        others = list(new.difference(letters))
+        known.update(zip(others, self._encode(others)))
+        ids = known.__getitem__
         return [
-            self._encode([text])[0] if words is None else b"".join(map(ids, words))
-            for text, words in zip(texts, split)
+            self._encode([text])[0] if parts is None else b"".join(map(ids, parts))
+            for text, parts in zip(texts, split)
         ]
 
 
