@@ -61,6 +61,8 @@ UNITS = (
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
 # The sets of windows, as bits: with names as slots, and free of case.
 NAMED, FREE = 1, 2
+# What a code stands for: a word, a number or unit, a name as a slot, the word of a name.
+PLAIN, SLOT, NAME_SLOT, NAME_WORD = 0, 1, 2, 3
 
 
 def tokens_of(text: Column) -> Column:
@@ -104,13 +106,10 @@ def _collapsed(of: Column) -> Column:
     return F.filter(F.split(joined, " "), lambda x: x != "")
 
 
-def _free(of: Column, prefix: str = "") -> Column:
-    """Marks with the words of names after a prefix."""
+def _free(of: Column) -> Column:
+    """Marks with names as the words that they are."""
     return F.transform(
-        of,
-        lambda x: F.when(
-            x.startswith(NAME), F.concat(F.lit(prefix), F.regexp_extract(x, r"^<name>(.*)\|$", 1))
-        ).otherwise(x),
+        of, lambda x: F.when(x.startswith(NAME), F.regexp_extract(x, r"^<name>(.*)\|$", 1)).otherwise(x)
     )
 
 
@@ -127,31 +126,72 @@ def _enough(parts: list[Column]) -> Column:
     return sum((~p.startswith("<")).cast("int") for p in parts) >= LEAST_PLAIN
 
 
+def _code(token: Column, kind: int) -> Column:
+    """A hash of a template token whose last two bits say what it is."""
+    return F.xxhash64(token).bitwiseAND(F.lit(~3)).bitwiseOR(F.lit(kind))
+
+
+def codes(tokens: Column) -> Column:
+    """The marks of a token column as codes, without end marks; a name is the code of its word."""
+
+    def code(token: Column, at: Column) -> Column:
+        before, word = F.get(tokens, at - 1), F.lower(token)
+        return (
+            F.when(_is_end(token), F.lit(None).cast("bigint"))
+            .when(_is_number(token), _code(F.lit(NUMBER), SLOT))
+            .when((at > 0) & _is_number(before) & word.isin(UNITS), _code(F.lit(UNIT), SLOT))
+            .when((word != token) & (at > 0) & ~_is_end(before), _code(word, NAME_WORD))
+            .otherwise(_code(word, PLAIN))
+        )
+
+    return F.filter(F.transform(tokens, code), lambda x: x.isNotNull())
+
+
+def _kind(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(3))
+
+
+def _collapsed_codes(of: Column) -> Column:
+    """Codes with names as slots and neighbouring names as one."""
+    first = F.filter(
+        of, lambda x, i: (_kind(x) != NAME_WORD) | (i == 0) | (_kind(F.get(of, i - 1)) != NAME_WORD)
+    )
+    return F.transform(first, lambda x: F.when(_kind(x) == NAME_WORD, _code(F.lit(NAME), NAME_SLOT)).otherwise(x))
+
+
+def _code_windows(of: Column) -> Column:
+    n = F.greatest(F.size(of) - F.lit(WINDOW - 1), F.lit(0))
+    return F.arrays_zip(*(F.slice(of, k + 1, n) for k in range(WINDOW)))
+
+
 def _windows(rows: DataFrame, keep: list[str]) -> DataFrame:
     """(*keep, key, sets): hash of every window with enough plain words of the rows' texts, and the
-    sets that it is in."""
+    sets that it is in. Tokens are hashed once for each text; a window is made of five numbers."""
     rows = rows.select(*keep, tokens_of(F.col("text")).alias("tokens"))
-    rows = rows.select(*keep, marks(F.col("tokens")).alias("marks"))
-    parts = [F.col(f"w.t{k}") for k in range(WINDOW)]
-    named = F.exists("marks", lambda x: x.startswith(NAME))
+    rows = rows.select(*keep, codes(F.col("tokens")).alias("codes"))
+    of = F.col("codes")
+    named = F.exists(of, lambda x: _kind(x) == NAME_WORD)
     free = F.filter(
-        _zipped(_free(F.col("marks"), "=")),
-        lambda w: F.concat(*(F.substring(w[f"t{k}"], 1, 1) for k in range(WINDOW))).contains("="),
+        _code_windows(of),
+        lambda w: sum((_kind(w[str(k)]) == NAME_WORD).cast("int") for k in range(WINDOW)) > 0,
     )
-    both = F.when(named, F.concat(_zipped(_collapsed(F.col("marks"))), free)).otherwise(_zipped(F.col("marks")))
-    bare = [
-        F.when(p.startswith(NAME), NAME).when(p.startswith("="), F.substr(p, F.lit(2))).otherwise(p)
-        for p in parts
-    ]
-    is_free = F.concat(*(F.substring(p, 1, 1) for p in parts)).contains("=")
-    is_named = F.concat(*parts).contains("|")
+    both = F.when(named, F.concat(_code_windows(_collapsed_codes(of)), free)).otherwise(_code_windows(of))
+    parts = [F.col("w").getField(str(k)) for k in range(WINDOW)]
+
+    def holds(*kinds: int) -> Column:
+        return sum(_kind(p).isin(*kinds).cast("int") for p in parts)
+
+    # The word of a name is a plain word in the set that is free of case.
     return (
         rows.select(*keep, F.explode(both).alias("w"))
-        .where(_enough(parts))
+        .where(holds(PLAIN, NAME_WORD) >= LEAST_PLAIN)
         .select(
             *keep,
-            F.xxhash64(*bare).alias("key"),
-            F.when(is_free, FREE).when(is_named, NAMED).otherwise(NAMED | FREE).alias("sets"),
+            F.xxhash64(*(p.bitwiseAND(F.lit(~3)) for p in parts)).alias("key"),
+            F.when(holds(NAME_WORD) > 0, FREE)
+            .when(holds(NAME_SLOT) > 0, NAMED)
+            .otherwise(NAMED | FREE)
+            .alias("sets"),
         )
     )
 
