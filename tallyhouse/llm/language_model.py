@@ -16,7 +16,7 @@ A chunk asks once for each of its distinct words and bigrams, sending its own co
 are sorted hashes, cut into ranges, and each range is summed over all chunks by one small group and
 answered to the chunks. A frequent word is one request per chunk, however many documents have it, so
 no key is hot. The number of ranges grows with the tokens. Requests and answers are packed as byte
-planes, which compress well. Words have 64-bit hashes, bigrams 48-bit ones.
+planes, no more than their numbers need. Words have 64-bit hashes, bigrams 48-bit ones.
 
 Defined results: null, empty and blank texts are the end alone; rows without ``doc_id`` are scored
 and learned from; repeated rows count as often as they come; without any training document every
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import held_out, mix, remainder, word_hashes, words_of
 from tallyhouse.storage import stage
 
-CHUNK_TOKENS = 250_000
+CHUNK_TOKENS = 1_000_000
 TOKENS_PER_RANGE = 1_000_000
 BUCKETS = 32
 STEPS = 4
@@ -57,18 +57,30 @@ CHUNK_SCHEMA = (
 )
 REQUEST_SCHEMA = "kind INT, range INT, chunk STRING, keys BINARY, counts BINARY, aside BINARY"
 ANSWER_SCHEMA = "kind INT, range INT, chunk STRING, counts BINARY, aside BINARY, n_distinct BIGINT"
-COUNTED_SCHEMA = "doc_id BIGINT, kind INT, c1 BINARY, c2 BINARY, a1 BINARY, a2 BINARY"
+COUNTED_SCHEMA = "doc_id BIGINT, kind INT, c1 BINARY, c2 BINARY, a1 BINARY, a2 BINARY, n_distinct BIGINT"
 HELD_OUT, TRAINING, SET_ASIDE = 0, 1, 2
 
 
 def planes(x: np.ndarray) -> bytes:
-    """Numbers as byte planes: first all lowest bytes, last all highest."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+    """Numbers as byte planes: first all lowest bytes, last all highest that any number needs. Their
+    number comes before them."""
+    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+    columns = x.view(np.uint8).reshape(-1, x.itemsize)[:, :width]
+    return bytes([width]) + np.ascontiguousarray(columns.T).tobytes()
 
 
-def numbers(raw: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+def numbers(raw: bytes, kind: type = np.uint64) -> np.ndarray:
+    rows = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((rows.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = rows.T
+    return out.view(np.uint64).ravel().astype(kind, copy=False)
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time: those of chunks are large."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield batch.slice(at, 1).to_pylist()[0]
 
 
 def bigram_keys(before: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -128,7 +140,7 @@ class Tokens:
 
     @classmethod
     def of(cls, row: dict) -> Tokens:
-        words, tokens = numbers(row["words"], np.uint64), numbers(row["tokens"], np.uint32)
+        words, tokens = numbers(row["words"]), numbers(row["tokens"], np.uint32)
         lengths = np.array(row["lengths"], np.int64)
         first = np.cumsum(lengths) - lengths
         hashes = words[tokens]
@@ -139,38 +151,40 @@ class Tokens:
 
 
 def _requests(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            t = Tokens.of(row)
-            for kind, keys, at in ((WORDS, t.words, t.tokens), (BIGRAMS, t.bigrams, t.pairs)):
-                counts = np.bincount(at[t.kind != HELD_OUT], minlength=len(keys)).astype(np.uint32)
-                aside = np.bincount(at[t.kind == SET_ASIDE], minlength=len(keys)).astype(np.uint32)
-                span = (1 << KEY_BITS[kind]) // ranges + 1
-                cuts = np.searchsorted(keys, np.array([r * span for r in range(1, ranges)], np.uint64))
-                bounds = [0, *cuts.tolist(), len(keys)]
-                out = [
-                    (kind, r, row["chunk"], planes(np.diff(keys[a:b], prepend=np.uint64(0))), planes(counts[a:b]), planes(aside[a:b]))
-                    for r, (a, b) in enumerate(zip(bounds, bounds[1:]))
-                    if b > a
-                ]
-                types = (pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary())
-                names = ("kind", "range", "chunk", "keys", "counts", "aside")
-                yield pa.record_batch([pa.array(c, x) for c, x in zip(zip(*out), types)], names=names)
+    for row in rows_of(batches):
+        t = Tokens.of(row)
+        for kind, keys, at in ((WORDS, t.words, t.tokens), (BIGRAMS, t.bigrams, t.pairs)):
+            counts = np.bincount(at[t.kind != HELD_OUT], minlength=len(keys)).astype(np.uint32)
+            aside = np.bincount(at[t.kind == SET_ASIDE], minlength=len(keys)).astype(np.uint32)
+            span = (1 << KEY_BITS[kind]) // ranges + 1
+            cuts = np.searchsorted(keys, np.array([r * span for r in range(1, ranges)], np.uint64))
+            bounds = [0, *cuts.tolist(), len(keys)]
+            out = [
+                (kind, r, row["chunk"], planes(np.diff(keys[a:b], prepend=np.uint64(0))), planes(counts[a:b]), planes(aside[a:b]))
+                for r, (a, b) in enumerate(zip(bounds, bounds[1:]))
+                if b > a
+            ]
+            types = (pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary())
+            names = ("kind", "range", "chunk", "keys", "counts", "aside")
+            yield pa.record_batch([pa.array(c, x) for c, x in zip(zip(*out), types)], names=names)
 
 
 def _sum_range(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     kind, at = key[0].as_py(), key[1].as_py()
-    keys = [np.cumsum(numbers(x, np.uint64), dtype=np.uint64) for x in table.column("keys").to_pylist()]
+    keys = [np.cumsum(numbers(x), dtype=np.uint64) for x in table.column("keys").to_pylist()]
     distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
     bounds = np.cumsum([len(k) for k in keys])[:-1]
     columns, n_distinct = [], 0
     for name in ("counts", "aside"):
-        own = np.concatenate([numbers(x, np.uint32) for x in table.column(name).to_pylist()])
+        own = np.concatenate([numbers(x) for x in table.column(name).to_pylist()])
         total = np.bincount(where, weights=own, minlength=len(distinct)).astype(np.uint64)
         if name == "counts":
             n_distinct = int((total > 0).sum())
         columns.append([planes(x) for x in np.split(total[where], bounds)])
     n = table.num_rows
+    chunks = table.column("chunk").to_pylist()
+    # Given to one chunk, the same one when the range is summed again.
+    first = chunks.index(min(chunks))
     return pa.table(
         {
             "kind": pa.array([kind] * n, pa.int32()),
@@ -178,39 +192,42 @@ def _sum_range(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
             "chunk": table.column("chunk"),
             "counts": pa.array(columns[0], pa.binary()),
             "aside": pa.array(columns[1], pa.binary()),
-            "n_distinct": pa.array([n_distinct] + [0] * (n - 1), pa.int64()),
+            "n_distinct": pa.array([n_distinct * (i == first) for i in range(n)], pa.int64()),
         }
     )
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents with the counts of each token and of the bigram it ends; the set-aside
-    counts only where the learning needs them."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            t = Tokens.of(row)
-
-            def answered(kind: int, name: str) -> np.ndarray:
-                parts = sorted((a["range"], a[name]) for a in row["answers"] if a["kind"] == kind)
-                return np.concatenate([numbers(x, np.uint64) for _, x in parts])
-
-            c1, c2 = answered(WORDS, "counts")[t.tokens], answered(BIGRAMS, "counts")[t.pairs]
-            a1, a2 = answered(WORDS, "aside")[t.tokens], answered(BIGRAMS, "aside")[t.pairs]
-            ends = [*t.first[1:].tolist(), len(c1)]
-            spans = list(zip(t.first.tolist(), ends))
-            need = [k == SET_ASIDE for k in row["kinds"]]
-            for start in range(0, len(spans), 512):
-                part = range(start, min(start + 512, len(spans)))
-                columns = [
-                    pa.array([row["doc_ids"][i] for i in part], pa.int64()),
-                    pa.array([row["kinds"][i] for i in part], pa.int32()),
-                    *(pa.array([planes(c[slice(*spans[i])]) for i in part], pa.binary()) for c in (c1, c2)),
-                    *(
-                        pa.array([planes(c[slice(*spans[i])]) if need[i] else None for i in part], pa.binary())
-                        for c in (a1, a2)
-                    ),
-                ]
-                yield pa.record_batch(columns, names=["doc_id", "kind", "c1", "c2", "a1", "a2"])
+    counts only where the learning needs them. The first row of a chunk has the number of distinct
+    training words of the ranges that it answers for."""
+    for row in rows_of(batches):
+        t = Tokens.of(row)
+
+        def answered(kind: int, name: str) -> np.ndarray:
+            parts = sorted((a["range"], a[name]) for a in row["answers"] if a["kind"] == kind)
+            return np.concatenate([numbers(x) for _, x in parts])
+
+        c1, c2 = answered(WORDS, "counts")[t.tokens], answered(BIGRAMS, "counts")[t.pairs]
+        a1, a2 = answered(WORDS, "aside")[t.tokens], answered(BIGRAMS, "aside")[t.pairs]
+        ends = [*t.first[1:].tolist(), len(c1)]
+        spans = list(zip(t.first.tolist(), ends))
+        need = [k == SET_ASIDE for k in row["kinds"]]
+        own_distinct = sum(a["n_distinct"] for a in row["answers"] if a["kind"] == WORDS)
+        for start in range(0, len(spans), 512):
+            part = range(start, min(start + 512, len(spans)))
+            columns = [
+                pa.array([row["doc_ids"][i] for i in part], pa.int64()),
+                pa.array([row["kinds"][i] for i in part], pa.int32()),
+                *(pa.array([planes(c[slice(*spans[i])]) for i in part], pa.binary()) for c in (c1, c2)),
+                *(
+                    pa.array([planes(c[slice(*spans[i])]) if need[i] else None for i in part], pa.binary())
+                    for c in (a1, a2)
+                ),
+            ]
+            distinct = [own_distinct * (i == 0) for i in part]
+            columns.append(pa.array(distinct, pa.int64()))
+            yield pa.record_batch(columns, names=["doc_id", "kind", "c1", "c2", "a1", "a2", "n_distinct"])
 
 
 # Learning ----------------------------------------------------------------------------------------
@@ -252,7 +269,7 @@ def _cells(batches: Iterator[pa.RecordBatch], totals: Totals) -> Iterator[pa.Rec
     for batch in batches:
         found = []
         for row in batch.to_pylist():
-            c1, c2, a1, a2 = (numbers(row[k], np.uint64).astype(float) for k in ("c1", "c2", "a1", "a2"))
+            c1, c2, a1, a2 = (numbers(row[k]).astype(float) for k in ("c1", "c2", "a1", "a2"))
             r1, r2 = c1 - a1, c2 - a2
             context = contexts_of(r1, totals.docs - totals.docs_aside)
             p2 = np.divide(r2, context, out=np.zeros_like(r2), where=context > 0)
@@ -285,7 +302,7 @@ def _score(batches: Iterator[pa.RecordBatch], totals: Totals, weights: np.ndarra
     for batch in batches:
         out: list[tuple] = []
         for row in batch.select(["doc_id", "kind", "c1", "c2"]).to_pylist():
-            c1, c2 = (numbers(row[k], np.uint64).astype(float) for k in ("c1", "c2"))
+            c1, c2 = (numbers(row[k]).astype(float) for k in ("c1", "c2"))
             base = np.log10((c1 + 0.5) / (n + 0.5 * (v + 1))).sum()
             context = contexts_of(c1, totals.docs)
             w = weights[buckets(context)]
@@ -321,14 +338,13 @@ def counted_tokens(docs: DataFrame, modulus: int, held: int, aside: int) -> tupl
         partial(_requests, ranges=ranges), REQUEST_SCHEMA
     )
     answers = requests.groupBy("kind", "range").applyInArrow(_sum_range, ANSWER_SCHEMA)
-    answers = stage(answers, "answers")
-    distinct = answers.where(F.col("kind") == WORDS).agg(F.sum("n_distinct")).first()[0] or 0
     of_chunk = answers.groupBy(F.col("chunk").alias("asked_by")).agg(
-        F.collect_list(F.struct("kind", "range", "counts", "aside")).alias("answers")
+        F.collect_list(F.struct("kind", "range", "counts", "aside", "n_distinct")).alias("answers")
     )
     joined = chunks.join(of_chunk, F.col("chunk") == F.col("asked_by"))
     joined = joined.select("doc_ids", "kinds", "lengths", "words", "tokens", "answers")
     counted = stage(joined.mapInArrow(_count_tokens, COUNTED_SCHEMA), "counted-documents")
+    distinct = counted.agg(F.sum("n_distinct")).first()[0] or 0
     totals = Totals(size["n_training"], distinct, size["docs"], size["n_set_aside"], size["docs_set_aside"])
     return counted, totals
 
