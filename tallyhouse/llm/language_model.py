@@ -15,8 +15,8 @@ How counts meet documents: a task cuts its documents into chunks of about ``CHUN
 A chunk asks once for each of its distinct words and bigrams, sending its own counts along; requests
 are sorted hashes, cut into ranges, and each range is summed over all chunks by one small group and
 answered to the chunks. A frequent word is one request per chunk, however many documents have it, so
-no key is hot. The number of ranges grows with the tokens. Requests and answers are packed as byte
-planes, no more than their numbers need. Words have 64-bit hashes, bigrams 48-bit ones.
+no key is hot. The number of ranges grows with the tokens. Requests and answers are packed as compressed
+byte planes, no more than their numbers need. Words have 64-bit hashes, bigrams 48-bit ones.
 
 Defined results: null, empty and blank texts are the end alone; rows without ``doc_id`` are scored
 and learned from; repeated rows count as often as they come; without any training document every
@@ -33,6 +33,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,25 +58,39 @@ CHUNK_SCHEMA = (
 )
 REQUEST_SCHEMA = "kind INT, range INT, chunk STRING, keys BINARY, counts BINARY, aside BINARY"
 ANSWER_SCHEMA = "kind INT, range INT, chunk STRING, counts BINARY, aside BINARY, n_distinct BIGINT"
-COUNTED_SCHEMA = "doc_id BIGINT, kind INT, c1 BINARY, c2 BINARY, a1 BINARY, a2 BINARY, n_distinct BIGINT"
+COUNTED_SCHEMA = (
+    "doc_ids ARRAY<BIGINT>, kinds ARRAY<INT>, lengths ARRAY<INT>, c1 BINARY, c2 BINARY, a1 BINARY, a2 BINARY, "
+    "n_distinct BIGINT"
+)
+DOCS_PER_BLOCK = 512
 HELD_OUT, TRAINING, SET_ASIDE = 0, 1, 2
 
 
 def planes(x: np.ndarray) -> bytes:
     """Numbers as byte planes: first all lowest bytes, last all highest that any number needs. Their
-    number comes before them."""
+    number comes before them, and both are compressed."""
     width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
     columns = x.view(np.uint8).reshape(-1, x.itemsize)[:, :width]
-    return bytes([width]) + np.ascontiguousarray(columns.T).tobytes()
+    return zstandard.compress(bytes([width]) + np.ascontiguousarray(columns.T).tobytes(), 1)
 
 
 def numbers(raw: bytes, kind: type = np.uint64) -> np.ndarray:
+    raw = zstandard.decompress(raw)
     rows = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
     out = np.zeros((rows.shape[1], 8), np.uint8)
     out[:, : raw[0]] = rows.T
     return out.view(np.uint64).ravel().astype(kind, copy=False)
 
 
+def rising(x: np.ndarray) -> bytes:
+    """Sorted numbers, by what each adds to the one before."""
+    return planes(np.diff(x, prepend=np.uint64(0)))
+
+
+def risen(raw: bytes) -> np.ndarray:
+    return np.cumsum(numbers(raw), dtype=np.uint64)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows one at a time: those of chunks are large."""
     for batch in batches:
@@ -108,7 +123,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "doc_ids": ids,
             "kinds": kinds,
             "lengths": lengths.tolist(),
-            "words": planes(words),
+            "words": rising(words),
             "tokens": planes(tokens.astype(np.uint32)),
         }
         types = {"doc_ids": pa.list_(pa.int64()), "kinds": pa.list_(pa.int32()), "lengths": pa.list_(pa.int32())}
@@ -140,7 +155,7 @@ class Tokens:
 
     @classmethod
     def of(cls, row: dict) -> Tokens:
-        words, tokens = numbers(row["words"]), numbers(row["tokens"], np.uint32)
+        words, tokens = risen(row["words"]), numbers(row["tokens"], np.uint32)
         lengths = np.array(row["lengths"], np.int64)
         first = np.cumsum(lengths) - lengths
         hashes = words[tokens]
@@ -160,7 +175,7 @@ def _requests(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.Rec
             cuts = np.searchsorted(keys, np.array([r * span for r in range(1, ranges)], np.uint64))
             bounds = [0, *cuts.tolist(), len(keys)]
             out = [
-                (kind, r, row["chunk"], planes(np.diff(keys[a:b], prepend=np.uint64(0))), planes(counts[a:b]), planes(aside[a:b]))
+                (kind, r, row["chunk"], rising(keys[a:b]), planes(counts[a:b]), planes(aside[a:b]))
                 for r, (a, b) in enumerate(zip(bounds, bounds[1:]))
                 if b > a
             ]
@@ -171,7 +186,7 @@ def _requests(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.Rec
 
 def _sum_range(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     kind, at = key[0].as_py(), key[1].as_py()
-    keys = [np.cumsum(numbers(x), dtype=np.uint64) for x in table.column("keys").to_pylist()]
+    keys = [risen(x) for x in table.column("keys").to_pylist()]
     distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
     bounds = np.cumsum([len(k) for k in keys])[:-1]
     columns, n_distinct = [], 0
@@ -198,9 +213,9 @@ def _sum_range(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents with the counts of each token and of the bigram it ends; the set-aside
-    counts only where the learning needs them. The first row of a chunk has the number of distinct
-    training words of the ranges that it answers for."""
+    """Blocks of a chunk's documents with the counts of each token and of the bigram it ends; the
+    set-aside counts only of set-aside documents, which alone need them for the learning. A chunk's
+    first block has the number of distinct training words of the ranges that it answers for."""
     for row in rows_of(batches):
         t = Tokens.of(row)
 
@@ -210,24 +225,22 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
         c1, c2 = answered(WORDS, "counts")[t.tokens], answered(BIGRAMS, "counts")[t.pairs]
         a1, a2 = answered(WORDS, "aside")[t.tokens], answered(BIGRAMS, "aside")[t.pairs]
-        ends = [*t.first[1:].tolist(), len(c1)]
-        spans = list(zip(t.first.tolist(), ends))
-        need = [k == SET_ASIDE for k in row["kinds"]]
-        own_distinct = sum(a["n_distinct"] for a in row["answers"] if a["kind"] == WORDS)
-        for start in range(0, len(spans), 512):
-            part = range(start, min(start + 512, len(spans)))
-            columns = [
-                pa.array([row["doc_ids"][i] for i in part], pa.int64()),
-                pa.array([row["kinds"][i] for i in part], pa.int32()),
-                *(pa.array([planes(c[slice(*spans[i])]) for i in part], pa.binary()) for c in (c1, c2)),
-                *(
-                    pa.array([planes(c[slice(*spans[i])]) if need[i] else None for i in part], pa.binary())
-                    for c in (a1, a2)
-                ),
-            ]
-            distinct = [own_distinct * (i == 0) for i in part]
-            columns.append(pa.array(distinct, pa.int64()))
-            yield pa.record_batch(columns, names=["doc_id", "kind", "c1", "c2", "a1", "a2", "n_distinct"])
+        distinct = sum(a["n_distinct"] for a in row["answers"] if a["kind"] == WORDS)
+        bounds = [*t.first[::DOCS_PER_BLOCK].tolist(), len(c1)]
+        for i, (start, end) in enumerate(zip(bounds, bounds[1:])):
+            docs = slice(i * DOCS_PER_BLOCK, (i + 1) * DOCS_PER_BLOCK)
+            aside = start + np.flatnonzero(t.kind[start:end] == SET_ASIDE)
+            block = {
+                "doc_ids": pa.array([row["doc_ids"][docs]], pa.list_(pa.int64())),
+                "kinds": pa.array([row["kinds"][docs]], pa.list_(pa.int32())),
+                "lengths": pa.array([row["lengths"][docs]], pa.list_(pa.int32())),
+                "c1": pa.array([planes(c1[start:end])]),
+                "c2": pa.array([planes(c2[start:end])]),
+                "a1": pa.array([planes(a1[aside])]),
+                "a2": pa.array([planes(a2[aside])]),
+                "n_distinct": pa.array([distinct * (i == 0)], pa.int64()),
+            }
+            yield pa.record_batch(block)
 
 
 # Learning ----------------------------------------------------------------------------------------
@@ -259,24 +272,27 @@ def _of_steps(at: np.ndarray) -> np.ndarray:
     return np.where(at > 0, 2.0 ** ((at - SIDE + 1) / STEPS), 0.0)
 
 
-def contexts_of(c1: np.ndarray, docs: int) -> np.ndarray:
-    """Frequency of the context of each token of a text: the word before, or the start."""
-    return np.concatenate([[docs], c1[:-1]]).astype(float)
+def contexts_of(c1: np.ndarray, first: np.ndarray, docs: int) -> np.ndarray:
+    """Frequency of the context of each token: the word before, or the start at the first of a text."""
+    before = np.roll(c1, 1)
+    before[first] = docs
+    return before
 
 
 def _cells(batches: Iterator[pa.RecordBatch], totals: Totals) -> Iterator[pa.RecordBatch]:
     n = max(1, totals.tokens - totals.tokens_aside)
-    for batch in batches:
-        found = []
-        for row in batch.to_pylist():
-            c1, c2, a1, a2 = (numbers(row[k]).astype(float) for k in ("c1", "c2", "a1", "a2"))
-            r1, r2 = c1 - a1, c2 - a2
-            context = contexts_of(r1, totals.docs - totals.docs_aside)
-            p2 = np.divide(r2, context, out=np.zeros_like(r2), where=context > 0)
-            found.append((buckets(context) * SIDE + _steps(p2)) * SIDE + _steps(r1 / n))
-        if found:
-            cells, counts = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.record_batch([pa.array(cells, pa.int64()), pa.array(counts, pa.int64())], names=["cell", "n"])
+    for row in rows_of(batches):
+        kinds, lengths = np.array(row["kinds"]), np.array(row["lengths"], np.int64)
+        aside = np.repeat(kinds == SET_ASIDE, lengths)
+        lengths = lengths[kinds == SET_ASIDE]
+        c1, c2 = (numbers(row[k]).astype(float)[aside] for k in ("c1", "c2"))
+        a1, a2 = (numbers(row[k]).astype(float) for k in ("a1", "a2"))
+        r1, r2 = c1 - a1, c2 - a2
+        context = contexts_of(r1, np.cumsum(lengths) - lengths, totals.docs - totals.docs_aside)
+        p2 = np.divide(r2, context, out=np.zeros_like(r2), where=context > 0)
+        found = (buckets(context) * SIDE + _steps(p2)) * SIDE + _steps(r1 / n)
+        cells, counts = np.unique(found, return_counts=True)
+        yield pa.record_batch([pa.array(cells, pa.int64()), pa.array(counts, pa.int64())], names=["cell", "n"])
 
 
 def learn_weights(cells: np.ndarray, n: np.ndarray, distinct: int) -> np.ndarray:
@@ -299,21 +315,25 @@ def learn_weights(cells: np.ndarray, n: np.ndarray, distinct: int) -> np.ndarray
 
 def _score(batches: Iterator[pa.RecordBatch], totals: Totals, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
     n, v = totals.tokens, totals.distinct
-    for batch in batches:
-        out: list[tuple] = []
-        for row in batch.select(["doc_id", "kind", "c1", "c2"]).to_pylist():
-            c1, c2 = (numbers(row[k]).astype(float) for k in ("c1", "c2"))
-            base = np.log10((c1 + 0.5) / (n + 0.5 * (v + 1))).sum()
-            context = contexts_of(c1, totals.docs)
-            w = weights[buckets(context)]
-            p2 = np.divide(c2, context, out=np.zeros_like(c2), where=context > 0)
-            chance = w[:, 0] * p2 + w[:, 1] * c1 / n + w[:, 2] / (v + 1) if n else np.ones_like(c1)
-            score = np.log10(chance).sum()
-            out.append((row["doc_id"], row["kind"] == HELD_OUT, len(c1), int((c1 > 0).sum()), n, base, score))
-        types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        names = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
-        if out:
-            yield pa.record_batch([pa.array(c, x) for c, x in zip(zip(*out), types)], names=names)
+    for row in rows_of(batches):
+        lengths = np.array(row["lengths"], np.int64)
+        first = np.cumsum(lengths) - lengths
+        c1, c2 = (numbers(row[k]).astype(float) for k in ("c1", "c2"))
+        base = np.log10((c1 + 0.5) / (n + 0.5 * (v + 1)))
+        context = contexts_of(c1, first, totals.docs)
+        w = weights[buckets(context)]
+        p2 = np.divide(c2, context, out=np.zeros_like(c2), where=context > 0)
+        chance = w[:, 0] * p2 + w[:, 1] * c1 / n + w[:, 2] / (v + 1) if n else np.ones_like(c1)
+        columns = {
+            "doc_id": pa.array(row["doc_ids"], pa.int64()),
+            "held_out": pa.array(np.array(row["kinds"]) == HELD_OUT),
+            "n_tokens": pa.array(lengths),
+            "n_known": pa.array(np.add.reduceat((c1 > 0).astype(np.int64), first)),
+            "train_tokens": pa.array(np.full(len(lengths), n, np.int64)),
+            "base_score": pa.array(np.add.reduceat(base, first)),
+            "score": pa.array(np.add.reduceat(np.log10(chance), first)),
+        }
+        yield pa.record_batch(columns)
 
 
 SCORE_SCHEMA = (
@@ -323,7 +343,7 @@ SCORE_SCHEMA = (
 
 
 def counted_tokens(docs: DataFrame, modulus: int, held: int, aside: int) -> tuple[DataFrame, Totals]:
-    """The stored documents with the counts of their tokens, and the totals."""
+    """The stored blocks of documents with the counts of their tokens, and the totals."""
     kind = (
         F.when(held_out(modulus, held), HELD_OUT)
         .when(F.coalesce(remainder(modulus) == aside, F.lit(False)), SET_ASIDE)
@@ -355,7 +375,7 @@ def score_documents(docs: DataFrame, modulus: int = 5, held: int = 1, aside: int
     set aside to learn the weights."""
     counted, totals = counted_tokens(docs, modulus, held, aside)
     cells = (
-        counted.where(F.col("kind") == SET_ASIDE)
+        counted.where(F.array_contains("kinds", SET_ASIDE))
         .mapInArrow(partial(_cells, totals=totals), "cell BIGINT, n BIGINT")
         .groupBy("cell")
         .agg(F.sum("n").alias("n"))
