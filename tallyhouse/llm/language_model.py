@@ -83,7 +83,7 @@ def numbers(raw: bytes, kind: type = np.uint64) -> np.ndarray:
 
 
 def rising(x: np.ndarray) -> bytes:
-    """Sorted numbers, by what each adds to the one before."""
+    """Numbers in sorted runs, by what each adds to the one before, modulo 2 to the power of 64."""
     return planes(np.diff(x, prepend=np.uint64(0)))
 
 
@@ -91,6 +91,13 @@ def risen(raw: bytes) -> np.ndarray:
     return np.cumsum(numbers(raw), dtype=np.uint64)
 
 
+def places(order: np.ndarray) -> np.ndarray:
+    """Where each item comes in an order."""
+    at = np.empty(len(order), np.uint32)
+    at[order] = np.arange(len(order), dtype=np.uint32)
+    return at
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows one at a time: those of chunks are large."""
     for batch in batches:
@@ -112,7 +119,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def chunk() -> pa.RecordBatch:
         lengths = np.array([len(p) for p in parts], np.int32)
         kind = np.array(kinds)
-        words, tokens = np.unique(np.concatenate(parts), return_inverse=True)
+        words, tokens, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        # Frequent words first, so that most tokens are small numbers; words alike in this are sorted.
+        order = np.lexsort((words, -np.log2(counts).astype(np.int64)))
         row = {
             "chunk": uuid.uuid4().hex,
             "n_tokens": int(lengths.sum()),
@@ -123,8 +132,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "doc_ids": ids,
             "kinds": kinds,
             "lengths": lengths.tolist(),
-            "words": rising(words),
-            "tokens": planes(tokens.astype(np.uint32)),
+            "words": rising(words[order]),
+            "tokens": planes(places(order)[tokens]),
         }
         types = {"doc_ids": pa.list_(pa.int64()), "kinds": pa.list_(pa.int32()), "lengths": pa.list_(pa.int32())}
         return pa.record_batch([pa.array([v], types.get(n)) for n, v in row.items()], names=list(row))
@@ -155,7 +164,9 @@ class Tokens:
 
     @classmethod
     def of(cls, row: dict) -> Tokens:
-        words, tokens = risen(row["words"]), numbers(row["tokens"], np.uint32)
+        words = risen(row["words"])
+        order = np.argsort(words)
+        words, tokens = words[order], places(order)[numbers(row["tokens"], np.uint32)]
         lengths = np.array(row["lengths"], np.int64)
         first = np.cumsum(lengths) - lengths
         hashes = words[tokens]
