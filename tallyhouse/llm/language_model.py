@@ -59,7 +59,7 @@ CHUNK_SCHEMA = (
 REQUEST_SCHEMA = "kind INT, range INT, chunk STRING, keys BINARY, counts BINARY, aside BINARY"
 ANSWER_SCHEMA = "kind INT, range INT, chunk STRING, counts BINARY, aside BINARY, n_distinct BIGINT"
 COUNTED_SCHEMA = (
-    "doc_ids ARRAY<BIGINT>, kinds ARRAY<INT>, lengths ARRAY<INT>, c1 BINARY, c2 BINARY, a1 BINARY, a2 BINARY, "
+    "doc_ids ARRAY<BIGINT>, kinds ARRAY<INT>, lengths ARRAY<INT>, c1_values BINARY, c1 BINARY, c2 BINARY, a1 BINARY, a2 BINARY, "
     "n_distinct BIGINT"
 )
 DOCS_PER_BLOCK = 512
@@ -98,6 +98,14 @@ def places(order: np.ndarray) -> np.ndarray:
     return at
 
 
+def by_frequency(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, frequent ones first, and where each item's value is: mostly small numbers.
+    Values alike in frequency, by powers of two, are sorted."""
+    values, at, counts = np.unique(x, return_inverse=True, return_counts=True)
+    order = np.lexsort((values, -np.log2(counts).astype(np.int64)))
+    return values[order], places(order)[at]
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows one at a time: those of chunks are large."""
     for batch in batches:
@@ -119,9 +127,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def chunk() -> pa.RecordBatch:
         lengths = np.array([len(p) for p in parts], np.int32)
         kind = np.array(kinds)
-        words, tokens, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        # Frequent words first, so that most tokens are small numbers; words alike in this are sorted.
-        order = np.lexsort((words, -np.log2(counts).astype(np.int64)))
+        words, tokens = by_frequency(np.concatenate(parts))
         row = {
             "chunk": uuid.uuid4().hex,
             "n_tokens": int(lengths.sum()),
@@ -132,8 +138,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "doc_ids": ids,
             "kinds": kinds,
             "lengths": lengths.tolist(),
-            "words": rising(words[order]),
-            "tokens": planes(places(order)[tokens]),
+            "words": rising(words),
+            "tokens": planes(tokens),
         }
         types = {"doc_ids": pa.list_(pa.int64()), "kinds": pa.list_(pa.int32()), "lengths": pa.list_(pa.int32())}
         return pa.record_batch([pa.array([v], types.get(n)) for n, v in row.items()], names=list(row))
@@ -241,11 +247,13 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for i, (start, end) in enumerate(zip(bounds, bounds[1:])):
             docs = slice(i * DOCS_PER_BLOCK, (i + 1) * DOCS_PER_BLOCK)
             aside = start + np.flatnonzero(t.kind[start:end] == SET_ASIDE)
+            c1_values, c1_at = by_frequency(c1[start:end])
             block = {
                 "doc_ids": pa.array([row["doc_ids"][docs]], pa.list_(pa.int64())),
                 "kinds": pa.array([row["kinds"][docs]], pa.list_(pa.int32())),
                 "lengths": pa.array([row["lengths"][docs]], pa.list_(pa.int32())),
-                "c1": pa.array([planes(c1[start:end])]),
+                "c1_values": pa.array([rising(c1_values)]),
+                "c1": pa.array([planes(c1_at)]),
                 "c2": pa.array([planes(c2[start:end])]),
                 "a1": pa.array([planes(a1[aside])]),
                 "a2": pa.array([planes(a2[aside])]),
@@ -283,6 +291,12 @@ def _of_steps(at: np.ndarray) -> np.ndarray:
     return np.where(at > 0, 2.0 ** ((at - SIDE + 1) / STEPS), 0.0)
 
 
+def token_counts(block: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of a block's tokens and of their bigrams."""
+    c1 = risen(block["c1_values"])[numbers(block["c1"], np.uint32)]
+    return c1.astype(float), numbers(block["c2"]).astype(float)
+
+
 def contexts_of(c1: np.ndarray, first: np.ndarray, docs: int) -> np.ndarray:
     """Frequency of the context of each token: the word before, or the start at the first of a text."""
     before = np.roll(c1, 1)
@@ -296,7 +310,7 @@ def _cells(batches: Iterator[pa.RecordBatch], totals: Totals) -> Iterator[pa.Rec
         kinds, lengths = np.array(row["kinds"]), np.array(row["lengths"], np.int64)
         aside = np.repeat(kinds == SET_ASIDE, lengths)
         lengths = lengths[kinds == SET_ASIDE]
-        c1, c2 = (numbers(row[k]).astype(float)[aside] for k in ("c1", "c2"))
+        c1, c2 = (c[aside] for c in token_counts(row))
         a1, a2 = (numbers(row[k]).astype(float) for k in ("a1", "a2"))
         r1, r2 = c1 - a1, c2 - a2
         context = contexts_of(r1, np.cumsum(lengths) - lengths, totals.docs - totals.docs_aside)
@@ -329,7 +343,7 @@ def _score(batches: Iterator[pa.RecordBatch], totals: Totals, weights: np.ndarra
     for row in rows_of(batches):
         lengths = np.array(row["lengths"], np.int64)
         first = np.cumsum(lengths) - lengths
-        c1, c2 = (numbers(row[k]).astype(float) for k in ("c1", "c2"))
+        c1, c2 = token_counts(row)
         base = np.log10((c1 + 0.5) / (n + 0.5 * (v + 1)))
         context = contexts_of(c1, first, totals.docs)
         w = weights[buckets(context)]
