@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import oracle, workspace
@@ -15,7 +15,7 @@ from tallyhouse.functions import labels, money
 from tallyhouse.plans import analytics, inventory, lines, quality, repair, reports, rollups, star
 from tallyhouse.schemas import Tables
 from tallyhouse.sources import benchmark_tables as bench
-from tallyhouse.sources import files
+from tallyhouse.sources import dumps, files
 from tallyhouse.storage import fresh_path, stage
 from tallyhouse.streaming import feed, runs
 
@@ -491,6 +491,27 @@ def _insert_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_insert_dump(spark, path, products.schema)
 
 
+@_register("s07_dump_over_lines", "S7", oracle.SQL.get("s07_dump_over_lines"))
+def _dump_over_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product dimension dumped with raw line breaks in texts, comments with apostrophes, and tuples
+    and clauses over several lines, and loaded from the dump."""
+    products = workspace.star_tables(spark, sf_dir)["dim_product"].drop("id")
+    broken = products.withColumn("name", F.replace("name", F.lit(" "), F.lit("\n' -- ")))
+
+    def text(name: str) -> Column:
+        return F.concat(F.lit("'"), F.replace(name, F.lit("'"), F.lit("''")), F.lit("'"))
+
+    values = [F.col("source_id").cast("string"), *map(text, ("name", "category", "subcategory")), F.col("unit_cost").cast("string")]
+    row = F.concat_ws(",\n  ", *[F.coalesce(v, F.lit("NULL")) for v in values])
+    statement = F.concat(
+        F.lit("-- the shop's product\nINSERT INTO dim_product\nVALUES ("), row,
+        F.lit(") -- don't add twice\nON CONFLICT (source_id)\n  DO NOTHING;"),
+    )
+    path = fresh_path(spark, "dump")
+    broken.select(statement.alias("value")).write.text(path)
+    return dumps.read_dump(spark, path, products.schema)
+
+
 def _sampled_ids(tables: Tables) -> DataFrame:
     samples = [
         sample.select(F.lit(name).alias("table_name"), "id")

@@ -808,6 +808,10 @@ SQL["s10_views"] = q(FACT, f"""
 SELECT category, is_loyalty, count(*) AS lines, {UNITS} AS units
 FROM sold JOIN cust ON sold.customer_id = cust.customer_id GROUP BY category, is_loyalty""")
 SQL["s07_insert_dump"] = SQL["k02_dim_product"]
+SQL["s07_dump_over_lines"] = q(DIMS, """
+SELECT product_id AS source_id, replace(name, ' ', chr(10) || chr(39) || ' -- ') AS name,
+  category, subcategory, unit_cost
+FROM d_product""")
 SQL["o05_table_samples"] = q(DIMS, "\nUNION ALL ".join(
     f"(SELECT '{name}' AS table_name, CAST(id AS BIGINT) AS id FROM {ids} "
     "ORDER BY md5('42:' || id), id LIMIT 5)"

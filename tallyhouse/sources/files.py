@@ -94,7 +94,7 @@ def read_operational_jdbc(
 
 # The pieces of an INSERT dump. A text in apostrophes doubles those it contains; one
 # written as E'...' has its line breaks and backslashes escaped.
-_TEXT = r"[Ee]?'(?:[^']|'')*'"
+_TEXT = r"[Ee]?'(?:[^']++|'')*+'"
 _TUPLE = rf"\((?:{_TEXT}|[^'()])*\)"
 _HEAD = r"(?i)^\s*INSERT\s+INTO\s+[^\s(]+\s*(?:\([^()']*\))?\s*VALUES"
 _VALUE = rf"{_TEXT}|[^,\s'](?:[^,']*[^,\s'])?"
@@ -117,7 +117,11 @@ def read_insert_dump(spark: SparkSession, path: str, schema: T.StructType) -> Da
     tuples = F.when(
         rest.rlike(r"^[\s,;]*$"), F.regexp_extract_all(body, F.lit(f"({_TUPLE})"), F.lit(1))
     ).otherwise(refused)
-    rows = lines.select(F.explode(tuples).alias("tuple"))
+    return rows_of_tuples(lines.select(F.explode(tuples).alias("tuple")), schema)
+
+
+def rows_of_tuples(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The values of texts like ``(1,'a')`` as columns."""
     inner = F.expr("substring(tuple, 2, length(tuple) - 2)")
     values = F.regexp_extract_all(inner, F.lit(f"({_VALUE})"), F.lit(1))
     short = F.raise_error(F.concat(F.lit("a tuple of another length: "), F.col("tuple")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyhouse import schemas as S
 from tallyhouse.functions import labels, money
 from tallyhouse.plans import inventory
-from tallyhouse.sources import files
+from tallyhouse.sources import dumps, files
 from tallyhouse.storage import fresh_path
 from tallyhouse.streaming import feed, runs
 
@@ -141,6 +141,75 @@ def test_insert_dump_in_all_its_shapes(spark):
     ]
 
 
+def dump_file(spark, tmp_path, *lines):
+    (tmp_path / "boats.sql").write_text("\n".join(lines))
+    schema = spark.createDataFrame([], BOATS).schema
+    got = dumps.read_dump(spark, f"file://{tmp_path}/boats.sql", schema).collect()
+    return sorted((tuple(r) for r in got), key=str)
+
+
+SCRIPT = [
+    "-- boats: it's a comment",
+    "INSERT INTO quay.boats",
+    "  (hull, title, harbour, length, sold)",
+    "VALUES",
+    "  (70,'first line",
+    "-- it''s text; ON CONFLICT (",
+    "",
+    "last','Oban',12.50,true), -- don't read",
+    "  (71,",
+    "   NULL, 'x''s)', -- ((",
+    "   3,false)",
+    "ON CONFLICT (hull)",
+    "  DO UPDATE SET title = 'a;",
+    "b', length = (1 + 2);",
+    "",
+    "INSERT INTO boats VALUES (72,'','',NULL,NULL) RETURNING hull; INSERT INTO boats VALUES (73,E'two\\nlines','y',1,'t')",
+    "ON DUPLICATE KEY UPDATE title = VALUES(title);",
+]
+SCRIPT_ROWS = [
+    (70, "first line\n-- it's text; ON CONFLICT (\n\nlast", "Oban", Decimal("12.50"), True),
+    (71, None, "x's)", Decimal("3.00"), False),
+    (72, "", "", None, None),
+    (73, "two\nlines", "y", Decimal("1.00"), True),
+]
+
+
+def test_dump_over_several_lines(spark, tmp_path):
+    assert dump_file(spark, tmp_path, *SCRIPT) == SCRIPT_ROWS
+    (tmp_path / "empty").mkdir()
+    assert dump_file(spark, tmp_path / "empty") == []
+
+
+def test_dump_over_many_blocks_of_a_file(spark, tmp_path):
+    """Blocks of 97 bytes begin inside texts, tuples, heads and clauses."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = dump_file(spark, tmp_path, *SCRIPT * 5)
+        blocks = dumps.whole_lines(spark, f"file://{tmp_path}/boats.sql").select("block").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == sorted(SCRIPT_ROWS * 5, key=str) and blocks > 10
+
+
+@pytest.mark.parametrize(
+    "lines",
+    [
+        ["INSERT INTO boats SELECT * FROM ships;"],
+        ["INSERT INTO boats VALUES (1,'open,'b',1,true);"],
+        ["INSERT INTO boats VALUES (1,'a','b',1,true", ";"],
+        ["(1,'a','b',1,true);"],
+        ["INSERT INTO boats VALUES (1,'a','b',1);"],
+        ["INSERT INTO boats VALUES (1,'a','b',1,true);", "DELETE FROM boats;"],
+    ],
+)
+def test_dump_that_is_no_statement_of_rows(spark, tmp_path, lines):
+    with pytest.raises(Exception):
+        dump_file(spark, tmp_path, *lines)
+
+
 @pytest.mark.parametrize(
     "line",
     [
