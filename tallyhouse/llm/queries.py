@@ -138,6 +138,22 @@ SQL: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    # Base32: five hexadecimal digits are four letters.
+    "op4_warc": """
+        SELECT page_id,
+               CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr(
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((CAST('0x' || substr(sha1(payload), 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31),
+                   1)), '') AS payload_digest,
+               CASE WHEN first_id <> page_id OR (page_id IS NULL AND first_id IS NOT NULL)
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id OR page_id IS NULL THEN first_id END AS refers_to
+        FROM (
+            SELECT page_id, payload, min(page_id) OVER (PARTITION BY payload) AS first_id
+            FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages)
+        )
+    """,
     "op7_line_dedup": line_dedup.sql(),
     "op8_decontamination": decontamination.sql(),
     "op13_lexical_search": lexical_search.sql(),

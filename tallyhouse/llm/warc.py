@@ -3,11 +3,12 @@
 ``register(spark)`` makes the format ``warc`` known. Writing takes rows (page_id, uri, record_type,
 payload, payload_digest, refers_to); every task writes files of bounded size, and a manifest of the
 files of successful tasks is written last, so a repeated or lost task leaves nothing that a reader
-sees. Reading plans one partition for each file of the manifest (or each ``*.warc`` file of a folder
-without one). Equality and membership filters on header columns are pushed down: a record's headers
-are parsed first, and where a filter fails, or the payload is not wanted, its block is skipped
-without being read or decoded. ``payload`` is wanted unless the option ``payload`` is ``false``,
-which leaves that column out.
+sees. Reading plans one partition for each file of the manifest (or each ``*.warc`` and ``*.warc.gz``
+file of a folder without one; compressed ones are read as a stream, member after member). Equality
+and membership filters on header columns are pushed down: a record's headers are parsed first, and
+where a filter fails, or the payload is not wanted, its block is skipped without being read or
+decoded. ``payload`` is wanted unless the option ``payload`` is ``false``, which leaves that column
+out.
 
 A response record holds an HTTP response whose body is the payload; a revisit record holds HTTP
 headers only, and names the response by ``WARC-Refers-To``. Its payload is not stored again, but its
@@ -22,12 +23,16 @@ Defined results: null html is the empty payload; payloads shorter than ``least_b
 revisited; a page without id is written with an empty id, never named by a revisit unless all pages
 of its payload lack one, and read back as null; repeated ids are written as often as they come, the
 first of them by order of id is the response and so are its repeats; an empty table gives an archive
-without records. Other columns of the input are neither read nor required.
+without records. Records of other writers have no ``page_id``: it is null unless the id is one of this
+writer's, and so is ``refers_to``; their payload is what follows the HTTP headers, as it is stored, and
+null if they are no responses. A text of any length is held once by the task that writes or reads it.
+Other columns of the input are neither read nor required.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import json
@@ -85,8 +90,10 @@ def _id_of(page_id: int | None) -> str:
 
 
 def _page_of(record_id: str | None) -> int | None:
-    number = (record_id or "").strip("<>").removeprefix(_ID)
-    return int(number) if number else None
+    """The page that an id of this writer names; null for ids of others."""
+    scheme, _, number = (record_id or "").strip("<>").rpartition(":")
+    is_own = f"{scheme}:" == _ID and number.removeprefix("-").isdecimal() and number.isascii()
+    return int(number) if is_own and -(1 << 63) <= int(number) < 1 << 63 else None
 
 
 def record(
@@ -207,7 +214,7 @@ class WarcReader(DataSourceReader):
                 names = json.loads(f.read())
         else:
             found = store.get_file_info(fs.FileSelector(path))
-            names = sorted(x.base_name for x in found if x.base_name.endswith(".warc"))
+            names = sorted(x.base_name for x in found if x.base_name.endswith((".warc", ".warc.gz")))
         return [WarcFile(f"{self.path}/{name}") for name in names]
 
     def read(self, partition: WarcFile) -> Iterator[tuple]:
@@ -215,7 +222,8 @@ class WarcReader(DataSourceReader):
             return
         store, path = file_system(partition.path)
         with io.BufferedReader(store.open_input_file(path), 1 << 17) as stream:
-            yield from read_records(stream, self.wanted, self.with_payload)
+            plain = gzip.GzipFile(fileobj=stream) if path.endswith(".gz") else stream
+            yield from read_records(plain, self.wanted, self.with_payload)
 
 
 class WarcWriter(DataSourceWriter):
@@ -289,21 +297,22 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Rows for the writer: of pages with equal payloads of at least ``least_bytes`` bytes, the one
     with the smallest id is a response and the others revisit it."""
     payload = F.coalesce("html", F.lit("")).cast("binary")
-    digest = F.sha1(payload)
-    rows = pages.select("page_id", "url", payload.alias("payload"), digest.alias("hex_digest"))
-    hashed = pages.select(
-        "page_id", F.octet_length(payload).alias("bytes"), digest.alias("hex_digest")
-    )
+    # SHA-1 is what the records carry; different payloads can be made to share it, so a second digest
+    # decides with it.
+    digests = [F.sha1(payload).alias("hex_digest"), F.sha2(payload, 256).alias("second_digest")]
+    rows = pages.select("page_id", "url", payload.alias("payload"), *digests)
+    hashed = pages.select("page_id", F.octet_length(payload).alias("bytes"), *digests)
+    both = ["hex_digest", "second_digest"]
     groups = (
         hashed.where(F.col("bytes") >= least_bytes)
-        .groupBy("hex_digest")
+        .groupBy(*both)
         .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("hex_digest", "first_id")
+        .select(*both, "first_id")
     )
     groups = stage(groups, "equal-payloads")
     revisits = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return rows.join(groups, "hex_digest", "left").select(
+    return rows.join(groups, both, "left").select(
         F.col("page_id").cast("bigint"),
         F.col("url").alias("uri"),
         F.when(revisits, "revisit").otherwise("response").alias("record_type"),

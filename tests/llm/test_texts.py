@@ -179,6 +179,35 @@ def test_only_files_of_the_manifest_are_read(spark, tmp_path):
     assert warc.read_archive(spark, f"file://{tmp_path}").count() == 1
 
 
+def foreign_record(kind: str, block: bytes, *more: str) -> bytes:
+    head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:7f2c0c1e-0000-4000-8000-0123456789ab>", *more]
+    return "\r\n".join([*head, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<p>far</p>"
+    records = [
+        foreign_record("warcinfo", b"software: other\r\n"),
+        foreign_record("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Target-URI: http://far/"),
+        foreign_record("response", http, "WARC-Target-URI: http://far/"),
+        foreign_record("revisit", b"", "WARC-Refers-To: <urn:uuid:1>"),
+        warc.record(-4, "http://near/", "response", b"near", "D", None),
+    ]
+    (tmp_path / "plain.warc").write_bytes(b"".join(records))
+    (tmp_path / "members.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    got = warc.read_archive(spark, str(tmp_path))
+    rows = [(None, "warcinfo", None), (None, "request", None), (None, "response", b"<p>far</p>"),
+            (None, "revisit", None), (-4, "response", b"near")]
+    found = [(r.page_id, r.record_type, r.payload and bytes(r.payload)) for r in got.collect()]
+    assert sorted(found, key=str) == sorted(rows * 2, key=str)
+    assert got.where("record_type = 'response' AND uri = 'http://far/'").count() == 2
+
+
+@pytest.mark.parametrize("record_id", ["", "<>", "<urn:page:>", "<urn:page:x>", "<urn:page:99999999999999999999>", "<urn:uuid:5>"])
+def test_ids_that_name_no_page(record_id):
+    assert warc._page_of(record_id) is None
+
+
 # Lines of a site ---------------------------------------------------------------------------------
 
 
