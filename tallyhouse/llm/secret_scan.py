@@ -18,8 +18,8 @@ the first layer are the base; deeper layers add spans, base spans always stay.
 Defined results: null and empty texts have no find; documents without id are scanned; equal spans
 found on several ways are given once; every character of compressed content maps to the whole base64
 word. Bytes that are not readable UTF-8 are not a layer. Compressed content is all members of its
-bytes, one after the other, and what follows them; if that is not readable as a whole, each readable
-member is a layer. It is read as a stream: beyond ``MOST_UNPACKED`` characters it is scanned in pieces,
+bytes, one after the other, and what follows them; if that is not readable as a whole, each member is
+a layer, of one that is not readable its readable stretches. It is read as a stream: beyond ``MOST_UNPACKED`` characters it is scanned in pieces,
 one at a time, cut only where no match and no encoded part can go on, and counted in ``n_cut``. So
 memory grows with a stretch that has no such place, and with nothing else. Other columns of the
 input are neither read nor required.
@@ -64,6 +64,7 @@ BASE64_PART = re.compile(r"[A-Za-z0-9+/_-]+")
 STRETCH = re.compile(
     rb"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}"
 )
+LAST_CONTROL = re.compile(rb"(?s).*[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 GZIP = re.compile(rb"\x1f\x8b\x08")
 LONG_HEX = re.compile(r"[0-9a-f]{24}")
 # Up to the last place where a text may be cut: after a character that is in no pattern above, or
@@ -191,6 +192,22 @@ def _pieces(parts: Iterable[tuple[int, bytes]]) -> Iterator[str]:
         yield text
 
 
+def _stretches(parts: Iterable[tuple[int, bytes]]) -> Iterator[str]:
+    """The readable stretches of bytes, with a character between them that is in no match."""
+
+    def joined(whole: bytes) -> Iterator[str]:
+        if texts := [m.group().decode("utf-8", "ignore") for m in STRETCH.finditer(whole)]:
+            yield "\0".join(texts)
+
+    held = b""
+    for _, part in parts:
+        held += part
+        if len(held) >= MOST_UNPACKED and (end := LAST_CONTROL.match(held) or CUT.match(held.decode("latin-1"))):
+            yield from joined(held[: end.end()])
+            held = held[end.end() :]
+    yield from joined(held)
+
+
 def contents(raw: bytes) -> list[Iterator[str]] | Iterator[Iterator[str]] | None:
     """The readable texts that bytes unpack to, each in pieces that are read one by one; None if the
     bytes are not compressed."""
@@ -206,7 +223,8 @@ def contents(raw: bytes) -> list[Iterator[str]] | Iterator[Iterator[str]] | None
     if whole.readable():
         return [_pieces(unpacked(raw))]
     good = {m for m, r in members.items() if r.readable()}
-    return (_pieces(parts) for m, parts in groupby(unpacked(raw), lambda x: x[0]) if m in good)
+    by_member = groupby(unpacked(raw), lambda x: x[0])
+    return (_pieces(parts) if m in good else _stretches(parts) for m, parts in by_member)
 
 
 def _spans_of_bytes(text: str, at: list[Span]) -> list[Span]:

@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import io
 import json
+import tarfile
 import urllib.parse
 import zlib
 
@@ -179,6 +180,35 @@ def test_only_files_of_the_manifest_are_read(spark, tmp_path):
     assert warc.read_archive(spark, f"file://{tmp_path}").count() == 1
 
 
+@pytest.mark.parametrize("most", [64 << 20, 50])
+@pytest.mark.parametrize("make", [
+    lambda: archive_of({"a.bin": bytes(range(256)) * 9, "conf.txt": b"password=hunter2secret\n"}),
+    lambda: "na\xefve caf\xe9, d\xe9j\xe0 vu\npassword=hunter2secret\n\xe9t\xe9".encode("latin-1"),
+    lambda: b"\x00\xff" * 300 + b"password=hunter2secret" + b"\xff\x00" * 300,
+])
+def test_secrets_beside_unreadable_bytes_of_compressed_content(make, most, monkeypatch):
+    monkeypatch.setattr(secret_scan, "MOST_UNPACKED", most)
+    word = base64.b64encode(gzip.compress(make())).decode()
+    base, found, _, _ = secret_scan.scan_layers(f"see {word} there")
+    end = 4 + len(word.rstrip("="))
+    assert (4, 0) in {(a, kind) for a, kind, b in found if b - a >= end - 4} and not [f for f in base if f[1] == 0]
+
+
+def test_unreadable_compressed_content_shows_nothing():
+    word = base64.b64encode(gzip.compress(bytes(range(128, 256)) * 50)).decode()
+    assert not [f for f in secret_scan.scan_layers(f"see {word} there")[1] if f[1] == 0]
+
+
+def archive_of(files: dict[str, bytes]) -> bytes:
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as tar:
+        for name, content in files.items():
+            entry = tarfile.TarInfo(name)
+            entry.size = len(content)
+            tar.addfile(entry, io.BytesIO(content))
+    return out.getvalue()
+
+
 def foreign_record(kind: str, block: bytes, *more: str) -> bytes:
     head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:7f2c0c1e-0000-4000-8000-0123456789ab>", *more]
     return "\r\n".join([*head, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
