@@ -68,19 +68,20 @@ def held_out(modulus: int, value: int) -> Column:
     return F.coalesce(remainder(modulus) == value, F.lit(False))
 
 
+def usable_labels(labels: DataFrame, label: str, modulus: int, held: int) -> DataFrame:
+    """(doc_id, label) of all labelled documents that may be learned from. Null ids and null labels are
+    left out; an id labelled more than once gets its largest label."""
+    usable = labels.where(F.col(label).isNotNull() & (remainder(modulus) != held))
+    return usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+
+
 def labelled_sample(
     labels: DataFrame, label: str, modulus: int, held: int, max_rows: int
 ) -> DataFrame:
-    """(doc_id, label) of at most ``max_rows`` labelled documents that may be learned from: those
-    with the smallest id hashes, so the choice does not depend on task order. Null ids and null
-    labels are left out; an id labelled more than once gets its largest label."""
-    usable = labels.where(F.col(label).isNotNull() & (remainder(modulus) != held))
-    return (
-        usable.groupBy("doc_id")
-        .agg(F.max(label).cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(max_rows)
-    )
+    """At most ``max_rows`` of the usable labels: those with the smallest id hashes, so the choice does
+    not depend on task order."""
+    usable = usable_labels(labels, label, modulus, held)
+    return usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
 
 def sampled_documents(docs: DataFrame, sample: DataFrame) -> DataFrame:

@@ -61,6 +61,37 @@ def test_ranking_cuts_at_the_share_of_bad_labels():
     assert (scores < quality.CUTOFF).sum() == (label == 0).sum()
 
 
+def weights_of_all_pairs(x, label):
+    z = (x - x.mean(axis=0)) / np.maximum(x.std(axis=0), 1e-3)
+    d = (z[label == 1][:, None] - z[label == 0][None]).reshape(-1, z.shape[1])
+    w = np.zeros(z.shape[1])
+    for _ in range(50):
+        lost = 1 / (1 + np.exp(d @ w))
+        curvature = (d * (lost * (1 - lost))[:, None]).T @ d / len(d) + quality.RIDGE * np.eye(len(w))
+        step = np.linalg.solve(curvature, quality.RIDGE * w - (d * lost[:, None]).mean(axis=0))
+        w = w - step / max(1.0, np.linalg.norm(step))
+    return w
+
+
+def test_ranking_learns_from_all_pairs():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 10))
+    label = (x[:, 0] + x[:, 3] + rng.normal(size=300) > -1).astype(int)
+    assert quality.fit(x, label).weights == pytest.approx(weights_of_all_pairs(x, label), abs=1e-6)
+
+
+def test_ranking_learns_from_every_labelled_document(spark):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("ab C.,#1\n "), 60)) for _ in range(400)]
+    given = [(i, int(rng.random() < 0.3 + 0.5 * (t.count("#") < 7)), 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    got = quality.learn(docs, labels_for(spark, given), 5, 0)
+    used = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    want = quality.fit(np.array([quality.measure(texts[i]) for i in used]), np.array([given[i][1] for i in used]))
+    assert got.weights == pytest.approx(weights_of_all_pairs(np.array([quality.measure(texts[i]) for i in used]), np.array([given[i][1] for i in used])), abs=1e-6)
+    assert (got.cut, got.unit) == pytest.approx((want.cut, want.unit), abs=1e-6)
+
+
 def test_noisy_or_finds_the_sentence():
     clean = [f"The sky is blue today. Birds number {i} sing. All is well." for i in range(60)]
     toxic = [f"The sky is blue today. You vile{c} thing number {i}. All is well." for i in range(20) for c in "xyz"]
