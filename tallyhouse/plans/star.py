@@ -99,13 +99,15 @@ def extract(oltp: Tables) -> DataFrame:
     )
 
 
-def sale_lines(oltp: Tables, first_day: str) -> DataFrame:
-    """Line items with the header fields the load needs, keys only. A line whose sale is missing
-    stays, with NULL header fields, and is rejected later."""
-    items = oltp["transaction_items"].select(
+def line_items(oltp: Tables) -> DataFrame:
+    return oltp["transaction_items"].select(
         "id", "transaction_id", "product_id", "quantity", "unit_price_at_sale"
     )
-    header = oltp["transactions"].select(
+
+
+def sale_headers(oltp: Tables, first_day: str) -> DataFrame:
+    """The header fields the load needs, keys only."""
+    return oltp["transactions"].select(
         F.col("id").alias("transaction_id"),
         "customer_id",
         "employee_id",
@@ -113,7 +115,12 @@ def sale_lines(oltp: Tables, first_day: str) -> DataFrame:
         labels.day_number(F.col("transaction_time"), first_day).alias("simulated_day"),
         F.hour("transaction_time").alias("hour_of_day"),
     )
-    return items.join(header, "transaction_id", "left")
+
+
+def sale_lines(oltp: Tables, first_day: str) -> DataFrame:
+    """Line items with the header fields. A line whose sale is missing stays, with NULL header fields,
+    and is rejected later."""
+    return line_items(oltp).join(sale_headers(oltp, first_day), "transaction_id", "left")
 
 
 def time_dimension(lines: DataFrame) -> DataFrame:
@@ -168,11 +175,12 @@ def seen_employees(lines: DataFrame, employees: DataFrame) -> DataFrame:
     )
 
 
-def batch_members(lines: DataFrame, oltp: Tables) -> Tables:
+def batch_members(items: DataFrame, headers: DataFrame, oltp: Tables) -> Tables:
+    """Members on line items and on the headers of sales that have lines."""
     return {
-        "dim_product": sold_products(lines, oltp["products"]),
-        "dim_customer": seen_customers(lines, oltp["customers"]),
-        "dim_employee": seen_employees(lines, oltp["employees"]),
+        "dim_product": sold_products(items, oltp["products"]),
+        "dim_customer": seen_customers(headers, oltp["customers"]),
+        "dim_employee": seen_employees(headers, oltp["employees"]),
     }
 
 
@@ -192,37 +200,51 @@ def key_map(batch: DataFrame, dimension: DataFrame, columns: list[str]) -> DataF
     )
 
 
-def keyed_lines(lines: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame:
-    """Surrogate keys, measures and the reasons, if any, for not accepting a line.
+def _link(rows: DataFrame, keys: Tables, name: str, *more: str) -> DataFrame:
+    """Rows with the surrogate key of a dimension. A map with a day holds one row per key and day.
 
-    Product, customer and employee maps may be large, so no broadcast is forced on them: the
-    planner decides by size and splits skewed keys at run time. The payment table is small by
-    definition, and the time key needs no lookup at all. A map with a day holds one row per key and
-    day.
+    Product, customer and employee maps may be large, so no broadcast is forced on them: the planner
+    decides by size and splits skewed keys at run time.
     """
+    by_day = "simulated_day" in keys[name].columns
+    found = keys[name].select(
+        F.col("source_id").alias("_key"),
+        *[F.col("simulated_day").alias("_day")][:by_day],
+        F.col("dim_id").alias(f"{name}_id"),
+        *more,
+    )
+    same = F.col(LINE_KEYS[name]) == F.col("_key")
+    if by_day:
+        same &= F.col("simulated_day").eqNullSafe(F.col("_day"))
+    return rows.join(found, same, "left").drop("_key", "_day")
 
-    def link(lines: DataFrame, name: str, *more: str) -> DataFrame:
-        by_day = "simulated_day" in keys[name].columns
-        found = keys[name].select(
-            F.col("source_id").alias("_key"),
-            *[F.col("simulated_day").alias("_day")][:by_day],
-            F.col("dim_id").alias(f"{name}_id"),
-            *more,
-        )
-        same = F.col(LINE_KEYS[name]) == F.col("_key")
-        if by_day:
-            same &= F.col("simulated_day").eqNullSafe(F.col("_day"))
-        return lines.join(found, same, "left").drop("_key", "_day")
 
+def _link_header(rows: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame:
+    """Rows with the keys that come from a sale's header. The payment table is small by definition."""
     method = payment.select(
         F.col("method").alias("payment_method"), F.col("id").alias("dim_payment_method_id")
     )
+    linked = _link(_link(rows, keys, "dim_customer"), keys, "dim_employee").drop("employee_id")
+    return linked.join(F.broadcast(method), "payment_method", "left")
+
+
+def linked_lines(lines: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame:
+    """Lines that have their header fields, with all keys that are looked up."""
+    return _link_header(_link(lines, keys, "dim_product", "unit_cost"), keys, payment)
+
+
+def linked_items(items: DataFrame, headers: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame:
+    """The same from line items and headers: lines are moved for products while they are narrow, and
+    for their sales once, whose header has been linked by then."""
+    products = _link(items, keys, "dim_product", "unit_cost")
+    return products.join(_link_header(headers, keys, payment), "transaction_id", "left")
+
+
+def keyed_lines(linked: DataFrame, *more: str) -> DataFrame:
+    """Surrogate keys, measures and the reasons, if any, for not accepting a line. The time key needs no
+    lookup at all."""
     day, hour = F.col("simulated_day"), F.col("hour_of_day")
-    looked_up = (
-        link(link(link(lines, "dim_product", "unit_cost"), "dim_customer"), "dim_employee")
-        .join(F.broadcast(method), "payment_method", "left")
-        .withColumn("dim_time_id", labels.time_key(day, hour))
-    )
+    looked_up = linked.withColumn("dim_time_id", labels.time_key(day, hour))
     missing = {
         "time": F.col("dim_time_id").isNull(),
         "product": F.col("dim_product_id").isNull(),
@@ -254,6 +276,7 @@ def keyed_lines(lines: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame
         "payment_method",
         reasons.alias("reasons"),
         accepted.alias("accepted"),
+        *more,
     )
 
 
@@ -290,13 +313,13 @@ def star(oltp: Tables, first_day: str) -> Tables:
     lines = stage(sale_lines(oltp, first_day), "lines")
     tables: Tables = {"dim_time": time_dimension(lines)}
     keys: Tables = {}
-    for name, batch in batch_members(lines, oltp).items():
+    for name, batch in batch_members(lines, lines, oltp).items():
         columns = MEMBER_COLUMNS[name]
         none_yet = spark.createDataFrame([], S.STAR[name])
         tables[name] = stage(new_members(stage(batch, name), none_yet, columns), name)
         keys[name] = tables[name].withColumnRenamed("id", "dim_id")
     tables["dim_payment_method"] = S.payment_methods(spark)
-    keyed = keyed_lines(lines, keys, tables["dim_payment_method"])
+    keyed = keyed_lines(linked_lines(lines, keys, tables["dim_payment_method"]))
     tables["sales_lines"] = keyed
     tables["fact_sales"] = accepted_lines(keyed)
     tables["rejected_lines"] = rejected_lines(keyed)
@@ -328,10 +351,14 @@ def load_days(
     by earlier loads (``plans/versions.py``); without it to the version with the batch's attributes.
     """
     with Scratch(spark) as scratch:
-        lines = scratch.stage(sale_lines(oltp, first_day), "lines")
-        per_day = scratch.stage(lines.groupBy("simulated_day").agg(F.count("*").alias("n")), "days")
-        if per_day.isEmpty():
+        items = scratch.stage(line_items(oltp), "items")
+        if items.isEmpty():
             return
+        sold = items.select("transaction_id").distinct()
+        headers = scratch.stage(sale_headers(oltp, first_day).join(sold, "transaction_id", "left_semi"), "headers")
+        # Links by day need the day of each line.
+        lines = scratch.stage(items.join(headers, "transaction_id", "left"), "lines") if history else items
+        per_day = scratch.stage(headers.select("simulated_day").distinct(), "days")
         width = _width(spark, root, days_per_partition)
         recover(spark, root)
 
@@ -347,11 +374,12 @@ def load_days(
             if span is None:
                 return keys
             recorded = versions.record(keys, f"{root}/{HISTORY}/{name}", span)
-            pairs = scratch.stage(lines.select(F.col(LINE_KEYS[name]).alias("source_id"), "simulated_day").distinct(), "pairs")
+            having = lines if name == "dim_product" else headers
+            pairs = scratch.stage(having.select(F.col(LINE_KEYS[name]).alias("source_id"), "simulated_day").distinct(), "pairs")
             return scratch.stage(versions.keys_as_of(pairs, recorded, stored, columns), "keys")
 
         # The dimensions do not depend on each other: let their jobs share the cluster.
-        seen = batch_members(lines, oltp)
+        seen = batch_members(items, headers, oltp)
         with ThreadPoolExecutor(len(seen)) as pool:
             keys = dict(zip(seen, pool.map(merge, seen.keys(), seen.values())))
         payment_path = f"{root}/dim_payment_method"
@@ -361,7 +389,15 @@ def load_days(
         hours = time_dimension(per_day).join(_stored(spark, root, "dim_time"), "id", "left_anti")
         hours.write.mode("append").parquet(f"{root}/dim_time")
         days = per_day.select("simulated_day").where("simulated_day IS NOT NULL")
-        _replace_days(keyed_lines(lines, keys, payment), lines, days, root, width)
+        if history:
+            linked = linked_lines(lines, keys, payment)
+        else:
+            linked = linked_items(items, headers, keys, payment)
+        dated = headers.where("simulated_day IS NOT NULL").select("transaction_id")
+        undated = items.join(dated, "transaction_id", "left_anti").unionByName(
+            items.join(headers.where("simulated_day IS NULL").select("transaction_id"), "transaction_id", "left_semi")
+        )
+        _replace_days(linked, items, undated, days, root, width)
 
 
 def _width(spark: SparkSession, root: str, asked: int | None) -> int:
@@ -389,39 +425,43 @@ def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _replace_days(
-    keyed: DataFrame, lines: DataFrame, days: DataFrame, root: str, days_per_partition: int
+    linked: DataFrame, items: DataFrame, undated: DataFrame, days: DataFrame, root: str, days_per_partition: int
 ) -> None:
     """Overwrite the partitions of the batch. What else they hold is kept: other days that share a
-    partition, and lines without a day that the batch does not bring again."""
-    spark = keyed.sparkSession
+    partition, and lines without a day that the batch does not bring again. Lines are dealt to the
+    tasks that write them before amounts and reasons are added; ``undated`` are its items without a day."""
+    spark = linked.sparkSession
     path = f"{root}/sales_lines"
     block = _day_block(days_per_partition)
-    rows = keyed.withColumn(BLOCK, block)
+    rows = keyed_lines(_dealt(linked.withColumn(BLOCK, block)), BLOCK)
     if not path_exists(spark, path):
         _write_blocks(rows, path)
         return
     stored = stored_lines(spark, path)
     homeless = stored.where(F.col(BLOCK).isNull())
     had_homeless = not homeless.isEmpty()
-    kept = homeless.join(lines.select("id"), "id", "left_anti")
+    kept = homeless.join(items.select("id"), "id", "left_anti")
     if days_per_partition > 1:
         blocks = days.select(block.alias(BLOCK)).distinct()
         sharing = stored.join(F.broadcast(blocks), BLOCK, "left_semi")
         kept = kept.unionByName(sharing.join(F.broadcast(days), "simulated_day", "left_anti"))
     kept = _journal(kept, root)
-    rows = rows.unionByName(kept)
-    _write_blocks(rows, path)
-    if had_homeless and rows.where(F.col(BLOCK).isNull()).isEmpty():
+    _write_blocks(rows.unionByName(_dealt(kept)), path)
+    if had_homeless and undated.isEmpty() and kept.where(F.col(BLOCK).isNull()).isEmpty():
         delete(spark, f"{path}/{BLOCK}={NO_DAY}")
     delete(spark, f"{root}/{KEPT}")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rebalancing gives a partition as many tasks as its size calls for, so a day holding a third of
+    all lines is split and small ones share a task."""
+    return rows.hint("rebalance", BLOCK)
+
+
 def _write_blocks(rows: DataFrame, path: str) -> None:
-    """Write whole partitions. Rebalancing gives a partition as many tasks as its size calls for, so
-    a day holding a third of all lines is split and small ones share a task."""
+    """Write whole partitions of rows that were dealt to tasks."""
     (
-        rows.hint("rebalance", BLOCK)
-        .sortWithinPartitions(BLOCK, "simulated_day")
+        rows.sortWithinPartitions(BLOCK, "simulated_day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BLOCK)
@@ -439,7 +479,7 @@ def _journal(kept: DataFrame, root: str) -> DataFrame:
 def swap_lines(rows: DataFrame, root: str) -> None:
     """Replace the partitions of ``rows``, which are all rows these are to hold."""
     kept = _journal(rows, root)
-    _write_blocks(kept, f"{root}/sales_lines")
+    _write_blocks(_dealt(kept), f"{root}/sales_lines")
     delete(rows.sparkSession, f"{root}/{KEPT}")
 
 
@@ -467,7 +507,7 @@ def recover(spark: SparkSession, root: str) -> None:
         ids = kept.where(F.col(BLOCK).isNull()).select(F.col("id").alias("_id"))
         there = there.join(ids, F.col(BLOCK).isNull() & (F.col("id") == F.col("_id")), "left_anti")
         with Scratch(spark) as scratch:
-            _write_blocks(scratch.stage(there, "there").unionByName(kept), path)
+            _write_blocks(_dealt(scratch.stage(there, "there").unionByName(kept)), path)
     delete(spark, f"{root}/{KEPT}")
 
 
@@ -481,7 +521,7 @@ def remove_days(spark: SparkSession, root: str, days: list[int]) -> None:
     stored = stored_lines(spark, path).where(F.col(BLOCK).isin(blocks))
     kept = _journal(stored.where(~F.col("simulated_day").isin(days)), root)
     left = {r[BLOCK] for r in kept.select(BLOCK).distinct().collect()}
-    _write_blocks(kept, path)
+    _write_blocks(_dealt(kept), path)
     for block in set(blocks) - left:
         delete(spark, f"{path}/{BLOCK}={block}")
     delete(spark, f"{root}/{KEPT}")

@@ -55,6 +55,21 @@ def summary(spark, root):
     )
 
 
+def test_items_and_headers_link_like_joined_lines(spark):
+    oltp = shop(spark, [*SALES, SALES[0]], [*ITEMS, ITEMS[1]])
+    items, headers = star.line_items(oltp), star.sale_headers(oltp, FIRST_DAY)
+    keys = {
+        "dim_product": spark.createDataFrame([(1, 31, "1.00"), (2, 32, "2.00")], "source_id BIGINT, dim_id BIGINT, unit_cost STRING").withColumn("unit_cost", F.col("unit_cost").cast("decimal(10,2)")),
+        "dim_customer": spark.createDataFrame([(1, 41), (2, 42), (3, 43)], "source_id BIGINT, dim_id BIGINT"),
+        "dim_employee": spark.createDataFrame([(1, 51)], "source_id BIGINT, dim_id BIGINT"),
+    }
+    payment = spark.createDataFrame([("cash", 1), ("mobile", 2)], "method STRING, id BIGINT")
+    once = star.keyed_lines(star.linked_items(items, headers, keys, payment))
+    joined = star.keyed_lines(star.linked_lines(star.sale_lines(oltp, FIRST_DAY), keys, payment))
+    assert once.columns == joined.columns and once.count() == 13
+    assert once.exceptAll(joined).isEmpty() and joined.exceptAll(once).isEmpty()
+
+
 def test_accepts_and_rejects_lines_with_reasons(spark):
     tables = star.read_star(spark, load(spark, shop(spark, SALES, ITEMS)))
     fact = tables["fact_sales"]
