@@ -26,6 +26,8 @@ from tallyhouse.schemas import Tables
 from tallyhouse.storage import stage
 
 BLOCK_ROWS = 1 << 20
+# Lines that a task of the ledger sorts, on average.
+TASK_ROWS = 1 << 17
 
 
 def _present(column: str) -> Column:
@@ -33,12 +35,12 @@ def _present(column: str) -> Column:
     return F.coalesce(F.col(column), F.raise_error(F.lit(f"a sale line without {column}"))).alias(column)
 
 
-def blocked_lines(sales: DataFrame, keys: list[str], block_rows: int) -> DataFrame:
+def blocked_lines(sales: DataFrame, keys: list[str], block_rows: int, rows: int | None = None) -> DataFrame:
     """The lines with the number of their block. Ranges are cut by the rows they hold; the block of a
     line is stored, so that it is the same wherever it is used."""
     columns = [*keys, "transaction_id", "quantity"]
     lines = sales.select(*map(_present, columns))
-    blocks = -(-sales.count() // block_rows)
+    blocks = -(-(sales.count() if rows is None else rows) // block_rows)
     if blocks <= 1:
         return lines.withColumn("_block", F.lit(0))
     ranged = lines.repartitionByRange(blocks, "transaction_id")
@@ -73,11 +75,13 @@ def ledger(
         steps = F.call_function("div", sold - gap, F.lit(order_quantity))
         return F.when(sold < gap, F.lit(0)).otherwise(steps + 1).cast("bigint")
 
-    # The lines are clustered once; the sums per sale and all windows below reuse that shuffle.
+    # The lines are clustered once; the sums per sale and all windows below reuse that shuffle. Their
+    # sorts share a task's memory, so the tasks number as many as the lines call for.
     units = F.sum("quantity").cast("bigint")
+    rows = sales.count()
     blocked = (
-        blocked_lines(sales, keys, block_rows)
-        .repartition(*group)
+        blocked_lines(sales, keys, block_rows, rows)
+        .repartition(max(1, -(-rows // TASK_ROWS)), *group)
         .groupBy(*group, "transaction_id")
         .agg(F.when(units < 0, F.raise_error(F.lit("a sale of less than nothing"))).otherwise(units).alias("quantity"))
     )

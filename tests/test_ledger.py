@@ -54,6 +54,14 @@ def test_ledger_equals_the_sequential_procedure(spark):
         assert collected(inventory.ledger(df)) == expected
 
 
+def test_tasks_of_the_ledger_number_as_many_as_the_lines_call_for(spark, monkeypatch):
+    monkeypatch.setattr(inventory, "TASK_ROWS", 100)
+    sales = random_sales(6, 170)
+    found = inventory.ledger(spark.createDataFrame(sales, SCHEMA))
+    assert ", 16\n" in found._jdf.queryExecution().analyzed().toString().split("RepartitionByExpression")[1]
+    assert collected(found) == one_by_one(sales)
+
+
 def test_one_oversized_sale_among_small_ones(spark):
     sales = random_sales(5, 30, products=2) + [(9, s, 450 if s == 7 else 10) for s in range(60)]
     df = spark.createDataFrame(sales, SCHEMA)
