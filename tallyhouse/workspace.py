@@ -67,6 +67,8 @@ def all_sources(spark: SparkSession, sf_dir: str) -> Tables:
 
 # Files that a source is split into where a stream is to take it in several micro-batches.
 PARTS = 6
+# Lines that one task writes into a file of a part.
+LINES_PER_FILE = 1 << 21
 
 
 def split_events(spark: SparkSession, sf_dir: str) -> str:
@@ -77,28 +79,36 @@ def split_events(spark: SparkSession, sf_dir: str) -> str:
     return _built_once(spark, "events", sf_dir, "", build)
 
 
+def files_per_part(rows: int) -> int:
+    return max(1, -(-rows // (PARTS * LINES_PER_FILE)))
+
+
 def split_lines(spark: SparkSession, sf_dir: str) -> str:
     """The sale lines as consecutive parts, written one after the other. The parts are cut by line,
-    so a sale may begin in one and end in the next."""
+    so a sale may begin in one and end in the next. A part has as many files, each written by one task,
+    as all lines call for."""
 
     def build(path: str) -> str:
         lines = bench.table(spark, sf_dir, "lineitem")
         number = F.col("l_orderkey") * 8 + F.col("l_linenumber")
         shares = [n / PARTS for n in range(1, PARTS)]
-        cuts = lines.agg(F.percentile_approx(number, shares).alias("cuts")).first()["cuts"] or []
+        cuts, rows = lines.agg(F.percentile_approx(number, shares), F.count(F.lit(1))).first()
+        cuts, files = cuts or [], files_per_part(rows)
         for n, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
             above = F.lit(True) if low is None else number > low
             below = F.lit(True) if high is None else number <= high
-            lines.where(above & below).coalesce(1).write.parquet(f"{path}/part={n}")
+            lines.where(above & below).repartition(files).write.parquet(f"{path}/part={n}")
         return path
 
     return _built_once(spark, "lines", sf_dir, "/part=0", build)
 
 
 def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sale lines as a stream of several micro-batches."""
+    """The sale lines as a stream of several micro-batches, each a part."""
     like = bench.table(spark, sf_dir, "lineitem")
-    return runs.stream_table(spark, f"{split_lines(spark, sf_dir)}/*", like, files_per_batch=1)
+    folder = split_lines(spark, sf_dir)
+    files = files_per_part(like.count())
+    return runs.stream_table(spark, f"{folder}/*", like, files_per_batch=files)
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse import catalog, workspace
 from tallyhouse import schemas as S
 from tallyhouse.functions import labels, money
 from tallyhouse.plans import inventory
@@ -341,3 +343,13 @@ def test_late_events_are_kept_apart(spark, tmp_path):
         (8, 2, 0, 2, True), (9, 1, 1, 3, True), (11, 1, 0, 2, False),
     ]
     assert sorted((r["ts"].hour, r["type"]) for r in late.collect()) == [(8, "transaction"), (9, "reorder")]
+
+
+def test_parts_of_the_lines_have_as_many_files_as_they_call_for(spark, monkeypatch):
+    sf_dir = "/root/testdata/sf0.001"
+    whole = catalog.queries()["l05_stock_alerts"](spark, sf_dir).collect()
+    monkeypatch.setattr(workspace, "LINES_PER_FILE", 300)
+    monkeypatch.setattr(workspace, "_BUILT", {})
+    parts = list(Path(workspace.split_lines(spark, sf_dir)).iterdir())
+    assert len(parts) == workspace.PARTS and {len(list(p.glob("*.parquet"))) for p in parts} == {4}
+    assert sorted(catalog.queries()["l05_stock_alerts"](spark, sf_dir).collect()) == sorted(whole)
