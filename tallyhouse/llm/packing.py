@@ -51,7 +51,7 @@ _PART = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\s{_LETT
 _WORD = re.compile(f"[{_LETTER}]+")
 _BEYOND = re.compile("[^\x00-\xff]")
 # Words of letters are encoded together, so many a call, with a digit between two of them.
-_TOGETHER, _BETWEEN = 1000, "0"
+_TOGETHER, _BETWEEN = 64, "0"
 
 PIECE_SCHEMA = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
 PLACED_SCHEMA = PIECE_SCHEMA + ", sequence_id BIGINT, offset BIGINT"
@@ -66,9 +66,9 @@ class Ids:
         from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Its merges alone, for words that its other steps leave as they are.
-        self.merges = Tokenizer.from_file(path)
-        self.merges.normalizer, self.merges.pre_tokenizer = None, CharDelimiterSplit(" ")
+        # Its merges alone, for words that its other steps leave as they are; both share one vocabulary.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = CharDelimiterSplit(" ")
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         # The character that stands for each byte of letters below U+0100.
         shown = list(map(chr, range(256)))
@@ -78,7 +78,7 @@ class Ids:
         self.shown = "".join(shown)
         added = {x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()}
         self.added = re.compile("|".join(map(re.escape, sorted(added))) or "(?!)", re.IGNORECASE)
-        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -108,7 +108,7 @@ class Ids:
         return [p for w in text.split() for p in ((w,) if _BEYOND.search(w) else _PART.findall(w.lower()))]
 
     def of(self, texts: list[str]) -> list[bytes]:
-        known = self.parts
+        known = self.words
         if len(known) > REMEMBERED_WORDS:
             known.clear()
         split = [self._split(text) for text in texts]
