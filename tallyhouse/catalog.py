@@ -16,7 +16,7 @@ from tallyhouse.plans import analytics, inventory, lines, quality, repair, repor
 from tallyhouse.schemas import Tables
 from tallyhouse.sources import benchmark_tables as bench
 from tallyhouse.sources import dumps, files
-from tallyhouse.storage import fresh_path, stage
+from tallyhouse.storage import Scratch, fresh_path, stage
 from tallyhouse.streaming import feed, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -344,13 +344,19 @@ def _costs_as_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     dearer = F.when(F.col("category") == "ECONOMY", F.col("unit_cost") + 1).otherwise(F.col("unit_cost"))
     raised = {"products": oltp["products"].withColumn("unit_cost", dearer.cast(S.PRICE))}
     day = labels.day_number(F.col("transaction_time"), bench.FIRST_DAY)
-    for days, products in ((day < 1200, {}), (day >= 1200, raised), (day.between(100, 199), raised)):
-        sales = oltp["transactions"].where(days)
-        some = oltp["transaction_items"].join(
-            sales.select(F.col("id").alias("transaction_id")), "transaction_id", "left_semi"
-        )
-        batch = oltp | (products | {"transactions": sales, "transaction_items": some})
-        star.load_days(spark, batch, root, bench.FIRST_DAY, workspace.DAYS_PER_PARTITION, history=True)
+    batches = {"_early": (day < 1200, {}), "_late": (day >= 1200, raised), "_again": (day.between(100, 199), raised)}
+    # The lines are prepared once, with a mark for each batch that their sale is in.
+    marks = oltp["transactions"].groupBy(F.col("id").alias("transaction_id")).agg(
+        *[F.max(days).alias(mark) for mark, (days, _) in batches.items()]
+    )
+    with Scratch(spark) as scratch:
+        marked = scratch.stage(star.line_items(oltp).join(marks, "transaction_id"), "marked")
+        for mark, (days, products) in batches.items():
+            some = marked.where(mark).drop(*batches)
+            batch = oltp | (products | {"transactions": oltp["transactions"].where(days), "transaction_items": some})
+            star.load_days(
+                spark, batch, root, bench.FIRST_DAY, workspace.DAYS_PER_PARTITION, history=True, stored_items=True
+            )
     return star.sale_facts(star.read_star(spark, root)).groupBy("simulated_day").agg(
         F.count(F.lit(1)).alias("lines"),
         money.total("cost_cents").alias("cost"),

@@ -2,54 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def as_of(
-    asked: DataFrame, versions: DataFrame, key: str, at: str, order: str, columns: list[str], width: int = 1024
+    asked: DataFrame,
+    versions: DataFrame,
+    key: str,
+    at: str,
+    order: str,
+    columns: list[str],
+    width: int = 1024,
+    from_first: bool = False,
 ) -> DataFrame:
     """``asked`` (key, at, ...) with ``columns`` of the version of the same key that has the largest
-    (at, order) not beyond the row's ``at``; NULLs where there is none. A NULL place takes the last
-    version of all.
+    (at, order) not beyond the row's ``at``; NULLs where there is none, or with ``from_first`` the
+    version with the smallest ``at``. A NULL place takes the last version of all.
 
-    Places are cut into ranges of ``width``. Inside a range rows and versions are merged by a window
-    over (key, range); the version that a range begins with is found from the last versions of
-    earlier ranges, by a window over one row per key and range. So neither a key asked for at very many
-    places nor one with very many versions is one task, and nothing is compared pair by pair.
+    A version holds up to the next one of its key. Places are cut into ranges of ``width``, a version
+    has a row for each range in which it holds, and rows meet versions by a join on key and range. So
+    asked rows are moved once, with all they carry, and a row is compared with the versions of its
+    key in one range only. A key asked for very often is split at run time like that of any other join.
+    Places before all versions belong to the first range, those after all, and NULL, to the last one.
     """
-    version = F.struct(F.col(at).alias("_at"), F.col(order).alias("_order"), *columns)
-    bucket = F.floor(F.col(at) / width).alias("_range")
-    last_range = F.lit(2**62).cast("bigint")
-    given = versions.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(key, at, bucket, version.alias("_version"))
-    rows = asked.withColumn("_range", F.coalesce(bucket, last_range))
-    none = F.lit(None).cast(given.schema["_version"].dataType)
-    others = [c for c in asked.columns if c not in (key, at)]
-    row = F.struct(*others) if others else F.struct(F.lit(True).alias("_row"))
-    no_row = F.lit(None).cast(rows.select(row.alias("r")).schema["r"].dataType)
-
-    merged = given.select(key, at, "_range", "_version", no_row.alias("_other"), F.lit(False).alias("_asked")).unionByName(
-        rows.select(key, at, "_range", none.alias("_version"), row.alias("_other"), F.lit(True).alias("_asked"))
+    given = versions.where(F.col(key).isNotNull() & F.col(at).isNotNull())
+    # One version for each key and place: of several the one with the largest order.
+    given = given.groupBy(F.col(key).alias("_key"), F.col(at).alias("_from")).agg(
+        F.max(F.struct(order, *columns)).alias("_version")
     )
-    # Versions come before rows of the same place, and of versions the larger order comes last.
-    inside = (
-        Window.partitionBy(key, "_range")
-        .orderBy(F.asc_nulls_last(at), "_asked", "_version._order")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    bounds = versions.agg(
+        F.coalesce(F.floor(F.min(at) / width), F.lit(0)).alias("low"),
+        F.coalesce(F.floor(F.max(at) / width), F.lit(0)).alias("high"),
     )
-    merged = merged.withColumn("_own", F.last("_version", ignorenulls=True).over(inside)).where("_asked")
-
-    ends = given.groupBy(key, "_range").agg(F.max("_version").alias("_last"))
-    wanted = rows.select(key, "_range").distinct().withColumn("_last", none)
-    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        ends.unionByName(wanted)
-        .groupBy(key, "_range")
-        .agg(F.max("_last").alias("_last"))
-        .withColumn("_carried", F.last("_last", ignorenulls=True).over(before))
-        .select(F.col(key).alias("_key"), F.col("_range").alias("_of_range"), "_carried")
+    low, high = bounds.first()
+    top = F.lit(high + 1).cast("bigint")
+    by_place = Window.partitionBy("_key").orderBy("_from")
+    until = F.lead("_from").over(by_place)
+    first = F.lag("_from").over(by_place).isNull() if from_first else F.lit(False)
+    last_range = F.coalesce(F.floor((F.col("_until") - 1) / width), top)
+    first_range = F.when(F.col("_first"), F.lit(low).cast("bigint")).otherwise(F.floor(F.col("_from") / width))
+    held = (
+        given.select("*", until.alias("_until"), first.alias("_first"))
+        .withColumn("_of_range", F.explode(F.sequence(first_range, last_range)))
+        .select("_key", "_from", "_until", "_first", "_of_range", *[F.col("_version")[c].alias(f"_found_{c}") for c in columns])
+    )
+    place = F.col(at)
+    own_range = F.coalesce(F.greatest(F.least(F.floor(place / width), top), F.lit(low).cast("bigint")), top)
+    holds = (
+        F.when(place.isNull(), F.col("_until").isNull())
+        .otherwise((F.col("_first") | (F.col("_from") <= place)) & (F.col("_until").isNull() | (place < F.col("_until"))))
+    )
+    others = [c for c in asked.columns if c not in (key, at)]
+    same = (F.col(key) == F.col("_key")) & (F.col("_range") == F.col("_of_range")) & holds
+    return asked.withColumn("_range", own_range).join(held, same, "left").select(
+        key, at, *others, *[F.col(f"_found_{c}").alias(c) for c in columns]
     )
-    found: Column = F.coalesce("_own", "_carried")
-    return merged.join(
-        carried, (F.col(key) == F.col("_key")) & (F.col("_range") == F.col("_of_range")), "left"
-    ).select(key, at, *[F.col(f"_other.{c}").alias(c) for c in others], *[found[c].alias(c) for c in columns])

@@ -201,22 +201,19 @@ def key_map(batch: DataFrame, dimension: DataFrame, columns: list[str]) -> DataF
 
 
 def _link(rows: DataFrame, keys: Tables, name: str, *more: str) -> DataFrame:
-    """Rows with the surrogate key of a dimension. A map with a day holds one row per key and day.
+    """Rows with the surrogate key of a dimension, from a map of natural keys or of versions by day.
 
     Product, customer and employee maps may be large, so no broadcast is forced on them: the planner
     decides by size and splits skewed keys at run time.
     """
-    by_day = "simulated_day" in keys[name].columns
+    key = LINE_KEYS[name]
+    if "from_day" in keys[name].columns:
+        found = keys[name].withColumnRenamed("dim_id", f"{name}_id")
+        return versions.keys_as_of(rows, key, found, [f"{name}_id", *more])
     found = keys[name].select(
-        F.col("source_id").alias("_key"),
-        *[F.col("simulated_day").alias("_day")][:by_day],
-        F.col("dim_id").alias(f"{name}_id"),
-        *more,
+        F.col("source_id").alias("_key"), F.col("dim_id").alias(f"{name}_id"), *more
     )
-    same = F.col(LINE_KEYS[name]) == F.col("_key")
-    if by_day:
-        same &= F.col("simulated_day").eqNullSafe(F.col("_day"))
-    return rows.join(found, same, "left").drop("_key", "_day")
+    return rows.join(found, F.col(key) == F.col("_key"), "left").drop("_key")
 
 
 def _link_header(rows: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame:
@@ -234,10 +231,13 @@ def linked_lines(lines: DataFrame, keys: Tables, payment: DataFrame) -> DataFram
 
 
 def linked_items(items: DataFrame, headers: DataFrame, keys: Tables, payment: DataFrame) -> DataFrame:
-    """The same from line items and headers: lines are moved for products while they are narrow, and
-    for their sales once, whose header has been linked by then."""
-    products = _link(items, keys, "dim_product", "unit_cost")
-    return products.join(_link_header(headers, keys, payment), "transaction_id", "left")
+    """The same from line items and headers: lines are moved once for products and once for their sales,
+    whose header has been linked by then. Products by day need the day first; others go first, while the
+    lines are narrow."""
+    linked = _link_header(headers, keys, payment)
+    if "from_day" in keys["dim_product"].columns:
+        return _link(items.join(linked, "transaction_id", "left"), keys, "dim_product", "unit_cost")
+    return _link(items, keys, "dim_product", "unit_cost").join(linked, "transaction_id", "left")
 
 
 def keyed_lines(linked: DataFrame, *more: str) -> DataFrame:
@@ -333,6 +333,7 @@ def load_days(
     first_day: str,
     days_per_partition: int | None = None,
     history: bool = False,
+    stored_items: bool = False,
 ) -> None:
     """Load every day found in ``oltp`` into the star stored under ``root``, replacing exactly those
     days; repeating it changes nothing, and a batch without lines does nothing.
@@ -349,15 +350,14 @@ def load_days(
 
     With ``history`` lines link to the version of a member that was valid on their day, as recorded
     by earlier loads (``plans/versions.py``); without it to the version with the batch's attributes.
+    Line items that are a stored table already (``stored_items``) are not staged again.
     """
     with Scratch(spark) as scratch:
-        items = scratch.stage(line_items(oltp), "items")
+        items = line_items(oltp) if stored_items else scratch.stage(line_items(oltp), "items")
         if items.isEmpty():
             return
         sold = items.select("transaction_id").distinct()
         headers = scratch.stage(sale_headers(oltp, first_day).join(sold, "transaction_id", "left_semi"), "headers")
-        # Links by day need the day of each line.
-        lines = scratch.stage(items.join(headers, "transaction_id", "left"), "lines") if history else items
         per_day = scratch.stage(headers.select("simulated_day").distinct(), "days")
         width = _width(spark, root, days_per_partition)
         recover(spark, root)
@@ -374,9 +374,10 @@ def load_days(
             if span is None:
                 return keys
             recorded = versions.record(keys, f"{root}/{HISTORY}/{name}", span)
-            having = lines if name == "dim_product" else headers
-            pairs = scratch.stage(having.select(F.col(LINE_KEYS[name]).alias("source_id"), "simulated_day").distinct(), "pairs")
-            return scratch.stage(versions.keys_as_of(pairs, recorded, stored, columns), "keys")
+            if versions.looks_back(recorded, span):
+                return scratch.stage(versions.version_map(recorded, stored, columns), "keys")
+            last = versions.version_map(versions.last_records(recorded), stored, columns)
+            return scratch.stage(last.drop("from_day", "recorded"), "keys")
 
         # The dimensions do not depend on each other: let their jobs share the cluster.
         seen = batch_members(items, headers, oltp)
@@ -389,10 +390,7 @@ def load_days(
         hours = time_dimension(per_day).join(_stored(spark, root, "dim_time"), "id", "left_anti")
         hours.write.mode("append").parquet(f"{root}/dim_time")
         days = per_day.select("simulated_day").where("simulated_day IS NOT NULL")
-        if history:
-            linked = linked_lines(lines, keys, payment)
-        else:
-            linked = linked_items(items, headers, keys, payment)
+        linked = linked_items(items, headers, keys, payment)
         dated = headers.where("simulated_day IS NOT NULL").select("transaction_id")
         undated = items.join(dated, "transaction_id", "left_anti").unionByName(
             items.join(headers.where("simulated_day IS NULL").select("transaction_id"), "transaction_id", "left_semi")
@@ -459,9 +457,10 @@ def _dealt(rows: DataFrame) -> DataFrame:
 
 
 def _write_blocks(rows: DataFrame, path: str) -> None:
-    """Write whole partitions of rows that were dealt to tasks."""
+    """Write whole partitions of rows that were dealt to tasks. Lines of a sale lie together, so that
+    what they share is stored once."""
     (
-        rows.sortWithinPartitions(BLOCK, "simulated_day")
+        rows.sortWithinPartitions(BLOCK, "simulated_day", "source_transaction_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BLOCK)

@@ -71,24 +71,30 @@ def record(keys: DataFrame, path: str, span: Span) -> DataFrame:
     return spark.read.schema(HISTORY_SCHEMA).parquet(path)
 
 
-def keys_as_of(pairs: DataFrame, history: DataFrame, dimension: DataFrame, columns: list[str]) -> DataFrame:
-    """(source_id, simulated_day, dim_id, attributes) for every pair of key and day on the lines.
-    A pair is one row however many lines it has."""
-    found = as_of(
-        pairs.where("source_id IS NOT NULL"),
-        history.withColumnRenamed("from_day", "simulated_day"),
-        "source_id",
-        "simulated_day",
-        "recorded",
-        ["dim_id"],
-    )
-    first = history.groupBy(F.col("source_id").alias("_id")).agg(
-        F.min_by("dim_id", F.struct("from_day", -F.col("recorded"))).alias("_first")
-    )
-    attributes = dimension.select(F.col("id").alias("_dim"), *[c for c in columns if c != "source_id"])
-    return (
-        found.join(first, F.col("source_id") == F.col("_id"))
-        .withColumn("dim_id", F.coalesce("dim_id", "_first"))
-        .join(attributes, F.col("dim_id") == F.col("_dim"))
-        .select("source_id", "simulated_day", "dim_id", *[c for c in columns if c != "source_id"])
-    )
+def looks_back(history: DataFrame, span: Span) -> bool:
+    """Whether a record begins after the first day of a batch. If none does, all of its rows take the last
+    version of their member, whatever their day."""
+    latest = history.agg(F.max("from_day").alias("day")).first()["day"]
+    return None not in (latest, span.first) and latest > span.first
+
+
+def last_records(history: DataFrame) -> DataFrame:
+    """The record of every member that counts for the latest days."""
+    record = F.max(F.struct("from_day", "recorded", "dim_id")).alias("_last")
+    return history.groupBy("source_id").agg(record).select("source_id", "_last.*")
+
+
+def version_map(history: DataFrame, dimension: DataFrame, columns: list[str]) -> DataFrame:
+    """(source_id, from_day, recorded, dim_id, attributes) of every record. A record whose member is not
+    there has NULLs."""
+    stored = dimension.select(F.col("id").alias("_dim"), *[c for c in columns if c != "source_id"])
+    return history.withColumnRenamed("dim_id", "_recorded_dim").join(
+        stored, F.col("_recorded_dim") == F.col("_dim"), "left"
+    ).select("source_id", "from_day", "recorded", F.col("_dim").alias("dim_id"), *[c for c in columns if c != "source_id"])
+
+
+def keys_as_of(rows: DataFrame, key: str, known: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (``key``, simulated_day, ...) with ``columns`` of the member as of their day, looked up in the
+    version map ``known``; NULLs where the member was never recorded."""
+    dated = known.withColumnRenamed("source_id", key).withColumnRenamed("from_day", "simulated_day")
+    return as_of(rows, dated, key, "simulated_day", "recorded", columns, from_first=True)

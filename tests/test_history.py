@@ -242,6 +242,34 @@ def test_as_of_equals_a_search(spark, width):
     assert sorted(map(tuple, got.collect()), key=order) == sorted(want, key=order)
 
 
+@pytest.mark.parametrize("width", [4, 1024])
+def test_as_of_takes_the_first_version_before_all(spark, width):
+    got = as_of(
+        spark.createDataFrame([(1, -9), (1, 6), (1, 7), (1, 99), (1, None), (2, 3), (3, 3), (None, 3)], "k BIGINT, day INT"),
+        spark.createDataFrame([(1, 7, 1, 10), (1, 30, 2, 12), (1, 30, 3, 11), (2, 50, 1, 20), (None, 1, 1, 9)], "k BIGINT, day INT, o INT, v INT"),
+        "k", "day", "o", ["v"], width, from_first=True,
+    )
+    want = {(1, -9, 10), (1, 6, 10), (1, 7, 10), (1, 99, 11), (1, None, 11), (2, 3, 20), (3, 3, None), (None, 3, None)}
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_history_moves_no_line_for_the_days_of_members(spark, monkeypatch):
+    """Lines are staged once, and neither with their headers nor as pairs of member and day."""
+    root, labels, rows = fresh_path(spark, "narrow"), [], star.Scratch.stage
+    monkeypatch.setattr(star.Scratch, "stage", lambda self, df, label: labels.append(label) or rows(self, df, label))
+    dearer = [(n, name, c, u, p, cost if n > 1 else "3.00", x) for n, name, c, u, p, cost, x in PRODUCTS]
+    star.load_days(spark, three_sales_a_day(spark, range(1, 6)), root, FIRST_DAY, 2, history=True)
+    star.load_days(spark, three_sales_a_day(spark, range(6, 10), dearer), root, FIRST_DAY, 2, history=True)
+    again = three_sales_a_day(spark, range(4, 7), dearer)
+    again["transaction_items"] = stage(again["transaction_items"], "given")
+    star.load_days(spark, again, root, FIRST_DAY, 2, history=True, stored_items=True)
+    assert labels.count("items") == 2 and not {"lines", "pairs"} & set(labels)
+    lines = star.read_star(spark, root)["sales_lines"]
+    costs = {r[0]: r[1] for r in lines.where("product_id = 1").groupBy("simulated_day").agg(F.collect_set("unit_cost")).collect()}
+    old = Decimal(next(p[5] for p in PRODUCTS if p[0] == 1))
+    assert costs == {d: [old if d < 6 else Decimal("3.00")] for d in range(1, 10)}
+
+
 # Derived tables ----------------------------------------------------------------------------------
 
 
