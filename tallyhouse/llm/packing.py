@@ -11,7 +11,7 @@ A group leaves about one sequence that is not full, so packing in groups costs a
 The tokenizer splits at white space and looks at nothing beyond it, and words of characters below
 U+0100, which its normal form leaves alone, it cuts into runs of letters, digits and runs of marks. So the
 ids of a text are the ids of these parts one after another; ids of parts are remembered. New runs of
-letters go many at once through the tokenizer's merges, new parts of other kinds and words with other
+letters go through the tokenizer's merges alone, new parts of other kinds and words with other
 characters through all of it. A text with the separators
 U+001C to U+001F, which Python takes for white space and the tokenizer does not, or with a special
 token goes to the tokenizer whole.
@@ -28,8 +28,10 @@ import os
 import re
 import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache, partial
+from itertools import islice
 from typing import Any
 
 import numpy as np
@@ -44,14 +46,13 @@ END_ID = 1
 PIECES_PER_GROUP = 8192
 REMEMBERED_WORDS = 150_000
 
-_OTHER_SPACE = re.compile("[\x1c-\x1f]")
+_OTHER_SPACE = "\x1c\x1d\x1e\x1f"
 # The parts into which the tokenizer cuts lower-case text of the characters below U+0100.
 _LETTER, _DIGIT = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
-_PART = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\s{_LETTER}{_DIGIT}]+")
+# The most frequent kind comes first; no other kind begins like it.
+_PART = re.compile(rf"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[^\s{_LETTER}{_DIGIT}]+|[{_DIGIT}]")
 _WORD = re.compile(f"[{_LETTER}]+")
 _BEYOND = re.compile("[^\x00-\xff]")
-# Words of letters are encoded together, so many a call, with a digit between two of them.
-_TOGETHER, _BETWEEN = 64, "0"
 
 PIECE_SCHEMA = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
 PLACED_SCHEMA = PIECE_SCHEMA + ", sequence_id BIGINT, offset BIGINT"
@@ -63,12 +64,9 @@ class Ids:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Its merges alone, for words that its other steps leave as they are; both share one vocabulary.
-        self.merges = Tokenizer(self.tokenizer.model)
-        self.merges.pre_tokenizer = CharDelimiterSplit(" ")
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         # The character that stands for each byte of letters below U+0100.
         shown = list(map(chr, range(256)))
@@ -78,7 +76,10 @@ class Ids:
         self.shown = "".join(shown)
         added = {x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()}
         self.added = re.compile("|".join(map(re.escape, sorted(added))) or "(?!)", re.IGNORECASE)
-        self.words: dict[str, bytes] = {}
+        # A word that is asked for takes the next place; the ids of the words by place.
+        self.words: defaultdict[str, int] = defaultdict()
+        self.words.default_factory = self.words.__len__
+        self.ids: list[bytes] = []
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -89,38 +90,44 @@ class Ids:
         return array("I", found.ids).tobytes()
 
     def _encode_letters(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters below U+0100. No token of such a word is a digit."""
-        between = self.merges.encode(_BETWEEN, add_special_tokens=False).ids[0]
-        joined = [f" {_BETWEEN} ".join(words[k : k + _TOGETHER]) for k in range(0, len(words), _TOGETHER)]
-        joined = [codecs.charmap_decode(x.encode(), "strict", self.shown)[0] for x in joined]
-        out: list[bytes] = []
-        for raw in (self._ids(x) for x in self.merges.encode_batch_fast(joined, add_special_tokens=False)):
-            cuts = (4 * np.flatnonzero(np.frombuffer(raw, "<u4") == between)).tolist()
-            out += [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
-        return out
+        """Ids of words of letters below U+0100."""
+        merged, shown = self.tokenizer.model.tokenize, self.shown
+        return [
+            array("I", [token.id for token in merged(codecs.charmap_decode(word.encode(), "strict", shown)[0])]).tobytes()
+            for word in words
+        ]
 
     def _split(self, text: str) -> list[str] | None:
         """Parts whose ids make up the text's; None if it must be encoded as a whole."""
-        if _OTHER_SPACE.search(text) or ("<" in text and self.added.search(text)):
+        if any(map(text.__contains__, _OTHER_SPACE)) or ("<" in text and self.added.search(text)):
             return None
         if text.isascii() or not _BEYOND.search(text):
             return _PART.findall(text.lower())
         return [p for w in text.split() for p in ((w,) if _BEYOND.search(w) else _PART.findall(w.lower()))]
 
+    def _remember(self, new: list[str]) -> None:
+        """Ids of the words in the last places."""
+        letters = list(filter(_WORD.fullmatch, new))
+        found = dict(zip(letters, self._encode_letters(letters)))
+        others = [word for word in new if word not in found]
+        found.update(zip(others, self._encode(others)))
+        self.ids += map(found.__getitem__, new)
+
     def of(self, texts: list[str]) -> list[bytes]:
         known = self.words
         if len(known) > REMEMBERED_WORDS:
             known.clear()
-        split = [self._split(text) for text in texts]
-        new = set().union(*(parts for parts in split if parts)).difference(known)
-        letters = list(filter(_WORD.fullmatch, new))
-        known.update(zip(letters, self._encode_letters(letters)))
-        others = list(new.difference(letters))
-        known.update(zip(others, self._encode(others)))
-        ids = known.__getitem__
+            self.ids.clear()
+        place = known.__getitem__
+        places: list[list[int] | None] = []
+        for text in texts:
+            parts = self._split(text)
+            places.append(None if parts is None else list(map(place, parts)))
+        self._remember(list(islice(reversed(known), len(known) - len(self.ids)))[::-1])
+        ids = self.ids.__getitem__
         return [
-            self._encode([text])[0] if parts is None else b"".join(map(ids, parts))
-            for text, parts in zip(texts, split)
+            self._encode([text])[0] if of_text is None else b"".join(map(ids, of_text))
+            for text, of_text in zip(texts, places)
         ]
 
 

@@ -64,6 +64,15 @@ def test_memory_is_bounded(monkeypatch):
         assert len(encoder.words) <= 40
 
 
+def test_each_word_is_encoded_once_and_kept_by_place(monkeypatch):
+    encoder, asked, encode = packing.Ids(queries.tokenizer_path()), [], packing.Ids._encode_letters
+    monkeypatch.setattr(packing.Ids, "_encode_letters", lambda self, words: asked.extend(words) or encode(self, words))
+    for texts in (["Ab cd, ab's", "ñandú cd"], ["zz ab", "漢 cd"], []):
+        assert encoder.of(texts) == [plain_ids(t) for t in texts]
+    assert asked == ["ab", "cd", "ñandú", "zz"]
+    assert list(encoder.words.values()) == list(range(len(encoder.ids)))
+
+
 def test_fullest_combination_against_all_subsets():
     rng = np.random.default_rng(3)
     for _ in range(60):
