@@ -52,9 +52,22 @@ ALIGNED_SCHEMA = (
 )
 
 
-def _numbers(end: str, size: int) -> np.ndarray:
+def _numbers(end: str, size: int) -> list[bytes]:
     """The decimal text of every id with a mark after it."""
-    return np.array([f"{i}{end}".encode() for i in range(size)], dtype=object)
+    return [f"{i}{end}".encode() for i in range(size)]
+
+
+def _joined(entries: pa.LargeBinaryArray, numbers: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The numbered entries one after another, and the place where each begins, then the end."""
+    if not len(numbers):
+        return memoryview(b""), np.zeros(1, dtype=np.int64)
+    _, places, joined = entries.take(pa.array(numbers)).buffers()
+    return memoryview(joined), np.frombuffer(places, dtype=np.int64, count=len(numbers) + 1)
+
+
+def _bounds(parts: list[np.ndarray]) -> np.ndarray:
+    """Where each part begins when all are put together, then the end."""
+    return np.cumsum([0] + [len(x) for x in parts])
 
 
 class Tokenizers:
@@ -76,8 +89,10 @@ class Tokenizers:
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.a_sizes = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
-        self.a_inside, self.a_last = (_numbers(end, len(self.a_bytes)) for end in (",", "|"))
-        self.b_inside, self.b_last = (_numbers(end, len(self.b_bytes)) for end in (",", ";"))
+        self.a_entries, self.b_entries = (pa.array(x, pa.large_binary()) for x in (self.a_bytes, self.b_bytes))
+        # A ids inside a group, A ids that end their side of it, and the same of B.
+        marks = [(",", self.a_bytes), ("|", self.a_bytes), (",", self.b_bytes), (";", self.b_bytes)]
+        self.said = pa.array([x for end, side in marks for x in _numbers(end, len(side))], pa.large_binary())
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -85,19 +100,19 @@ class Tokenizers:
             return bytes([int(piece[3:-1], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both sides; none if either side does not give back the text."""
-        b_ids = self.b.encode([t or "" for t in texts], num_threads=1)
-        found = []
-        for text, b in zip(texts, b_ids):
-            a: list[int] = []
-            if text:
-                a = self.a.encode_ordinary(" " + text)
-                raw = b" " + text.encode()
-                if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-                    a = []
-            found.append((a, b if a else []))
-        return found
+    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of both sides for each text; none if either side does not give back the text."""
+        a = [np.array(self.a.encode_ordinary(" " + t) if t else [], dtype=np.int32) for t in texts]
+        b = self.b.encode([t or "" for t in texts], num_threads=1, return_type="numpy")
+        raw = [b" " + t.encode() if t else b"" for t in texts]
+        for ids, entries in ((a, self.a_entries), (b, self.b_entries)):
+            joined, places = _joined(entries, np.concatenate(ids))
+            places = places[_bounds(ids)].tolist()
+            for k, text in enumerate(raw):
+                if joined[places[k] : places[k + 1]].tobytes() != text:
+                    raw[k] = b""
+        none = np.zeros(0, dtype=np.int32)
+        return [x if t else none for x, t in zip(a, raw)], [x if t else none for x, t in zip(b, raw)]
 
 
 @cache
@@ -106,9 +121,9 @@ def tokenizers_of(ranks_path: str, pattern: str, model_path: str) -> Tokenizers:
     return Tokenizers(ranks_path, pattern, model_path)
 
 
-def _side(ids: list[list[int]], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, pd.DataFrame]:
+def _side(ids: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, pd.DataFrame]:
     """Ids, ends and (start, doc, number) of one side's tokens; places run on over the documents."""
-    flat = np.concatenate([np.array(x, dtype=np.int64) for x in ids]) if ids else np.zeros(0, np.int64)
+    flat = np.concatenate(ids).astype(np.int64)
     ends = np.cumsum(sizes[flat])
     doc = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
     return flat, ends, pd.DataFrame({"start": ends - sizes[flat], "doc": doc, "number": np.arange(len(flat))})
@@ -116,11 +131,16 @@ def _side(ids: list[list[int]], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Numbers (i, j) of all overlapping A and B tokens in order: each start finds the token of the
-    other side that covers it, in both directions."""
+    other side that covers it, in both directions. ``number`` counts a side's tokens from 0."""
     into_b = pd.merge_asof(a, b, on="start", by="doc", suffixes=("_a", "_b"))
-    into_a = pd.merge_asof(b, a, on="start", by="doc", suffixes=("_b", "_a"))
-    both = pd.concat([into_b, into_a], ignore_index=True)
-    pairs = np.unique(both["number_a"].to_numpy(np.int64) * len(b) + both["number_b"].to_numpy(np.int64))
+    i, j = into_b["number_a"].to_numpy(np.int64), into_b["number_b"].to_numpy(np.int64)
+    # Tokens that start together have found each other; the B tokens left start inside an A token.
+    inside = np.ones(len(b), dtype=bool)
+    inside[j[b["start"].to_numpy()[j] == a["start"].to_numpy()]] = False
+    into_a = pd.merge_asof(b[inside], a, on="start", by="doc", suffixes=("_b", "_a"))
+    more = into_a["number_a"].to_numpy(np.int64) * len(b) + into_a["number_b"].to_numpy(np.int64)
+    # Both are ascending, which a stable sort merges in one pass.
+    pairs = np.sort(np.concatenate([i * len(b) + j, more]), kind="stable")
     return pairs // len(b), pairs % len(b)
 
 
@@ -151,10 +171,10 @@ def _links(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, siz
 
 def align(texts: list[str | None], tok: Tokenizers) -> list[tuple]:
     """For each text (n_a, n_b, n_groups, n_links, digest of the groups, pairs, times)."""
-    ids = tok.encode(texts)
-    a, a_ends, a_frame = _side([x[0] for x in ids], tok.a_sizes)
-    b, b_ends, b_frame = _side([x[1] for x in ids], tok.b_sizes)
-    size_b = len(tok.b_bytes)
+    a_ids, b_ids = tok.encode(texts)
+    a, a_ends, a_frame = _side(a_ids, tok.a_sizes)
+    b, b_ends, b_frame = _side(b_ids, tok.b_sizes)
+    size_a, size_b = len(tok.a_bytes), len(tok.b_bytes)
     none = np.zeros(0, dtype=np.int64)
     if not len(a):
         return [(0, 0, 0, 0, "", none, none)] * len(texts)
@@ -165,23 +185,25 @@ def align(texts: list[str | None], tok: Tokenizers) -> list[tuple]:
     in_a[i], in_b[j] = group, group
     per_a, per_b = np.bincount(in_a), np.bincount(in_b)
     # The groups as text: the A ids of a group, then its B ids.
-    said = np.empty(len(a) + len(b), dtype=object)
+    said = np.empty(len(a) + len(b), dtype=np.int64)
     last_a, last_b = np.append(in_a[1:] != in_a[:-1], True), np.append(in_b[1:] != in_b[:-1], True)
-    said[np.arange(len(a)) + (np.cumsum(per_b) - per_b)[in_a]] = np.where(last_a, tok.a_last[a], tok.a_inside[a])
-    said[np.arange(len(b)) + np.cumsum(per_a)[in_b]] = np.where(last_b, tok.b_last[b], tok.b_inside[b])
-
-    found, from_a, from_b = [], 0, 0
-    for a_ids, b_ids in ids:
-        to_a, to_b = from_a + len(a_ids), from_b + len(b_ids)
-        if a_ids:
-            first, last = in_a[from_a], in_a[to_a - 1] + 1
-            digest = hashlib.sha256(b"".join(said[from_a + from_b : to_a + to_b])[:-1]).hexdigest()
-            pairs, times = _links(a[from_a:to_a], b[from_b:to_b], in_a[from_a:to_a] - first, in_b[from_b:to_b] - first, size_b)
+    said[np.arange(len(a)) + (np.cumsum(per_b) - per_b)[in_a]] = a + size_a * last_a
+    said[np.arange(len(b)) + np.cumsum(per_a)[in_b]] = b + size_b * last_b + 2 * size_a
+    joined, places = _joined(tok.said, said)
+
+    found, bounds_a, bounds_b = [], _bounds(a_ids), _bounds(b_ids)
+    places = places[bounds_a + bounds_b].tolist()
+    bounds_a, bounds_b = bounds_a.tolist(), bounds_b.tolist()
+    for k in range(len(texts)):
+        own_a, own_b = slice(*bounds_a[k : k + 2]), slice(*bounds_b[k : k + 2])
+        if own_a.start < own_a.stop:
+            first, last = in_a[own_a.start], in_a[own_a.stop - 1] + 1
+            digest = hashlib.sha256(joined[places[k] : places[k + 1] - 1]).hexdigest()
+            pairs, times = _links(a[own_a], b[own_b], in_a[own_a] - first, in_b[own_b] - first, size_b)
             n_links = int((per_a[first:last] * per_b[first:last]).sum())
-            found.append((len(a_ids), len(b_ids), int(last - first), n_links, digest, pairs, times))
+            found.append((len(a_ids[k]), len(b_ids[k]), int(last - first), n_links, digest, pairs, times))
         else:
             found.append((0, 0, 0, 0, "", none, none))
-        from_a, from_b = to_a, to_b
     return found
 
 

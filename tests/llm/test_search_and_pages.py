@@ -233,6 +233,27 @@ def test_overlaps_of_both_directions():
     assert list(zip(i.tolist(), j.tolist())) == [(0, 0), (0, 1), (1, 1), (2, 2)]
 
 
+def test_only_starts_inside_a_token_are_looked_up_again(monkeypatch):
+    asked, merge = [], pd.merge_asof
+    monkeypatch.setattr(pd, "merge_asof", lambda left, *rest, **named: asked.append(len(left)) or merge(left, *rest, **named))
+    a = pd.DataFrame({"start": [0, 3, 4, 6], "doc": [0, 0, 1, 1], "number": [0, 1, 2, 3]})
+    b = pd.DataFrame({"start": [0, 2, 4], "doc": [0, 0, 1], "number": [0, 1, 2]})
+    i, j = token_alignment.overlaps(a, b)
+    assert list(zip(i.tolist(), j.tolist())) == [(0, 0), (0, 1), (1, 1), (2, 2), (3, 2)] and asked == [4, 1]
+    i, j = token_alignment.overlaps(a, a)
+    assert i.tolist() == j.tolist() == [0, 1, 2, 3] and asked[2:] == [4, 0]
+
+
+def test_tokens_are_arrays_that_give_back_the_text():
+    tok = token_alignment.tokenizers_of(*queries.aligned_tokenizers())
+    texts = ["two words", "a ▁ mark", None, "", "漢 \U0001f600\x00 end"]
+    a, b = tok.encode(texts)
+    assert all(isinstance(x, np.ndarray) and x.dtype == np.int32 for x in a + b)
+    for ids, entries in ((a, tok.a_bytes), (b, tok.b_bytes)):
+        given = [b"".join(entries[i] for i in x) for x in ids]
+        assert given == [b" two words", b"", b"", b"", " 漢 \U0001f600\x00 end".encode()]
+
+
 # ---- op13 -------------------------------------------------------------------------------------
 
 
